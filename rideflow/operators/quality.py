@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from rideflow.operators.clean import DUPLICATES, FINAL, INITIAL, RULES
 
-_REPORTED = [(rule.key, rule.title, rule.reason) for rule in RULES]
-_REPORTED.append((DUPLICATES, "Duplicates", "equal to another row in every column"))
+REPORTED = [(rule.key, rule.title, rule.reason) for rule in RULES]
+REPORTED.append((DUPLICATES, "Duplicates", "equal to another row in every column"))
 
 
 def _percent(part: Column, whole: Column) -> Column:
@@ -30,7 +30,7 @@ def quality_report(totals: DataFrame) -> DataFrame:
             F.col(key).alias("removed"),
             _percent(F.col(key), F.col(INITIAL)).alias("pct"),
         )
-        for key, title, reason in _REPORTED
+        for key, title, reason in REPORTED
     ]
     return totals.select(F.inline(F.array(*entries)))
 
@@ -60,7 +60,7 @@ def report_lines(totals: DataFrame) -> DataFrame:
         F.lit("| Rule | Title | Reason | Removed | Percent |"),
         F.lit("|---|---|---|---|---|"),
     ]
-    for key, title, reason in _REPORTED:
+    for key, title, reason in REPORTED:
         share = F.concat(F.format_number(_percent(F.col(key), initial), 2), F.lit("%"))
         cells = F.concat_ws(" | ", F.lit(key[:2]), F.lit(title), F.lit(reason), _number(F.col(key)), share)
         lines.append(F.concat(F.lit("| "), cells, F.lit(" |")))

@@ -228,3 +228,13 @@ def event_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 def flush_value(ts: str) -> str:
     """A late event of zone 0 that moves the watermark past everything before it."""
     return f'{{"tpep_pickup_datetime": "{ts}", "PULocationID": 0, "fare_amount": 0.0}}'
+
+
+def event_folder(spark: SparkSession, sf_dir: str, *flush_at: str) -> str:
+    """The events as text files for a file stream, then one flushing event per given time, each a later file."""
+    folder = new_folder(spark, "events")
+    event_values(spark, sf_dir).write.text(folder)
+    for ts in flush_at:
+        line = spark.createDataFrame([(flush_value(ts),)], "value string")
+        line.coalesce(1).write.mode("append").text(folder)
+    return folder

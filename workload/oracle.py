@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from rideflow.operators.clean import DUPLICATES, FINAL, INITIAL, RULES
-from rideflow.operators.quality import _REPORTED
+from rideflow.operators.quality import REPORTED
 from workload import fixtures as fx
 
 _HOLIDAY_ROWS = ", ".join(f"(DATE '{day}')" for day in fx.HOLIDAYS)
@@ -132,6 +132,30 @@ event_trips AS (SELECT ts AS pickup_time, user_id % 10 + 1 AS zone_id, value AS
 event_demand AS (
   SELECT zone_id, date_trunc('hour', pickup_time) AS hour_ts, count(*) AS trip_count FROM event_trips GROUP BY 1, 2
 ),
+windows_5 AS (
+  SELECT start AS window_start, start + INTERVAL 5 MINUTE AS window_end, zone_id AS "PULocationID",
+    count(*) AS trip_count, round(avg(fare), 6) AS avg_fare
+  FROM (SELECT date_trunc('minute', pickup_time) - to_minutes(unnest(generate_series(0, 4))) AS start, zone_id, fare FROM event_trips)
+  GROUP BY 1, 2, 3
+),
+windows_10 AS (
+  SELECT time_bucket(INTERVAL 10 MINUTE, pickup_time) AS window_start,
+    time_bucket(INTERVAL 10 MINUTE, pickup_time) + INTERVAL 10 MINUTE AS window_end, zone_id AS "PULocationID",
+    count(*) AS trip_count, round(avg(fare), 6) AS avg_fare
+  FROM event_trips GROUP BY 1, 2, 3
+),
+rated AS (
+  SELECT *, trip_count / forecast AS surge_ratio FROM windows_10 JOIN (
+    SELECT "PULocationID" AS z, hour(window_start) AS h, dayofweek(window_start) AS w, avg(trip_count) AS forecast
+    FROM windows_10 GROUP BY 1, 2, 3) f ON z = "PULocationID" AND h = hour(window_start) AND w = dayofweek(window_start)
+),
+alerts AS (
+  SELECT before_start AS alert_start, window_end AS alert_end, "PULocationID",
+    round(greatest(surge_ratio, before_ratio), 6) AS peak_ratio
+  FROM (SELECT *, lag(window_start) OVER z AS before_start, lag(window_end) OVER z AS before_end, lag(surge_ratio) OVER z AS before_ratio
+        FROM rated WHERE surge_ratio > 1.5 WINDOW z AS (PARTITION BY "PULocationID" ORDER BY window_start))
+  WHERE before_end = window_start
+),
 event_hours AS (SELECT *, CAST(epoch(hour_ts) AS BIGINT) // 3600 AS hour_no FROM event_demand),
 filled_hours AS (
   SELECT s.zone_id, s.hour_ts, coalesce(e.trip_count, 0) AS trip_count, CAST(epoch(s.hour_ts) AS BIGINT) // 3600 AS hour_no
@@ -160,7 +184,7 @@ _COUNTER_ROWS = " UNION ALL ".join(
 _REPORT_ROWS = " UNION ALL ".join(
     f"SELECT '{key[:2]}' AS rule, '{key}' AS key, '{title}' AS title, '{reason}' AS reason, "
     f"CAST(\"{key}\" AS BIGINT) AS removed, round(CASE WHEN \"{INITIAL}\" > 0 THEN \"{key}\"::DOUBLE / \"{INITIAL}\" * 100 ELSE 0 END, 6) AS pct FROM wide"
-    for key, title, reason in _REPORTED
+    for key, title, reason in REPORTED
 )
 _REPORT_HEAD = [
     "'# Data quality report'", "''",
@@ -173,7 +197,7 @@ _REPORT_HEAD = [
 _REPORT_BODY = [
     f"'| {key[:2]} | {title} | {reason} | ' || format('{{:,}}', \"{key}\") || ' | ' "
     f"|| printf('%.2f', \"{key}\"::DOUBLE / \"{INITIAL}\" * 100) || '% |'"
-    for key, title, reason in _REPORTED
+    for key, title, reason in REPORTED
 ]
 _REPORT_LINES = " UNION ALL ".join(
     f"SELECT CAST({n} AS INTEGER) AS line_no, {text} AS value FROM wide"
@@ -306,6 +330,31 @@ BODIES: dict[str, str] = {
         {_errors('fare_amount', 'fare_guess', 'fare')} UNION ALL {_errors('trip_duration_min', 'eta_guess', 'eta')}""",
 }
 
+_SLIDING = "SELECT * FROM windows_5"
+_SLIDING_ZONES = """SELECT window_start, window_end, "PULocationID", borough AS "Borough", zone AS "Zone", trip_count, avg_fare
+    FROM windows_5 LEFT JOIN zones ON "PULocationID" = id"""
+BODIES |= {
+    "sliding_demand": _SLIDING,
+    "sliding_demand_zones": _SLIDING_ZONES,
+    "tumbling_demand": "SELECT * FROM windows_10",
+    "live_trips_per_minute": """SELECT date_trunc('minute', pickup_time) AS window_start,
+        date_trunc('minute', pickup_time) + INTERVAL 1 MINUTE AS window_end, count(*) AS trip_count FROM event_trips GROUP BY 1, 2""",
+    "surge_ratio": """SELECT window_start, window_end, "PULocationID", trip_count, avg_fare, round(forecast, 6) AS forecast,
+        round(surge_ratio, 6) AS surge_ratio FROM rated""",
+    "surge_alerts": "SELECT * FROM alerts",
+    "trip_events_json": """SELECT CAST(1 AS BIGINT) AS "VendorID", strftime(pickup_ts, '%Y-%m-%d %H:%M:%S.%f') AS tpep_pickup_datetime,
+        strftime(dropoff_ts, '%Y-%m-%d %H:%M:%S.%f') AS tpep_dropoff_datetime, passenger_count, trip_distance_mi AS trip_distance,
+        pu_location_id AS "PULocationID", do_location_id AS "DOLocationID", fare_amount,
+        pickup_ts AS pickup_time, dropoff_ts AS dropoff_time FROM clean""",
+    "replay_times": """SELECT pickup_ts, pu_location_id, do_location_id, fare_amount,
+        make_timestamp(epoch_us(TIMESTAMP '2025-01-01') + CAST(floor((epoch_us(pickup_ts) - epoch_us((SELECT min(pickup_ts) FROM clean))) / 60.0) AS BIGINT)) AS event_ts
+        FROM clean""",
+    "stream_sliding_demand": _SLIDING,
+    "stream_demand_zones": _SLIDING_ZONES,
+    "stream_tumbling_demand": "SELECT * FROM windows_10",
+    "stream_surge_alerts": "SELECT * FROM alerts",
+}
+
 
 def oracle() -> dict[str, str]:
     return {name: PRELUDE + body for name, body in BODIES.items()}

@@ -9,9 +9,13 @@ from pyspark.sql import functions as F
 
 from rideflow.operators import analysis, baselines, clean, demand, encoding, enrich, features, quality, splits
 from rideflow.operators.unify import FEEDS, unify, union_trips
+from rideflow.plans.live import live_alerts, live_demand
 from rideflow.session import new_folder
 from rideflow.sinks import tables
 from rideflow.sources.trips import read_processed
+from rideflow.streaming import alerts, sinks
+from rideflow.streaming import demand as live
+from rideflow.streaming.events import encode_trips, file_events, parse_events, replay_schedule
 from workload import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -373,3 +377,119 @@ def regression_metrics(spark, sf_dir):
     eta = baselines.regression_metrics(baselines.eta_baseline(test, train), "trip_duration_min", "baseline_minutes", by)
     both = fare.withColumn("task", F.lit("fare")).unionByName(eta.withColumn("task", F.lit("eta")))
     return rounded(both, "rmse", "mae", "r2", "mape")
+
+
+# Event windows over a finished batch
+
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parse_events(fx.event_values(spark, sf_dir))
+
+
+def window_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mean trips per ten-minute window of a zone, hour and day of week."""
+    start = F.col("window.start")
+    return (
+        live.tumbling_demand(events(spark, sf_dir))
+        .groupBy(F.col("PULocationID").alias("zone_id"), F.hour(start).alias("hour"), F.dayofweek(start).alias("dayofweek"))
+        .agg(F.avg("trip_count").alias("forecast"))
+    )
+
+
+SURGE_THRESHOLD = 1.5
+
+
+@query
+def sliding_demand(spark, sf_dir):
+    return rounded(live.flat_windows(live.sliding_demand_by_panes(events(spark, sf_dir))), "avg_fare")
+
+
+@query
+def sliding_demand_zones(spark, sf_dir):
+    named = live.name_zones(live.sliding_demand_by_panes(events(spark, sf_dir)), fx.zones(spark, sf_dir))
+    return rounded(named, "avg_fare")
+
+
+@query
+def tumbling_demand(spark, sf_dir):
+    return rounded(live.flat_windows(live.tumbling_demand(events(spark, sf_dir))), "avg_fare")
+
+
+@query
+def live_trips_per_minute(spark, sf_dir):
+    return live.flat_windows(live.trips_per_minute(events(spark, sf_dir)))
+
+
+@query
+def surge_ratio(spark, sf_dir):
+    """Observed over forecast trips of each ten-minute window."""
+    rated = live.join_forecast(live.tumbling_demand(events(spark, sf_dir)), window_forecast(spark, sf_dir))
+    return rounded(live.flat_windows(rated), "avg_fare", "forecast", "surge_ratio")
+
+
+@query
+def surge_alerts(spark, sf_dir):
+    rated = live.join_forecast(live.tumbling_demand(events(spark, sf_dir)), window_forecast(spark, sf_dir))
+    return rounded(alerts.surge_alerts_batch(rated, SURGE_THRESHOLD), "peak_ratio")
+
+
+@query
+def trip_events_json(spark, sf_dir):
+    """Cleaned trips encoded as events and parsed again."""
+    return parse_events(encode_trips(cleaned(spark, sf_dir)))
+
+
+@query
+def replay_times(spark, sf_dir):
+    scheduled = replay_schedule(cleaned(spark, sf_dir), "2025-01-01 00:00:00")
+    return scheduled.select("pickup_ts", "pu_location_id", "do_location_id", "fare_amount", "event_ts")
+
+
+# The same windows on a file stream, run until its input is used up
+
+FLUSH_TIMES = ("2024-03-01 00:00:00", "2024-03-02 00:00:00", "2024-03-03 00:00:00")
+
+
+def _updates(spark: SparkSession, stream: DataFrame, keys: list[str]) -> DataFrame:
+    out = new_folder(spark, "stream")
+    sinks.to_versions(stream, f"{out}/rows", f"{out}/checkpoint", drain=True).awaitTermination()
+    return sinks.latest_versions(spark, f"{out}/rows", keys)
+
+
+def _appends(spark: SparkSession, stream: DataFrame) -> DataFrame:
+    out = new_folder(spark, "stream")
+    sinks.to_parquet(stream, f"{out}/rows", f"{out}/checkpoint", drain=True).awaitTermination()
+    return spark.read.schema(stream.schema).parquet(f"{out}/rows")
+
+
+def _stream(spark: SparkSession, sf_dir: str, *flush_at: str) -> DataFrame:
+    return file_events(spark, fx.event_folder(spark, sf_dir, *flush_at))
+
+
+@query
+def stream_sliding_demand(spark, sf_dir):
+    """Update mode; the last version of each window."""
+    windows = live.flat_windows(live.sliding_demand(parse_events(_stream(spark, sf_dir))))
+    return rounded(_updates(spark, windows, ["window_start", "window_end", "PULocationID"]), "avg_fare")
+
+
+@query
+def stream_demand_zones(spark, sf_dir):
+    """The live demand job with zone names, in update mode."""
+    named = live_demand(_stream(spark, sf_dir), fx.zones(spark, sf_dir))
+    keys = ["window_start", "window_end", "PULocationID", "Borough", "Zone"]
+    return rounded(_updates(spark, named, keys), "avg_fare")
+
+
+@query
+def stream_tumbling_demand(spark, sf_dir):
+    """Append mode; a later event closes the last windows and is left out of the result."""
+    windows = live.flat_windows(live.tumbling_demand(parse_events(_stream(spark, sf_dir, FLUSH_TIMES[0]))))
+    return rounded(_appends(spark, windows).filter("PULocationID <> 0"), "avg_fare")
+
+
+@query
+def stream_surge_alerts(spark, sf_dir):
+    """Two chained window aggregates in append mode."""
+    forecast = window_forecast(spark, sf_dir)
+    found = live_alerts(_stream(spark, sf_dir, *FLUSH_TIMES), forecast, SURGE_THRESHOLD)
+    return rounded(_appends(spark, found).filter("PULocationID <> 0"), "peak_ratio")
