@@ -4,80 +4,79 @@ from __future__ import annotations
 
 from collections import defaultdict
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rideflow.operators.unify import FEEDS
 from rideflow.sources.trips import schema_key
 
-# Fixed format of a monthly trip file.
-FILE_NAME = r"^(yellow|green|fhvhv)_tripdata_(\d{4})-(\d{2})\.parquet$"
+# Fixed format of the name of a monthly trip file; a file that Spark wrote is a folder of parts.
+FILE_NAME = r"[/=]((yellow|green|fhvhv)_tripdata_(\d{4})-(\d{2})\.parquet)(?:/[^/]+)?$"
 _MIB = 1024 * 1024
 
 
-def _named_files(spark: SparkSession, folder: str) -> DataFrame:
-    """Path, name parts and size of the trip files anywhere below a folder; contents are not read."""
+def _name_parts(path: str | Column) -> dict[str, Column]:
+    names = ("file", "service", "year", "month")
+    return {name: F.regexp_extract(path, FILE_NAME, i + 1) for i, name in enumerate(names)}
+
+
+def named_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Path, size and name parts of the trip files anywhere below a folder; contents are not read."""
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
         .option("pathGlobFilter", "*.parquet")
         .load(folder)
+        .select("path", "length")
     )
-    name = F.element_at(F.split("path", "/"), -1)
-    return (
-        files.select("path", "length", name.alias("file"))
-        .filter(F.col("file").rlike(FILE_NAME))
-        .withColumns({
-            "service": F.regexp_extract("file", FILE_NAME, 1),
-            "year": F.regexp_extract("file", FILE_NAME, 2),
-            "month": F.regexp_extract("file", FILE_NAME, 3),
-        })
-    )
+    return files.withColumns(_name_parts("path")).filter(F.col("file") != "")
 
 
 def ingest_manifest(spark: SparkSession, folder: str) -> DataFrame:
     """Service, year, month, size and row count of each trip file; counts come from the footers."""
-    files = _named_files(spark, folder)
+    keys = ["file", "service", "year", "month"]
+    sizes = named_files(spark, folder).groupBy(*keys).agg(F.sum("length").alias("bytes"))
     rows = (
         spark.read.option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "*_tripdata_*.parquet")
+        .option("pathGlobFilter", "*.parquet")
         .parquet(folder)
-        .groupBy(F.col("_metadata.file_name").alias("file"))
+        .groupBy(F.col("_metadata.file_path").alias("path"))
         .agg(F.count(F.lit(1)).alias("rows"))
+        .groupBy(F.regexp_extract("path", FILE_NAME, 1).alias("file"))
+        .agg(F.sum("rows").alias("rows"))
     )
-    return files.join(rows, "file", "left").select(
+    return sizes.join(rows, "file", "left").select(
         "service",
         F.col("year").cast("int").alias("year"),
         F.col("month").cast("int").alias("month"),
         "file",
-        F.round(F.col("length") / _MIB, 2).alias("size_mb"),
+        F.round(F.col("bytes") / _MIB, 2).alias("size_mb"),
         F.coalesce("rows", F.lit(0)).alias("rows"),
     )
 
 
 def stage_by_month(spark: SparkSession, folder: str, target: str) -> list[str]:
-    """Lay the trip files of a flat folder out as ``service/year=YYYY/month=MM``.
+    """Lay the trip files of a folder out as ``service/year=YYYY/month=MM``.
 
-    Rows keep the columns and types of their own file: files of one service and equal schema are
-    one job, at most one file per service and month being named by the pattern. Returns the
-    services written.
+    Rows keep the columns and types of their own file: the files of one service that share a
+    schema are one job. The driver sees one row per named file, so one per service and month.
+    Returns the services written.
     """
     groups: dict[tuple, list[str]] = defaultdict(list)
-    group_schemas = {}
-    for row in _named_files(spark, folder).select("service", "path").orderBy("path").toLocalIterator():
+    schemas = {}
+    # The folder of a named file if it is one, else the file itself.
+    named = F.regexp_replace("path", r"(\.parquet)/[^/]+$", "$1")
+    for row in named_files(spark, folder).select("service", named.alias("path")).distinct().orderBy("path").collect():
         schema = spark.read.parquet(row.path).schema
         key = (row.service, schema_key(schema))
         groups[key].append(row.path)
-        group_schemas[key] = schema
+        schemas[key] = schema
     for key, paths in groups.items():
-        name = F.col("_metadata.file_name")
+        parts = _name_parts(F.col("_metadata.file_path"))
         (
-            spark.read.schema(group_schemas[key])
+            spark.read.schema(schemas[key])
             .parquet(*paths)
-            .withColumns({
-                "year": F.regexp_extract(name, FILE_NAME, 2),
-                "month": F.regexp_extract(name, FILE_NAME, 3),
-            })
+            .withColumns({"year": parts["year"], "month": parts["month"]})
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("year", "month")

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rideflow.session import new_folder, pin_time_zone
+from rideflow.sources.manifest import stage_by_month
 from rideflow.sources.reference import read_centroids, read_holidays, read_weather, read_zones
 
 FIRST_PICKUP = "2021-12-15 00:00:00"
@@ -238,3 +239,36 @@ def event_folder(spark: SparkSession, sf_dir: str, *flush_at: str) -> str:
         line = spark.createDataFrame([(flush_value(ts),)], "value string")
         line.coalesce(1).write.mode("append").text(folder)
     return folder
+
+
+def download_folder(spark: SparkSession, sf_dir: str) -> str:
+    """The feeds as monthly files named by service and month, written once per application and scale.
+
+    Types and spelling drift: even months hold zone ids as doubles under lower-case names.
+    """
+    key = (spark.sparkContext.applicationId, f"{sf_dir}#downloads")
+    if key not in _written:
+        folder = new_folder(spark, "downloads")
+        for service in ("yellow", "green", "fhvhv"):
+            feed = raw_feed(spark, sf_dir, service, keep=("base_ts",))
+            name = F.concat(F.lit(f"{service}_tripdata_"), F.date_format("base_ts", "yyyy-MM"), F.lit(".parquet"))
+            feed = feed.withColumn("file", name)
+            even = F.month("base_ts") % 2 == 0
+            plain = feed.filter(~even).drop("base_ts")
+            drifted = feed.filter(even).drop("base_ts").withColumns(
+                {c: F.col(c).cast("double") for c in ("PULocationID", "DOLocationID")}
+            ).withColumnsRenamed({"PULocationID": "pulocationid", "DOLocationID": "dolocationid"})
+            for part in (plain, drifted):
+                part.hint("rebalance", "file").write.mode("append").partitionBy("file").parquet(f"{folder}/{service}")
+        _written[key] = folder
+    return _written[key]
+
+
+def staged_folder(spark: SparkSession, sf_dir: str) -> str:
+    """The monthly files laid out by service, year and month, written once per application and scale."""
+    key = (spark.sparkContext.applicationId, f"{sf_dir}#staged")
+    if key not in _written:
+        folder = new_folder(spark, "staged")
+        stage_by_month(spark, download_folder(spark, sf_dir), folder)
+        _written[key] = folder
+    return _written[key]

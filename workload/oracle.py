@@ -355,6 +355,21 @@ BODIES |= {
     "stream_surge_alerts": "SELECT * FROM alerts",
 }
 
+_FILED = "year(base_ts) BETWEEN 2022 AND 2024"
+_FILED_WIDE = _counters(f"(SELECT *, {_SECONDS} AS seconds FROM based WHERE {_FILED})", _failed())
+BODIES |= {
+    "ingest_files": """SELECT service_type AS service, CAST(year(base_ts) AS INTEGER) AS year, CAST(month(base_ts) AS INTEGER) AS month,
+        service_type || '_tripdata_' || strftime(base_ts, '%Y-%m') || '.parquet' AS file, count(*) AS rows FROM based GROUP BY 1, 2, 3, 4""",
+    "stage_layout": f"SELECT {_TRIP} FROM based WHERE {_FILED}",
+    "drift_read": f"""SELECT service_type, CAST(year(base_ts) AS INTEGER) AS file_year, CAST(month(base_ts) AS INTEGER) AS file_month,
+        count(*) AS trips, CAST(sum(pu_location_id) AS BIGINT) AS pu_sum, CAST(sum(do_location_id) AS BIGINT) AS do_sum
+        FROM based WHERE {_FILED} GROUP BY 1, 2, 3""",
+    "batch_job": "SELECT * FROM processed",
+    "batch_job_counts": f", {_FILED_WIDE} {_COUNTER_ROWS}",
+    "month_csv": """SELECT pickup_year, pickup_month, pu_location_id, pickup_hour, fare_amount FROM featured
+        WHERE pickup_year = 2024 AND pickup_month = 1""",
+}
+
 
 def oracle() -> dict[str, str]:
     return {name: PRELUDE + body for name, body in BODIES.items()}

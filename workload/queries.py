@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from rideflow.operators import analysis, baselines, clean, demand, encoding, enrich, features, quality, splits
 from rideflow.operators.unify import FEEDS, unify, union_trips
 from rideflow.plans.live import live_alerts, live_demand
+from rideflow.plans.preprocess import Preprocessed, build_trips
 from rideflow.session import new_folder
 from rideflow.sinks import tables
-from rideflow.sources.trips import read_processed
+from rideflow.sources.manifest import ingest_manifest
+from rideflow.sources.trips import read_feeds, read_processed
 from rideflow.streaming import alerts, sinks
 from rideflow.streaming import demand as live
 from rideflow.streaming.events import encode_trips, file_events, parse_events, replay_schedule
@@ -493,3 +495,61 @@ def stream_surge_alerts(spark, sf_dir):
     forecast = window_forecast(spark, sf_dir)
     found = live_alerts(_stream(spark, sf_dir, *FLUSH_TIMES), forecast, SURGE_THRESHOLD)
     return rounded(_appends(spark, found).filter("PULocationID <> 0"), "peak_ratio")
+
+
+# Ingest of monthly files
+
+@query
+def ingest_files(spark, sf_dir):
+    """Rows of each monthly file, from the manifest."""
+    manifest = ingest_manifest(spark, fx.download_folder(spark, sf_dir))
+    return manifest.select("service", "year", "month", "file", "rows")
+
+
+@query
+def ingest_file_sizes(spark, sf_dir):
+    """The whole manifest; sizes depend on the writer, so SQL has no twin."""
+    return ingest_manifest(spark, fx.download_folder(spark, sf_dir))
+
+
+@query
+def stage_layout(spark, sf_dir):
+    """Monthly files staged by folder, then read across drifting types and unified."""
+    return read_feeds(spark, fx.staged_folder(spark, sf_dir)).trips
+
+
+@query
+def drift_read(spark, sf_dir):
+    """Rows and zone-id sums per service and file month, over files whose types differ."""
+    feeds = read_feeds(spark, fx.staged_folder(spark, sf_dir), with_file_month=True)
+    return feeds.trips.groupBy("service_type", "file_year", "file_month").agg(
+        F.count(F.lit(1)).alias("trips"), F.sum("pu_location_id").alias("pu_sum"), F.sum("do_location_id").alias("do_sum")
+    )
+
+
+@query
+def batch_job(spark, sf_dir):
+    """The preprocessing job from monthly files to processed trips."""
+    return _batch(spark, sf_dir).trips
+
+
+@query
+def batch_job_counts(spark, sf_dir):
+    """The counters of the preprocessing job; duplicates come from the written rows."""
+    return clean.counter_rows(_batch(spark, sf_dir).totals)
+
+
+def _batch(spark: SparkSession, sf_dir: str) -> Preprocessed:
+    reference, out = fx.reference_folder(spark, sf_dir), new_folder(spark, "batch")
+    return build_trips(
+        spark, fx.staged_folder(spark, sf_dir), f"{reference}/zones", f"{reference}/weather", f"{out}/trips", f"{out}/report"
+    )
+
+
+@query
+def month_csv(spark, sf_dir):
+    """One month of processed trips exported as CSV and read back."""
+    folder = new_folder(spark, "csv")
+    trips = featured(spark, sf_dir).select("pickup_year", "pickup_month", "pu_location_id", "pickup_hour", "fare_amount")
+    tables.export_month(trips, folder, 2024, 1)
+    return spark.read.schema(trips.schema).option("header", True).csv(folder)
