@@ -32,10 +32,15 @@ def zone_hour_trips(trips: DataFrame) -> DataFrame:
     )
 
 
+def top_k(rows: DataFrame, by: str, tie: str, k: int) -> DataFrame:
+    """The ``k`` rows of highest ``by``; ties go to the smaller ``tie``."""
+    return rows.orderBy(F.desc(by), tie).limit(k)
+
+
 def top_pickup_zones(trips: DataFrame, k: int = 10) -> DataFrame:
-    """The ``k`` busiest pickup zones; ties go to the smaller zone id."""
+    """The ``k`` busiest pickup zones."""
     counts = trips.groupBy("pu_location_id").agg(F.count(F.lit(1)).alias("trips"))
-    return counts.orderBy(F.desc("trips"), "pu_location_id").limit(k)
+    return top_k(counts, "trips", "pu_location_id", k)
 
 
 def rank_zones(counts: DataFrame, by: str, within: str, k: int) -> DataFrame:

@@ -36,7 +36,12 @@ def demand_table(trips: DataFrame, zones: DataFrame, hourly: DataFrame, holidays
 
     The trips are counted first, so the joins see one row per zone and hour.
     """
-    demand = add_calendar(hourly_counts(trips))
+    return describe_hours(hourly_counts(trips), zones, hourly, holidays)
+
+
+def describe_hours(counts: DataFrame, zones: DataFrame, hourly: DataFrame, holidays: DataFrame) -> DataFrame:
+    """Weather, calendar and borough of rows with ``zone_id`` and ``hour_ts``."""
+    demand = add_calendar(counts)
     demand = join_weather(demand, hourly, ts="hour_ts").drop("weather_ts")
     demand = flag_holidays(demand, holidays, date="date")
     boroughs = zones.select(F.col("LocationID").try_cast("bigint").alias("id"), F.col("Borough").alias("borough"))

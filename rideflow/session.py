@@ -56,10 +56,14 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Compute a frame once and cut its lineage through a reliable checkpoint."""
-    spark = df.sparkSession
+def ensure_checkpoints(spark: SparkSession) -> None:
+    """Point reliable checkpoints at the shared folder."""
     folder = shared_folder(spark)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(folder)
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute a frame once and cut its lineage through a reliable checkpoint."""
+    ensure_checkpoints(df.sparkSession)
     return df.checkpoint(eager=True)

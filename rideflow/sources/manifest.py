@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections import defaultdict
 
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rideflow.operators.unify import FEEDS
-from rideflow.sources.trips import schema_key
+from rideflow.sources.trips import footer_schemas, schema_key
 
 # Fixed format of the name of a monthly trip file; a file that Spark wrote is a folder of parts.
 FILE_NAME = r"[/=]((yellow|green|fhvhv)_tripdata_(\d{4})-(\d{2})\.parquet)(?:/[^/]+)?$"
@@ -66,8 +67,10 @@ def stage_by_month(spark: SparkSession, folder: str, target: str) -> list[str]:
     schemas = {}
     # The folder of a named file if it is one, else the file itself.
     named = F.regexp_replace("path", r"(\.parquet)/[^/]+$", "$1")
-    for row in named_files(spark, folder).select("service", named.alias("path")).distinct().orderBy("path").collect():
-        schema = spark.read.parquet(row.path).schema
+    files = named_files(spark, folder).select("service", named.alias("path")).distinct().orderBy("path").collect()
+    for row, schema in zip(files, footer_schemas(spark, [row.path for row in files])):
+        if isinstance(schema, PySparkException):
+            raise schema
         key = (row.service, schema_key(schema))
         groups[key].append(row.path)
         schemas[key] = schema

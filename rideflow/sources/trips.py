@@ -5,6 +5,7 @@ from __future__ import annotations
 import warnings
 from collections import defaultdict
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.errors import PySparkException
@@ -49,6 +50,19 @@ def present_months(spark: SparkSession, base: str) -> list[tuple[int, int]]:
     return sorted((int(r.year), int(r.month)) for r in found.distinct().collect() if r.year)
 
 
+def footer_schemas(spark: SparkSession, folders: list[str], **options: str) -> list[T.StructType | PySparkException]:
+    """The schema of each folder from one of its footers, or the error; several folders at a time."""
+
+    def schema_of(folder: str) -> T.StructType | PySparkException:
+        try:
+            return spark.read.options(**options).parquet(folder).schema
+        except PySparkException as error:
+            return error
+
+    with ThreadPoolExecutor(8) as pool:
+        return list(pool.map(schema_of, folders))
+
+
 def schema_key(schema: T.StructType) -> tuple[tuple[str, str], ...]:
     return tuple((field.name, field.dataType.simpleString()) for field in schema.fields)
 
@@ -78,14 +92,12 @@ def read_service(
     groups: dict[tuple, list[str]] = defaultdict(list)
     group_schemas: dict[tuple, T.StructType] = {}
     skipped = []
-    for year, month in present_months(spark, base):
-        if year not in years or month not in months:
-            continue
-        folder = f"{base}/year={year}/month={month:02d}"
-        try:
-            schema = spark.read.options(**reader_options).parquet(folder).schema
-        except PySparkException as error:
-            skipped.append((service, year, month, str(error).splitlines()[0]))
+    present = [(y, m) for y, m in present_months(spark, base) if y in years and m in months]
+    month_folders = [f"{base}/year={year}/month={month:02d}" for year, month in present]
+    found = footer_schemas(spark, month_folders, **reader_options)
+    for (year, month), folder, schema in zip(present, month_folders, found):
+        if isinstance(schema, PySparkException):
+            skipped.append((service, year, month, str(schema).splitlines()[0]))
             continue
         key = schema_key(schema)
         groups[key].append(folder)

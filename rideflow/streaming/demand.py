@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Model
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -99,3 +100,14 @@ def join_forecast(demand: DataFrame, forecast: DataFrame, start: Column | None =
     keys = {"PULocationID": "zone_id", "_hour": "hour", "_day": "dayofweek"}
     joined = lookup_join(keyed, forecast, keys, salts=1).drop("_hour", "_day")
     return joined.withColumn("surge_ratio", F.try_divide(F.col("trip_count").cast("double"), F.col("forecast")))
+
+
+def score_windows(demand: DataFrame, inputs: DataFrame, model: Model) -> DataFrame:
+    """Predicted beside observed trips of each hourly window.
+
+    ``inputs`` holds the model inputs of the zones' hours, known before the hour starts.
+    """
+    flat = flat_windows(demand)
+    known = inputs.drop("trip_count")
+    joined = lookup_join(flat, known, {"PULocationID": "zone_id", "window_start": "hour_ts"}, how="inner", salts=1)
+    return model.transform(joined).select(*flat.columns, F.col("prediction").alias("forecast"))

@@ -3,15 +3,22 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from typing import Any
 
+from pyspark.ml import Pipeline
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rideflow.ml import clusters, models, scoring
+from rideflow.ml import demand as demand_ml
+from rideflow.ml.features import assembler, preparation, vector_names
 from rideflow.operators import analysis, baselines, clean, demand, encoding, enrich, features, quality, splits
 from rideflow.operators.unify import FEEDS, unify, union_trips
 from rideflow.plans.live import live_alerts, live_demand
 from rideflow.plans.preprocess import Preprocessed, build_trips
-from rideflow.session import new_folder
+from rideflow.plans.training import Trained, TrainingData, train_models, training_data
+from rideflow.session import materialize, new_folder
 from rideflow.sinks import tables
 from rideflow.sources.manifest import ingest_manifest
 from rideflow.sources.trips import read_feeds, read_processed
@@ -553,3 +560,181 @@ def month_csv(spark, sf_dir):
     trips = featured(spark, sf_dir).select("pickup_year", "pickup_month", "pu_location_id", "pickup_hour", "fare_amount")
     tables.export_month(trips, folder, 2024, 1)
     return spark.read.schema(trips.schema).option("header", True).csv(folder)
+
+
+# Models, small in size so that every query stays quick. Fitted once per application and scale.
+
+SMALL = {"iterations": 5, "depth": 5}
+_fitted: dict[tuple[str, str, str], Any] = {}
+
+
+def _once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], Any]) -> Any:
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _fitted:
+        _fitted[key] = make()
+    return _fitted[key]
+
+
+def _trip_models(spark: SparkSession, sf_dir: str) -> Trained:
+    return _once(spark, sf_dir, "trips", lambda: train_models(featured(spark, sf_dir), new_folder(spark, "models"), **SMALL))
+
+
+def _booking_data(spark: SparkSession, sf_dir: str) -> TrainingData:
+    """Booking-time inputs, split by time: the last half year tests."""
+
+    def by_time(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        train, validation, test = splits.time_split(rows)
+        return train.unionByName(validation), test
+
+    make = lambda: training_data(booking_rows(spark, sf_dir), booking_time_only=True, split=by_time)
+    return _once(spark, sf_dir, "booking", make)
+
+
+@query
+def gbt_fare(spark, sf_dir):
+    return _trip_models(spark, sf_dir).metrics.filter("task = 'fare'")
+
+
+@query
+def gbt_eta(spark, sf_dir):
+    return _trip_models(spark, sf_dir).metrics.filter("task = 'eta'")
+
+
+@query
+def feature_importance(spark, sf_dir):
+    trained = _trip_models(spark, sf_dir)
+    tables_ = [
+        models.feature_importance(spark, model, trained.data.features).withColumn("task", F.lit(task))
+        for task, model in trained.models.items()
+    ]
+    return reduce(DataFrame.unionByName, tables_)
+
+
+@query
+def model_health(spark, sf_dir):
+    """Error of the fare model per month of the test trips."""
+    trained = _trip_models(spark, sf_dir)
+    return scoring.model_health(trained.models["fare"].transform(trained.data.test), "fare_amount")
+
+
+@query
+def model_comparison(spark, sf_dir):
+    """Three algorithms and the baseline for fare and duration, on booking-time inputs and a split by time."""
+    data = _booking_data(spark, sf_dir)
+    distance = "centroid_distance_mi"
+    tests = {
+        "fare": baselines.fare_baseline(data.test, data.train, distance).withColumnRenamed("baseline_fare", "guess"),
+        "eta": baselines.eta_baseline(data.test, data.train, distance).withColumnRenamed("baseline_minutes", "guess"),
+    }
+    compared = []
+    for task, label in (("fare", "fare_amount"), ("eta", "trip_duration_min")):
+        estimators = models.algorithms(label, iterations=3, trees=5, depth=4)
+        compared.append(models.compare(task, label, estimators, data.train, tests[task], "guess")[0])
+    return reduce(DataFrame.unionByName, compared)
+
+
+@query
+def tuned_model(spark, sf_dir):
+    """Forest settings fitted on the training period and scored on the later one."""
+    data = _booking_data(spark, sf_dir)
+    grid = [{"maxDepth": depth, "numTrees": trees} for depth in (3, 5) for trees in (3, 6)]
+    return models.tune(models.forest("fare_amount"), grid, data.train, data.test, "fare_amount")[0]
+
+
+@query
+def score_requests(spark, sf_dir):
+    """Fare and minutes for a ride request made from each order."""
+    data = _booking_data(spark, sf_dir)
+
+    def fit_both():
+        return [models.fit(models.gbt(label, 3, 4), data.train) for label in ("fare_amount", "trip_duration_min")]
+
+    fare_model, eta_model = _once(spark, sf_dir, "booking models", fit_both)
+    requests = fx.table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("request_id"),
+        (F.col("o_custkey") % 263 + 1).alias("pu_location_id"),
+        (F.col("o_orderkey") * 7 % 263 + 1).alias("do_location_id"),
+        (F.col("o_orderdate").cast("timestamp") + F.make_dt_interval(hours=(F.col("o_orderkey") % 24).cast("int"))).alias("pickup_ts"),
+    )
+    inputs = scoring.request_features(requests, fx.centroids(spark, sf_dir), data.means, data.distance)
+    scored = scoring.score_requests(assembler(data.features).transform(inputs), fare_model, eta_model)
+    return scored.select("request_id", "pu_location_id", "do_location_id", "pickup_ts", "predicted_fare", "predicted_minutes")
+
+
+@query
+def cluster_choice(spark, sf_dir):
+    """Cost and silhouette of K-Means over zone profiles."""
+    vectors = clusters.profile_vectors(demand.zone_profiles(cleaned(spark, sf_dir)))
+    return clusters.choose_k(vectors, range(2, 6))[0]
+
+
+@query
+def zone_clusters(spark, sf_dir):
+    vectors = clusters.profile_vectors(demand.zone_profiles(cleaned(spark, sf_dir)))
+    return clusters.assign_clusters(vectors, clusters.fit_clusters(vectors, 4))
+
+
+def _demand_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model inputs of every hour of the event zones."""
+    trips = fx.table(spark, sf_dir, "events").select(
+        (F.col("user_id") % 10 + 1).alias("pu_location_id"), F.col("ts").cast("timestamp").alias("pickup_ts")
+    )
+    vectors = clusters.profile_vectors(demand.zone_profiles(trips))
+    groups = clusters.assign_clusters(vectors, clusters.fit_clusters(vectors, 3))
+    history = demand.add_history(demand.fill_hours(demand.hourly_counts(trips)))
+    described = demand.describe_hours(
+        history, fx.zones(spark, sf_dir), hourly(spark, sf_dir), fx.holidays(spark, sf_dir)
+    )
+    return demand_ml.demand_features(described, groups)
+
+
+DEMAND_TEST_FROM = "2024-01-22"
+
+
+def _demand_model(spark: SparkSession, sf_dir: str):
+    def make():
+        train = _demand_inputs(spark, sf_dir).filter(F.col("hour_ts") < F.lit(DEMAND_TEST_FROM).cast("timestamp"))
+        prepare = preparation(demand_ml.DEMAND_FEATURES, demand_ml.DEMAND_CATEGORIES)
+        return models.fit(Pipeline(stages=[prepare, models.gbt("trip_count", 5, 4)]), train)
+
+    return _once(spark, sf_dir, "demand", make)
+
+
+def _demand_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _demand_inputs(spark, sf_dir)
+    start = F.lit(DEMAND_TEST_FROM).cast("timestamp")
+    expected = baselines.demand_baseline(rows.filter(F.col("hour_ts") < start))
+    test = baselines.apply_demand_baseline(rows.filter(F.col("hour_ts") >= start), expected)
+    return _demand_model(spark, sf_dir).transform(test)
+
+
+@query
+def demand_model(spark, sf_dir):
+    """The demand model against the mean of the zone, hour and day of week."""
+    scored = _demand_scored(spark, sf_dir)
+    measured = models.evaluate(scored, "demand", "gbt", "trip_count").unionByName(
+        models.evaluate(scored, "demand", baselines.BASELINE, "trip_count", "baseline_trips")
+    )
+    return models.against_baseline(measured)
+
+
+@query
+def demand_importance(spark, sf_dir):
+    fitted = _demand_model(spark, sf_dir)
+    names = vector_names(fitted.transform(_demand_inputs(spark, sf_dir)), "assembled")
+    return models.feature_importance(spark, fitted, names)
+
+
+@query
+def next_hour_top5(spark, sf_dir):
+    scored = demand_ml.next_hour_top(_demand_scored(spark, sf_dir))
+    return scored.select("zone_id", "hour_ts", "prediction")
+
+
+@query
+def stream_scored_demand(spark, sf_dir):
+    """Hourly demand of the stream beside the forecast of the fitted model."""
+    windows = live.windowed_demand(parse_events(_stream(spark, sf_dir)), "1 hour", watermark="15 minutes")
+    inputs = materialize(_demand_inputs(spark, sf_dir))
+    scored = live.score_windows(windows, inputs, _demand_model(spark, sf_dir))
+    return _updates(spark, scored, ["window_start", "window_end", "PULocationID"])
