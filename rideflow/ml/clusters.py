@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
+from pyspark import StorageLevel
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.sql import DataFrame
@@ -20,12 +21,14 @@ def profile_vectors(profiles: DataFrame) -> DataFrame:
 
 
 def fit_clusters(vectors: DataFrame, k: int, seed: int = 42) -> KMeansModel:
+    # Spark keeps the vectors itself while it iterates, unless they are kept already.
     return KMeans(featuresCol="profile", predictionCol="cluster", k=k, seed=seed).fit(vectors)
 
 
 def choose_k(vectors: DataFrame, ks: Iterable[int], seed: int = 42) -> tuple[DataFrame, KMeansModel]:
     """Cost and silhouette of each k, and the model of highest silhouette."""
     spark = vectors.sparkSession
+    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
     measure = ClusteringEvaluator(featuresCol="profile", predictionCol="cluster")
     rows, best, best_model = [], -2.0, None
     for k in ks:
@@ -34,6 +37,7 @@ def choose_k(vectors: DataFrame, ks: Iterable[int], seed: int = 42) -> tuple[Dat
         rows.append((k, model.summary.trainingCost, silhouette))
         if silhouette > best:
             best, best_model = silhouette, model
+    vectors.unpersist()
     table = spark.createDataFrame(rows, "k int, cost double, silhouette double")
     return table.withColumn("chosen", F.col("silhouette") == best), best_model
 

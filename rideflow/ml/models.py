@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 from functools import reduce
 from typing import Any
 
+from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame, SparkSession
@@ -48,13 +49,15 @@ def fit(estimator: Estimator, train: DataFrame) -> Model:
     return estimator.fit(train)
 
 
-def _named(metrics: DataFrame, task: str, model: str) -> DataFrame:
-    return metrics.select(F.lit(task).alias("task"), F.lit(model).alias("model"), *metrics.columns)
-
-
-def evaluate(scored: DataFrame, task: str, model: str, label: str, prediction: str = "prediction") -> DataFrame:
-    """One row of measures for a scored frame."""
-    return _named(regression_metrics(scored, label, prediction), task, model)
+def evaluate(
+    scored: DataFrame, task: str, label: str, predictions: Mapping[str, str] | None = None, by: Sequence[str] = ()
+) -> DataFrame:
+    """One row of measures per model, from one pass; ``predictions`` maps model names to columns."""
+    predictions = predictions or {"gbt": "prediction"}
+    guesses = [F.col(column).cast("double").alias(model) for model, column in predictions.items()]
+    long = scored.select(*by, label, *guesses).unpivot([*by, label], list(predictions), "model", "prediction")
+    measured = regression_metrics(long, label, "prediction", ("model", *by))
+    return measured.select(F.lit(task).alias("task"), *measured.columns)
 
 
 def compare(
@@ -62,13 +65,18 @@ def compare(
 ) -> tuple[DataFrame, dict[str, Model]]:
     """Fit each estimator and measure it and the ``baseline`` column of the test rows.
 
-    ``beats_baseline`` compares the root mean squared errors.
+    The training rows carry assembled ``features``; they are kept while the estimators read them.
+    The test rows are scored by all models in one pass. ``beats_baseline`` compares the root mean
+    squared errors.
     """
-    models = {name: fit(estimator, train) for name, estimator in estimators.items()}
-    rows = [evaluate(test, task, BASELINE, label, baseline)]
-    rows += [evaluate(model.transform(test), task, name, label) for name, model in models.items()]
-    table = reduce(DataFrame.unionByName, rows)
-    return against_baseline(table), models
+    kept = train.select("features", label).persist(StorageLevel.MEMORY_AND_DISK)
+    models = {name: fit(estimator, kept) for name, estimator in estimators.items()}
+    kept.unpersist()
+    scored = test
+    for name, model in models.items():
+        scored = model.transform(scored).withColumnRenamed("prediction", name)
+    predictions = {BASELINE: baseline, **{name: name for name in models}}
+    return against_baseline(evaluate(scored, task, label, predictions)), models
 
 
 def against_baseline(table: DataFrame) -> DataFrame:
@@ -85,6 +93,8 @@ def tune(
     Returns the measures of all settings and the model of least error.
     """
     spark = train.sparkSession
+    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    validation = validation.persist(StorageLevel.MEMORY_AND_DISK)
     results, best, best_model = [], float("inf"), None
     for number, setting in enumerate(grid):
         candidate = estimator.copy({estimator.getParam(name): value for name, value in setting.items()})
@@ -94,6 +104,8 @@ def tune(
         results.append((number, text, measures.rows, measures.rmse, measures.mae, measures.r2))
         if measures.rmse < best:
             best, best_model = measures.rmse, model
+    train.unpersist()
+    validation.unpersist()
     schema = "setting int, params string, rows bigint, rmse double, mae double, r2 double"
     table = spark.createDataFrame(results, schema)
     return table.withColumn("chosen", F.col("rmse") == best), best_model

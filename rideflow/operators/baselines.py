@@ -22,21 +22,26 @@ def apply_demand_baseline(rows: DataFrame, baseline: DataFrame) -> DataFrame:
 
 
 def dollars_per_mile(train: DataFrame, label: str = "fare_amount", distance: str = "trip_distance_mi") -> Column:
-    """Mean of the trips' own rates, as a value for other frames."""
-    return train.agg(F.avg(F.try_divide(label, distance))).scalar()
+    """All dollars over all miles, as a value for other frames; a trip of no distance does no harm."""
+    both = train.filter(F.col(label).isNotNull() & F.col(distance).isNotNull())
+    return both.agg(F.try_divide(F.sum(label), F.sum(distance))).scalar()
 
 
-def mean_speed(train: DataFrame) -> Column:
-    """Mean of the trips' speeds in miles per hour, as a value for other frames."""
-    return train.agg(F.avg("avg_speed_mph")).scalar()
+def mean_speed(train: DataFrame, minutes: str = "trip_duration_min", distance: str = "trip_distance_mi") -> Column:
+    """All miles over all hours, as a value for other frames."""
+    both = train.filter(F.col(minutes).isNotNull() & F.col(distance).isNotNull())
+    return both.agg(F.try_divide(F.sum(distance), F.sum(minutes) / 60.0)).scalar()
 
 
 def fare_baseline(rows: DataFrame, train: DataFrame, distance: str = "trip_distance_mi") -> DataFrame:
+    """Distance times the dollars per mile of the training trips."""
     return rows.withColumn("baseline_fare", F.col(distance) * dollars_per_mile(train, distance=distance))
 
 
 def eta_baseline(rows: DataFrame, train: DataFrame, distance: str = "trip_distance_mi") -> DataFrame:
-    return rows.withColumn("baseline_minutes", F.try_divide(F.col(distance), mean_speed(train)) * 60.0)
+    """Distance over the speed of the training trips."""
+    hours = F.try_divide(F.col(distance), mean_speed(train, distance=distance))
+    return rows.withColumn("baseline_minutes", hours * 60.0)
 
 
 def regression_metrics(scored: DataFrame, label: str, prediction: str, by: tuple[str, ...] = ()) -> DataFrame:

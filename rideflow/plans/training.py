@@ -87,7 +87,7 @@ def train_models(
     models, measures = {}, None
     for task, label in zip(tasks, labels):
         models[task] = fit(gbt(label, iterations, depth), train)
-        row = evaluate(models[task].transform(data.test), task, "gbt", label)
+        row = evaluate(models[task].transform(data.test), task, label)
         measures = row if measures is None else measures.unionByName(row)
         if out_path:
             save(models[task], f"{out_path}/{task}_gbt")

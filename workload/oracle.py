@@ -217,8 +217,8 @@ def _mean(n: int) -> str:
     return f"round(avg(trip_count) OVER (PARTITION BY zone_id ORDER BY hour_no RANGE BETWEEN {n} PRECEDING AND 1 PRECEDING), 6) AS rolling_mean_{n}h"
 
 
-_FARE_RATE = "(SELECT avg(fare_amount / trip_distance_mi) FROM train)"
-_SPEED = "(SELECT avg(avg_speed_mph) FROM train)"
+_FARE_RATE = "(SELECT sum(fare_amount) / sum(trip_distance_mi) FROM train)"
+_SPEED = "(SELECT sum(trip_distance_mi) / (sum(trip_duration_min) / 60) FROM train)"
 _SHARES = ", ".join(
     f"round(count(*) FILTER (hour(pickup_ts) = {h})::DOUBLE / count(*), 6) AS h{h:02d}" for h in range(24)
 )

@@ -575,8 +575,20 @@ def _once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], Any])
     return _fitted[key]
 
 
+def _trip_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trip-level feature table, written by month: models are trained on tables, not on raw feeds."""
+
+    def write() -> str:
+        folder = new_folder(spark, "features")
+        tables.write_partitioned(tables.balance(booking_rows(spark, sf_dir), tables.TRIP_PARTITIONS), folder)
+        return folder
+
+    return read_processed(spark, _once(spark, sf_dir, "table", write))
+
+
 def _trip_models(spark: SparkSession, sf_dir: str) -> Trained:
-    return _once(spark, sf_dir, "trips", lambda: train_models(featured(spark, sf_dir), new_folder(spark, "models"), **SMALL))
+    make = lambda: train_models(_trip_table(spark, sf_dir), new_folder(spark, "models"), **SMALL)
+    return _once(spark, sf_dir, "trips", make)
 
 
 def _booking_data(spark: SparkSession, sf_dir: str) -> TrainingData:
@@ -586,7 +598,7 @@ def _booking_data(spark: SparkSession, sf_dir: str) -> TrainingData:
         train, validation, test = splits.time_split(rows)
         return train.unionByName(validation), test
 
-    make = lambda: training_data(booking_rows(spark, sf_dir), booking_time_only=True, split=by_time)
+    make = lambda: training_data(_trip_table(spark, sf_dir), booking_time_only=True, split=by_time)
     return _once(spark, sf_dir, "booking", make)
 
 
@@ -712,10 +724,8 @@ def _demand_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 def demand_model(spark, sf_dir):
     """The demand model against the mean of the zone, hour and day of week."""
     scored = _demand_scored(spark, sf_dir)
-    measured = models.evaluate(scored, "demand", "gbt", "trip_count").unionByName(
-        models.evaluate(scored, "demand", baselines.BASELINE, "trip_count", "baseline_trips")
-    )
-    return models.against_baseline(measured)
+    predictions = {baselines.BASELINE: "baseline_trips", "gbt": "prediction"}
+    return models.against_baseline(models.evaluate(scored, "demand", "trip_count", predictions))
 
 
 @query
