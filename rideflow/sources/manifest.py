@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections import defaultdict
 
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,8 +68,8 @@ def stage_by_month(spark: SparkSession, folder: str, target: str) -> list[str]:
     named = F.regexp_replace("path", r"(\.parquet)/[^/]+$", "$1")
     files = named_files(spark, folder).select("service", named.alias("path")).distinct().orderBy("path").collect()
     for row, schema in zip(files, footer_schemas(spark, [row.path for row in files])):
-        if isinstance(schema, PySparkException):
-            raise schema
+        if isinstance(schema, str):
+            raise ValueError(f"cannot read {row.path}: {schema}")
         key = (row.service, schema_key(schema))
         groups[key].append(row.path)
         schemas[key] = schema

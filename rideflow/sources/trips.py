@@ -8,6 +8,7 @@ from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -50,14 +51,16 @@ def present_months(spark: SparkSession, base: str) -> list[tuple[int, int]]:
     return sorted((int(r.year), int(r.month)) for r in found.distinct().collect() if r.year)
 
 
-def footer_schemas(spark: SparkSession, folders: list[str], **options: str) -> list[T.StructType | PySparkException]:
-    """The schema of each folder from one of its footers, or the error; several folders at a time."""
+def footer_schemas(spark: SparkSession, folders: list[str], **options: str) -> list[T.StructType | str]:
+    """The schema of each folder from one of its footers, or why there is none; several folders at a time."""
 
-    def schema_of(folder: str) -> T.StructType | PySparkException:
+    def schema_of(folder: str) -> T.StructType | str:
         try:
             return spark.read.options(**options).parquet(folder).schema
         except PySparkException as error:
-            return error
+            return str(error).splitlines()[0]
+        except Py4JJavaError as error:
+            return str(error.java_exception.getMessage()).splitlines()[0]
 
     with ThreadPoolExecutor(8) as pool:
         return list(pool.map(schema_of, folders))
@@ -96,8 +99,8 @@ def read_service(
     month_folders = [f"{base}/year={year}/month={month:02d}" for year, month in present]
     found = footer_schemas(spark, month_folders, **reader_options)
     for (year, month), folder, schema in zip(present, month_folders, found):
-        if isinstance(schema, PySparkException):
-            skipped.append((service, year, month, str(schema).splitlines()[0]))
+        if isinstance(schema, str):
+            skipped.append((service, year, month, schema))
             continue
         key = schema_key(schema)
         groups[key].append(folder)
