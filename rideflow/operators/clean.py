@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from datetime import date
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -30,12 +31,15 @@ class Period:
     from_file: bool = False
 
     def holds(self) -> Column:
-        year, month = F.year("pickup_ts"), F.month("pickup_ts")
+        """A range of times where the bounds are known, so that it reaches the scan."""
+        pickup = F.col("pickup_ts")
         if self.from_file:
-            return (year == F.col("file_year")) & (month == F.col("file_month"))
+            return (F.year(pickup) == F.col("file_year")) & (F.month(pickup) == F.col("file_month"))
         if self.year > 0 and self.month > 0:
-            return (year == self.year) & (month == self.month)
-        return year.between(FIRST_YEAR, LAST_YEAR)
+            first, after = date(self.year, self.month, 1), date(self.year + self.month // 12, self.month % 12 + 1, 1)
+        else:
+            first, after = date(FIRST_YEAR, 1, 1), date(LAST_YEAR + 1, 1, 1)
+        return (pickup >= F.lit(str(first)).cast("timestamp")) & (pickup < F.lit(str(after)).cast("timestamp"))
 
 
 ALL_YEARS = Period()

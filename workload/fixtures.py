@@ -39,33 +39,34 @@ def _at(start: str, seconds: Column) -> Column:
 
 
 def _trip_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per trip with the values every feed shares; some order keys come twice."""
+    """One row per trip with the values every feed shares; some order keys come twice.
+
+    The copies are made from finished values, so that filters above read columns and are not
+    rewritten into the formulas.
+    """
     order, part, line = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_linenumber")
-    copies = F.when(order % 37 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     pickup_s = (order * 1299709 + part * 104729 + line * 611953) % PICKUP_SPAN_SECONDS
     ride_s = (part * 7919 + F.col("l_suppkey") * 17 + order * 911) % 24000 - 300
-    return (
-        table(spark, sf_dir, "lineitem")
-        .withColumn("copy", F.explode(copies))
-        .select(
-            (order % 3).alias("service_no"),
-            _at(FIRST_PICKUP, pickup_s).alias("base_ts"),
-            F.when(part % 101 != 0, _at(FIRST_PICKUP, pickup_s)).alias("pickup"),
-            _at(FIRST_PICKUP, pickup_s + ride_s).alias("dropoff"),
-            ((part * 7 + order) % 266).alias("pu"),
-            ((part * 13 + line * 29 + order * 3) % 266).alias("do"),
-            F.when(part % 89 == 0, F.lit(None))
-            .when(part % 50 == 0, 0.0)
-            .when(part % 97 == 0, 250.0)
-            .otherwise(F.col("l_extendedprice") / 2000)
-            .alias("distance"),
-            (F.col("l_extendedprice") * F.col("l_discount") / 10).alias("fare"),
-            (F.col("l_quantity") / 5).alias("tip"),
-            (F.col("l_tax") * 10).alias("tolls"),
-            F.when(part % 53 != 0, F.lit(0.0)).alias("congestion"),
-            (F.col("l_quantity").cast("bigint") % 10).cast("double").alias("riders"),
-        )
+    values = F.struct(
+        (order % 3).alias("service_no"),
+        _at(FIRST_PICKUP, pickup_s).alias("base_ts"),
+        F.when(part % 101 != 0, _at(FIRST_PICKUP, pickup_s)).alias("pickup"),
+        _at(FIRST_PICKUP, pickup_s + ride_s).alias("dropoff"),
+        ((part * 7 + order) % 266).alias("pu"),
+        ((part * 13 + line * 29 + order * 3) % 266).alias("do"),
+        F.when(part % 89 == 0, F.lit(None))
+        .when(part % 50 == 0, 0.0)
+        .when(part % 97 == 0, 250.0)
+        .otherwise(F.col("l_extendedprice") / 2000)
+        .alias("distance"),
+        (F.col("l_extendedprice") * F.col("l_discount") / 10).alias("fare"),
+        (F.col("l_quantity") / 5).alias("tip"),
+        (F.col("l_tax") * 10).alias("tolls"),
+        F.when(part % 53 != 0, F.lit(0.0)).alias("congestion"),
+        (F.col("l_quantity").cast("bigint") % 10).cast("double").alias("riders"),
     )
+    copies = F.when(order % 37 == 0, 2).otherwise(1)
+    return table(spark, sf_dir, "lineitem").select(F.inline_outer(F.array_repeat(values, copies)))
 
 
 def _metered_total() -> Column:
