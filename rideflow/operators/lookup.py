@@ -31,6 +31,8 @@ def lookup_join(
     spread over ``salts`` reducers and the lookup repeated once per salt, so that no key makes
     one task hold all its rows. The salt depends on the row and its partition only, so a
     recomputed task gives the same salts.
+
+    The lookup is read once more for the check: give a table, or materialize what is computed.
     """
     renamed = {lookup_key: f"_key_{i}" for i, lookup_key in enumerate(keys.values())}
     right = lookup.withColumnsRenamed(renamed)

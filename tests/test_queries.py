@@ -23,7 +23,7 @@ def test_query_equals_its_sql(spark, sf_dir, con, name):
 
 
 # A thousandth of the data leaves too few hours and zones for these; the model tests cover their parts.
-@pytest.mark.parametrize("name", ["gbt_fare", "gbt_eta", "feature_importance", "model_health", "zone_clusters", "score_requests", "ingest_file_sizes"])
+@pytest.mark.parametrize("name", ["random_split_counts", "gbt_fare", "gbt_eta", "feature_importance", "model_health", "zone_clusters", "score_requests", "ingest_file_sizes"])
 def test_query_without_sql_gives_rows(spark, sf_dir, name):
     assert QUERIES[name](spark, sf_dir).count() > 0
 

@@ -123,6 +123,21 @@ def test_surge_needs_two_adjacent_windows(spark, tmp_path, surge_input):
     assert shape(found) == expected and found.count() == 2
 
 
+def test_console(spark, tmp_path):
+    put(tmp_path / "in", 1, [line(1, zone=77)])
+    query = sinks.to_console(live_demand(file_events(spark, str(tmp_path / "in"))), every="1 second")
+    query.processAllAvailable()
+    progress = [p for p in query.recentProgress if p["numInputRows"]]
+    query.stop()
+    assert "ConsoleTable" in progress[0]["sink"]["description"]
+
+
+def test_trips_of_one_instant_are_spread(spark):
+    rows = frame(spark, [trip(fare_amount=1.0 + n) for n in range(4000)])
+    sizes = replay_schedule(rows, "2025-01-01 00:00:00").groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert len(sizes) > 1 and max(r["count"] for r in sizes) < 3000
+
+
 def test_names_are_null_without_a_zone_table(spark, tmp_path):
     put(tmp_path / "in", 1, [line(1)])
     values = spark.read.text(str(tmp_path / "in"))

@@ -157,6 +157,10 @@ alerts AS (
   WHERE before_end = window_start
 ),
 event_hours AS (SELECT *, CAST(epoch(hour_ts) AS BIGINT) // 3600 AS hour_no FROM event_demand),
+trip_hours AS (
+  SELECT *, CAST(epoch(hour_ts) AS BIGINT) // 3600 AS hour_no FROM (
+    SELECT pu_location_id AS zone_id, date_trunc('hour', pickup_ts) AS hour_ts, count(*) AS trip_count FROM clean GROUP BY 1, 2)
+),
 filled_hours AS (
   SELECT s.zone_id, s.hour_ts, coalesce(e.trip_count, 0) AS trip_count, CAST(epoch(s.hour_ts) AS BIGINT) // 3600 AS hour_no
   FROM (SELECT zone_id, unnest(generate_series(min(hour_ts), max(hour_ts), INTERVAL 1 HOUR)) AS hour_ts
@@ -288,6 +292,15 @@ BODIES: dict[str, str] = {
     "demand_lags": f"SELECT zone_id, hour_ts, trip_count, {_lag(1)}, {_lag(2)}, {_lag(24)}, {_lag(168)} FROM event_hours",
     "demand_rolling": f"SELECT zone_id, hour_ts, trip_count, {_mean(3)}, {_mean(24)}, {_mean(168)} FROM event_hours",
     "demand_rolling_filled": f"SELECT zone_id, hour_ts, trip_count, {_lag(24)}, {_mean(3)}, {_mean(24)}, {_mean(168)} FROM filled_hours",
+    "busiest_zones_by_hour": """SELECT zone_id, pickup_hour, trips, CAST(rank AS INTEGER) AS rank FROM (
+        SELECT pu_location_id AS zone_id, CAST(hour(pickup_ts) AS INTEGER) AS pickup_hour, count(*) AS trips,
+        row_number() OVER (PARTITION BY hour(pickup_ts) ORDER BY count(*) DESC, pu_location_id) AS rank
+        FROM clean GROUP BY 1, 2, hour(pickup_ts)) WHERE rank <= 3""",
+    "demand_feature_table": f"""SELECT zone_id, hour_ts, trip_count, borough, CASE WHEN day IS NOT NULL THEN 1 ELSE 0 END AS is_holiday,
+        {_lag(1)}, {_lag(2)}, {_lag(24)}, {_lag(168)}, {_mean(3)}, {_mean(24)}, {_mean(168)}
+        FROM trip_hours LEFT JOIN zones ON zone_id = id LEFT JOIN holidays ON CAST(hour_ts AS DATE) = day""",
+    "feature_tables": """SELECT 'demand' AS "table", (SELECT count(*) FROM trip_hours) AS "rows", CAST(0 AS BIGINT) AS nulls
+        UNION ALL SELECT 'trips', (SELECT count(*) FROM clean), 0""",
     "zone_profile": f"SELECT pu_location_id AS zone_id, count(*) AS trips, {_SHARES} FROM clean GROUP BY 1",
     "time_split_counts": """SELECT CASE WHEN pickup_ts < TIMESTAMP '2024-01-01' THEN 'train'
         WHEN pickup_ts < TIMESTAMP '2024-07-01' THEN 'validation' ELSE 'test' END AS part, count(*) AS trips FROM clean GROUP BY 1""",

@@ -17,7 +17,8 @@ from rideflow.operators import analysis, baselines, clean, demand, encoding, enr
 from rideflow.operators.unify import FEEDS, unify, union_trips
 from rideflow.plans.live import live_alerts, live_demand
 from rideflow.plans.preprocess import Preprocessed, build_trips
-from rideflow.plans.training import Trained, TrainingData, train_models, training_data
+from rideflow.plans.features import FeatureTables, build_features
+from rideflow.plans.training import SPLIT_KEYS, Trained, TrainingData, train_models, training_data
 from rideflow.session import materialize, new_folder
 from rideflow.sinks import tables
 from rideflow.sources.manifest import ingest_manifest
@@ -37,6 +38,16 @@ def query(fn: Query) -> Query:
     return fn
 
 
+_kept: dict[tuple[str, str, str], Any] = {}
+
+
+def _once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], Any]) -> Any:
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _kept:
+        _kept[key] = make()
+    return _kept[key]
+
+
 def rounded(df: DataFrame, *columns: str, digits: int = 6, nudge: float = 0.0) -> DataFrame:
     """Averages depend on the order of addition in the last digits; reports round them.
 
@@ -272,6 +283,13 @@ def zone_hour_trips(spark, sf_dir):
     return analysis.zone_hour_trips(cleaned(spark, sf_dir))
 
 
+@query
+def busiest_zones_by_hour(spark, sf_dir):
+    """The three busiest pickup zones of each hour of the day."""
+    counts = analysis.zone_hour_trips(cleaned(spark, sf_dir)).withColumnRenamed("pu_location_id", "zone_id")
+    return analysis.rank_zones(counts, "trips", "pickup_hour", 3)
+
+
 # Demand
 
 @query
@@ -304,6 +322,35 @@ def demand_rolling_filled(spark, sf_dir):
     return rounded(rows.select("zone_id", "hour_ts", "trip_count", "lag_24h", *means), *means)
 
 
+@query
+def feature_tables(spark, sf_dir):
+    """Row and NULL counts of the written demand and trip tables."""
+    return _feature_tables(spark, sf_dir).checks
+
+
+@query
+def demand_feature_table(spark, sf_dir):
+    """The demand table of the batch job with its history, read back from its monthly folders."""
+    rows = _feature_tables(spark, sf_dir).demand
+    means = [f"rolling_mean_{n}h" for n in demand.SPANS]
+    lags = [f"lag_{n}h" for n in demand.LAGS]
+    return rounded(rows.select("zone_id", "hour_ts", "trip_count", "borough", "is_holiday", *lags, *means), *means)
+
+
+def _feature_tables(spark: SparkSession, sf_dir: str) -> FeatureTables:
+    def build() -> FeatureTables:
+        return build_features(
+            processed(spark, sf_dir),
+            fx.zones(spark, sf_dir),
+            hourly(spark, sf_dir),
+            fx.holidays(spark, sf_dir),
+            fx.centroids(spark, sf_dir),
+            new_folder(spark, "feature-tables"),
+        )
+
+    return _once(spark, sf_dir, "feature tables", build)
+
+
 @query
 def zone_profile(spark, sf_dir):
     shares = [f"h{h:02d}" for h in range(24)]
@@ -359,7 +406,7 @@ def baseline_demand(spark, sf_dir):
     """Expected trips for every hour, learned from the hours before 2024-01-22."""
     rows = demand.add_calendar(demand_rows(spark, sf_dir))
     train = rows.filter(F.col("hour_ts") < F.lit("2024-01-22").cast("timestamp"))
-    scored = baselines.apply_demand_baseline(rows, baselines.demand_baseline(train))
+    scored = baselines.apply_demand_baseline(rows, materialize(baselines.demand_baseline(train)))
     return rounded(scored.select("zone_id", "hour_ts", "trip_count", "baseline_trips"), "baseline_trips")
 
 
@@ -397,7 +444,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
 def window_forecast(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Mean trips per ten-minute window of a zone, hour and day of week."""
     start = F.col("window.start")
-    return (
+    return materialize(
         live.tumbling_demand(events(spark, sf_dir))
         .groupBy(F.col("PULocationID").alias("zone_id"), F.hour(start).alias("hour"), F.dayofweek(start).alias("dayofweek"))
         .agg(F.avg("trip_count").alias("forecast"))
@@ -562,21 +609,11 @@ def month_csv(spark, sf_dir):
     return spark.read.schema(trips.schema).option("header", True).csv(folder)
 
 
-# Models, small in size so that every query stays quick. Fitted once per application and scale.
+# Models, small in size so that every query stays quick.
 
 SMALL = {"iterations": 5, "depth": 5}
-_fitted: dict[tuple[str, str, str], Any] = {}
-
-
-def _once(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], Any]) -> Any:
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _fitted:
-        _fitted[key] = make()
-    return _fitted[key]
-
-
 def _trip_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The trip-level feature table, written by month: models are trained on tables, not on raw feeds."""
+    """Processed trips with booking-time columns, written by month: models are trained on tables, not on raw feeds."""
 
     def write() -> str:
         folder = new_folder(spark, "features")
@@ -586,6 +623,14 @@ def _trip_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_processed(spark, _once(spark, sf_dir, "table", write))
 
 
+@query
+def random_split_counts(spark, sf_dir):
+    """Trips in each part of the split by hash of the trip."""
+    train, test = splits.keyed_split(_trip_table(spark, sf_dir), SPLIT_KEYS)
+    both = train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
+    return both.groupBy("part").agg(F.count(F.lit(1)).alias("trips"))
+
+
 def _trip_models(spark: SparkSession, sf_dir: str) -> Trained:
     make = lambda: train_models(_trip_table(spark, sf_dir), new_folder(spark, "models"), **SMALL)
     return _once(spark, sf_dir, "trips", make)
@@ -692,7 +737,7 @@ def _demand_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("user_id") % 10 + 1).alias("pu_location_id"), F.col("ts").cast("timestamp").alias("pickup_ts")
     )
     vectors = clusters.profile_vectors(demand.zone_profiles(trips))
-    groups = clusters.assign_clusters(vectors, clusters.fit_clusters(vectors, 3))
+    groups = materialize(clusters.assign_clusters(vectors, clusters.fit_clusters(vectors, 3)))
     history = demand.add_history(demand.fill_hours(demand.hourly_counts(trips)))
     described = demand.describe_hours(
         history, fx.zones(spark, sf_dir), hourly(spark, sf_dir), fx.holidays(spark, sf_dir)
@@ -715,7 +760,7 @@ def _demand_model(spark: SparkSession, sf_dir: str):
 def _demand_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _demand_inputs(spark, sf_dir)
     start = F.lit(DEMAND_TEST_FROM).cast("timestamp")
-    expected = baselines.demand_baseline(rows.filter(F.col("hour_ts") < start))
+    expected = materialize(baselines.demand_baseline(rows.filter(F.col("hour_ts") < start)))
     test = baselines.apply_demand_baseline(rows.filter(F.col("hour_ts") >= start), expected)
     return _demand_model(spark, sf_dir).transform(test)
 
