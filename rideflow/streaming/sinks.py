@@ -42,8 +42,10 @@ def to_versions(
 
 
 def latest_versions(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:
-    """The newest version of each row written by ``to_versions``."""
+    """The newest version of each row written by ``to_versions``.
+
+    One aggregate per column, so that numbers stay in a hash aggregation that combines before the shuffle.
+    """
     rows = spark.read.parquet(path)
     values = [c for c in rows.columns if c not in (*keys, "batch")]
-    newest = rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("row"))
-    return newest.select(*keys, "row.*")
+    return rows.groupBy(*keys).agg(*(F.max_by(c, "batch").alias(c) for c in values))
