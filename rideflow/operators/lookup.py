@@ -4,17 +4,33 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A lookup of this many narrow rows is some tens of megabytes on each executor.
 MAX_BROADCAST_ROWS = 200_000
+MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 SALTS = 16
+_FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
-def fits_broadcast(lookup: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    """Whether the lookup has at most ``max_rows`` rows; reads no further than that."""
-    return lookup.limit(max_rows + 1).count() <= max_rows
+def _row_bytes(lookup: DataFrame) -> Column:
+    """Eight bytes per column, and the text length of columns without a fixed width."""
+    width = F.lit(8 * len(lookup.columns))
+    for field in lookup.schema.fields:
+        if not isinstance(field.dataType, _FIXED_WIDTH):
+            text = F.col(f"`{field.name}`").cast("string")
+            width = width + F.coalesce(F.octet_length(text), F.lit(0))
+    return width
+
+
+def fits_broadcast(
+    lookup: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES
+) -> bool:
+    """Whether the lookup has at most so many rows and bytes; reads no further than one row more."""
+    size = lookup.limit(max_rows + 1).agg(F.count(F.lit(1)).alias("rows"), F.sum(_row_bytes(lookup)).alias("bytes"))
+    found = size.first()
+    return found["rows"] <= max_rows and (found["bytes"] or 0) <= max_bytes
 
 
 def lookup_join(

@@ -11,6 +11,7 @@ from rideflow.operators.clean import ALL_YEARS, Period, clean_trips, row_rule_to
 from rideflow.operators.enrich import hourly_weather, join_weather, join_zones
 from rideflow.operators.features import add_trip_features
 from rideflow.operators.quality import quality_report, report_lines
+from rideflow.session import pin_time_zone
 from rideflow.sinks.tables import TRIP_PARTITIONS, balance, write_partitioned, write_report, write_report_table
 from rideflow.sources.reference import read_weather, read_zones
 from rideflow.sources.trips import read_feeds, read_processed
@@ -44,6 +45,7 @@ def build_trips(
     **read_options,
 ) -> Preprocessed:
     """The whole batch job. The raw feeds are evaluated twice: for the write and for the counters."""
+    pin_time_zone(spark)
     feeds = read_feeds(spark, feeds_path, with_file_month=period.from_file, **read_options)
     zones = read_zones(spark, zones_path)
     hourly = hourly_weather(read_weather(spark, weather_path))

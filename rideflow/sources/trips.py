@@ -91,7 +91,7 @@ def read_service(
     if service.lower() not in FEEDS:
         raise ValueError(f"unknown service type: {service}")
     reader_options = {"ignoreCorruptFiles": str(ignore_corrupt).lower()}
-    years, months = set(years), set(months)
+    base, years, months = base.rstrip("/"), set(years), set(months)
     groups: dict[tuple, list[str]] = defaultdict(list)
     group_schemas: dict[tuple, T.StructType] = {}
     skipped = []

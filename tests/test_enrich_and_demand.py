@@ -10,7 +10,7 @@ from trip_rows import START, frame, trip
 from rideflow import schemas
 from rideflow.functions.columns import epoch_hour, haversine_mi
 from rideflow.operators import demand, enrich, features
-from rideflow.operators.lookup import lookup_join
+from rideflow.operators.lookup import fits_broadcast, lookup_join
 from rideflow.operators.splits import keyed_split, time_split
 from workload import fixtures as fx
 from workload import queries as q
@@ -40,6 +40,13 @@ def test_shuffled_lookup_equals_broadcast(spark, how):
     assert small.exceptAll(plain).isEmpty() and small.count() == plain.count()
 
 
+def test_size_check_counts_rows_and_bytes(spark):
+    rows = spark.range(100).select("id", F.repeat(F.lit("x"), 1000).alias("text"))
+    assert fits_broadcast(rows) and not fits_broadcast(rows, max_rows=99)
+    assert not fits_broadcast(rows, max_bytes=100_000) and fits_broadcast(rows, max_bytes=102_000)
+    assert fits_broadcast(rows.limit(0), max_bytes=0)
+
+
 def test_weather_arrays_of_unequal_length_are_padded(spark):
     rows = enrich.hourly_weather(weather(spark, ["2024-01-01T00:00", "2024-01-01T01:00"], rain=[0.2])).orderBy("weather_ts").collect()
     assert [(r.rain_mm, r.is_rainy) for r in rows] == [(0.2, 1), (None, 0)]

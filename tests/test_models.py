@@ -8,6 +8,7 @@ from rideflow.ml import clusters, models
 from rideflow.ml.features import BOOKING_FEATURES, TRIP_FEATURES, assembler, check_inputs, flag_leakage, preparation, vector_names
 from rideflow.operators.baselines import regression_metrics
 from rideflow.operators.encoding import encode_zones, zone_means
+from rideflow.operators.splits import random_split
 from rideflow.plans.training import train_models, training_data
 from workload import queries as q
 
@@ -74,6 +75,12 @@ def test_training_data_covers_the_bounded_trips(trips):
     assert data.train.first().features.size == 12
 
 
+def test_split_may_be_random(trips):
+    data = training_data(trips, split=random_split)
+    train, test = data.train.count(), data.test.count()
+    assert 0.7 < train / (train + test) < 0.9
+
+
 def test_comparison_has_one_row_per_model(spark, trips):
     data = training_data(trips)
     test = data.test.withColumn("guess", F.lit(50.0))
