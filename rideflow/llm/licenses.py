@@ -22,6 +22,8 @@ WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 NOT_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
+_BASE_KEYWORD = "license"
+
 #: Priorities: an identifier, a name with its version, a name, a clause of a license text, a hint.
 IDENTIFIER, VERSIONED, NAMED, CLAUSE, HINT = range(5)
 CONFIDENCE = (1.0, 0.9, 0.75, 0.6, 0.3)
@@ -127,7 +129,7 @@ _CLAUSES = (
     ("zlib", "misrepresented", "the origin of this software must not be misrepresented"),
     ("boost", "machine", "solely in the form of machine executable object code generated by a source language processor"),
     ("wtfpl", "want", "you just do what the fuck you want to"),
-    ("beerware", "beer", "if we meet some day and you think this stuff is worth it you can buy me a beer"),
+    ("beerware", "stuff", "if we meet some day and you think this stuff is worth it you can buy me a beer"),
     ("artistic", "perl", "under the same terms as perl itself"),
     ("artistic", "artistic", "under the same terms as the artistic license"),
     ("ofl", "reserved", "with reserved font name"),
@@ -152,11 +154,11 @@ def _license_rules() -> list[Rule]:
     for label, (keyword, name, identifier, versions) in _FAMILIES.items():
         for version in versions:
             full = f"{label}-{version.replace(' ', '.')}" if version else label
-            dashed = f"{identifier} {version}".strip()
+            dashed, first = f"{identifier} {version}".strip(), identifier.split()[0]
             tail = "( only| or later| plus)?" if version else ""
-            rules.append(Rule(full, IDENTIFIER, "spdx", f"spdx license identifier {dashed}{tail}"))
-            rules.append(Rule(full, IDENTIFIER, "license", f"(license|licence) (type |id )?{dashed}{tail}") if version else
-                         Rule(full, VERSIONED, "licensed", f"licensed under (the )?{dashed}"))
+            rules.append(Rule(full, IDENTIFIER, first, f"spdx license identifier {dashed}{tail}"))
+            rules.append(Rule(full, IDENTIFIER, first, f"(license|licence) (type |id )?{dashed}{tail}") if version else
+                         Rule(full, VERSIONED, first, f"licensed under (the )?{dashed}"))
             if version:
                 rules.append(Rule(full, VERSIONED, keyword, f"{name} (license|licence) (version |v )?(v{version}|{version})"))
                 rules.append(Rule(full, VERSIONED, keyword, f"{name} (version |v )?(v{version}|{version})( international| generic| unported)? (license|licence)"))
@@ -171,15 +173,19 @@ def _license_rules() -> list[Rule]:
 RULES = _license_rules()
 #: A text without any of these parts of words holds no match of any rule.
 PREFILTER = ("licens", "licenc", "domain", "granted", "merge", "substantial", "redistribut", "endorse", "advertising", "warrant",
-             "royalty", "obtain", "eclipse", "mozilla", "misrepresented", "executable", "fuck", "beer", "perl", "reserved",
+             "royalty", "obtain", "eclipse", "mozilla", "misrepresented", "executable", "fuck", "stuff", "perl", "reserved",
              "confidential", "prohibited", "copyleft")
 
 
-def numbered_words(text: Column) -> Column:
-    """`` first#0 second#1 ...``, lower-cased from A to Z."""
+def lower_words(text: Column) -> Column:
+    """The words, lower-cased from A to Z."""
     lower = F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     plain = F.trim(F.regexp_replace(lower, NOT_WORD, " "))
-    words = F.filter(F.split(plain, " "), lambda w: w != "")
+    return F.filter(F.split(plain, " "), lambda w: w != "")
+
+
+def numbered_words(words: Column) -> Column:
+    """`` first#0 second#1 ...``."""
     return F.concat(F.lit(" "), F.array_join(F.transform(words, lambda w, i: F.concat(w, F.lit("#"), i.cast("string"))), " "))
 
 
@@ -211,14 +217,14 @@ def _base_places(line: Column) -> Column:
 _RULE_TABLE = "array<struct<priority: int, order: int, label: string, keyword: string, pattern: string>>"
 
 
-def _detections(line: Column, rules: list[Rule]) -> Column:
-    """All matches of the rules whose keyword is there, sorted for the sweep."""
+def _detections(line: Column, present: Column, rules: list[Rule]) -> Column:
+    """All matches of the rules whose keyword is present, sorted for the sweep."""
     listed = [
-        {"priority": r.priority, "order": i, "label": r.label, "keyword": f" {r.keyword}#", "pattern": numbered(r.pattern)}
+        {"priority": r.priority, "order": i, "label": r.label, "keyword": r.keyword, "pattern": numbered(r.pattern)}
         for i, r in enumerate(rules)
     ]
     table = F.from_json(F.lit(json.dumps(listed)), _RULE_TABLE)  # one constant instead of thousands
-    tried = F.filter(table, lambda r: F.contains(line, r["keyword"]))
+    tried = F.filter(table, lambda r: F.array_contains(present, r["keyword"]))
     found = F.flatten(F.transform(tried, lambda r: F.transform(
         F.regexp_extract_all(line, r["pattern"], F.lit(0)),
         lambda m: F.struct(
@@ -264,17 +270,20 @@ def license_scan(docs: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
     repeated rows get equal results. A name that ``docs`` has already gets a longer one.
     """
     rules = RULES if rules is None else rules
-    low, line, base, swept = (fresh(docs, n) for n in ("_low", "_line", "_base", "_swept"))
+    low, words, present, line, base, swept = (fresh(docs, n) for n in ("_low", "_words", "_present", "_line", "_base", "_swept"))
+    keywords = F.split(F.lit(" ".join(sorted({_BASE_KEYWORD, *(r.keyword for r in rules)}))), " ")
     names = {n: fresh(docs, n) for n in ("n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "n_signatures", "score")}
     text, plausible = whole_text(), F.lit(False)
     for part in PREFILTER:
         plausible = plausible | F.contains(F.col(low), F.lit(part))
     rows = docs.withColumns({low: F.lower(text), names["n_words"]: F.regexp_count(text, F.lit(WORD)).cast("long")})
-    rows = rows.withColumn(line, F.when(plausible, numbered_words(text))).drop(low)
-    there = F.col(line).isNotNull()
+    rows = rows.withColumn(words, F.when(plausible, lower_words(text))).drop(low)
+    rows = rows.withColumn(present, F.array_intersect(words, keywords))
+    there = F.size(present) > 0
+    rows = rows.withColumn(line, F.when(there, numbered_words(F.col(words)))).drop(words)
     rows = rows.withColumns({
         base: F.when(there, _base_places(F.col(line))),
-        swept: F.when(there, _swept(_detections(F.col(line), rules))),
+        swept: F.when(there, _swept(_detections(F.col(line), F.col(present), rules))),
     })
     places, result = F.col(base), F.col(swept)
     some = F.coalesce(F.size(places), F.lit(0)) > 0
@@ -291,9 +300,9 @@ def license_scan(docs: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
         ),
         names["n_signatures"]: F.coalesce(result["kept"], F.lit(0)).cast("long"),
         names["score"]: F.greatest(F.coalesce(confidence, F.lit(0.0)), F.when(some, F.lit(CONFIDENCE[NAMED])).otherwise(0.0)),
-    }).drop(line, base, swept)
+    }).drop(present, line, base, swept)
 
 
 def license_report(docs: DataFrame) -> DataFrame:
     """One row per document: words, base places, labels and score."""
-    return license_scan(docs.select("doc_id", "text"))
+    return license_scan(docs.select("doc_id", "text")).drop("text")
