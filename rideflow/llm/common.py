@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rideflow.session import materialize, new_folder
 
-__all__ = ["document_words", "fresh", "materialize", "read_table", "small_batches", "whole_text", "written"]
+__all__ = ["arrow_batches", "document_words", "fresh", "materialize", "read_table", "small_batches", "whole_text", "written"]
 
 #: Rows of one Arrow batch. A document may hold megabytes, so batches are kept short.
 BATCH_ROWS = 200
@@ -30,9 +33,23 @@ def document_words(text: Column) -> Column:
     return F.regexp_count(text, F.lit(DOCUMENT_WORD)).cast("long")
 
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def small_batches(spark: SparkSession) -> None:
     """Bound what a Python worker holds of long texts at once."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set(_BATCH, str(BATCH_ROWS))
+
+
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """So many rows in a batch for what is computed within."""
+    usual = spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH, usual)
 
 
 def fresh(df: DataFrame, wanted: str) -> str:
