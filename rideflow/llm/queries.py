@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rideflow.llm import licenses, mixing
+from rideflow.llm import decontamination, embedding_dedup, html_text, licenses, mixing, quality, secrets, simhash, tokens, tool_calls
 from rideflow.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+TOKENIZER = "piece_bpe_32k.model"
 
 
 def query(fn):
@@ -17,11 +19,51 @@ def query(fn):
     return fn
 
 
+@query
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.embedding_report(read_table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_report(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaked(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 @query
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return licenses.license_report(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return licenses.license_report(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokens.token_report(read_table(spark, sf_dir, "documents"), str(public_tokenizers.path(TOKENIZER)))
+
+
+@query
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.page_report(read_table(spark, sf_dir, "pages"))
+
+
+@query
+def op7_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tool_calls.linked_calls(read_table(spark, sf_dir, "conversations"))
+
+
+@query
+def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_report(read_table(spark, sf_dir, "documents"))
 
 
 @query
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_report(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
