@@ -93,8 +93,7 @@ def tune(
     Returns the measures of all settings and the model of least error.
     """
     spark = train.sparkSession
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    validation = validation.persist(StorageLevel.MEMORY_AND_DISK)
+    train, validation = (rows.select("features", label).persist(StorageLevel.MEMORY_AND_DISK) for rows in (train, validation))
     results, best, best_model = [], float("inf"), None
     for number, setting in enumerate(grid):
         candidate = estimator.copy({estimator.getParam(name): value for name, value in setting.items()})
@@ -119,6 +118,11 @@ def feature_importance(spark: SparkSession, model: Model, names: Sequence[str])
     return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.desc("importance"), "feature")
 
 
+def load_pipeline(path: str) -> PipelineModel:
+    """A saved pipeline, ready to score a table or a stream."""
+    return PipelineModel.load(path)
+
+
 def save(model: Model, path: str) -> None:
     """Replace the saved model at ``path``."""
     model.write().overwrite().save(path)

@@ -44,6 +44,27 @@ def eta_baseline(rows: DataFrame, train: DataFrame, distance: str = "trip_distan
     return rows.withColumn("baseline_minutes", hours * 60.0)
 
 
+def trip_baselines(rows: DataFrame, train: DataFrame, distance: str = "trip_distance_mi") -> DataFrame:
+    """Both trip baselines, ``baseline_fare`` and ``baseline_minutes``; the rates come from one pass over the training trips."""
+    miles, fare, minutes = (F.col(c) for c in (distance, "fare_amount", "trip_duration_min"))
+    paid, timed = miles.isNotNull() & fare.isNotNull(), miles.isNotNull() & minutes.isNotNull()
+    rates = train.agg(
+        F.try_divide(F.sum(F.when(paid, fare)), F.sum(F.when(paid, miles))).alias("dollars"),
+        F.try_divide(F.sum(F.when(timed, miles)), F.sum(F.when(timed, minutes)) / 60.0).alias("speed"),
+    ).first()
+    dollars, speed = (F.lit(rate).cast("double") for rate in rates)
+    return rows.withColumns({"baseline_fare": miles * dollars, "baseline_minutes": F.try_divide(miles, speed) * 60.0})
+
+
+def task_metrics(scored: DataFrame, tasks: dict[str, tuple[str, str]], by: tuple[str, ...] = ()) -> DataFrame:
+    """``regression_metrics`` of several tasks, ``{task: (label, prediction)}``, from one pass over the rows."""
+    pairs = [
+        F.struct(F.lit(task).alias("task"), F.col(label).cast("double").alias("y"), F.col(guess).cast("double").alias("p"))
+        for task, (label, guess) in tasks.items()
+    ]
+    return regression_metrics(scored.select(*by, F.inline(F.array(*pairs))), "y", "p", ("task", *by))
+
+
 def regression_metrics(scored: DataFrame, label: str, prediction: str, by: tuple[str, ...] = ()) -> DataFrame:
     """RMSE, MAE, R2 and MAPE in one aggregation; rows without a prediction are left out.
 

@@ -133,20 +133,29 @@ def rule_totals(trips: DataFrame, period: Period = ALL_YEARS) -> DataFrame:
     return grouped.agg(*counters)
 
 
-def row_rule_totals(trips: DataFrame, final_rows: DataFrame, period: Period = ALL_YEARS) -> DataFrame:
-    """All counters as one wide row when the clean rows are already written.
+def row_rule_counts(trips: DataFrame, period: Period = ALL_YEARS) -> DataFrame:
+    """One wide row: initial rows, rows each rule removes, ``_passing`` rows and their ``_months`` (year * 100 + month).
 
-    ``final_rows`` is the written table: its row count comes from the file footers, so the
-    duplicates follow without grouping the input again.
+    One pass over the input without a shuffle of its rows; the months are as many as the period holds.
     """
     failed = F.col("_failed")
-    final = final_rows.agg(F.count(F.lit(1))).scalar()
-    totals = trips.select(first_failed_rule(period).alias("_failed")).agg(
+    month = F.year("pickup_ts") * 100 + F.month("pickup_ts")
+    return trips.select(first_failed_rule(period).alias("_failed"), month.alias("_month")).agg(
         F.count(F.lit(1)).alias(INITIAL),
         *(F.count_if(failed == rule.key).alias(rule.key) for rule in RULES),
         F.count_if(failed.isNull()).alias("_passing"),
+        F.collect_set(F.when(failed.isNull(), F.col("_month"))).alias("_months"),
     )
-    return totals.select(
+
+
+def final_totals(counts: DataFrame, final_rows: DataFrame) -> DataFrame:
+    """All counters as one wide row from the counts of the input and the clean rows as written.
+
+    The row count of a written table comes from its file footers, so the duplicates follow without
+    grouping the input again.
+    """
+    final = final_rows.agg(F.count(F.lit(1))).scalar()
+    return counts.select(
         INITIAL,
         *(rule.key for rule in RULES),
         (F.col("_passing") - final).alias(DUPLICATES),
@@ -154,6 +163,11 @@ def row_rule_totals(trips: DataFrame, final_rows: DataFrame, period: Period = AL
     )
 
 
+def row_rule_totals(trips: DataFrame, final_rows: DataFrame, period: Period = ALL_YEARS) -> DataFrame:
+    """All counters as one wide row when the clean rows are already written."""
+    return final_totals(row_rule_counts(trips, period), final_rows)
+
+
 def _total(rows: Column, condition: Column) -> Column:
     return F.coalesce(F.sum(F.when(condition, rows)), F.lit(0)).cast("bigint")
 

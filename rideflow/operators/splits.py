@@ -20,10 +20,39 @@ def time_split_label(ts: str = "pickup_ts", validation_from: str = "2024-01-01",
     )
 
 
-def time_split(rows: DataFrame, ts: str = "pickup_ts", **bounds: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """The three parts; filters on time, so they reach the scan."""
-    label = time_split_label(ts, **bounds)
-    return tuple(rows.filter(label == part) for part in (TRAIN, VALIDATION, TEST))
+def time_range(
+    since: str | None = None, before: str | None = None, ts: str = "pickup_ts", month_columns: tuple[str, str] | None = None
+) -> Column:
+    """Rows from ``since`` on and before ``before``, as plain bounds that reach the scan.
+
+    With the year and month columns of a partitioned table, months outside are pruned too.
+    """
+    when, kept = F.col(ts), F.col(ts).isNotNull()
+    if since:
+        kept = kept & (when >= F.lit(since).cast("timestamp"))
+    if before:
+        kept = kept & (when < F.lit(before).cast("timestamp"))
+    if month_columns:
+        year, month = (F.col(c) for c in month_columns)
+        if since:
+            y, m = int(since[:4]), int(since[5:7])
+            kept = kept & ((year > y) | (year == y) & (month >= m))
+        if before:
+            y, m = int(before[:4]), int(before[5:7])
+            kept = kept & ((year < y) | (year == y) & (month <= m))
+    return kept
+
+
+def time_split(
+    rows: DataFrame,
+    ts: str = "pickup_ts",
+    validation_from: str = "2024-01-01",
+    test_from: str = "2024-07-01",
+    month_columns: tuple[str, str] | None = None,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The three parts, each a range of times; name the month columns of a partitioned table to prune it."""
+    bounds = ((None, validation_from), (validation_from, test_from), (test_from, None))
+    return tuple(rows.filter(time_range(*bound, ts, month_columns)) for bound in bounds)
 
 
 def random_split(rows: DataFrame, train: float = 0.8, seed: int = 42) -> list[DataFrame]:
@@ -32,7 +61,11 @@ def random_split(rows: DataFrame, train: float = 0.8, seed: int = 42) -> list[Da
 
 
 def keyed_split(rows: DataFrame, keys: Sequence[str], train: float = 0.8, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """A split by hash of the key columns: the same rows in each part however the input is partitioned."""
-    point = F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(1_000_000))
+    """A split by hash of the key columns: the same rows in each part however the input is partitioned.
+
+    The hash is the md5 of the keys as text, so that any engine finds the same parts.
+    """
+    text = F.concat_ws("|", F.lit(str(seed)), *(F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys))
+    point = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % 1_000_000
     in_train = point < int(train * 1_000_000)
     return rows.filter(in_train), rows.filter(~in_train)

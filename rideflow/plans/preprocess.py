@@ -7,11 +7,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rideflow.operators.clean import ALL_YEARS, Period, clean_trips, row_rule_totals
+from rideflow.operators.clean import ALL_YEARS, Period, clean_trips, final_totals, row_rule_counts
 from rideflow.operators.enrich import hourly_weather, join_weather, join_zones
 from rideflow.operators.features import add_trip_features
 from rideflow.operators.quality import quality_report, report_lines
-from rideflow.session import pin_time_zone
+from rideflow.session import materialize, pin_time_zone
 from rideflow.sinks.tables import TRIP_PARTITIONS, balance, write_partitioned, write_report, write_report_table
 from rideflow.sources.reference import read_weather, read_zones
 from rideflow.sources.trips import read_feeds, read_processed
@@ -42,17 +42,27 @@ def build_trips(
     out_path: str,
     report_path: str | None = None,
     period: Period = ALL_YEARS,
+    dynamic: bool = False,
     **read_options,
 ) -> Preprocessed:
-    """The whole batch job. The raw feeds are evaluated twice: for the write and for the counters."""
+    """The whole batch job. The raw feeds are evaluated twice: for the write and for the counters.
+
+    ``dynamic`` replaces only the months that get rows and leaves the others of the table; the final
+    count is then that of these months. The counters are computed once. With a report path, what was
+    not read is written beside the report.
+    """
     pin_time_zone(spark)
     feeds = read_feeds(spark, feeds_path, with_file_month=period.from_file, **read_options)
     zones = read_zones(spark, zones_path)
     hourly = hourly_weather(read_weather(spark, weather_path))
-    write_partitioned(processed_trips(feeds.trips, zones, hourly, period), out_path)
+    counts = materialize(row_rule_counts(feeds.trips, period))
+    write_partitioned(processed_trips(feeds.trips, zones, hourly, period), out_path, dynamic=dynamic)
     written = read_processed(spark, out_path)
-    totals = row_rule_totals(feeds.trips, written, period)
+    months = counts.first()["_months"]
+    now = written.filter((F.col("pickup_year") * 100 + F.col("pickup_month")).isin(months)) if dynamic else written
+    totals = materialize(final_totals(counts, now))
     if report_path:
         write_report(report_lines(totals), f"{report_path}/text")
         write_report_table(quality_report(totals), f"{report_path}/table")
+        write_report_table(feeds.skipped, f"{report_path}/skipped")
     return Preprocessed(written, totals, feeds.skipped)

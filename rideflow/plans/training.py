@@ -16,7 +16,7 @@ from rideflow.operators.features import add_training_features, within_training_b
 from rideflow.operators.splits import keyed_split
 
 TASKS = {"fare": "fare_amount", "eta": "trip_duration_min"}
-SPLIT_KEYS = ("pickup_ts", "dropoff_ts", "pu_location_id", "do_location_id", "fare_amount")
+SPLIT_KEYS = ("pickup_ts", "dropoff_ts", "pu_location_id", "do_location_id")
 
 
 @dataclass(frozen=True)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rideflow.operators.unify import FEEDS
-from rideflow.sources.trips import footer_schemas, schema_key
+from rideflow.sources.trips import same_schema_paths, schema_key
 
 # Fixed format of the name of a monthly trip file; a file that Spark wrote is a folder of parts.
 FILE_NAME = r"[/=]((yellow|green|fhvhv)_tripdata_(\d{4})-(\d{2})\.parquet)(?:/[^/]+)?$"
@@ -58,30 +58,38 @@ def ingest_manifest(spark: SparkSession, folder: str) -> DataFrame:
 def stage_by_month(spark: SparkSession, folder: str, target: str) -> list[str]:
     """Lay the trip files of a folder out as ``service/year=YYYY/month=MM``.
 
-    Rows keep the columns and types of their own file: the files of one service that share a
-    schema are one job. The driver sees one row per named file, so one per service and month.
-    Returns the services written.
+    Rows keep the columns and types of their own file: the files of one service that share a schema
+    are one job. Months that are staged are replaced, other months of the target stay. Where the
+    files of a month differ in schema, the first schema's rows replace the month and the others are
+    added to it. The driver sees one row per named file. Returns the services written.
     """
-    groups: dict[tuple, list[str]] = defaultdict(list)
-    schemas = {}
     # The folder of a named file if it is one, else the file itself.
     named = F.regexp_replace("path", r"(\.parquet)/[^/]+$", "$1")
-    files = named_files(spark, folder).select("service", named.alias("path")).distinct().orderBy("path").collect()
-    for row, schema in zip(files, footer_schemas(spark, [row.path for row in files])):
+    files = named_files(spark, folder).select("service", "year", "month", named.alias("path")).distinct().orderBy("path").collect()
+    months: dict[tuple[str, str, str], dict[tuple, list[str]]] = defaultdict(lambda: defaultdict(list))
+    schemas = {}
+    month_of = {row.path: (row.service, row.year, row.month) for row in files}
+    for path, schema in same_schema_paths(spark, [row.path for row in files]):
         if isinstance(schema, str):
-            raise ValueError(f"cannot read {row.path}: {schema}")
-        key = (row.service, schema_key(schema))
-        groups[key].append(row.path)
+            raise ValueError(f"cannot read {path}: {schema}")
+        key = schema_key(schema)
+        month = month_of.get(path) or month_of[path.rpartition("/")[0]]
+        months[month][key].append(path)
         schemas[key] = schema
-    for key, paths in groups.items():
+
+    jobs: dict[tuple[int, str, tuple], list[str]] = defaultdict(list)
+    for (service, _, _), by_schema in months.items():
+        for layer, (key, paths) in enumerate(by_schema.items()):
+            jobs[layer, service, key] += paths
+    for (layer, service, key), paths in sorted(jobs.items(), key=lambda job: job[0][0]):
         parts = _name_parts(F.col("_metadata.file_path"))
         (
             spark.read.schema(schemas[key])
             .parquet(*paths)
             .withColumns({"year": parts["year"], "month": parts["month"]})
-            .write.mode("overwrite")
+            .write.mode("append" if layer else "overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("year", "month")
-            .parquet(f"{target}/{key[0]}")
+            .parquet(f"{target}/{service}")
         )
-    return [service for service in FEEDS if any(key[0] == service for key in groups)]
+    return [service for service in FEEDS if any(month[0] == service for month in months)]

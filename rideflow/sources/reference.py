@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.errors import PySparkException
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -14,12 +14,14 @@ def read_zones(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_zones_or_none(spark: SparkSession, path: str) -> DataFrame | None:
-    """The zone table, or None where it is unreadable or empty."""
+    """The zone table, or None where it is absent or empty; other errors are raised."""
     try:
         zones = read_zones(spark, path)
         return None if zones.isEmpty() else zones
-    except PySparkException:
-        return None
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def read_centroids(spark: SparkSession, path: str) -> DataFrame:

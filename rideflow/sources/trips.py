@@ -7,19 +7,20 @@ from collections import defaultdict
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from typing import NamedTuple
 
 from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException, PySparkException
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rideflow import schemas
 from rideflow.operators.unify import FEEDS, unify, union_trips
 
-YEARS = (2022, 2023, 2024)
-MONTHS = tuple(range(1, 13))
 SAMPLE_RATE = 0.05
+MONTH_FOLDER = r"^(.*/year=(\d{4})/month=(\d{1,2}))/"
+NOT_ASKED, NO_MONTH = "not asked for", "not in a folder of a year and a month"
 
 
 @dataclass(frozen=True)
@@ -30,10 +31,19 @@ class ServiceRead:
     skipped: DataFrame
 
 
-def present_months(spark: SparkSession, base: str) -> list[tuple[int, int]]:
-    """The (year, month) folders below ``base`` that hold Parquet files; none if ``base`` is absent.
+class MonthFolder(NamedTuple):
+    """A folder of one month, or of files outside the layout (year and month are None)."""
 
-    Spark lists the files; the driver receives the distinct months.
+    year: int | None
+    month: int | None
+    path: str
+
+
+def month_folders(spark: SparkSession, base: str) -> list[MonthFolder]:
+    """The month folders below ``base`` that hold Parquet files, at any depth; none if ``base`` is absent.
+
+    Months may be written with one digit or two. Spark lists the files; the driver receives the
+    distinct folders. Errors other than an absent path are raised.
     """
     try:
         files = (
@@ -42,28 +52,53 @@ def present_months(spark: SparkSession, base: str) -> list[tuple[int, int]]:
             .option("pathGlobFilter", "*.parquet")
             .load(base)
         )
-    except PySparkException:
-        return []
-    pattern = r"/year=(\d{4})/month=(\d{2})/[^/]+$"
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return []
+        raise
     found = files.select(
-        F.regexp_extract("path", pattern, 1).alias("year"), F.regexp_extract("path", pattern, 2).alias("month")
-    )
-    return sorted((int(r.year), int(r.month)) for r in found.distinct().collect() if r.year)
+        F.regexp_extract("path", MONTH_FOLDER, 1).alias("path"),
+        F.regexp_extract("path", MONTH_FOLDER, 2).alias("year"),
+        F.regexp_extract("path", MONTH_FOLDER, 3).alias("month"),
+    ).distinct()
+    folders = [MonthFolder(int(r.year), int(r.month), r.path) if r.path else MonthFolder(None, None, base) for r in found.collect()]
+    return sorted(folders, key=lambda f: (f.year or 0, f.month or 0, f.path))
 
 
-def footer_schemas(spark: SparkSession, folders: list[str], **options: str) -> list[T.StructType | str]:
-    """The schema of each folder from one of its footers, or why there is none; several folders at a time."""
+def _schema(reader: DataFrameReader, *paths: str) -> T.StructType | str:
+    try:
+        return reader.parquet(*paths).schema
+    except PySparkException as error:
+        return str(error).splitlines()[0]
+    except Py4JJavaError as error:
+        return str(error.java_exception.getMessage()).splitlines()[0]
+
 
-    def schema_of(folder: str) -> T.StructType | str:
-        try:
-            return spark.read.options(**options).parquet(folder).schema
-        except PySparkException as error:
-            return str(error).splitlines()[0]
-        except Py4JJavaError as error:
-            return str(error.java_exception.getMessage()).splitlines()[0]
+def footer_schemas(spark: SparkSession, paths: list[str], **options: str) -> list[T.StructType | str]:
+    """The merged schema of the files below each path, or why there is none; several paths at a time.
 
+    Spark reads the footers of a path in one job.
+    """
+    merged = {**options, "mergeSchema": "true", "recursiveFileLookup": "true"}
     with ThreadPoolExecutor(8) as pool:
-        return list(pool.map(schema_of, folders))
+        return list(pool.map(lambda path: _schema(spark.read.options(**merged), path), paths))
+
+
+def same_schema_paths(spark: SparkSession, paths: list[str], **options: str) -> list[tuple[str, T.StructType | str]]:
+    """Paths with their schemas; a folder whose files have types that do not merge is split into its files."""
+    out = []
+    for path, schema in zip(paths, footer_schemas(spark, paths, **options)):
+        if isinstance(schema, str) and "CANNOT_MERGE_SCHEMA" in schema.upper():
+            files = sorted(r.path for r in _files_below(spark, path).select("path").collect())
+            out += zip(files, footer_schemas(spark, files, **options))
+        else:
+            out.append((path, schema))
+    return out
+
+
+def _files_below(spark: SparkSession, path: str) -> DataFrame:
+    listing = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+    return listing.load(path)
 
 
 def schema_key(schema: T.StructType) -> tuple[tuple[str, str], ...]:
@@ -74,49 +109,61 @@ def read_service(
     spark: SparkSession,
     base: str,
     service: str,
-    years: Iterable[int] = YEARS,
-    months: Iterable[int] = MONTHS,
+    years: Iterable[int] | None = None,
+    months: Iterable[int] | None = None,
     sample_rate: float | None = None,
     seed: int = 42,
     ignore_corrupt: bool = False,
+    skip_unreadable: bool = False,
     absent_as_zero: bool = False,
     with_file_month: bool = False,
 ) -> ServiceRead:
-    """Read and unify the months of one service; column types may differ between months.
-
-    The schema of each month comes from a footer. Months of equal schema form one scan with that
-    schema, so the plan holds a scan per schema and not per month. A month whose schema cannot be
-    read is reported and left out. ``with_file_month`` keeps ``file_year`` and ``file_month``.
+    """Read and unify the months of one service; column types may differ between months and files.
+
+    Every month that is there is read, unless ``years`` or ``months`` choose some. The schema of a
+    month comes from the footers of all its files, so a file may lack columns that others have;
+    where types do not merge, each file has its own. Files of equal schema form one scan with that
+    schema, so the plan holds a scan per schema and not per month. Whatever is not read is a row of
+    ``skipped``: months not asked for, files outside the layout, and unreadable months if
+    ``skip_unreadable``; otherwise an unreadable month raises. ``with_file_month`` keeps
+    ``file_year`` and ``file_month``.
     """
     if service.lower() not in FEEDS:
         raise ValueError(f"unknown service type: {service}")
     reader_options = {"ignoreCorruptFiles": str(ignore_corrupt).lower()}
-    base, years, months = base.rstrip("/"), set(years), set(months)
+    base = base.rstrip("/")
+    wanted_years, wanted_months = years and set(years), months and set(months)
     groups: dict[tuple, list[str]] = defaultdict(list)
     group_schemas: dict[tuple, T.StructType] = {}
-    skipped = []
-    present = [(y, m) for y, m in present_months(spark, base) if y in years and m in months]
-    month_folders = [f"{base}/year={year}/month={month:02d}" for year, month in present]
-    found = footer_schemas(spark, month_folders, **reader_options)
-    for (year, month), folder, schema in zip(present, month_folders, found):
+    skipped, present = [], {}
+    for folder in month_folders(spark, base):
+        if folder.year is None:
+            skipped.append((service, None, None, NO_MONTH))
+        elif wanted_years and folder.year not in wanted_years or wanted_months and folder.month not in wanted_months:
+            skipped.append((service, folder.year, folder.month, NOT_ASKED))
+        else:
+            present[folder.path] = folder
+    for path, schema in same_schema_paths(spark, list(present), **reader_options):
         if isinstance(schema, str):
+            year, month = next((f.year, f.month) for p, f in present.items() if path == p or path.startswith(f"{p}/"))
+            if not skip_unreadable:
+                raise ValueError(f"cannot read {service} {year}-{month:02d} at {path}: {schema}")
             skipped.append((service, year, month, schema))
             continue
         key = schema_key(schema)
-        groups[key].append(folder)
+        groups[key].append(path)
         group_schemas[key] = schema
 
     keep = ("file_year", "file_month") if with_file_month else ()
     parts = []
     for key, folders in groups.items():
-        reader = spark.read.options(**reader_options).schema(group_schemas[key])
+        reader = spark.read.options(**reader_options, recursiveFileLookup="true").schema(group_schemas[key])
         feed = reader.parquet(*folders)
         if with_file_month:
-            folder_month = r"/year=(\d{4})/month=(\d{2})/"
             path = F.col("_metadata.file_path")
             feed = feed.withColumns({
-                "file_year": F.regexp_extract(path, folder_month, 1).cast("int"),
-                "file_month": F.regexp_extract(path, folder_month, 2).cast("int"),
+                "file_year": F.regexp_extract(path, MONTH_FOLDER, 2).cast("int"),
+                "file_month": F.regexp_extract(path, MONTH_FOLDER, 3).cast("int"),
             })
         if sample_rate is not None:
             warnings.warn(f"reading a {sample_rate:.0%} sample of {service}", stacklevel=2)

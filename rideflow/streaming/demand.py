@@ -103,11 +103,11 @@ def join_forecast(demand: DataFrame, forecast: DataFrame, start: Column | None =
 
 
 def score_windows(demand: DataFrame, inputs: DataFrame, model: Model) -> DataFrame:
-    """Predicted beside observed trips of each hourly window.
+    """Predicted beside observed trips of each hourly window; NULL where a window has no inputs.
 
-    ``inputs`` holds the model inputs of the zones' hours, known before the hour starts.
+    ``inputs`` holds the model inputs of the zones' hours, known before the hour starts. They are
+    scored first; the windows join the finished forecasts.
     """
     flat = flat_windows(demand)
-    known = inputs.drop("trip_count")
-    joined = lookup_join(flat, known, {"PULocationID": "zone_id", "window_start": "hour_ts"}, how="inner", salts=1)
-    return model.transform(joined).select(*flat.columns, F.col("prediction").alias("forecast"))
+    forecasts = model.transform(inputs.drop("trip_count")).select("zone_id", "hour_ts", F.col("prediction").alias("forecast"))
+    return lookup_join(flat, forecasts, {"PULocationID": "zone_id", "window_start": "hour_ts"}, salts=1)

@@ -7,18 +7,28 @@ from pyspark.sql import functions as F
 
 from rideflow import schemas
 
-TOPIC = "taxi-trip-events"
-
-
-def kafka_events(spark: SparkSession, servers: str, topic: str = TOPIC, starting: str = "latest") -> DataFrame:
-    """Events of one topic; needs Spark's Kafka connector on the class path."""
-    return (
+def kafka_events(
+    spark: SparkSession,
+    servers: str,
+    topic: str,
+    starting: str = "latest",
+    most_per_batch: int | None = None,
+    fail_on_loss: bool = True,
+) -> DataFrame:
+    """Events of one topic; needs Spark's Kafka connector on the class path.
+
+    ``most_per_batch`` bounds the events of a micro-batch, the first one from the earliest offset included.
+    """
+    reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", starting)
-        .load()
+        .option("failOnDataLoss", str(fail_on_loss).lower())
     )
+    if most_per_batch:
+        reader = reader.option("maxOffsetsPerTrigger", most_per_batch)
+    return reader.load()
 
 
 def file_events(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
@@ -64,7 +74,7 @@ def encode_trips(trips: DataFrame, vendor: int = 1) -> DataFrame:
     return trips.select(F.col("pu_location_id").cast("string").alias("key"), F.to_json(fields).alias("value"))
 
 
-def write_to_kafka(events: DataFrame, servers: str, topic: str = TOPIC) -> None:
+def write_to_kafka(events: DataFrame, servers: str, topic: str) -> None:
     """Send encoded events; a zone's events share a key and so keep to one partition."""
     events.select("key", "value").write.format("kafka").option("kafka.bootstrap.servers", servers).option(
         "topic", topic

@@ -136,7 +136,7 @@ def test_time_split_is_complete(spark, sf_dir):
 
 def test_keyed_split_ignores_partitioning(spark, sf_dir):
     trips = q.cleaned(spark, sf_dir)
-    keys = ["pickup_ts", "pu_location_id", "fare_amount"]
+    keys = ["pickup_ts", "pu_location_id", "do_location_id"]
     train, test = keyed_split(trips, keys)
     again, _ = keyed_split(trips.repartition(7, "fare_amount"), keys)
     assert train.exceptAll(again).isEmpty() and train.count() == again.count()

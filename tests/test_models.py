@@ -92,7 +92,8 @@ def test_comparison_has_one_row_per_model(spark, trips):
 def test_tuning_picks_the_least_error(spark, trips):
     data = training_data(trips)
     grid = [{"maxDepth": 1, "numTrees": 1}, {"maxDepth": 4, "numTrees": 5}]
-    table, model = models.tune(models.forest("fare_amount"), grid, data.train, data.test, "fare_amount")
+    train, validation = data.train.randomSplit([0.8, 0.2], 1)
+    table, model = models.tune(models.forest("fare_amount"), grid, train, validation, "fare_amount")
     best = min(table.collect(), key=lambda r: r.rmse)
     assert best.chosen and table.filter("chosen").count() == 1
     assert model.getNumTrees == grid[best.setting]["numTrees"]

@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from rideflow.operators import clean, demand
 from rideflow.operators.analysis import trips_by_borough
 from rideflow.operators.enrich import hourly_weather, join_pickup_zone
-from rideflow.plans.preprocess import processed_trips
-from rideflow.sinks.tables import write_partitioned
+from rideflow.operators.splits import time_split
+from rideflow.plans.preprocess import build_trips, processed_trips
+from rideflow.sinks.tables import TRIP_PARTITIONS, write_partitioned
 from rideflow.sources.trips import read_processed, read_service
 from workload import fixtures as fx
 
@@ -87,6 +88,35 @@ def test_months_are_pruned_on_read(spark, tmp_path, sf_dir):
     assert "ReadSchema: struct<fare_amount:double>" in text
 
 
+def test_parts_of_a_time_split_are_ranges_and_prune_months(spark, tmp_path, sf_dir):
+    trips = fx.trips(spark, sf_dir).filter("pickup_ts IS NOT NULL").select(
+        "pickup_ts", "fare_amount", F.year("pickup_ts").alias("pickup_year"), F.month("pickup_ts").alias("pickup_month")
+    )
+    write_partitioned(trips, str(tmp_path / "trips"))
+    table = read_processed(spark, str(tmp_path / "trips"))
+    _, validation, test = time_split(table, month_columns=TRIP_PARTITIONS)
+    text = scan_details(validation)
+    assert "GreaterThanOrEqual(pickup_ts,2024-01-01" in text and "LessThan(pickup_ts,2024-07-01" in text
+    pruned = re.search(r"PartitionFilters: \[(.*?)\], PushedFilters", text).group(1)
+    assert "pickup_year" in pruned and "pickup_month" in pruned
+    months = {tuple(r) for r in test.select("pickup_year", "pickup_month").distinct().collect()}
+    assert months and all((y, m) >= (2024, 7) for y, m in months)
+
+
+def test_counters_of_the_batch_job_are_finished(spark, sf_dir, tmp_path):
+    reference, raw = fx.reference_folder(spark, sf_dir), tmp_path / "raw"
+    for service in ("yellow", "green"):
+        fx.raw_feed(spark, sf_dir, service).limit(200).write.parquet(str(raw / service / "year=2024" / "month=1"))
+    done = build_trips(spark, str(raw), f"{reference}/zones", f"{reference}/weather", str(tmp_path / "trips"), str(tmp_path / "report"))
+    assert "Scan parquet" not in plan(done.totals) and "FileScan" not in plan(done.totals)
+    before = {tuple(r) for r in done.trips.groupBy("pickup_year", "pickup_month").count().collect()}
+    again = build_trips(spark, str(raw), f"{reference}/zones", f"{reference}/weather", str(tmp_path / "trips"), period=clean.Period(2024, 1), dynamic=True)
+    assert {tuple(r) for r in again.trips.groupBy("pickup_year", "pickup_month").count().collect()} == before
+    january = {n for y, m, n in before if (y, m) == (2024, 1)} or {0}
+    assert again.totals.select(clean.FINAL).first()[0] in january
+    assert spark.read.parquet(str(tmp_path / "report" / "skipped")).isEmpty()
+
+
 def test_history_windows_are_cut_into_blocks(spark, sf_dir):
     text = plan(demand.add_history(demand.hourly_counts(fx.trips(spark, sf_dir))))
     assert re.search(r"Exchange hashpartitioning\(zone_id#\d+L, _block#\d+L", text)

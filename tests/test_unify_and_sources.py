@@ -10,7 +10,7 @@ from rideflow.operators.unify import FEEDS, unify, union_trips
 from rideflow.sinks.tables import write_report
 from rideflow.sources.manifest import ingest_manifest, stage_by_month
 from rideflow.sources.reference import read_zones, read_zones_or_none
-from rideflow.sources.trips import present_months, read_feeds, read_service
+from rideflow.sources.trips import NO_MONTH, NOT_ASKED, month_folders, read_feeds, read_service
 from workload import fixtures as fx
 
 
@@ -69,15 +69,61 @@ def test_months_of_different_types_and_broken_months(spark, tmp_path):
     broken.mkdir(parents=True)
     (broken / "part.parquet").write_bytes(b"not parquet at all")
 
-    read = read_service(spark, str(base), "yellow", with_file_month=True)
-    assert read.trips.count() == 7
+    with pytest.raises(ValueError, match="2023-07"):
+        read_service(spark, str(base), "yellow")
+    read = read_service(spark, str(base), "yellow", with_file_month=True, skip_unreadable=True)
+    assert read.trips.count() == 12
     months = {(r.file_year, r.file_month, r.n) for r in read.trips.groupBy("file_year", "file_month").agg(F.count("*").alias("n")).collect()}
-    assert months == {(2022, 1, 3), (2022, 2, 4)}
-    assert read.trips.agg(F.sum("pu_location_id")).first()[0] == 3 + 6
+    assert months == {(2021, 12, 5), (2022, 1, 3), (2022, 2, 4)}
+    assert read.trips.agg(F.sum("pu_location_id")).first()[0] == 3 + 6 + 10
     skipped = read.skipped.collect()
     assert [(r.service, r.year, r.month) for r in skipped] == [("yellow", 2023, 7)] and skipped[0].reason
 
 
+def test_any_month_folder_is_read_or_listed(spark, tmp_path):
+    base = tmp_path / "yellow"
+    for folder, n in (("year=2020/month=1", 2), ("year=2031/month=12/part=a/deep", 3), ("year=2020/month=01", 4), ("loose", 5)):
+        yellow(spark, n).write.parquet(str(base / folder))
+    read = read_service(spark, str(base), "yellow", with_file_month=True)
+    found = {(r.file_year, r.file_month, r.n) for r in read.trips.groupBy("file_year", "file_month").agg(F.count("*").alias("n")).collect()}
+    assert found == {(2020, 1, 6), (2031, 12, 3)}
+    assert [tuple(r)[1:] for r in read.skipped.collect()] == [(None, None, NO_MONTH)]
+    chosen = read_service(spark, str(base), "yellow", years=[2031], months=[12])
+    assert chosen.trips.count() == 3
+    assert sorted(tuple(r)[1:] for r in chosen.skipped.filter("year is not null").collect()) == [(2020, 1, NOT_ASKED)] * 2
+
+
+def test_files_of_a_month_may_differ(spark, tmp_path):
+    month = str(tmp_path / "year=2024" / "month=01")
+    full = yellow(spark, 4).withColumn("tip_amount", F.lit(2.0))
+    full.drop("tip_amount").write.parquet(month)
+    full.write.mode("append").parquet(month)
+    trips = read_service(spark, str(tmp_path), "yellow").trips
+    assert (trips.count(), trips.filter("tip_amount = 2.0").count()) == (8, 4)
+    full.withColumn("PULocationID", F.col("PULocationID").cast("double")).write.mode("append").parquet(month)
+    trips = read_service(spark, str(tmp_path), "yellow").trips
+    assert (trips.count(), trips.filter("tip_amount = 2.0").count(), trips.agg(F.sum("pu_location_id")).first()[0]) == (12, 8, 18)
+
+
+def test_a_month_of_two_schemas_is_staged_whole(spark, tmp_path):
+    feed, down = yellow(spark, 40), tmp_path / "down"
+    feed.coalesce(1).write.parquet(str(down / "a" / "yellow_tripdata_2024-01.parquet"))
+    feed.withColumn("PULocationID", F.col("PULocationID").cast("double")).write.parquet(str(down / "b" / "yellow_tripdata_2024-01.parquet"))
+    yellow(spark, 7).write.parquet(str(down / "yellow_tripdata_2024-02.parquet"))
+    for _ in range(2):  # staging again replaces the months
+        stage_by_month(spark, str(down), str(tmp_path / "raw"))
+        assert read_service(spark, str(tmp_path / "raw" / "yellow"), "yellow").trips.count() == 87
+
+
+def test_corrupt_files_may_be_left_out(spark, tmp_path):
+    month = tmp_path / "year=2024" / "month=01"
+    yellow(spark, 4).coalesce(1).write.parquet(str(month))
+    (month / "part-bad.parquet").write_bytes(b"not parquet at all")
+    assert read_service(spark, str(tmp_path), "yellow", ignore_corrupt=True).trips.count() == 4
+    with pytest.raises(ValueError, match="2024-01"):
+        read_service(spark, str(tmp_path), "yellow")
+
+
 def test_equal_schemas_share_a_scan(spark, tmp_path):
     for month in (1, 2, 3, 4):
         yellow(spark, month).write.parquet(str(tmp_path / "year=2022" / f"month={month:02d}"))
@@ -87,7 +133,7 @@ def test_equal_schemas_share_a_scan(spark, tmp_path):
 
 
 def test_nothing_to_read(spark, tmp_path):
-    assert present_months(spark, str(tmp_path / "absent")) == []
+    assert month_folders(spark, str(tmp_path / "absent")) == []
     read = read_feeds(spark, str(tmp_path / "absent"))
     assert read.trips.schema == schemas.TRIP and read.trips.isEmpty() and read.skipped.isEmpty()
 
@@ -111,7 +157,7 @@ def test_manifest_and_staging(spark, tmp_path):
         ("yellow", 2022, 2, "yellow_tripdata_2022-02.parquet", 4),
     }
     assert stage_by_month(spark, str(down), str(tmp_path / "raw")) == ["yellow"]
-    assert present_months(spark, str(tmp_path / "raw" / "yellow")) == [(2022, 1), (2022, 2)]
+    assert [f[:2] for f in month_folders(spark, str(tmp_path / "raw" / "yellow"))] == [(2022, 1), (2022, 2)]
     assert read_service(spark, str(tmp_path / "raw" / "yellow"), "yellow").trips.count() == 7
 
 

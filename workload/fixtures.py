@@ -208,7 +208,7 @@ def weather_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_weather(spark, f"{reference_folder(spark, sf_dir)}/weather")
 
 
-def event_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+def event_values(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
     """The events table as trip events: one JSON document per row in ``value``."""
     user = F.col("user_id")
     pattern = "yyyy-MM-dd HH:mm:ss.SSSSSS"
@@ -224,7 +224,7 @@ def event_values(spark: SparkSession, sf_dir: str) -> DataFrame:
         (user * 3 % 10 + 1).alias("DOLocationID"),
         F.col("value").alias("fare_amount"),
     )
-    return table(spark, sf_dir, "events").select(F.to_json(fields).alias("value"))
+    return table(spark, sf_dir, "events").select(F.to_json(fields).alias("value"), *keep)
 
 
 def flush_value(ts: str) -> str:
@@ -232,13 +232,33 @@ def flush_value(ts: str) -> str:
     return f'{{"tpep_pickup_datetime": "{ts}", "PULocationID": 0, "fare_amount": 0.0}}'
 
 
-def event_folder(spark: SparkSession, sf_dir: str, *flush_at: str) -> str:
-    """The events as text files for a file stream, then one flushing event per given time, each a later file."""
+EVENT_FILES = 6
+
+
+def event_folder(
+    spark: SparkSession, sf_dir: str, *flush_at: str, repeat_first: bool = False, flush_after: str | None = None
+) -> str:
+    """The events as text files for a file stream, in order of time, then one flushing event per given time.
+
+    ``repeat_first`` adds the first file's events once more, and ``flush_after`` another flushing event.
+    """
     folder = new_folder(spark, "events")
-    event_values(spark, sf_dir).write.text(folder)
-    for ts in flush_at:
-        line = spark.createDataFrame([(flush_value(ts),)], "value string")
-        line.coalesce(1).write.mode("append").text(folder)
+    span = table(spark, sf_dir, "events").agg(F.min("ts").cast("timestamp").alias("lo"), F.max("ts").cast("timestamp").alias("hi")).first()
+    step = (span["hi"] - span["lo"]) / EVENT_FILES
+    when = F.col("ts").cast("timestamp")
+
+    def file_of(n: int) -> DataFrame:
+        rows = event_values(spark, sf_dir, "ts").filter(when >= F.lit(span["lo"] + n * step))
+        rows = rows if n == EVENT_FILES - 1 else rows.filter(when < F.lit(span["lo"] + (n + 1) * step))
+        return rows.select("value")
+
+    def line(ts: str) -> DataFrame:
+        return spark.createDataFrame([(flush_value(ts),)], "value string")
+
+    files = [file_of(n) for n in range(EVENT_FILES)] + [line(ts) for ts in flush_at]
+    files += [file_of(0)] * repeat_first + [line(flush_after)] * bool(flush_after)
+    for rows in files:
+        rows.coalesce(1).write.mode("append").text(folder)
     return folder
 
 
@@ -273,3 +293,16 @@ def staged_folder(spark: SparkSession, sf_dir: str) -> str:
         stage_by_month(spark, download_folder(spark, sf_dir), folder)
         _written[key] = folder
     return _written[key]
+
+
+def broken_folder(spark: SparkSession, sf_dir: str) -> str:
+    """Staged months of their own, with an unreadable file in a month of 2023 and a file outside the layout."""
+    folder = new_folder(spark, "broken")
+    stage_by_month(spark, download_folder(spark, sf_dir), folder)
+    extra = raw_feed(spark, sf_dir, "green").limit(1)
+    extra.coalesce(1).write.parquet(f"{folder}/green/unsorted")
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/yellow/year=2023/month=13/part-0.parquet")
+    out = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).create(path)
+    out.writeBytes("no Parquet file")
+    out.close()
+    return folder

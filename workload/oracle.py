@@ -209,6 +209,11 @@ _REPORT_LINES = " UNION ALL ".join(
 )
 
 
+# Where a trip falls in the split by hash of its times and zones.
+_KEYED = """('0x' || substr(md5('42|' || strftime(pickup_ts, '%Y-%m-%d %H:%M:%S') || '|' || strftime(dropoff_ts, '%Y-%m-%d %H:%M:%S')
+        || '|' || pu_location_id || '|' || do_location_id), 1, 8))::BIGINT % 1000000"""
+
+
 def _metered_feed(service: str) -> str:
     return f"SELECT {_TRIP} FROM trips WHERE service_type = '{service}'"
 
@@ -292,6 +297,16 @@ BODIES: dict[str, str] = {
     "demand_lags": f"SELECT zone_id, hour_ts, trip_count, {_lag(1)}, {_lag(2)}, {_lag(24)}, {_lag(168)} FROM event_hours",
     "demand_rolling": f"SELECT zone_id, hour_ts, trip_count, {_mean(3)}, {_mean(24)}, {_mean(168)} FROM event_hours",
     "demand_rolling_filled": f"SELECT zone_id, hour_ts, trip_count, {_lag(24)}, {_mean(3)}, {_mean(24)}, {_mean(168)} FROM filled_hours",
+    "next_hour_inputs": f""", following AS (SELECT max(hour_ts) + INTERVAL 1 HOUR AS next_ts FROM event_demand),
+        firsts AS (SELECT zone_id, min(hour_ts) AS first_ts FROM event_demand GROUP BY 1),
+        reached AS (SELECT zone_id, next_ts AS hour_ts, CAST((epoch(next_ts) - epoch(first_ts)) // 3600 AS BIGINT) AS known FROM firsts, following),
+        passed AS (SELECT r.zone_id, r.hour_ts, known, trip_count, CAST((epoch(r.hour_ts) - epoch(d.hour_ts)) // 3600 AS BIGINT) AS ago
+          FROM reached r JOIN event_demand d USING (zone_id))
+        SELECT zone_id, hour_ts, {", ".join(
+            f"CASE WHEN known >= {n} THEN CAST(coalesce(sum(trip_count) FILTER (ago = {n}), 0) AS BIGINT) END AS lag_{n}h" for n in (1, 2, 24, 168))},
+        {", ".join(
+            f"round(coalesce(sum(trip_count) FILTER (ago BETWEEN 1 AND {n}), 0) / least({n}, known)::DOUBLE, 6) AS rolling_mean_{n}h" for n in (3, 24, 168))}
+        FROM passed GROUP BY zone_id, hour_ts, known""",
     "busiest_zones_by_hour": """SELECT zone_id, pickup_hour, trips, CAST(rank AS INTEGER) AS rank FROM (
         SELECT pu_location_id AS zone_id, CAST(hour(pickup_ts) AS INTEGER) AS pickup_hour, count(*) AS trips,
         row_number() OVER (PARTITION BY hour(pickup_ts) ORDER BY count(*) DESC, pu_location_id) AS rank
@@ -302,8 +317,23 @@ BODIES: dict[str, str] = {
     "feature_tables": """SELECT 'demand' AS "table", (SELECT count(*) FROM trip_hours) AS "rows", CAST(0 AS BIGINT) AS nulls
         UNION ALL SELECT 'trips', (SELECT count(*) FROM clean), 0""",
     "zone_profile": f"SELECT pu_location_id AS zone_id, count(*) AS trips, {_SHARES} FROM clean GROUP BY 1",
+    "random_split_counts": f"SELECT CASE WHEN {_KEYED} < 800000 THEN 'train' ELSE 'test' END AS part, count(*) AS trips FROM clean GROUP BY 1",
     "time_split_counts": """SELECT CASE WHEN pickup_ts < TIMESTAMP '2024-01-01' THEN 'train'
         WHEN pickup_ts < TIMESTAMP '2024-07-01' THEN 'validation' ELSE 'test' END AS part, count(*) AS trips FROM clean GROUP BY 1""",
+    "assembled_inputs": """SELECT pickup_ts, pu_location_id, do_location_id, fare_amount, trip_distance_mi,
+        round(ln(1 + trip_distance_mi), 6) AS log_distance,
+        round(sin(2 * pi() * pickup_hour / 24.0), 6) + 0.0 AS sin_hour, round(cos(2 * pi() * pickup_hour / 24.0), 6) + 0.0 AS cos_hour,
+        CAST(pickup_dayofweek IN (1, 7) AS DOUBLE) AS is_weekend,
+        CAST(pickup_dayofweek BETWEEN 2 AND 6 AND (pickup_hour BETWEEN 7 AND 9 OR pickup_hour BETWEEN 16 AND 19) AS DOUBLE) AS is_rush_hour,
+        CAST(pickup_hour >= 20 OR pickup_hour <= 6 AS DOUBLE) AS is_evening_night, CAST(is_airport_trip AS DOUBLE) AS is_airport,
+        round(coalesce(p.f, g.f) + 1e-9, 6) AS pu_fare_mean, round(coalesce(d.f, g.f) + 1e-9, 6) AS do_fare_mean,
+        round(coalesce(p.e, g.e) + 1e-9, 6) AS pu_eta_mean, round(coalesce(d.e, g.e) + 1e-9, 6) AS do_eta_mean
+        FROM test
+        LEFT JOIN (SELECT pu_location_id, avg(fare_amount) f, avg(trip_duration_min) e FROM train GROUP BY 1) p USING (pu_location_id)
+        LEFT JOIN (SELECT do_location_id, avg(fare_amount) f, avg(trip_duration_min) e FROM train GROUP BY 1) d USING (do_location_id)
+        JOIN (SELECT avg(fare_amount) f, avg(trip_duration_min) e FROM train) g ON true""",
+    "model_test_rows": f"""SELECT date_trunc('month', pickup_ts) AS period, count(*) AS trips, round(sum(fare_amount), 2) AS fare_sum,
+        round(sum(trip_duration_min), 2) AS minutes_sum FROM bounded WHERE {_KEYED} >= 800000 GROUP BY 1""",
     "target_encoding": """SELECT pickup_ts, pu_location_id, do_location_id, fare_amount, trip_duration_min,
         round(coalesce(p.f, g.f) + 1e-9, 6) AS pu_fare_mean, round(coalesce(d.f, g.f) + 1e-9, 6) AS do_fare_mean,
         round(coalesce(p.e, g.e) + 1e-9, 6) AS pu_eta_mean, round(coalesce(d.e, g.e) + 1e-9, 6) AS do_eta_mean
@@ -332,7 +362,7 @@ BODIES: dict[str, str] = {
         FROM bounded""",
     "baseline_demand": """SELECT zone_id, hour_ts, trip_count, round(b, 6) AS baseline_trips FROM event_demand e
         LEFT JOIN (SELECT zone_id AS z, hour(hour_ts) AS h, dayofweek(hour_ts) AS w, avg(trip_count) AS b FROM event_demand
-          WHERE hour_ts < TIMESTAMP '2024-01-22' GROUP BY 1, 2, 3) t
+          WHERE hour_ts < (SELECT CAST(max(ts) AS DATE) - INTERVAL 8 DAY FROM events) GROUP BY 1, 2, 3) t
         ON z = zone_id AND h = hour(hour_ts) AND w = dayofweek(hour_ts)""",
     "baseline_fare": f"""SELECT pickup_ts, pu_location_id, do_location_id, fare_amount,
         round(trip_distance_mi * {_FARE_RATE}, 6) AS baseline_fare FROM test""",
@@ -365,18 +395,25 @@ BODIES |= {
     "stream_sliding_demand": _SLIDING,
     "stream_demand_zones": _SLIDING_ZONES,
     "stream_tumbling_demand": "SELECT * FROM windows_10",
+    "stream_late_events": "SELECT * FROM windows_10",
+    "stream_scored_windows": """SELECT hour_ts AS window_start, hour_ts + INTERVAL 1 HOUR AS window_end, zone_id AS "PULocationID", count(*) AS trip_count,
+        round(avg(fare), 6) AS avg_fare FROM (SELECT date_trunc('hour', pickup_time) AS hour_ts, zone_id, fare FROM event_trips) GROUP BY 1, 2, 3""",
     "stream_surge_alerts": "SELECT * FROM alerts",
 }
 
-_FILED = "year(base_ts) BETWEEN 2022 AND 2024"
-_FILED_WIDE = _counters(f"(SELECT *, {_SECONDS} AS seconds FROM based WHERE {_FILED})", _failed())
+_FILED_WIDE = _counters(f"(SELECT *, {_SECONDS} AS seconds FROM based WHERE base_ts IS NOT NULL)", _failed())
 BODIES |= {
     "ingest_files": """SELECT service_type AS service, CAST(year(base_ts) AS INTEGER) AS year, CAST(month(base_ts) AS INTEGER) AS month,
         service_type || '_tripdata_' || strftime(base_ts, '%Y-%m') || '.parquet' AS file, count(*) AS rows FROM based GROUP BY 1, 2, 3, 4""",
-    "stage_layout": f"SELECT {_TRIP} FROM based WHERE {_FILED}",
+    "stage_layout": f"SELECT {_TRIP} FROM based WHERE base_ts IS NOT NULL",
     "drift_read": f"""SELECT service_type, CAST(year(base_ts) AS INTEGER) AS file_year, CAST(month(base_ts) AS INTEGER) AS file_month,
         count(*) AS trips, CAST(sum(pu_location_id) AS BIGINT) AS pu_sum, CAST(sum(do_location_id) AS BIGINT) AS do_sum
-        FROM based WHERE {_FILED} GROUP BY 1, 2, 3""",
+        FROM based WHERE base_ts IS NOT NULL GROUP BY 1, 2, 3""",
+    "skipped_months": """SELECT DISTINCT service_type AS service, CAST(year(base_ts) AS INTEGER) AS year, CAST(month(base_ts) AS INTEGER) AS month,
+        'not asked for' AS reason FROM based WHERE year(base_ts) NOT IN (2022, 2023)
+        UNION ALL SELECT 'yellow', 2023, 13, 'unreadable' UNION ALL SELECT 'green', NULL, NULL, 'not in a folder of a year and a month'""",
+    "batch_job_incremental": """SELECT pickup_year, pickup_month, count(*) AS trips,
+        (SELECT count(*) FROM processed WHERE pickup_year = 2024 AND pickup_month = 1) AS rebuilt_rows FROM processed GROUP BY 1, 2""",
     "batch_job": "SELECT * FROM processed",
     "batch_job_counts": f", {_FILED_WIDE} {_COUNTER_ROWS}",
     "month_csv": """SELECT pickup_year, pickup_month, pu_location_id, pickup_hour, fare_amount FROM featured

@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime, timedelta
 from functools import reduce
 from typing import Any
 
 from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,7 +24,7 @@ from rideflow.plans.training import SPLIT_KEYS, Trained, TrainingData, train_mod
 from rideflow.session import materialize, new_folder
 from rideflow.sinks import tables
 from rideflow.sources.manifest import ingest_manifest
-from rideflow.sources.trips import read_feeds, read_processed
+from rideflow.sources.trips import NO_MONTH, NOT_ASKED, read_feeds, read_processed
 from rideflow.streaming import alerts, sinks
 from rideflow.streaming import demand as live
 from rideflow.streaming.events import encode_trips, file_events, parse_events, replay_schedule
@@ -403,9 +405,9 @@ def training_features_reference_calendar(spark, sf_dir):
 
 @query
 def baseline_demand(spark, sf_dir):
-    """Expected trips for every hour, learned from the hours before 2024-01-22."""
+    """Expected trips for every hour, learned from the hours before the test days."""
     rows = demand.add_calendar(demand_rows(spark, sf_dir))
-    train = rows.filter(F.col("hour_ts") < F.lit("2024-01-22").cast("timestamp"))
+    train = rows.filter(F.col("hour_ts") < demand_test_from(spark, sf_dir))
     scored = baselines.apply_demand_baseline(rows, materialize(baselines.demand_baseline(train)))
     return rounded(scored.select("zone_id", "hour_ts", "trip_count", "baseline_trips"), "baseline_trips")
 
@@ -428,15 +430,26 @@ def baseline_eta(spark, sf_dir):
 def regression_metrics(spark, sf_dir):
     """Error of the fare and duration baselines per service, on the test trips."""
     train, _, test = splits.time_split(bounded(spark, sf_dir))
-    by = ("service_type",)
-    fare = baselines.regression_metrics(baselines.fare_baseline(test, train), "fare_amount", "baseline_fare", by)
-    eta = baselines.regression_metrics(baselines.eta_baseline(test, train), "trip_duration_min", "baseline_minutes", by)
-    both = fare.withColumn("task", F.lit("fare")).unionByName(eta.withColumn("task", F.lit("eta")))
-    return rounded(both, "rmse", "mae", "r2", "mape")
+    tasks = {"fare": ("fare_amount", "baseline_fare"), "eta": ("trip_duration_min", "baseline_minutes")}
+    measured = baselines.task_metrics(baselines.trip_baselines(test, train), tasks, ("service_type",))
+    return rounded(measured, "rmse", "mae", "r2", "mape")
 
 
 # Event windows over a finished batch
 
+#: The last days of the events test the demand model, the last one included.
+DEMAND_TEST_DAYS = 9
+
+
+def last_event(spark: SparkSession, sf_dir: str) -> datetime:
+    return fx.table(spark, sf_dir, "events").agg(F.max(F.col("ts").cast("timestamp"))).first()[0]
+
+
+def demand_test_from(spark: SparkSession, sf_dir: str) -> Column:
+    first = last_event(spark, sf_dir).date() - timedelta(days=DEMAND_TEST_DAYS - 1)
+    return F.lit(str(first)).cast("timestamp")
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return parse_events(fx.event_values(spark, sf_dir))
 
@@ -502,7 +515,10 @@ def replay_times(spark, sf_dir):
 
 # The same windows on a file stream, run until its input is used up
 
-FLUSH_TIMES = ("2024-03-01 00:00:00", "2024-03-02 00:00:00", "2024-03-03 00:00:00")
+def _flush_times(spark: SparkSession, sf_dir: str, times: int) -> list[str]:
+    """Days after the last event, one each; events of these times close all windows before them."""
+    last = last_event(spark, sf_dir).date()
+    return [f"{last + timedelta(days=2 + n)} 00:00:00" for n in range(times)]
 
 
 def _updates(spark: SparkSession, stream: DataFrame, keys: list[str]) -> DataFrame:
@@ -518,7 +534,8 @@ def _appends(spark: SparkSession, stream: DataFrame) -> DataFrame:
 
 
 def _stream(spark: SparkSession, sf_dir: str, *flush_at: str) -> DataFrame:
-    return file_events(spark, fx.event_folder(spark, sf_dir, *flush_at))
+    """The events as a stream of a file per micro-batch, the flushing events last."""
+    return file_events(spark, fx.event_folder(spark, sf_dir, *flush_at), files_per_batch=1)
 
 
 @query
@@ -539,7 +556,17 @@ def stream_demand_zones(spark, sf_dir):
 @query
 def stream_tumbling_demand(spark, sf_dir):
     """Append mode; a later event closes the last windows and is left out of the result."""
-    windows = live.flat_windows(live.tumbling_demand(parse_events(_stream(spark, sf_dir, FLUSH_TIMES[0]))))
+    flush = _flush_times(spark, sf_dir, 1)
+    windows = live.flat_windows(live.tumbling_demand(parse_events(_stream(spark, sf_dir, *flush))))
+    return rounded(_appends(spark, windows).filter("PULocationID <> 0"), "avg_fare")
+
+
+@query
+def stream_late_events(spark, sf_dir):
+    """Events again after the watermark has passed them: they are dropped, the windows stay as they were."""
+    flush = _flush_times(spark, sf_dir, 2)
+    folder = fx.event_folder(spark, sf_dir, flush[0], repeat_first=True, flush_after=flush[1])
+    windows = live.flat_windows(live.tumbling_demand(parse_events(file_events(spark, folder, files_per_batch=1))))
     return rounded(_appends(spark, windows).filter("PULocationID <> 0"), "avg_fare")
 
 
@@ -547,7 +574,7 @@ def stream_tumbling_demand(spark, sf_dir):
 def stream_surge_alerts(spark, sf_dir):
     """Two chained window aggregates in append mode."""
     forecast = window_forecast(spark, sf_dir)
-    found = live_alerts(_stream(spark, sf_dir, *FLUSH_TIMES), forecast, SURGE_THRESHOLD)
+    found = live_alerts(_stream(spark, sf_dir, *_flush_times(spark, sf_dir, 3)), forecast, SURGE_THRESHOLD)
     return rounded(_appends(spark, found).filter("PULocationID <> 0"), "peak_ratio")
 
 
@@ -581,6 +608,26 @@ def drift_read(spark, sf_dir):
     )
 
 
+@query
+def skipped_months(spark, sf_dir):
+    """What a read of two years leaves out, one unreadable month and files outside the layout included."""
+    folder = fx.broken_folder(spark, sf_dir)
+    found = read_feeds(spark, folder, years=(2022, 2023), skip_unreadable=True).skipped
+    known = F.col("reason").isin(NOT_ASKED, NO_MONTH)
+    return found.withColumn("reason", F.when(known, F.col("reason")).otherwise("unreadable"))
+
+
+@query
+def batch_job_incremental(spark, sf_dir):
+    """Trips per month after the whole job and a second run for one month into the same table."""
+    reference, out = fx.reference_folder(spark, sf_dir), new_folder(spark, "batch")
+    paths = (fx.staged_folder(spark, sf_dir), f"{reference}/zones", f"{reference}/weather", f"{out}/trips")
+    build_trips(spark, *paths)
+    again = build_trips(spark, *paths, period=clean.Period(2024, 1), dynamic=True)
+    counted = again.trips.groupBy("pickup_year", "pickup_month").agg(F.count(F.lit(1)).alias("trips"))
+    return counted.withColumn("rebuilt_rows", again.totals.select(clean.FINAL).scalar())
+
+
 @query
 def batch_job(spark, sf_dir):
     """The preprocessing job from monthly files to processed trips."""
@@ -631,16 +678,43 @@ def random_split_counts(spark, sf_dir):
     return both.groupBy("part").agg(F.count(F.lit(1)).alias("trips"))
 
 
+@query
+def assembled_inputs(spark, sf_dir):
+    """The input vector of the trip models for the test period, slot by slot; the zone means are of the training period."""
+    parts = lambda rows: _time_parts(rows)[::2]
+    data = training_data(_trip_table(spark, sf_dir), split=parts)
+    slots = vector_to_array("features")
+    keys = ["pickup_ts", "pu_location_id", "do_location_id", "fare_amount"]
+    made = data.test.select(*keys, *(slots[i].alias(name) for i, name in enumerate(data.features)))
+    return rounded(rounded(made, "log_distance", "sin_hour", "cos_hour"), *encoding.ENCODED, nudge=NUDGE)
+
+
+@query
+def model_test_rows(spark, sf_dir):
+    """Trips and label sums per month of the part that tests the trip models."""
+    test = training_data(_trip_table(spark, sf_dir)).test
+    month = F.date_trunc("month", "pickup_ts").alias("period")
+    return test.groupBy(month).agg(
+        F.count(F.lit(1)).alias("trips"),
+        F.round(F.sum("fare_amount"), 2).alias("fare_sum"),
+        F.round(F.sum("trip_duration_min"), 2).alias("minutes_sum"),
+    )
+
+
 def _trip_models(spark: SparkSession, sf_dir: str) -> Trained:
     make = lambda: train_models(_trip_table(spark, sf_dir), new_folder(spark, "models"), **SMALL)
     return _once(spark, sf_dir, "trips", make)
 
 
+def _time_parts(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return splits.time_split(rows, month_columns=tables.TRIP_PARTITIONS)
+
+
 def _booking_data(spark: SparkSession, sf_dir: str) -> TrainingData:
     """Booking-time inputs, split by time: the last half year tests."""
 
     def by_time(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
-        train, validation, test = splits.time_split(rows)
+        train, validation, test = _time_parts(rows)
         return train.unionByName(validation), test
 
     make = lambda: training_data(_trip_table(spark, sf_dir), booking_time_only=True, split=by_time)
@@ -676,7 +750,7 @@ def model_health(spark, sf_dir):
 
 @query
 def model_comparison(spark, sf_dir):
-    """Three algorithms and the baseline for fare and duration, on booking-time inputs and a split by time."""
+    """Three algorithms and the baseline for fare, duration and demand, each on a split by time."""
     data = _booking_data(spark, sf_dir)
     distance = "centroid_distance_mi"
     tests = {
@@ -687,13 +761,19 @@ def model_comparison(spark, sf_dir):
     for task, label in (("fare", "fare_amount"), ("eta", "trip_duration_min")):
         estimators = models.algorithms(label, iterations=3, trees=5, depth=4)
         compared.append(models.compare(task, label, estimators, data.train, tests[task], "guess")[0])
+    train, test = _demand_parts(spark, sf_dir)
+    prepare = preparation(demand_ml.DEMAND_FEATURES, demand_ml.DEMAND_CATEGORIES).fit(train)
+    estimators = models.algorithms("trip_count", iterations=3, trees=5, depth=4)
+    guessed = prepare.transform(test.withColumnRenamed("baseline_trips", "guess"))
+    compared.append(models.compare("demand", "trip_count", estimators, prepare.transform(train), guessed, "guess")[0])
     return reduce(DataFrame.unionByName, compared)
 
 
 @query
 def tuned_model(spark, sf_dir):
-    """Forest settings fitted on the training period and scored on the later one."""
-    data = _booking_data(spark, sf_dir)
+    """Forest settings fitted on the training period and chosen on the validation period; the test period is not read."""
+    data = _once(spark, sf_dir, "tuning", lambda: training_data(
+        _trip_table(spark, sf_dir), booking_time_only=True, split=lambda rows: _time_parts(rows)[:2]))
     grid = [{"maxDepth": depth, "numTrees": trees} for depth in (3, 5) for trees in (3, 6)]
     return models.tune(models.forest("fare_amount"), grid, data.train, data.test, "fare_amount")[0]
 
@@ -731,38 +811,50 @@ def zone_clusters(spark, sf_dir):
     return clusters.assign_clusters(vectors, clusters.fit_clusters(vectors, 4))
 
 
-def _demand_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Model inputs of every hour of the event zones."""
-    trips = fx.table(spark, sf_dir, "events").select(
+def _event_pickups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fx.table(spark, sf_dir, "events").select(
         (F.col("user_id") % 10 + 1).alias("pu_location_id"), F.col("ts").cast("timestamp").alias("pickup_ts")
     )
-    vectors = clusters.profile_vectors(demand.zone_profiles(trips))
+
+
+def _demand_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model inputs of every hour of the event zones and of the hour after the last one.
+
+    The zones are grouped by the trips of the training hours.
+    """
+    trips = _event_pickups(spark, sf_dir)
+    before = trips.filter(F.col("pickup_ts") < demand_test_from(spark, sf_dir))
+    vectors = clusters.profile_vectors(demand.zone_profiles(before))
     groups = materialize(clusters.assign_clusters(vectors, clusters.fit_clusters(vectors, 3)))
-    history = demand.add_history(demand.fill_hours(demand.hourly_counts(trips)))
+    history = demand.add_history(demand_ml.with_next_hour(demand.hourly_counts(trips)))
     described = demand.describe_hours(
         history, fx.zones(spark, sf_dir), hourly(spark, sf_dir), fx.holidays(spark, sf_dir)
     )
     return demand_ml.demand_features(described, groups)
 
 
-DEMAND_TEST_FROM = "2024-01-22"
-
-
 def _demand_model(spark: SparkSession, sf_dir: str):
     def make():
-        train = _demand_inputs(spark, sf_dir).filter(F.col("hour_ts") < F.lit(DEMAND_TEST_FROM).cast("timestamp"))
+        train = _demand_inputs(spark, sf_dir).filter(F.col("hour_ts") < demand_test_from(spark, sf_dir))
         prepare = preparation(demand_ml.DEMAND_FEATURES, demand_ml.DEMAND_CATEGORIES)
-        return models.fit(Pipeline(stages=[prepare, models.gbt("trip_count", 5, 4)]), train)
+        path = new_folder(spark, "demand-model")
+        models.save(models.fit(Pipeline(stages=[prepare, models.gbt("trip_count", 5, 4)]), train), path)
+        return models.load_pipeline(path)
 
     return _once(spark, sf_dir, "demand", make)
 
 
+def _demand_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Training hours, and test hours with the baseline of the training hours."""
+    rows = _demand_inputs(spark, sf_dir).filter(F.col("trip_count").isNotNull())
+    start = demand_test_from(spark, sf_dir)
+    train = rows.filter(F.col("hour_ts") < start)
+    expected = materialize(baselines.demand_baseline(train))
+    return train, baselines.apply_demand_baseline(rows.filter(F.col("hour_ts") >= start), expected)
+
+
 def _demand_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _demand_inputs(spark, sf_dir)
-    start = F.lit(DEMAND_TEST_FROM).cast("timestamp")
-    expected = materialize(baselines.demand_baseline(rows.filter(F.col("hour_ts") < start)))
-    test = baselines.apply_demand_baseline(rows.filter(F.col("hour_ts") >= start), expected)
-    return _demand_model(spark, sf_dir).transform(test)
+    return _demand_model(spark, sf_dir).transform(_demand_parts(spark, sf_dir)[1])
 
 
 @query
@@ -780,15 +872,35 @@ def demand_importance(spark, sf_dir):
     return models.feature_importance(spark, fitted, names)
 
 
+@query
+def next_hour_inputs(spark, sf_dir):
+    """History of the hour after the last one, per zone."""
+    counts = demand_ml.with_next_hour(demand.hourly_counts(_event_pickups(spark, sf_dir)))
+    ahead = demand.add_history(counts).filter(F.col("trip_count").isNull())
+    return rounded(ahead.drop("trip_count"), *demand_ml.MEANS)
+
+
 @query
 def next_hour_top5(spark, sf_dir):
-    scored = demand_ml.next_hour_top(_demand_scored(spark, sf_dir))
+    """The zones of highest predicted demand in the hour after the last one."""
+    ahead = _demand_inputs(spark, sf_dir).filter(F.col("trip_count").isNull())
+    scored = demand_ml.next_hour_top(_demand_model(spark, sf_dir).transform(ahead))
     return scored.select("zone_id", "hour_ts", "prediction")
 
 
 @query
 def stream_scored_demand(spark, sf_dir):
-    """Hourly demand of the stream beside the forecast of the fitted model."""
+    """Hourly demand of the stream beside the forecast of the fitted model; every window stays."""
+    return _scored_stream(spark, sf_dir)
+
+
+@query
+def stream_scored_windows(spark, sf_dir):
+    """The same stream without the forecast, which SQL does not know."""
+    return rounded(_scored_stream(spark, sf_dir).drop("forecast"), "avg_fare")
+
+
+def _scored_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     windows = live.windowed_demand(parse_events(_stream(spark, sf_dir)), "1 hour", watermark="15 minutes")
     inputs = materialize(_demand_inputs(spark, sf_dir))
     scored = live.score_windows(windows, inputs, _demand_model(spark, sf_dir))
