@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from rideflow.operators.clean import DUPLICATES, FINAL, INITIAL, RULES
-from rideflow.operators.quality import REPORTED
 from workload import fixtures as fx
 
 _HOLIDAY_ROWS = ", ".join(f"(DATE '{day}')" for day in fx.HOLIDAYS)
@@ -181,6 +180,21 @@ wide AS (SELECT count(*) AS "{INITIAL}", {rules},
 
 
 _WIDE = _counters("timed", _failed())
+# The report's texts, spelled out here so that a wrong text in the report is found.
+REPORTED = (
+    ("01_null_keys_removed", "Missing keys", "a pickup or dropoff time or zone is absent"),
+    ("02_invalid_zones_removed", "Zone out of range", "a zone id is not between 1 and 263"),
+    ("03_non_positive_fare_removed", "Fare not positive", "void, refund or test entry"),
+    ("04_absurd_fare_removed", "Fare too high", "more than 1000 dollars"),
+    ("05_non_positive_distance_removed", "Distance not positive", "the vehicle did not move"),
+    ("06_absurd_distance_removed", "Distance too long", "more than 200 miles"),
+    ("07_time_inversion_removed", "Times inverted", "dropoff not after pickup"),
+    ("08_duration_anomalies_removed", "Duration out of range", "under 60 seconds or over 6 hours"),
+    ("10_impossible_speed_removed", "Speed out of range", "under 0.5 or over 90 miles per hour"),
+    ("11_out_of_period_removed", "Outside the period", "pickup date not in the accepted period"),
+    ("12_passenger_anomalies_removed", "Passenger count", "known and not between 1 and 8"),
+    (DUPLICATES, "Duplicates", "equal to another row in every column"),
+)
 _KEYS = (INITIAL, *(rule.key for rule in RULES), DUPLICATES, FINAL)
 _COUNTER_ROWS = " UNION ALL ".join(
     f"SELECT '{key}' AS rule, CAST(\"{key}\" AS BIGINT) AS rows FROM wide" for key in _KEYS
