@@ -656,9 +656,19 @@ def month_csv(spark, sf_dir):
     return spark.read.schema(trips.schema).option("header", True).csv(folder)
 
 
-# Models, small in size so that every query stays quick.
+# Models
+
+def _model_size(spark: SparkSession) -> dict[str, int]:
+    """Rounds and depth of the registered trip models, from the session's ``rideflow.models.rounds`` and ``.depth``.
+
+    The small defaults let a check of all queries end within minutes; the library's own are 100 and 10.
+    """
+    return {
+        "iterations": int(spark.conf.get("rideflow.models.rounds", "5")),
+        "depth": int(spark.conf.get("rideflow.models.depth", "5")),
+    }
+
 
-SMALL = {"iterations": 5, "depth": 5}
 def _trip_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Processed trips with booking-time columns, written by month: models are trained on tables, not on raw feeds."""
 
@@ -702,7 +712,7 @@ def model_test_rows(spark, sf_dir):
 
 
 def _trip_models(spark: SparkSession, sf_dir: str) -> Trained:
-    make = lambda: train_models(_trip_table(spark, sf_dir), new_folder(spark, "models"), **SMALL)
+    make = lambda: train_models(_trip_table(spark, sf_dir), new_folder(spark, "models"), **_model_size(spark))
     return _once(spark, sf_dir, "trips", make)
 
 
