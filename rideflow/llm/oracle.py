@@ -34,3 +34,43 @@ SELECT doc_id, size::BIGINT AS size, source_size, target,
   (size * (floor(rate) + CASE WHEN coin < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken
 FROM rated
 """
+
+# All pairs, and everything that links reach. Vectors of the table are never null, empty or zero
+# and have one length, which the SQL relies on.
+ORACLE["op1_embedding_near_dedup"] = """
+WITH RECURSIVE vectors AS (
+  SELECT row_number() OVER () AS row, vec_id, embedding::DOUBLE[] AS x FROM embeddings
+), links AS (
+  SELECT a.row AS a, b.row AS b FROM vectors a JOIN vectors b ON a.row <> b.row WHERE list_cosine_similarity(a.x, b.x) >= 0.95
+), reach AS (
+  SELECT row AS a, row AS b FROM vectors UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a
+), least AS (
+  SELECT a AS row, min(vec_id) AS component_id FROM reach JOIN vectors ON vectors.row = b GROUP BY 1
+)
+SELECT vec_id, (SELECT count(*) FROM links WHERE links.a = v.row) AS n_links, component_id, vec_id = component_id AS kept
+FROM vectors v JOIN least USING (row)
+"""
+
+# The turns of the table are plain text, so each request of a user is a call of ``reply``.
+ORACLE["op7_tool_call_linking"] = """
+WITH calls AS (
+  SELECT conv_id, conv_id || ':' || turn AS call_id, turn, text,
+    CASE WHEN turn >= 2 THEN '{"after":{"$ref":"' || conv_id || ':' || (turn - 2) || '"},' ELSE '{' END
+      || '"prompt":' || to_json(coalesce(text, ''))::VARCHAR || '}' AS arguments
+  FROM conversations WHERE role = 'user'
+), results AS (
+  SELECT conv_id, conv_id || ':' || (turn - 1) AS call_id, turn, coalesce(text, '') AS content FROM conversations WHERE role = 'assistant'
+), first_calls AS (
+  SELECT conv_id, call_id, min(turn) AS call_turn, arg_min(arguments, (turn, arguments)) AS arguments, count(*) AS n_calls FROM calls GROUP BY 1, 2
+), first_results AS (
+  SELECT conv_id, call_id, min(turn) AS result_turn, arg_min(content, (turn, content)) AS content, count(*) AS n_results FROM results GROUP BY 1, 2
+)
+SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.call_id, r.call_id) AS call_id, call_turn,
+  CASE WHEN n_calls > 0 THEN 0::BIGINT END AS call_index, result_turn, CASE WHEN n_calls > 0 THEN 'reply' END AS name,
+  call_turn AS lift_turn, CASE WHEN n_calls > 0 THEN 0::BIGINT END AS lift_index, CASE WHEN n_calls > 0 THEN 0 END AS step, false AS cyclic,
+  coalesce(n_calls, 0) AS n_calls, coalesce(n_results, 0) AS n_results,
+  CASE WHEN n_calls > 0 THEN '' ELSE 'no call' END AS errors, coalesce(n_calls, 0) > 0 AS valid,
+  '{"arguments":' || coalesce(arguments, 'null') || ',"id":"' || coalesce(c.call_id, r.call_id) || '","name":'
+    || CASE WHEN n_calls > 0 THEN '"reply"' ELSE 'null' END || ',"result":' || coalesce(to_json(content)::VARCHAR, 'null') || '}' AS json
+FROM first_calls c FULL JOIN first_results r ON c.conv_id = r.conv_id AND c.call_id = r.call_id
+"""
