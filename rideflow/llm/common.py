@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rideflow.session import materialize, new_folder
 
-__all__ = ["arrow_batches", "document_words", "fresh", "materialize", "read_table", "small_batches", "whole_text", "written"]
+__all__ = ["arrow_batches", "document_words", "fresh", "materialize", "read_table", "sized", "small_batches", "whole_text", "written"]
 
 #: Rows of one Arrow batch. A document may hold megabytes, so batches are kept short.
 BATCH_ROWS = 200
@@ -60,6 +60,15 @@ def fresh(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
+#: Narrow rows of a task where the number of rows is known.
+TASK_ROWS = 200_000
+
+
+def sized(df: DataFrame, rows: int) -> DataFrame:
+    """In as many tasks as so many narrow rows need, rather than in all shuffle partitions."""
+    return df.coalesce(max(4, -(-rows // TASK_ROWS)))
+
+
 def written(df: DataFrame, purpose: str) -> DataFrame:
     """The frame as a Parquet table in the shared folder: computed once, free of lineage."""
     folder = new_folder(df.sparkSession, purpose)

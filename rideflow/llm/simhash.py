@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rideflow.llm.common import fresh, small_batches, whole_text, written
+from rideflow.llm.common import fresh, sized, small_batches, whole_text, written
 from rideflow.llm.components import components
 
 BITS, SHINGLE, SEED, DISTANCE = 64, 4, 42, 4
@@ -144,8 +144,9 @@ def print_components(nodes: DataFrame, distance: int = DISTANCE) -> DataFrame:
     Stars along the buckets come first. Then all fingerprints look for partners of another
     component; only such links are formed, and they are all that is missing.
     """
-    first = written(components(_star_links(nodes, distance)), "stars")
-    grouped = written(_lookup(nodes.select("print", F.col("print").alias("group")), first, "group"), "groups")
+    rows = nodes.count()
+    first = written(sized(components(_star_links(nodes, distance)), rows), "stars")
+    grouped = written(sized(_lookup(nodes.select("print", F.col("print").alias("group")), first, "group"), rows), "groups")
     table = _indexed(grouped, distance).select("key", F.col("print").alias("there"), F.col("group").alias("b"))
     asked = _probes(grouped, distance).select("key", "start", F.col("print").alias("here"), F.col("group").alias("a"))
     difference = F.col("here").bitwiseXOR(F.col("there"))
@@ -156,7 +157,7 @@ def print_components(nodes: DataFrame, distance: int = DISTANCE) -> DataFrame:
         & _chains_hold(difference, F.col("start"), distance)
     )
     found = asked.join(table.hint("shuffle_hash"), "key").where(condition)
-    second = written(components(found.select("a", "b")), "joined")
+    second = written(sized(components(found.select("a", "b")), rows), "joined")
     return _lookup(grouped, second, "group").select("print", F.col("group").alias("component"))
 
 
@@ -175,11 +176,12 @@ def near_groups(docs: DataFrame, key: str = "doc_id", distance: int = DISTANCE)
     than all others: a component of null keys only is null. Repeated rows share a component.
     """
     prints = fingerprinted(docs, key)
-    nodes = written(prints.groupBy("print").agg(F.count(F.lit(1)).alias("copies"), F.min("key").alias("least")), "nodes")
+    rows = prints.count()  # at most so many distinct fingerprints
+    nodes = written(sized(prints.groupBy("print").agg(F.count(F.lit(1)).alias("copies"), F.min("key").alias("least")), rows), "nodes")
     groups = print_components(nodes.select("print", "copies"), distance).withColumnRenamed("component", "group")
-    groups = written(groups.join(nodes.select("print", "least"), "print"), "print-groups")
-    least = written(groups.groupBy("group").agg(F.min("least").alias("component")), "least-keys")
-    named = written(groups.drop("least").join(least, "group"), "named")
+    groups = written(sized(groups.join(nodes.select("print", "least"), "print"), rows), "print-groups")
+    least = written(sized(groups.groupBy("group").agg(F.min("least").alias("component")), rows), "least-keys")
+    named = written(sized(groups.drop("least").join(least, "group"), rows), "named")
     return prints.join(named, "print").select("key", "text_hash", "print", "group", "component")
 
 
