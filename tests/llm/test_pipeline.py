@@ -81,7 +81,8 @@ def test_odd_documents(spark, staged):
     """Nulls in any column, repeated rows and an extra column pass through all stages."""
     sf_dir = staged[0]
     docs = read_table(spark, sf_dir, "documents").limit(150).withColumn("score", F.lit("own"))
-    odd = spark.createDataFrame([(None, None, None, None, None, None), (None, "", None, None, 0, "x"), (1, None, "en", "src1", None, "y")] * 2, docs.schema)
+    odd = spark.createDataFrame([(None, None, None, None, None, None), (None, "", None, None, 0, "x"), (1, None, "en", "src1", None, "y")] * 2,
+                                "doc_id long, text string, lang string, source string, n_chars long, score string")
     now = docs.union(docs.limit(20)).union(odd)
     for _, stage in corpus_pipeline.STAGES:
         now = stage(spark, now, sf_dir)
