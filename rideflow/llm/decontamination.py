@@ -1,8 +1,9 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
+"""Benchmark decontamination: n-gram seeds, two upper bounds, then Smith-Waterman alignment.
 
 The benchmark is taken in blocks of bounded size; a block is broadcast and all documents are read
-against it, twice: once to count in how many documents each n-gram of the block occurs, once to
-look for its rare n-grams and to align around them. Documents are never shuffled.
+against it once. Every n-gram of an item is a seed, so no edit elsewhere silences a stretch that
+survives; what common n-grams bring in besides is held off by bounds that no leak can fail.
+Documents are never shuffled.
 """
 
 from __future__ import annotations
@@ -19,8 +20,8 @@ from rideflow.llm.common import small_batches, whole_text
 
 WORD = re.compile(r"\w+")
 SEED_WORDS = 3
-#: In every stretch of so many n-grams of an item the rarest ones are seeds.
-STRETCH = 6
+#: In every stretch of so many n-grams of an item there is a seed: each of them is one.
+STRETCH = 1
 #: An item is leaked from this share of its best possible alignment score, or from LONG_RUN whole
 #: words; an item of fewer than SHORT words needs all of them.
 LEAST_SCORE, LONG_RUN, SHORT = 0.5, 30, 8
@@ -67,6 +68,24 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[float, int, int]:
     return best, *found
 
 
+def least_score(length: int) -> float:
+    """The alignment score from which an item of so many words is leaked."""
+    return min(MATCH * length * (1.0 if length < SHORT else LEAST_SCORE), MATCH * LONG_RUN)
+
+
+def common_words(item: np.ndarray, text: np.ndarray) -> int:
+    """The length of the longest common subsequence, one bit per item word; no alignment matches more words."""
+    bits: dict[int, int] = {}
+    for i, word in enumerate(item.tolist()):
+        bits[word] = bits.get(word, 0) | 1 << i
+    full = rest = (1 << len(item)) - 1
+    for word in text.tolist():
+        match = rest & bits.get(word, 0)
+        if match:
+            rest = (rest + match | rest - match) & full
+    return len(item) - rest.bit_count()
+
+
 class Block:
     """A block of benchmark items: word numbers and an index of their n-grams."""
 
@@ -79,9 +98,9 @@ class Block:
         self.items = [np.array([self.number[w] for w in words], np.int64) for words in texts]
         keyed = [self._grams(x) for x in self.items]
         self.grams = np.unique(np.concatenate(keyed)) if keyed else np.zeros(0, np.int64)
-        self.counts = np.zeros(len(self.grams), np.int64)
-        self.seeds: dict[int, list[tuple[int, int]]] = {}
         self.seed_grams = np.zeros(0, np.int64)
+        self.holders: tuple[np.ndarray, np.ndarray] = (np.zeros(1, np.int64), np.zeros(0, np.int64))
+        self.own: list[tuple[np.ndarray, np.ndarray]] = []
 
     def _grams(self, words: np.ndarray) -> np.ndarray:
         """The n-grams as numbers; -1 where a word is not of the benchmark."""
@@ -108,43 +127,67 @@ class Block:
         return np.flatnonzero(table[at] == grams)
 
     def choose_seeds(self) -> None:
-        """The rarest n-grams of every stretch of every item, by the documents that hold them."""
-        for i, words in enumerate(self.items):
-            grams = self._grams(words)
-            if not len(grams):
-                continue
-            count = self.counts[np.searchsorted(self.grams, grams)]
-            width = min(STRETCH, len(grams))
-            stretches = np.lib.stride_tricks.sliding_window_view(count, width)
-            rare = stretches == stretches.min(axis=1)[:, None]
-            for at in np.unique((np.arange(len(stretches))[:, None] + np.arange(width))[rare]):
-                self.seeds.setdefault(int(grams[at]), []).append((i, int(at)))
-        self.seed_grams = np.array(sorted(self.seeds), np.int64)
+        """An index of all n-grams of every item: which items hold each, and where."""
+        keyed = [self._grams(words)[::STRETCH] for words in self.items]
+        orders = [np.argsort(grams, kind="stable") for grams in keyed]
+        self.own = [(grams[order], order * STRETCH) for grams, order in zip(keyed, orders)]
+        pairs = [np.unique(grams) for grams in keyed]
+        grams = np.concatenate([np.zeros(0, np.int64), *pairs])
+        items = np.repeat(np.arange(len(pairs)), [len(x) for x in pairs])
+        order = np.argsort(grams, kind="stable")
+        self.seed_grams, first = np.unique(grams[order], return_index=True)
+        self.holders = np.append(first, len(grams)), items[order]
+
+    @property
+    def seeds(self) -> dict[int, list[tuple[int, int]]]:
+        """By n-gram the items that hold it and where; for small blocks."""
+        out: dict[int, list[tuple[int, int]]] = {}
+        for i, (grams, places) in enumerate(self.own):
+            for gram, place in zip(grams.tolist(), places.tolist()):
+                out.setdefault(gram, []).append((i, place))
+        return out
+
+    def _starts(self, item: int, grams: np.ndarray, at: np.ndarray) -> list[int]:
+        """Where the item starts in a text by each of its seeds there."""
+        own, places = self.own[item]
+        first = np.searchsorted(own, grams[at])
+        many = np.searchsorted(own, grams[at], "right") - first
+        each = np.repeat(first - np.cumsum(many) + many, many) + np.arange(many.sum())
+        return np.unique(np.repeat(at, many) - places[each]).tolist()
 
     def leaks(self, text: str) -> list[dict]:
         """The items that the text holds, each with its best alignment."""
         words, grams = self.read(text)
-        hits: dict[int, list[int]] = {}
-        for at in self.places(grams, self.seed_grams):
-            for item, place in self.seeds[int(grams[at])]:
-                hits.setdefault(item, []).append(int(at) - place)
+        at = self.places(grams, self.seed_grams)
+        if not len(at):
+            return []
+        bounds, holders = self.holders
+        hit = np.searchsorted(self.seed_grams, np.unique(grams[at]))
+        held = np.zeros(self.base, bool)
+        held[words] = True
         out = []
-        for item, starts in sorted(hits.items()):
+        for item in np.unique(np.concatenate([holders[bounds[h] : bounds[h + 1]] for h in hit])).tolist():
             wanted = self.items[item]
+            least = least_score(len(wanted))
+            # A match scores MATCH and all else costs, so the words in common bound the score.
+            if MATCH * np.count_nonzero(held[wanted]) < least:
+                continue
             best = (0.0, 0, 0)
-            for lo, hi in _windows(starts, len(wanted), len(words)):
+            for lo, hi in _windows(self._starts(item, grams, at), len(wanted), len(words)):
+                if MATCH * common_words(wanted, words[lo:hi]) < max(least, best[0]):
+                    continue
                 score, begin, end = align(wanted, words[lo:hi])
                 if score > best[0]:
                     best = (score, lo + begin, lo + end)
-            share = best[0] / (MATCH * len(wanted))
-            if share >= (1.0 if len(wanted) < SHORT else LEAST_SCORE) or best[0] >= MATCH * LONG_RUN:
+            if best[0] >= least:
+                share = best[0] / (MATCH * len(wanted))
                 out.append({"item_id": self.ids[item], "score": share, "start_word": best[1], "end_word": best[2]})
         return out
 
 
 def _windows(starts: list[int], length: int, total: int) -> list[tuple[int, int]]:
-    """Where an item may lie, from where its seeds say it starts: merged, with room for insertions."""
-    room = length // 2 + 4
+    """Where an item may lie, from where its seeds say it starts: merged, with room for an insertion per word."""
+    room = length + 4
     out: list[list[int]] = []
     for start in sorted(starts):
         lo, hi = max(0, start - room), min(total, start + length + room)
@@ -173,26 +216,9 @@ def blocks(benchmark: DataFrame, size: int = BLOCK_BYTES) -> Iterator[list[tuple
 
 
 def prepared(docs: DataFrame, items: list[tuple[int, str]]) -> Block:
-    """A block with its n-grams counted over all documents and its seeds chosen."""
-    spark: SparkSession = docs.sparkSession
-    small_batches(spark)
+    """A block with its seeds, ready to be sent to the documents."""
+    small_batches(docs.sparkSession)
     block = Block(items)
-    shared = spark.sparkContext.broadcast(block)
-
-    def count(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = shared.value
-        total = np.zeros(len(known.grams), np.int64)
-        for part in parts:
-            for text in part["text"]:
-                _, grams = known.read(text)
-                total[np.unique(np.searchsorted(known.grams, grams[known.places(grams, known.grams)]))] += 1
-        seen = np.flatnonzero(total)
-        yield pd.DataFrame({"gram": seen, "n": total[seen]})
-
-    counted = docs.select(whole_text().alias("text")).mapInPandas(count, "gram long, n long")
-    for row in counted.groupBy("gram").agg(F.sum("n").alias("n")).toLocalIterator():
-        block.counts[row["gram"]] = row["n"]
-    shared.unpersist()
     block.choose_seeds()
     return block
 

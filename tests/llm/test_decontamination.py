@@ -121,3 +121,55 @@ def test_whole_table(spark, sf_dir):
     held = {i: grams(dc.words_of(t)) for i, t in items.items()}
     wanted = {(d, i) for d, t in texts.items() for i, g in held.items() if len(g & grams(dc.words_of(t))) >= 0.5 * len(g)}
     assert {(r.doc_id, r.item_id) for r in dc.leaked(docs, bench).collect()} == wanted and wanted
+
+
+@pytest.mark.parametrize("copies", [0, 5])
+@pytest.mark.parametrize("every", [4, 5, 6, 7, 8])
+def test_regular_edits_hide_nothing(spark, every, copies):
+    """Against a full alignment, with and without exact copies elsewhere; also short items with one word changed."""
+    rng = random.Random(every)
+    items = [(i, text_of(rng, n)) for i, n in enumerate([40, 40, 60, 25, 10, 13])]
+    docs = []
+    for i, text in items:
+        words = text.split()
+        cuts = range(every - 1, len(words), every) if len(words) > 13 else [len(words) // 2]
+        for kind in ("replaced", "left out", "put in"):
+            new = {"replaced": lambda w: ["zzz"], "left out": lambda w: [], "put in": lambda w: [w, "zzz"]}[kind]
+            passage = [x for k, w in enumerate(words) for x in (new(w) if k in cuts else [w])]
+            docs.append((len(docs), f"{text_of(rng, 50)} {' '.join(passage)} {text_of(rng, 50)}"))
+        docs += [(len(docs) + k, f"{text_of(rng, 20)} {text} {text_of(rng, 20)}") for k in range(copies)]
+    block = dc.Block(items)
+    aligned = {(d, i): dc.align(block.items[i], block.read(t)[0])[0] for d, t in docs for i, _ in items}
+    wanted = {k: s for k, s in aligned.items() if s >= dc.least_score(len(block.items[k[1]]))}
+    assert len(wanted) >= len(docs)
+    rows = dc.leaked(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id): r.score * dc.MATCH * len(block.items[r.item_id]) for r in rows} == pytest.approx(wanted)
+
+
+def test_random_edits_hide_nothing():
+    """Whatever aligns well enough and has three words in a row is found."""
+    rng = random.Random(5)
+    items = [(i, text_of(rng, rng.randint(8, 70))) for i in range(30)]
+    block = dc.Block(items)
+    block.choose_seeds()
+    found = 0
+    for share in (0.1, 0.15, 0.2, 0.25, 0.3, 0.35):
+        for i, text in items:
+            kept = [rng.choice([[], ["zzz"], [w, rng.choice(WORDS)]]) if rng.random() < share else [w] for w in text.split()]
+            document = f"{text_of(rng, 40)} {' '.join(x for p in kept for x in p)} {text_of(rng, 40)}"
+            words, grams = block.read(document)
+            wanted = {k for k, item in enumerate(block.items) if dc.align(item, words)[0] >= dc.least_score(len(item)) and np.isin(block.own[k][0], grams).any()}
+            assert {r["item_id"] for r in block.leaks(document)} == wanted
+            found += len(wanted)
+    assert found > 100
+
+
+@pytest.mark.parametrize("seed", range(20))
+def test_words_in_common_bound_the_score(seed):
+    rng = random.Random(seed)
+    a, b = (np.array([rng.randint(1, 5) for _ in range(rng.randint(1, 30))]) for _ in range(2))
+    long = np.zeros((len(a) + 1, len(b) + 1), int)
+    for i, x in enumerate(a):
+        for j, y in enumerate(b):
+            long[i + 1, j + 1] = long[i, j] + 1 if x == y else max(long[i, j + 1], long[i + 1, j])
+    assert dc.common_words(a, b) == long[-1, -1] and dc.align(a, b)[0] <= dc.MATCH * long[-1, -1]
