@@ -1,8 +1,8 @@
 """Main text of pages: a maximum-scoring contiguous run of words and tags.
 
 A page becomes a line of items in page order. Words score +1, tags cost what labelled pages say
-they cost, parts that never belong to the text (menus, adverts, forms, ...) are one costly item
-each. One linear scan finds the best run; its blocks are the text.
+they cost, as do names that may mark a part; parts that never belong to the text (menus, adverts,
+forms, ...) are one costly item each. One linear scan finds the best run; its blocks are the text.
 """
 
 from __future__ import annotations
@@ -24,6 +24,8 @@ FIT_PAGES = 400
 #: Costs are in words. An unseen tag costs DEFAULT_COST; a learned cost lies between the other two.
 LEAST_COST, DEFAULT_COST, MOST_COST = 0.02, 0.1, 3.0
 PART_COST = 0.5
+#: Outside an article a name that may mark a part costs NAME_COST where unseen; a learned one up to MOST_NAME_COST.
+NAME_COST, MOST_NAME_COST = 5.0, 20.0
 
 _BLOCKS = set(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
@@ -36,14 +38,28 @@ _DROPPED = set(
     "canvas audio video map dialog datalist".split()
 )
 _UNSEEN = {"script", "style", "noscript", "template", "head", "title"}
-#: Names in class, id and role that mark a part which is not the article.
+#: Whole names in class and id that say outright that a block is not the article.
 _DROPPED_NAMES = set(
+    "ad ads adv advert adverts advertisement advertisements ad-banner ad-container ad-slot adsbygoogle sponsored-content cookie-notice "
+    "cookie-banner cookie-consent cookie-bar gdpr-notice newsletter-signup sidebar nav navbar nav-bar main-nav site-nav nav-menu "
+    "breadcrumb breadcrumbs share-buttons social-share social-links related-posts related-articles comment comments comment-list "
+    "commentlist comment-body comments-area disqus-thread footer site-footer page-footer masthead popup modal pagination pager "
+    "search-form login-form skip-link".split()
+)
+_DROPPED_ROLES = set("navigation banner contentinfo complementary search dialog alertdialog menu menubar toolbar".split())
+#: A page has one of these at its top; an article keeps its own.
+_HEADER_NAMES = set("header site-header page-header".split())
+#: What an article element is only when it is a reader's comment.
+_COMMENTS = set("comment comment-body".split())
+#: Words in class, id and role that may mark such a part; they cost, and the scan decides.
+_DOUBTFUL_NAMES = set(
     "ad ads adv advert adverts advertisement advertisements advertising sponsor sponsored sponsors promo promoted promotion banner "
     "cookie cookies consent gdpr notice notices alert alerts newsletter subscribe subscription signup paywall sidebar aside menu nav "
     "navbar navigation breadcrumb breadcrumbs share sharing social related recommended recommendations comment comments commentlist "
-    "discussion responses reply replies disqus footer masthead popup modal overlay login search widget toolbar pagination pager "
+    "discussion responses reply replies disqus header footer masthead popup modal overlay login search widget toolbar pagination pager "
     "contentinfo complementary dialog skip tracking".split()
 )
+_HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 #: Parts of the page that hold the article itself; only outside of them a header is a page header.
 _ARTICLES = {"article", "main"}
 _HEADERS = {"header", "hgroup"}
@@ -53,11 +69,24 @@ _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 class Item(NamedTuple):
     """One tag, dropped part, or piece of text of a page; ``edge`` parts the article from the rest."""
 
-    kind: str  # "tag", "part", "text" or "edge"
+    kind: str  # "tag", "name", "part", "text" or "edge"
     value: str
     inside: bool  # within the page's article
 
 
+def _whole_name(token: str) -> str:
+    """A class or id in lower case with hyphens between its words, without numbers at its end."""
+    return re.sub(r"(-[0-9]+)+$", "", "-".join(_NAME.findall(token)).lower())
+
+
+def _doubtful_names(tag: str, attrs: list[tuple[str, str | None]]) -> list[str]:
+    """The words in the names of a block that may mark it as a part; not of an article, main or heading."""
+    if tag not in _BLOCKS or tag in _HEADINGS or tag in _ARTICLES:
+        return []
+    words = {n.lower() for key, value in attrs if key in ("class", "id", "role") for n in _NAME.findall(value or "")}
+    return sorted(words & _DOUBTFUL_NAMES)
+
+
 class _Items(HTMLParser):
     """Reads a page into items. Broken nesting is read as far as it goes."""
 
@@ -72,14 +101,15 @@ class _Items(HTMLParser):
             return True
         if tag in ("html", "body"):
             return False
-        for key, value in attrs:
-            if key in ("class", "id", "role"):
-                names = {n.lower() for n in _NAME.findall(value or "")}
-                if names & _DROPPED_NAMES or "header" in names and not self.articles:
-                    return True
-            elif key == "hidden" or key == "aria-hidden" and value == "true":
-                return True
-        return False
+        if any(key == "hidden" or key == "aria-hidden" and value == "true" for key, value in attrs):
+            return True
+        if tag in _HEADINGS or tag not in _BLOCKS:
+            return False
+        tokens = {_whole_name(t) for key, value in attrs if key in ("class", "id") for t in (value or "").split()}
+        if tag in _ARTICLES:
+            return tag == "article" and bool(tokens & _COMMENTS)
+        roles = {t.lower() for key, value in attrs if key == "role" for t in (value or "").split()}
+        return bool(tokens & _DROPPED_NAMES or roles & _DROPPED_ROLES or not self.articles and tokens & _HEADER_NAMES)
 
     def _add(self, kind: str, value: str) -> None:
         if not self.dropped:
@@ -94,6 +124,9 @@ class _Items(HTMLParser):
                 self._add("tag", tag)
             return
         self._add("part" if drop else "tag", tag)
+        if not drop:
+            for name in _doubtful_names(tag, attrs):
+                self._add("name", name)
         self.open.append((tag, drop))
         self.dropped += drop
         if tag in _ARTICLES and not self.dropped:
@@ -140,11 +173,14 @@ def _score(item: Item, costs: dict[str, float]) -> float:
         return 0.0 if item.value in _UNSEEN else -PART_COST
     if item.value.startswith("/"):
         return 0.0
+    if item.kind == "name":
+        # Within a marked article a name weighs no more than a tag: the mark says more than the name.
+        return -min(costs.get("." + item.value, DEFAULT_COST), MOST_COST) if item.inside else -costs.get("." + item.value, NAME_COST)
     return -costs.get(item.value, DEFAULT_COST)
 
 
 def _ends_block(item: Item) -> bool:
-    return item.kind == "edge" or item.kind != "text" and item.value.removeprefix("/") in _BLOCKS
+    return item.kind in ("edge", "name") or item.kind != "text" and item.value.removeprefix("/") in _BLOCKS
 
 
 def best_run(items: list[Item], costs: dict[str, float]) -> tuple[int, int]:
@@ -193,10 +229,10 @@ def main_text(html: str | None, costs: dict[str, float]) -> str:
 
 
 def tag_costs(pages: DataFrame) -> dict[str, float]:
-    """The cost of each tag in words, from a bounded sample of pages that mark their article.
+    """The cost of each tag and doubtful name (``.name``) in words, from a bounded sample of pages that mark their article.
 
-    A tag costs more, the more often it stands outside the articles; a tag that is commoner inside
-    has the least cost. Without labelled pages all tags have the default cost.
+    A tag or name costs more, the more often it stands outside the articles; one that is commoner
+    inside has the least cost. Without labelled pages all have the default cost.
     """
     marked = pages.where(F.lower("html").contains("<article")).select("html", F.xxhash64("html").alias("hash"))
     first = marked.select("hash").distinct().orderBy("hash").limit(FIT_PAGES)
@@ -207,7 +243,9 @@ def tag_costs(pages: DataFrame) -> dict[str, float]:
             seen: Counter = Counter()
             for html in part["html"]:
                 for item in page_items(html):
-                    if item.kind == "tag" and not item.value.startswith("/"):
+                    if item.kind == "name":
+                        seen["." + item.value, item.inside] += 1
+                    elif item.kind == "tag" and not item.value.startswith("/"):
                         seen[item.value, item.inside] += 1
             yield pd.DataFrame([(t, i, n) for (t, i), n in seen.items()], columns=["tag", "inside", "n"])
 
@@ -218,7 +256,8 @@ def tag_costs(pages: DataFrame) -> dict[str, float]:
     costs = {}
     for r in rows:
         share = (r["without"] + 0.5) / (r["within"] + r["without"] + 1.0)
-        costs[r["tag"]] = LEAST_COST if share <= 0.5 else min(MOST_COST, LEAST_COST + (MOST_COST - LEAST_COST) * (2 * share - 1))
+        most = MOST_NAME_COST if r["tag"].startswith(".") else MOST_COST
+        costs[r["tag"]] = LEAST_COST if share <= 0.5 else min(most, LEAST_COST + (most - LEAST_COST) * (2 * share - 1))
     return costs
 
 

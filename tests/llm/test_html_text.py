@@ -78,3 +78,34 @@ def test_nulls_repeats_clashes_and_no_rows(spark):
     rows = html_text.extracted(df).collect()
     assert sorted((r["Text"], r["text_"]) for r in rows) == [("kept", ""), ("kept", TEXT), ("kept", TEXT)]
     assert html_text.extracted(df.limit(0)).count() == 0
+
+
+KEPT = [
+    "<article><h1>Head</h1><section id='related-work'><p>Others did it as well, and before.</p></section><p>One two three.</p></article>",
+    "<article><h1>Head</h1><section id='discussion'><p>It may be so or it may not.</p></section></article>",
+    "<article><h2 id='how-to-login'>How to login</h2><p>One two three.</p><h2 id='search-methods'>Search</h2><p>Four.</p></article>",
+    "<article class='post category-social tag-search'><h1>Head</h1><p>One two three.</p></article>",
+    "<main class='has-sidebar'><h1>Head</h1><p>One two three.</p></main>",
+    "<article><p>One two three.</p><pre><span class='token comment'># why</span> x = 1</pre></article>",
+    "<div class='layout has-sidebar'><p>Words without an article stand here as well.</p></div>",
+]
+
+
+@pytest.mark.parametrize("page", KEPT)
+def test_a_word_in_a_name_cuts_nothing(page):
+    assert html_text.main_text(page, COSTS).split() == re.sub("<[^>]*>", " ", page).split()
+
+
+def test_names_are_weighed(spark):
+    """A doubtful part at the article's edge is left out where its name costs more than its words."""
+    page = "<p>One two three four five.</p><section class='{}'><p>see these three too</p></section>"
+    whole, cut = "One two three four five.\nsee these three too", "One two three four five."
+    assert html_text.main_text(page.format("related-box"), COSTS) == cut
+    assert html_text.main_text(page.format("related-box"), COSTS | {".related": 0.02}) == whole
+    assert html_text.main_text(page.format("plain-box"), COSTS) == whole
+    assert html_text.main_text(f"<article>{page.format('related-box')}</article>", COSTS) == whole
+    # Within the article even a learned name weighs no more than a tag.
+    assert html_text.main_text(f"<article>{page.format('related-box')}</article>", COSTS | {".related": 20.0}) == whole
+    pages = [(i, f"<div class='share-bar'>x</div><article><section id='related-{i}'><p>a b</p></section></article>") for i in range(20)]
+    costs = html_text.tag_costs(spark.createDataFrame(pages, "page_id long, html string"))
+    assert costs[".related"] == html_text.LEAST_COST and costs[".share"] > html_text.NAME_COST
