@@ -67,9 +67,9 @@ _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 
 
 class Item(NamedTuple):
-    """One tag, dropped part, or piece of text of a page; ``edge`` parts the article from the rest."""
+    """One tag, dropped part, or piece of text of a page."""
 
-    kind: str  # "tag", "name", "part", "text" or "edge"
+    kind: str  # "tag", "name", "part", "text" or "edge"; an edge parts the outermost articles from the rest
     value: str
     inside: bool  # within the page's article
 
@@ -87,14 +87,30 @@ def _doubtful_names(tag: str, attrs: list[tuple[str, str | None]]) -> list[str]:
     return sorted(words & _DOUBTFUL_NAMES)
 
 
+class _Open(NamedTuple):
+    """An open element."""
+
+    number: int  # of the page's elements, from 1 up
+    tag: str
+    drop: bool  # starts a dropped part
+    article: bool  # counted as an article
+
+
 class _Items(HTMLParser):
-    """Reads a page into items. Broken nesting is read as far as it goes."""
+    """Reads a page into items. Broken nesting is read as far as it goes.
 
-    def __init__(self) -> None:
+    ``closed`` are the elements with an end tag, known from an earlier reading. A part that stays
+    open does not reach into an article; a closed one does, unless it is the page's first article.
+    """
+
+    def __init__(self, closed: frozenset[int] | None = None) -> None:
         super().__init__(convert_charrefs=True)
         self.items: list[Item] = []
-        self.open: list[tuple[str, bool]] = []  # tag, whether it starts a dropped part
-        self.dropped = self.articles = 0
+        self.open: list[_Open] = []
+        self.dropped = self.articles = self.elements = 0
+        self.known, self.closed = closed, set()
+        self.unsure = self.entered = False
+        self.last_edge: tuple[int, int] | None = None  # parent and place of the last article's end
 
     def _dropped_by(self, tag: str, attrs: list[tuple[str, str | None]]) -> bool:
         if tag in _DROPPED or tag in _HEADERS and not self.articles:
@@ -118,7 +134,7 @@ class _Items(HTMLParser):
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         drop = self._dropped_by(tag, attrs)
         if tag == "body" or tag in _ARTICLES and not drop:
-            self._close_dropped()
+            self._close_dropped(first=tag == "body" or not self.entered)
         if tag in _VOID:
             if not drop:
                 self._add("tag", tag)
@@ -127,32 +143,52 @@ class _Items(HTMLParser):
         if not drop:
             for name in _doubtful_names(tag, attrs):
                 self._add("name", name)
-        self.open.append((tag, drop))
+        article = tag in _ARTICLES and not drop and not self.dropped
+        if article and not self.articles:
+            self._enter(tag)
+        self.articles += article
+        self.elements += 1
+        self.open.append(_Open(self.elements, tag, drop, article))
         self.dropped += drop
-        if tag in _ARTICLES and not self.dropped:
-            self.articles += 1
-            self._add("edge", tag)
+
+    def _parent(self) -> int:
+        return self.open[-1].number if self.open else 0
+
+    def _enter(self, tag: str) -> None:
+        """An edge before an outermost article; none between articles side by side in one element."""
+        self.entered = True
+        if self.last_edge and self.last_edge[0] == self._parent():
+            place = self.last_edge[1]
+            self.items[place] = self.items[place]._replace(kind="tag")
+        else:
+            self.items.append(Item("edge", tag, True))
 
     def handle_endtag(self, tag: str) -> None:
-        if not any(t == tag for t, _ in reversed(self.open)):
+        if not any(e.tag == tag for e in reversed(self.open)):
             if tag in _BLOCKS:
                 self._add("tag", "/" + tag)
             return
         while self.open:
-            last, drop = self.open.pop()
-            self.dropped -= drop
-            if last in _ARTICLES and not drop and not self.dropped and self.articles:
-                self._add("edge", "/" + last)
+            last = self.open.pop()
+            self.dropped -= last.drop
+            if last.article:
                 self.articles -= 1
-            if last == tag:
+                if not self.articles:
+                    self.last_edge = self._parent(), len(self.items)
+                    self.items.append(Item("edge", "/" + last.tag, True))
+            if last.tag == tag:
+                self.closed.add(last.number)
                 break
         self._add("tag", "/" + tag)
 
-    def _close_dropped(self) -> None:
+    def _close_dropped(self, first: bool) -> None:
         """What was left open before the body or the article does not reach into it."""
-        if self.dropped:
-            self.open = [(t, False) for t, _ in self.open]
-            self.dropped = 0
+        if not self.dropped:
+            return
+        self.unsure = self.unsure or not first
+        if first or self.known is not None:
+            self.open = [e if e.drop and not first and e.number in self.known else e._replace(drop=False) for e in self.open]
+            self.dropped = sum(e.drop for e in self.open)
 
     def handle_data(self, data: str) -> None:
         if data and not self.dropped:
@@ -160,10 +196,17 @@ class _Items(HTMLParser):
 
 
 def page_items(html: str) -> list[Item]:
-    parser = _Items()
+    parser = _read(html)
+    if parser.unsure:  # an article within a dropped part: it counts what was closed later on
+        parser = _read(html, frozenset(parser.closed))
+    return parser.items
+
+
+def _read(html: str, closed: frozenset[int] | None = None) -> _Items:
+    parser = _Items(closed)
     parser.feed(html)
     parser.close()
-    return parser.items
+    return parser
 
 
 def _score(item: Item, costs: dict[str, float]) -> float:
@@ -186,7 +229,7 @@ def _ends_block(item: Item) -> bool:
 def best_run(items: list[Item], costs: dict[str, float]) -> tuple[int, int]:
     """Start and end of the contiguous run with the largest sum; the first and longest of equal ones.
 
-    No run crosses the edge of an article: the scan starts anew there.
+    No run crosses the edge of an outermost article: the scan starts anew there.
     """
     best, found, total, start = 0.0, (0, 0), 0.0, 0
     for i, item in enumerate(items):

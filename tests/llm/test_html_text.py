@@ -109,3 +109,22 @@ def test_names_are_weighed(spark):
     pages = [(i, f"<div class='share-bar'>x</div><article><section id='related-{i}'><p>a b</p></section></article>") for i in range(20)]
     costs = html_text.tag_costs(spark.createDataFrame(pages, "page_id long, html string"))
     assert costs[".related"] == html_text.LEAST_COST and costs[".share"] > html_text.NAME_COST
+
+
+PARTS = [
+    ("<main><h1>Title</h1><p>lead</p><article><p>body of it</p></article></main>", "Title\nlead\nbody of it"),
+    ("<article><h1>Head</h1><p>before</p><article><p>embedded post</p></article><p>after</p></article>", "Head\nbefore\nembedded post\nafter"),
+    ("<div><p>not this</p></div><section><article><p>part one</p></article>\n<article><p>part two</p></article> <article>three</article></section>", "part one\npart two\nthree"),
+    ("<main><article><p>part one</p></article><article><p>part two</p></article></main><p>imprint</p>", "part one\npart two"),
+    ("<article><p>one two</p><main><p>three</p></main><p>four", "one two\nthree\nfour"),
+    # Parts with an article of their own stay out; what is never closed does not.
+    ("<article><p>one two</p><aside><article><p>see this other text as well</p></article></aside><p>three</p></article>", "one two\nthree"),
+    (f"{BODY}<section id='comments'><article><p>A long comment of one reader on it.</p></article><article><p>And a second one of some words.</p></article></section>", TEXT),
+    ("<body><article><p>one two</p></article><div class='ad'>never closed <article><p>three four five</p></article></body>", "three four five"),
+    (f"<section><article><p>short</p></article></section><section>{BODY}</section>", TEXT),
+]
+
+
+@pytest.mark.parametrize("page, text", PARTS)
+def test_nested_and_sibling_articles_are_one_text(page, text):
+    assert html_text.main_text(page, COSTS) == text
