@@ -23,7 +23,7 @@ SEED_WORDS = 3
 #: In every stretch of so many n-grams of an item there is a seed: each of them is one.
 STRETCH = 1
 #: An item is leaked from this share of its best possible alignment score, or from LONG_RUN whole
-#: words; an item of fewer than SHORT words needs all of them.
+#: words, but not below the score of SHORT words in a row; an item of fewer words needs all of them.
 LEAST_SCORE, LONG_RUN, SHORT = 0.5, 30, 8
 MATCH, MISMATCH, GAP = 2.0, -1.0, -1.0
 #: Text of one block of benchmark items, in bytes; with its index it stays under some 200 MB.
@@ -70,7 +70,7 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[float, int, int]:
 
 def least_score(length: int) -> float:
     """The alignment score from which an item of so many words is leaked."""
-    return min(MATCH * length * (1.0 if length < SHORT else LEAST_SCORE), MATCH * LONG_RUN)
+    return min(max(MATCH * min(length, SHORT), MATCH * length * LEAST_SCORE), MATCH * LONG_RUN)
 
 
 def common_words(item: np.ndarray, text: np.ndarray) -> int:

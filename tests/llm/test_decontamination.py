@@ -173,3 +173,16 @@ def test_words_in_common_bound_the_score(seed):
         for j, y in enumerate(b):
             long[i + 1, j + 1] = long[i, j] + 1 if x == y else max(long[i, j + 1], long[i + 1, j])
     assert dc.common_words(a, b) == long[-1, -1] and dc.align(a, b)[0] <= dc.MATCH * long[-1, -1]
+
+
+def test_short_items_need_more_of_their_words():
+    items = ["What is the capital city of the Netherlands", "The longest river that flows through three of the capitals", text_of(random.Random(1), 16)]
+    block = dc.Block(list(enumerate(items)))
+    block.choose_seeds()
+    found = lambda text: {r["item_id"] for r in block.leaks(text)}
+    assert found("The capital city of the Netherlands is Amsterdam") == set()
+    assert found("So: what is the capital city of the Netherlands?") == {0}
+    assert found("it flows through three of the old towns") == set()
+    assert found("the longest river that crosses through three of the capitals") == {1}
+    assert found(" ".join(items[2].split()[4:12])) == {2} and found(" ".join(items[2].split()[4:11])) == set()
+    assert [dc.least_score(n) / (dc.MATCH * n) for n in (3, 7, 8, 10, 16, 40, 60)] == [1, 1, 1, 0.8, 0.5, 0.5, 0.5]
