@@ -122,3 +122,20 @@ def test_importances_sum_to_one(spark, trips):
     model = models.fit(models.gbt("fare_amount", 2, 3), vectors)
     table = models.feature_importance(spark, model, ["trip_distance_mi", "pickup_hour"])
     assert table.agg(F.sum("importance")).first()[0] == pytest.approx(1.0)
+
+
+def test_registered_models_take_their_size_from_the_session(spark):
+    small = q._compared(spark, "y"), q._tuning_grid(spark)
+    settings = {"rideflow.models.rounds": "7", "rideflow.models.depth": "6", "rideflow.models.trees": "9"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        large = q._compared(spark, "y"), q._tuning_grid(spark)
+        assert q._model_size(spark, 3, 4) == {"iterations": 7, "depth": 6}
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+    sizes = lambda x: (x["gbt"].getMaxIter(), x["gbt"].getMaxDepth(), x["random_forest"].getNumTrees(), x["random_forest"].getMaxDepth())
+    assert (sizes(small[0]), sizes(large[0])) == ((3, 4, 5, 4), (7, 6, 9, 6))
+    assert [(g["maxDepth"], g["numTrees"]) for g in small[1]] == [(3, 3), (3, 6), (5, 3), (5, 6)]
+    assert [(g["maxDepth"], g["numTrees"]) for g in large[1]] == [(4, 4), (4, 9), (6, 4), (6, 9)]

@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 from functools import reduce
 from typing import Any
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Estimator, Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -658,17 +658,33 @@ def month_csv(spark, sf_dir):
 
 # Models
 
-def _model_size(spark: SparkSession) -> dict[str, int]:
-    """Rounds and depth of the registered trip models, from the session's ``rideflow.models.rounds`` and ``.depth``.
+def _model_size(spark: SparkSession, rounds: int = 5, depth: int = 5) -> dict[str, int]:
+    """Rounds and depth of a registered model, from the session's ``rideflow.models.rounds`` and ``.depth``.
 
     The small defaults let a check of all queries end within minutes; the library's own are 100 and 10.
     """
     return {
-        "iterations": int(spark.conf.get("rideflow.models.rounds", "5")),
-        "depth": int(spark.conf.get("rideflow.models.depth", "5")),
+        "iterations": int(spark.conf.get("rideflow.models.rounds", str(rounds))),
+        "depth": int(spark.conf.get("rideflow.models.depth", str(depth))),
     }
 
 
+def _trees(spark: SparkSession, trees: int) -> int:
+    """Trees of a registered forest, from the session's ``rideflow.models.trees``."""
+    return int(spark.conf.get("rideflow.models.trees", str(trees)))
+
+
+def _compared(spark: SparkSession, label: str) -> dict[str, Estimator]:
+    """The algorithms of ``model_comparison``."""
+    return models.algorithms(label, trees=_trees(spark, 5), **_model_size(spark, 3, 4))
+
+
+def _tuning_grid(spark: SparkSession) -> list[dict[str, int]]:
+    """Forests of the set size, of two levels less and of half the trees."""
+    depth, trees = _model_size(spark)["depth"], _trees(spark, 6)
+    return [{"maxDepth": d, "numTrees": t} for d in (max(1, depth - 2), depth) for t in (max(1, trees // 2), trees)]
+
+
 def _trip_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Processed trips with booking-time columns, written by month: models are trained on tables, not on raw feeds."""
 
@@ -712,8 +728,9 @@ def model_test_rows(spark, sf_dir):
 
 
 def _trip_models(spark: SparkSession, sf_dir: str) -> Trained:
-    make = lambda: train_models(_trip_table(spark, sf_dir), new_folder(spark, "models"), **_model_size(spark))
-    return _once(spark, sf_dir, "trips", make)
+    size = _model_size(spark)
+    make = lambda: train_models(_trip_table(spark, sf_dir), new_folder(spark, "models"), **size)
+    return _once(spark, sf_dir, f"trips {size}", make)
 
 
 def _time_parts(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -769,13 +786,11 @@ def model_comparison(spark, sf_dir):
     }
     compared = []
     for task, label in (("fare", "fare_amount"), ("eta", "trip_duration_min")):
-        estimators = models.algorithms(label, iterations=3, trees=5, depth=4)
-        compared.append(models.compare(task, label, estimators, data.train, tests[task], "guess")[0])
+        compared.append(models.compare(task, label, _compared(spark, label), data.train, tests[task], "guess")[0])
     train, test = _demand_parts(spark, sf_dir)
     prepare = preparation(demand_ml.DEMAND_FEATURES, demand_ml.DEMAND_CATEGORIES).fit(train)
-    estimators = models.algorithms("trip_count", iterations=3, trees=5, depth=4)
     guessed = prepare.transform(test.withColumnRenamed("baseline_trips", "guess"))
-    compared.append(models.compare("demand", "trip_count", estimators, prepare.transform(train), guessed, "guess")[0])
+    compared.append(models.compare("demand", "trip_count", _compared(spark, "trip_count"), prepare.transform(train), guessed, "guess")[0])
     return reduce(DataFrame.unionByName, compared)
 
 
@@ -784,19 +799,18 @@ def tuned_model(spark, sf_dir):
     """Forest settings fitted on the training period and chosen on the validation period; the test period is not read."""
     data = _once(spark, sf_dir, "tuning", lambda: training_data(
         _trip_table(spark, sf_dir), booking_time_only=True, split=lambda rows: _time_parts(rows)[:2]))
-    grid = [{"maxDepth": depth, "numTrees": trees} for depth in (3, 5) for trees in (3, 6)]
-    return models.tune(models.forest("fare_amount"), grid, data.train, data.test, "fare_amount")[0]
+    return models.tune(models.forest("fare_amount"), _tuning_grid(spark), data.train, data.test, "fare_amount")[0]
 
 
 @query
 def score_requests(spark, sf_dir):
     """Fare and minutes for a ride request made from each order."""
-    data = _booking_data(spark, sf_dir)
+    data, size = _booking_data(spark, sf_dir), _model_size(spark, 3, 4)
 
     def fit_both():
-        return [models.fit(models.gbt(label, 3, 4), data.train) for label in ("fare_amount", "trip_duration_min")]
+        return [models.fit(models.gbt(label, **size), data.train) for label in ("fare_amount", "trip_duration_min")]
 
-    fare_model, eta_model = _once(spark, sf_dir, "booking models", fit_both)
+    fare_model, eta_model = _once(spark, sf_dir, f"booking models {size}", fit_both)
     requests = fx.table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("request_id"),
         (F.col("o_custkey") % 263 + 1).alias("pu_location_id"),
@@ -844,14 +858,16 @@ def _demand_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _demand_model(spark: SparkSession, sf_dir: str):
+    size = _model_size(spark, 5, 4)
+
     def make():
         train = _demand_inputs(spark, sf_dir).filter(F.col("hour_ts") < demand_test_from(spark, sf_dir))
         prepare = preparation(demand_ml.DEMAND_FEATURES, demand_ml.DEMAND_CATEGORIES)
         path = new_folder(spark, "demand-model")
-        models.save(models.fit(Pipeline(stages=[prepare, models.gbt("trip_count", 5, 4)]), train), path)
+        models.save(models.fit(Pipeline(stages=[prepare, models.gbt("trip_count", **size)]), train), path)
         return models.load_pipeline(path)
 
-    return _once(spark, sf_dir, "demand", make)
+    return _once(spark, sf_dir, f"demand {size}", make)
 
 
 def _demand_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
