@@ -31,34 +31,47 @@ def _position(turn: Column, index: Column) -> Column:
     return F.struct(turn.isNull().alias("none"), turn.cast("long").alias("turn"), index.cast("long").alias("index"))
 
 
+def _held(text: Column) -> Column:
+    """The calls that a text holds; null for any text whose ``tool_calls`` do not parse."""
+    return F.when(text.contains('"tool_calls"'), F.from_json(text, _CALLS)["tool_calls"])
+
+
+def _identifier(role: str, text: Column, back: int = 0) -> Column:
+    """``conversation:turn`` of the turn so many before; a turn of no known place is told by role and text, and answers none."""
+    known = F.concat_ws(":", F.col("conv_id").cast("string"), (F.col("turn") - back).cast("string"))
+    lone = F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string"), F.concat(F.lit(role + "?"), F.md5(text.cast("binary"))))
+    return F.when(F.col("conv_id").isNull() | F.col("turn").isNull(), lone).otherwise(known)
+
+
 def calls_of(messages: DataFrame) -> DataFrame:
     """``conv_id, call_id, at, name, arguments``: one row per call of ``messages(conv_id, turn, role, text)``.
 
     A text ``{"tool_calls": [...]}`` holds calls of its own, each with an ``id``, a ``name`` and
     ``arguments`` (or these under ``function``). Any other text of the user is one call of the tool
     ``reply`` with the identifier ``conversation:turn``, which follows the request two turns before.
-    Calls without an identifier are left out.
+    Calls without an identifier get ``conversation:turn#index``. A plain turn without a conversation
+    or turn has its role and the hash of its text in its identifier, so no two texts share one.
     """
     text = F.coalesce("text", F.lit(""))
-    held = F.when(text.contains('"tool_calls"'), F.from_json(text, _CALLS)["tool_calls"])
+    held = _held(text)
+    place = F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
     explicit = messages.select("conv_id", "turn", F.posexplode(held).alias("index", "call")).select(
         "conv_id",
-        F.col("call.id").alias("call_id"),
+        F.coalesce("call.id", F.concat(place, F.lit("#"), F.col("index").cast("string"))).alias("call_id"),
         _position(F.col("turn"), F.col("index")).alias("at"),
         F.coalesce("call.name", "call.function.name").alias("name"),
         F.coalesce("call.arguments", "call.function.arguments", F.lit("{}")).alias("arguments"),
     )
     plain = messages.where((F.col("role") == "user") & held.isNull())
-    identifier = F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
-    earlier = F.when(F.col("turn") >= 2, F.struct(F.concat_ws(":", F.col("conv_id").cast("string"), (F.col("turn") - 2).cast("string")).alias("$ref")))
+    earlier = F.when(F.col("conv_id").isNotNull() & (F.col("turn") >= 2), F.struct(F.concat_ws(":", F.col("conv_id").cast("string"), (F.col("turn") - 2).cast("string")).alias("$ref")))
     implicit = plain.select(
         "conv_id",
-        identifier.alias("call_id"),
+        _identifier("user", text).alias("call_id"),
         _position(F.col("turn"), F.lit(0)).alias("at"),
         F.lit(REPLY).alias("name"),
         F.to_json(F.struct(earlier.alias("after"), text.alias("prompt"))).alias("arguments"),
     )
-    return explicit.union(implicit).where(F.col("call_id").isNotNull())
+    return explicit.union(implicit)
 
 
 def results_of(messages: DataFrame) -> DataFrame:
@@ -72,9 +85,8 @@ def results_of(messages: DataFrame) -> DataFrame:
         "conv_id", named["tool_call_id"].alias("call_id"), _position(F.col("turn"), F.lit(0)).alias("at"),
         F.coalesce(named["content"], text).alias("content"),
     )
-    before = F.concat_ws(":", F.col("conv_id").cast("string"), (F.col("turn") - 1).cast("string"))
-    answers = messages.where((F.col("role") == "assistant") & ~text.contains('"tool_calls"')).select(
-        "conv_id", before.alias("call_id"), _position(F.col("turn"), F.lit(0)).alias("at"), text.alias("content")
+    answers = messages.where((F.col("role") == "assistant") & _held(text).isNull()).select(
+        "conv_id", _identifier("assistant", text, 1).alias("call_id"), _position(F.col("turn"), F.lit(0)).alias("at"), text.alias("content")
     )
     return tool.union(answers).where(F.col("call_id").isNotNull())
 
@@ -85,6 +97,34 @@ def _first(rows: DataFrame, values: list[str]) -> DataFrame:
     return rows.groupBy(*_KEY).agg(first, F.count(F.lit(1)).alias("times")).select(*_KEY, "first.*", "times")
 
 
+def repeats(messages: DataFrame, schemas: Schemas = SCHEMAS) -> DataFrame:
+    """What ``linked_calls`` only counts: one row per text that repeats an identifier, with how often it does.
+
+    ``conv_id, call_id, side, turn, index, name, text, times, errors``; ``side`` is call or result,
+    ``text`` the arguments or the content, ``errors`` null for results. The earliest of each
+    identifier, which ``linked_calls`` shows, is left out.
+    """
+    rows = messages.select("conv_id", "turn", "role", "text")
+    errors = F.array_join(argument_errors(F.col("name"), F.col("text"), schemas), ",")
+    calls = _later(calls_of(rows).withColumnRenamed("arguments", "text"), ["name", "text"]).select(
+        *_KEY, F.lit("call").alias("side"), "at.turn", "at.index", "name", "text", "times", errors.alias("errors")
+    )
+    results = _later(results_of(rows).withColumnRenamed("content", "text"), ["text"]).select(
+        *_KEY, F.lit("result").alias("side"), "at.turn", "at.index", F.lit(None).cast("string").alias("name"), "text", "times",
+        F.lit(None).cast("string").alias("errors"),
+    )
+    return calls.union(results)
+
+
+def _later(rows: DataFrame, values: list[str]) -> DataFrame:
+    """The rows of each identifier but the earliest, equal ones once with their number."""
+    each = rows.groupBy(*_KEY, "at", *values).agg(F.count(F.lit(1)).alias("n"))
+    first = _first(rows, values).where("times > 1").select(*[F.col(c).alias(f"f_{c}") for c in _KEY], F.struct("at", *values).alias("first"))
+    both = each.join(first, each["conv_id"].eqNullSafe(F.col("f_conv_id")) & (F.col("call_id") == F.col("f_call_id")))
+    times = F.col("n") - F.struct("at", *values).eqNullSafe(F.col("first")).cast("long")
+    return both.select(*_KEY, "at", *values, times.alias("times")).where("times > 0")
+
+
 def _same_call(left: DataFrame, right: DataFrame) -> Column:
     return left["conv_id"].eqNullSafe(right["conv_id"]) & (left["call_id"] == right["call_id"])
 
@@ -182,12 +222,12 @@ def linked_calls(messages: DataFrame, schemas: Schemas = SCHEMAS) -> DataFrame:
     """One row per identifier of a call or result in ``messages(conv_id, turn, role, text)``.
 
     ``call_turn`` and ``result_turn`` are null where that side is missing; ``n_calls`` and
-    ``n_results`` count repeats, of which the earliest holds. Rows of a conversation sorted by
+    ``n_results`` count repeats, of which the earliest holds; ``repeats`` has the others. Rows of a conversation sorted by
     ``lift_turn, lift_index, step, call_turn, call_index`` have every call after those it refers to,
     unless it is ``cyclic``. ``errors`` lists what is wrong with the arguments, ``valid`` says that
     nothing is. ``json`` has sorted keys and no spaces at any depth; arguments that are no JSON are
-    a string in it. Null texts are empty, null conversations one conversation; without messages
-    there is no row.
+    a string in it. Null texts are empty; plain turns of a null conversation or turn are rows of their own,
+    linked to nothing. Without messages there is no row.
     """
     rows = messages.select("conv_id", "turn", "role", "text")
     calls = written(_first(calls_of(rows), ["name", "arguments"]), "calls")

@@ -120,3 +120,29 @@ def test_whole_table(spark, sf_dir):
     plan = rows._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
     assert rows.agg(F.max("step")).first()[0] == 0
+
+
+def test_no_text_vanishes_without_place_or_identifier(spark):
+    messages = [(None, 0, "user", f"hello {i}") for i in range(4)] + [(None, 1, "assistant", f"hi {i}") for i in range(3)] + [
+        (1, None, "user", "x"), (1, None, "user", "y"), (1, None, "assistant", "z"), (2, 0, "user", "how?"), (2, 1, "assistant", 'write "tool_calls" in it'),
+        (2, 2, "assistant", '{"tool_calls": [{"name": "x"}, {"name": "open", "arguments": {}}]}'),
+    ]
+    rows = rows_of(spark, messages, {**tc.SCHEMAS, **TOOLS})
+    assert len({(r.conv_id, r.call_id) for r in rows}) == len(rows) == 13
+    held = [json.loads(r.json) for r in rows]
+    assert {h["arguments"]["prompt"] for h in held if h["name"] == "reply"} == {*(f"hello {i}" for i in range(4)), "x", "y", "how?"}
+    assert {h["result"] for h in held} == {None, *(f"hi {i}" for i in range(3)), "z", 'write "tool_calls" in it'}
+    assert {h["id"]: h["result"] for h in held}["2:0"] == 'write "tool_calls" in it'
+    assert {(h["id"], h["name"]) for h in held if "#" in h["id"]} == {("2:2#0", "x"), ("2:2#1", "open")}
+
+
+def test_repeats_keep_their_texts(spark):
+    messages = [
+        (1, 0, "assistant", calls(("a", "search", {"q": "x"}))), (1, 1, "assistant", calls(("a", "search", {"q": 5}), ("a", "search", {"q": 5}))),
+        (1, 2, "tool", json.dumps({"tool_call_id": "a", "content": "first"})), (1, 3, "tool", json.dumps({"tool_call_id": "a", "content": "second"})),
+        (1, 4, "user", "same"), (1, 4, "user", "same"), (1, 4, "user", "to"), (1, 6, "user", "alone"),
+    ]
+    rows = tc.repeats(spark.createDataFrame(messages, SCHEMA), {**tc.SCHEMAS, **TOOLS}).collect()
+    told = sorted((r.call_id, r.side, r.turn, r["index"], r.times, r.errors or "") for r in rows)
+    assert told == [("1:4", "call", 4, 0, 1, ""), ("1:4", "call", 4, 0, 1, ""), ("a", "call", 1, 0, 1, "type q"), ("a", "call", 1, 1, 1, "type q"), ("a", "result", 3, 0, 1, "")]
+    assert [r.text for r in rows if r.side == "result"] == ["second"]
