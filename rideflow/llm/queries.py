@@ -7,11 +7,14 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from rideflow.llm import decontamination, embedding_dedup, html_text, licenses, mixing, quality, secrets, simhash, tokens, tool_calls
+from rideflow.llm import (
+    decontamination, embedding_dedup, html_text, licenses, merkle, mixing, packing, quality, runs, secrets, simhash, tokens, tool_calls,
+)
 from rideflow.llm.common import read_table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 TOKENIZER = "piece_bpe_32k.model"
+PACKING_TOKENIZER = "byte_bpe_50k.json"
 
 
 def query(fn):
@@ -67,3 +70,18 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.run_report(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packing_report(read_table(spark, sf_dir, "documents"), str(public_tokenizers.path(PACKING_TOKENIZER)))
+
+
+@query
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest_report(read_table(spark, sf_dir, "documents"))
