@@ -1,8 +1,7 @@
 """Secret scan: base patterns and an assignment-aware lexer over whole texts.
 
-The lexer reads source and configuration syntax (``name = "x"``, ``"name": "x"``, ``NAME=x``,
-``name: str = a + "x"``) into pairs of a name and literals, carries constants from name to name
-and through ``+``, and scores each literal by the name it ends up under.
+The lexer (``assignments``) reads source and configuration syntax into pairs of a name and literals and
+carries constants from name to name; each literal is scored here by the name it ends up under.
 """
 
 from __future__ import annotations
@@ -10,7 +9,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from functools import cache
 from typing import NamedTuple
 
 import pandas as pd
@@ -18,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rideflow.llm.assignments import bindings, reaching, resolved
 from rideflow.llm.common import fresh, small_batches, whole_text
 
 # Fixed values of the contract: base patterns, least lengths and the order of kinds.
@@ -39,17 +39,13 @@ _NAME_WEIGHTS = {
 _KEY_BEFORE = {"api", "private", "access", "secret", "encryption", "signing", "master", "account", "service", "client", "auth", "ssh", "aws"}
 _HARMLESS_NAMES = {"public", "example", "sample", "placeholder", "length", "len", "count", "file", "path", "type", "url", "uri", "endpoint",
                    "field", "label", "prompt", "hint", "policy", "expiry", "expires", "ttl", "regex", "pattern", "format", "header"}
-_HARMLESS_VALUES = re.compile(r"(?i)^(?:x+|\*+|\.+|changeme|password|secret|token|example.*|your[-_ ].*|<.*>|\$\{.*|\{\{.*|none|null|true|false|todo|test|dummy|\[?redacted\]?)$")
+_HARMLESS_VALUES = re.compile(r"(?i)^(?:x+|\*+|\.+|changeme|password|secret|token|example.*|your[-_ ].*|<.*>|\$\{.*|\{\{.*|\{[A-Za-z0-9_.()]*\}|none|null|true|false|todo|test|dummy|\[?redacted\]?)$")
+# A member of another name, such as ``user.password``.
+_PATH = re.compile(r"[A-Za-z_]+(?:\.[A-Za-z_]+)+")
+# Part of every name that has a weight.
+_HINT = re.compile(r"(?i)pass|pwd|secret|token|key|cred|bearer|auth|jwt|pin|salt|signature")
 _NAME_PARTS = re.compile(r"[A-Z]+(?![a-z])|[A-Z]?[a-z]+|[0-9]+")
 
-# A name only starts where the run of name characters starts, so long runs are read once.
-_PAIR = re.compile(
-    r"""(?<![A-Za-z0-9_.\-$])(["'`]?)([A-Za-z_$][A-Za-z0-9_.\-]*)\1\]?[ \t]*"""
-    r"""(?::[ \t]*[A-Za-z_][A-Za-z0-9_.]*[ \t]*=|:=|=>|=|:)(?!=)[ \t]*""", re.A)
-_TERM = re.compile(r""""((?:[^"\\\n]|\\.)*)"|'((?:[^'\\\n]|\\.)*)'|`([^`\n]*)`|([A-Za-z0-9_$][A-Za-z0-9+/_.=$@-]*)""", re.A)
-_PLUS = re.compile(r"[ \t]*\+[ \t]*")
-
-
 class Span(NamedTuple):
     """``start`` and ``end`` of the finding, ``value_start`` and ``value_end`` of the secret in it."""
 
@@ -61,12 +57,6 @@ class Span(NamedTuple):
     score: float
 
 
-class Literal(NamedTuple):
-    value: str
-    start: int
-    end: int
-
-
 def name_score(name: str) -> float:
     """How sensitive a name is, 0 to 1, by its parts (``dbPassword``, ``API_KEY``)."""
     parts = [p.lower() for p in _NAME_PARTS.findall(name)]
@@ -79,7 +69,7 @@ def name_score(name: str) -> float:
 
 def literal_score(value: str, quoted: bool) -> float:
     """How much a literal looks like a secret, 0 to 1, by its information in bits."""
-    if len(value) < 6 or _HARMLESS_VALUES.match(value):
+    if len(value) < 6 or _HARMLESS_VALUES.match(value) or not quoted and _PATH.fullmatch(value):
         return 0.0
     kinds = sum(bool(re.search(p, value)) for p in ("[a-z]", "[A-Z]", "[0-9]", "[^A-Za-z0-9]"))
     if not quoted and kinds < 2 or " " in value and kinds < 3:
@@ -89,34 +79,6 @@ def literal_score(value: str, quoted: bool) -> float:
     return min(1.0, bits / 32)
 
 
-def _pairs(text: str) -> Iterator[tuple[str, list[Literal], bool]]:
-    """Each assigned name with the literals its value consists of, and whether any is quoted."""
-    known: dict[str, tuple[list[Literal], bool]] = {}
-    at = 0
-    while match := _PAIR.search(text, at):
-        at = match.end()
-        literals: list[Literal] = []
-        quoted, position = False, at
-        while term := _TERM.match(text, position):
-            group = term.lastindex or 4
-            if group == 4 and term[4] in known:
-                literals += known[term[4]][0]
-                quoted |= known[term[4]][1]
-            else:
-                literals.append(Literal(term[group] or "", term.start(group), term.end(group)))
-                quoted |= group != 4
-            position = term.end()
-            plus = _PLUS.match(text, position)
-            if not plus:
-                break
-            position = plus.end()
-        if literals:
-            known[match[2]] = (literals, quoted)
-            yield match[2], literals, quoted
-            if quoted:
-                at = max(at, position)
-
-
 def base_spans(text: str) -> list[Span]:
     """The base findings: leftmost, non-overlapping by kind; those that are too short go."""
     out = []
@@ -131,16 +93,16 @@ def base_spans(text: str) -> list[Span]:
 
 def named_spans(text: str) -> list[Span]:
     """Literals that a sensitive name gets, directly or through other names; each span once."""
-    if "=" not in text and ":" not in text:
+    if not _HINT.search(text):
+        return []
+    scored = cache(name_score)
+    found = bindings(text, scored)
+    if not any(scored(b.name) for b in found):
         return []
-    found: dict[tuple[int, int], float] = {}
-    for name, literals, quoted in _pairs(text):
-        weight = name_score(name)
-        if weight and (score := weight * literal_score("".join(x.value for x in literals), quoted)) >= NAMED_FROM:
-            for x in literals:
-                if x.end > x.start:
-                    found[x.start, x.end] = max(score, found.get((x.start, x.end), 0.0))
-    return [Span("named", *span, *span, score) for span, score in found.items()]
+    rows = resolved(text, found)
+    scores = {i: scored(r.name) * literal_score(r.value, r.quoted) for i, r in enumerate(rows) if scored(r.name)}
+    hits = reaching(rows, {i: score for i, score in scores.items() if score >= NAMED_FROM})
+    return [Span("named", *span, *span, score) for span, score in hits.items()]
 
 
 def secret_spans(text: str) -> list[Span]:
