@@ -11,6 +11,8 @@ before it end, so sequences have no padding between shards either.
 from __future__ import annotations
 
 import os
+import re
+from collections import ChainMap
 from collections.abc import Iterator, Mapping, Sequence
 from functools import lru_cache
 
@@ -28,11 +30,18 @@ from rideflow.operators.lookup import lookup_join
 #: Tokens of a sequence, and the token that ends a document.
 SEQUENCE, END = 2048, 1
 #: A turn is worth waiting for from so many tokens of credit; sources are dealt to shards in such blocks.
-QUANTUM = 256
+QUANTUM = 512
 #: Tokens that fall due in one shard.
 SHARD = 64 * SEQUENCE
 #: Characters handed to the tokenizer at once, and from which a text is cut.
 _CHARS = 1 << 18
+#: Pieces of text whose ids a task keeps, and the length up to which it does.
+_KNOWN, _SHORT = 500_000, 64
+#: White space and the word after it. Words part before white space, so pieces can be encoded one by one.
+_PIECE = re.compile(r"[ \t\n\r\f\v]*[^ \t\n\r\f\v]+|[ \t\n\r\f\v]+")
+_SPACES = (" ", "\t", "\n", "\r", "\f", "\v")
+#: Other white space, which tokens may span together with the above.
+_ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
 #: Where no token crosses: before white space, and after the last letter of a word.
 _CUT = regex.compile(r"(?<=\S)(?=\s)|(?<=\p{L})(?=\P{L})")
 _TOKENS = pa.schema([("doc_id", pa.string()), ("tree", pa.string()), ("part", pa.int64()), ("before", pa.int64()), ("tokens", pa.int64()), ("ids", pa.binary())])
@@ -46,6 +55,11 @@ def _tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+def id_width(path: str) -> int:
+    """Bytes that hold any id of the vocabulary."""
+    return 2 if max(_tokenizer(path).get_vocab().values()) < 1 << 16 else 4
+
+
 def chunks(text: str, added: Sequence[str] = (), size: int = _CHARS) -> list[str]:
     """The text in pieces of about the size, cut only where the byte-level pre-tokenizer always parts words.
 
@@ -62,49 +76,87 @@ def chunks(text: str, added: Sequence[str] = (), size: int = _CHARS) -> list[str
     return out
 
 
-def encoded(texts: list[str], path: str, end: int = END) -> Iterator[np.ndarray]:
-    """The ids of each text and the end token, in little-endian 32 bits; a bounded number of characters at a time."""
-    tokenizer = _tokenizer(path)
-    added = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
-    held, size = [], 0
-
-    def ids_of(pieces: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, "<u4") for e in tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-
-    last = np.array([end], "<u4")
-    for text in texts:
-        if len(text) > _CHARS:
-            for ids in ids_of(held):
-                yield np.append(ids, last)
-            held, size = [], 0
-            yield np.concatenate([*(ids_of([piece])[0] for piece in chunks(text, added)), last])
-            continue
-        held.append(text)
-        size += len(text)
-        if size > _CHARS:
-            for ids in ids_of(held):
-                yield np.append(ids, last)
-            held, size = [], 0
-    for ids in ids_of(held):
-        yield np.append(ids, last)
+class Encoder:
+    """The library's ids of whole texts and the end token, as bytes. Short pieces between white space are encoded once and kept."""
+
+    def __init__(self, path: str, end: int = END):
+        self.tokenizer, self.kind = _tokenizer(path), f"<u{id_width(path)}"
+        self.end = np.array([end], self.kind).tobytes()
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        vocabulary = self.tokenizer.get_vocab()
+        # A letter of a byte-level token stands for one byte.
+        self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
+        self.bytes_of[list(vocabulary.values())] = [len(t) for t in vocabulary]
+        self.known: dict[str, bytes] = {}
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
+
+    def _encoded(self, pieces: list[str]) -> Iterator[tuple[str, bytes]]:
+        """The pieces with their ids; those that start with white space a bounded number of characters at a time, parted by the bytes that they cover."""
+        held, size = [], 0
+        for number, piece in enumerate(pieces):
+            if piece[:1] not in _SPACES:
+                yield piece, self._ids(piece).tobytes()
+            else:
+                held.append(piece)
+                size += len(piece)
+            if held and (size > _CHARS or number == len(pieces) - 1):
+                ids = self._ids("".join(held))
+                ends = np.searchsorted(np.cumsum(self.bytes_of[ids]), np.cumsum([len(p.encode()) for p in held])) + 1
+                data, width, at = ids.tobytes(), ids.itemsize, 0
+                for p, to in zip(held, (ends * width).tolist()):
+                    yield p, data[at:to]
+                    at = to
+                held, size = [], 0
+
+    def _pieces(self, text: str) -> list[str]:
+        """The text in pieces that can be encoded one by one; the long ones cut again."""
+        pieces = [text] if _ODD_SPACE.search(text) else _PIECE.findall(text)
+        if len(text) <= _CHARS:
+            return pieces
+        return [c for p in pieces for c in (chunks(p, self.added) if len(p) > _CHARS else (p,))]
+
+    def ids(self, text: str) -> bytes:
+        pieces = self._pieces(text)
+        found = self.known
+        new = set(pieces).difference(found)
+        if new:
+            short = [p for p in new if len(p) <= _SHORT]
+            if len(found) + len(short) > _KNOWN:
+                self.known = found = {}
+                new = set(pieces)
+                short = [p for p in new if len(p) <= _SHORT]
+            found.update(self._encoded(short))
+            if len(short) < len(new):
+                found = ChainMap({p: self._ids(p).tobytes() for p in new if len(p) > _SHORT}, found)
+        return b"".join(map(found.__getitem__, pieces)) + self.end
+
+
+@lru_cache(1)
+def _encoder(path: str) -> Encoder:
+    return Encoder(path)
 
 
 def token_table(docs: DataFrame, tokenizer: str, key: str = "doc_id") -> DataFrame:
-    """``doc_id, tree, part, before, tokens, ids``: the ids of each document, written once.
+    """``doc_id, tree, part, before, tokens, ids``: the ids of each document, written once in ``id_width`` bytes each.
 
     ``tree`` is the source with an ``s`` before it, empty for null. ``part`` is the task that read the row
     and ``before`` the tokens of the same source that the task read earlier.
     """
 
+    width = id_width(tokenizer)
+
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, queued = TaskContext.get().partitionId(), {}
+        part, queued, encoder = TaskContext.get().partitionId(), {}, _encoder(tokenizer)
         for batch in batches:
             keys, trees = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             out: list[list] = [[], [], [], [], [], []]
-            for doc, tree, ids in zip(keys, trees, encoded(batch.column(2).to_pylist(), tokenizer)):
-                before = queued.get(tree, 0)
-                queued[tree] = before + len(ids)
-                for column, value in zip(out, (doc, tree, part, before, len(ids), ids.tobytes())):
+            for doc, tree, text in zip(keys, trees, batch.column(2).to_pylist()):
+                ids, before = encoder.ids(text), queued.get(tree, 0)
+                count = len(ids) // width
+                queued[tree] = before + count
+                for column, value in zip(out, (doc, tree, part, before, count, ids)):
                     column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, _TOKENS.types)], schema=_TOKENS)
 
@@ -132,7 +184,7 @@ def _queues(tokens: DataFrame, weights: Mapping[str | None, float] | None) -> tu
     return written(parts.join(rates, F.col("tree") == F.col("_tree")).select("tree", "part", "shift", "rate"), "rates"), total["size"] or 0
 
 
-def _dealt(tokens: DataFrame, queues: DataFrame) -> DataFrame:
+def _dealt(tokens: DataFrame, queues: DataFrame, width: int) -> DataFrame:
     """``shard, tree, place, doc_id, doc_tokens, start, length, ids``: each document cut where its blocks fall due in different shards."""
     rows = lookup_join(tokens, queues, {"tree": "tree", "part": "part"}).withColumn("_at", F.col("shift") + F.col("before"))
     end, last = F.col("_at") + F.col("tokens"), F.floor((F.col("_at") + F.col("tokens") - 1) / QUANTUM)
@@ -150,7 +202,7 @@ def _dealt(tokens: DataFrame, queues: DataFrame) -> DataFrame:
         lambda p: F.struct(
             shard(F.floor(p["_from"] / QUANTUM)).alias("shard"), p["_from"].alias("place"), (p["_from"] - F.col("_at")).alias("start"),
             (p["_to"] - p["_from"]).alias("length"),
-            F.substring(F.col("ids"), ((p["_from"] - F.col("_at")) * 4 + 1).cast("int"), ((p["_to"] - p["_from"]) * 4).cast("int")).alias("ids"),
+            F.substring(F.col("ids"), ((p["_from"] - F.col("_at")) * width + 1).cast("int"), ((p["_to"] - p["_from"]) * width).cast("int")).alias("ids"),
         ),
     )
     return rows.select("tree", "doc_id", F.col("tokens").alias("doc_tokens"), F.inline(pieces))
@@ -190,7 +242,7 @@ class _Queue:
     def take(self, count: int) -> tuple:
         """So many tokens of the head: document, its tokens, start in it, length, ids."""
         doc, doc_tokens, start, length, ids = self.rows[self.number]
-        piece = doc, doc_tokens, start + self.used, count, ids[4 * self.used : 4 * (self.used + count)]
+        piece = doc, doc_tokens, start + self.used, count, ids[self.used : self.used + count]
         self.used, self.left = self.used + count, self.left - count
         if self.used == length:
             self.number, self.used = self.number + 1, 0
@@ -205,9 +257,8 @@ def round_robin(queues: list[_Queue], begin: int, total: int) -> Iterator[tuple]
     quantum, and less than its document needs, waits. If all wait, the one with most credit borrows a quantum.
     """
     whole, ends = sequence_ends(total)
-    share = np.array([q.left for q in queues], float)
-    share /= share.sum()
-    credit, turn, at, left = np.zeros(len(queues)), 0, begin, sum(q.left for q in queues)
+    turn, at, left = 0, begin, sum(q.left for q in queues)
+    share, credit = [q.left / left for q in queues], [0.0] * len(queues)
     while left:
         number = at // SEQUENCE
         if number < whole:
@@ -217,7 +268,7 @@ def round_robin(queues: list[_Queue], begin: int, total: int) -> Iterator[tuple]
             number += ends.index(last)
             first = ends[ends.index(last) - 1] if last != ends[0] else whole * SEQUENCE
         room = min(last - at, left)
-        credit += share * room
+        credit = [c + s * room for c, s in zip(credit, share)]
         piece, pieces = None, []
         while room:
             waiting = True
@@ -238,7 +289,7 @@ def round_robin(queues: list[_Queue], begin: int, total: int) -> Iterator[tuple]
                 room -= pieces[-1][3]
         for new in pieces:
             if piece and piece[0] == new[0] and piece[2] + piece[3] == new[2]:
-                piece = (*piece[:3], piece[3] + new[3], piece[4] + new[4])
+                piece = (*piece[:3], piece[3] + new[3], np.concatenate([piece[4], new[4]]))
                 continue
             if piece:
                 yield *piece, number, at - first
@@ -259,20 +310,23 @@ def packed(docs: DataFrame, tokenizer: str, weights: Mapping[str | None, float]
     A null or empty text is its end token alone; null is a source of its own; repeated rows are
     packed each. Without documents there is no row.
     """
-    tokens = token_table(docs, tokenizer, key)
+    tokens, width = token_table(docs, tokenizer, key), id_width(tokenizer)
     queues, total = _queues(tokens, weights)
-    begins = _begins(_dealt(tokens.drop("ids").withColumn("ids", F.lit(None).cast("binary")), queues))
+    begins = _begins(_dealt(tokens.drop("ids").withColumn("ids", F.lit(None).cast("binary")), queues, width))
 
     def fill(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["tree", "place"])
         columns = ["doc_id", "doc_tokens", "start", "length", "ids"]
         # A document is told by its place in the queue, since ids may repeat.
-        named = rows.assign(doc_id=list(zip(rows["doc_id"], rows["tree"], rows["place"] - rows["start"])))
+        named = rows.assign(
+            doc_id=list(zip(rows["doc_id"], rows["tree"], rows["place"] - rows["start"])), ids=[np.frombuffer(x, f"<u{width}").astype("<u4") for x in rows["ids"]]
+        )
         queues = [_Queue(list(group[columns].itertuples(index=False, name=None))) for _, group in named.groupby("tree", sort=True)]
-        out = [(doc[0], *rest) for doc, *rest in round_robin(queues, int(rows["begin"].iloc[0]), total)]
+        cut = round_robin(queues, int(rows["begin"].iloc[0]), total)
+        out = [(doc[0], doc_tokens, start, length, ids.tobytes(), number, at) for doc, doc_tokens, start, length, ids, number, at in cut]
         return pd.DataFrame(out, columns=["doc_id", "doc_tokens", "start", "length", "ids", "sequence_id", "offset"])
 
-    shards = _dealt(tokens, queues).join(begins, "shard")
+    shards = _dealt(tokens, queues, width).join(begins, "shard")
     out = shards.groupBy("shard").applyInPandas(fill, "doc_id string, doc_tokens long, start long, length long, ids binary, sequence_id long, offset long")
     kind = docs.schema[key].dataType
     return out.select(F.col("doc_id").cast(kind).alias(key), "start", "length", "doc_tokens", "sequence_id", "offset", "ids")

@@ -104,13 +104,16 @@ def test_a_source_without_weight_is_an_error(spark):
 
 def test_chunks_encode_alike():
     rng = random.Random(3)
+    encoder = packing.Encoder(PATH)
     letters = "ab Z'st\n\t 1,.;é中文。 ßǅʰ١  　😀-"
     for i in range(3000):
         text = "".join(rng.choices(letters, k=rng.randrange(1, 80)))
         text = text if i % 20 else f"{text}<|endoftext|>{text} <|endoftext|>"
         pieces = packing.chunks(text, ["<|endoftext|>"], rng.randrange(1, 9))
         assert "".join(pieces) == text
-        assert [i for p in pieces for i in LIBRARY.encode(p, add_special_tokens=False).ids] == LIBRARY.encode(text, add_special_tokens=False).ids
+        wanted = LIBRARY.encode(text, add_special_tokens=False).ids
+        assert [i for p in pieces for i in LIBRARY.encode(p, add_special_tokens=False).ids] == wanted
+        assert np.frombuffer(encoder.ids(text), encoder.kind).tolist() == [*wanted, 1]
 
 
 def test_the_rest_is_cut_into_powers_of_two():
