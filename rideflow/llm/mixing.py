@@ -1,7 +1,7 @@
 """Mixing sources to target weights: repetition rates per source, whole copies, one seeded coin.
 
-Everything is a DataFrame expression. The documents are read twice, for the sizes of the sources
-and for the result; only one row per source is shuffled.
+Everything is a DataFrame expression. The documents are read twice, for their sizes and coins and
+for the result; what is shuffled is one row per source, and one per source and seed.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rideflow.llm.common import document_words, fresh, materialize, whole_text
+from rideflow.llm.common import document_words, fresh, materialize, whole_text, written
 from rideflow.operators.lookup import lookup_join
 
 #: Weights of the sources in code point order, repeating.
@@ -19,12 +19,55 @@ BUDGET, MOST_COPIES = 1.5, 2
 SEED = "mix-1"
 #: Sixteen to this power is the range of the coin; it fits a double exactly.
 COIN_DIGITS = 13
+_RANGE = 16**COIN_DIGITS
+#: Seeds that are tried for each source; each turns all coins of a source by a part of their range.
+SEEDS = 64
+_TURN = _RANGE // SEEDS
 
 
-def coin(key: Column, seed: str = SEED) -> Column:
-    """A number in [0, 1) that depends on the key and the seed only; null counts as an empty key."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(key.cast("string"), F.lit(""))))
-    return F.conv(F.substring(digest, 1, COIN_DIGITS), 16, 10).cast("long") / F.lit(float(16**COIN_DIGITS))
+def coin(key: Column, text: Column, seed: str = SEED) -> Column:
+    """A whole number below the range that depends on key, text and seed only; null counts as empty."""
+    parts = [F.coalesce(c.cast("string"), F.lit("")) for c in (key, text)]
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), parts[0], F.lit(":"), parts[1]).cast("binary"))
+    return F.conv(F.substring(digest, 1, COIN_DIGITS), 16, 10).cast("long")
+
+
+def _rate(target: Column, size: Column) -> Column:
+    return F.when(size > 0, target / size).otherwise(0.0)
+
+
+def _below(rate: Column) -> Column:
+    """Coins below this take one copy more."""
+    return F.ceil((rate - F.floor(rate)) * F.lit(float(_RANGE))).cast("long")
+
+
+def _nearest_seeds(sizes: DataFrame, table: DataFrame) -> DataFrame:
+    """The sources with ``turn``: which of the seeds brings the words taken nearest to the target; the first of equal ones.
+
+    A seed adds its part of the range to all coins of the source. So the words a seed takes follow
+    from the coins' sums by part of the range: whole parts below the source's limit, and what lies below it
+    in the part with the limit. Per source that is one row for each part.
+    """
+    limits = table.select("lookup", _below(_rate(F.col("target"), F.col("source_size"))).alias("limit"))
+    rows = lookup_join(sizes.select("label", "size", "coin"), limits, {"label": "lookup"})
+    part, within = F.floor(F.col("coin") / _TURN), F.col("coin") % _TURN < F.col("limit") % _TURN
+    parts = rows.groupBy("label", part.alias("part")).agg(F.sum("size").alias("all"), F.sum(F.when(within, F.col("size")).otherwise(0)).alias("low"))
+    held = parts.groupBy("label").agg(F.collect_list(F.struct("part", "all", "low")).alias("parts"))
+    both = table.join(held, F.col("lookup") == F.col("label"), "left")
+    rate = _rate(F.col("target"), F.col("source_size"))
+    whole, limit = F.floor(rate) * F.col("source_size"), F.floor(_below(rate) / _TURN)
+
+    def taken(turn: Column) -> Column:
+        def add(total: Column, p: Column) -> Column:
+            place = (p["part"] + turn) % SEEDS
+            return total + F.when(place < limit, p["all"]).when(place == limit, p["low"]).otherwise(0)
+
+        return F.reduce(F.coalesce("parts", F.array().cast("array<struct<part: bigint, all: bigint, low: bigint>>")), F.lit(0).cast("long"), add)
+
+    tried = F.transform(
+        F.sequence(F.lit(0), F.lit(SEEDS - 1)), lambda turn: F.struct(F.abs((whole + taken(turn)).cast("double") - F.col("target")).alias("off"), turn.alias("turn"))
+    )
+    return both.select("lookup", "source_size", "target", F.array_min(tried)["turn"].alias("turn"))
 
 
 def ranked(sources: DataFrame) -> DataFrame:
@@ -51,8 +94,11 @@ def targets(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float =
     goes to the others by weight, again and again until none is above. Each round sums the table of
     sources into one row. Without documents the table is empty.
     """
-    sizes = docs.select("source", document_words(whole_text()).alias("size")).groupBy("source")
-    caps = ranked(sizes.agg(F.sum("size").alias("source_size")))
+    return _targets(docs.select("source", document_words(whole_text()).alias("size")), weights, budget, most)
+
+
+def _targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, budget: float = BUDGET, most: int = MOST_COPIES) -> DataFrame:
+    caps = ranked(sizes.groupBy("source").agg(F.sum("size").alias("source_size")))
     weight = F.element_at(F.array(*map(F.lit, weights)), (F.col("rank") % len(weights) + 1).cast("int"))
     caps = materialize(caps.withColumns({"weight": weight, "cap": most * F.col("source_size")}))
     level, full_before = 0.0, -1
@@ -76,23 +122,27 @@ def mixed(docs: DataFrame, key: str = "doc_id", seed: str = SEED, **how) -> Data
     """Every row with ``size``, ``source_size``, ``target`` and ``copies``, the times the mix emits it.
 
     ``copies`` is the whole part of target / source_size plus one with the probability of the rest,
-    by a coin of the key. Columns of these names in ``docs`` stay; the new ones then get a longer
-    name. Texts that are null or empty have size 0; null is a source of its own; repeated rows of a
-    key fall alike; without rows the result is empty.
+    by a coin of key and text. All coins of a source are turned by the seed, of ``SEEDS``, that brings its
+    words nearest to the target. Columns of these names in ``docs`` stay; the new ones then get a longer
+    name. Texts that are null or empty have size 0; null is a source of its own; rows that repeat key and
+    text fall alike; without rows the result is empty.
     """
     names = {n: fresh(docs, n) for n in ("size", "source_size", "target", "copies")}
-    group, lookup = fresh(docs, "_group"), fresh(docs, "_lookup")
+    group, lookup, turn = fresh(docs, "_group"), fresh(docs, "_lookup"), fresh(docs, "_turn")
     # Null is a key like any other: a present source has the prefix "s".
     label = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit(""))
-    table = targets(docs, **how).select(
-        label.alias(lookup), F.col("source_size").alias(names["source_size"]), F.col("target").alias(names["target"])
+    tossed = coin(F.col(f"`{key}`"), F.col("text"), seed)
+    sizes = written(docs.select("source", label.alias("label"), document_words(whole_text()).alias("size"), tossed.alias("coin")), "sizes")
+    table = _targets(sizes, **how).select(label.alias("lookup"), "source_size", "target")
+    table = written(_nearest_seeds(sizes, table), "seeds").select(
+        F.col("lookup").alias(lookup), F.col("source_size").alias(names["source_size"]), F.col("target").alias(names["target"]), F.col("turn").alias(turn)
     )
     rows = docs.withColumns({group: label, names["size"]: document_words(whole_text())})
     joined = lookup_join(rows, table, {group: lookup}).drop(group)
-    whole = F.col(f"`{names['source_size']}`")
-    rate = F.when(whole > 0, F.col(f"`{names['target']}`") / whole).otherwise(0.0)
-    copies = F.floor(rate) + F.when(coin(F.col(f"`{key}`"), seed) < rate - F.floor(rate), 1).otherwise(0)
-    return joined.withColumn(names["copies"], copies.cast("long"))
+    rate = _rate(F.col(f"`{names['target']}`"), F.col(f"`{names['source_size']}`"))
+    turned = (tossed + F.col(turn) * F.lit(_TURN)) % F.lit(_RANGE)
+    copies = F.floor(rate) + F.when(turned < _below(rate), 1).otherwise(0)
+    return joined.withColumn(names["copies"], copies.cast("long")).drop(turn)
 
 
 def emitted(docs: DataFrame, **how) -> DataFrame:

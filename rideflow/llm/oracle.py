@@ -5,10 +5,13 @@ from __future__ import annotations
 ORACLE: dict[str, str] = {}
 
 # Repeating weights, budget and copies as in the contract; the level is where the sources that
-# stop at twice their size (the smallest by size over weight) and the others share the budget.
+# stop at twice their size (the smallest by size over weight) and the others share the budget. All
+# coins of a source are turned by the 64th part of their range that brings it nearest to its target.
 ORACLE["op9_source_mixing"] = r"""
 WITH sized AS (
-  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size FROM documents
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+    ('0x' || substr(md5('mix-1:' || coalesce(doc_id::VARCHAR, '') || ':' || coalesce(text, '')), 1, 13))::BIGINT AS coin
+  FROM documents
 ), sources AS (
   SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source
 ), weighted AS (
@@ -25,14 +28,21 @@ WITH sized AS (
 ), targets AS (
   SELECT w.source, w.source_size, least(2.0::DOUBLE * w.source_size, r.level * w.weight) AS target FROM weighted w, reached r
 ), rated AS (
-  SELECT s.doc_id, s.size, t.source_size, t.target,
+  SELECT s.doc_id, s.source, s.size, s.coin, t.source_size, t.target,
     CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0 END AS rate,
-    ('0x' || substr(md5('mix-1:' || coalesce(s.doc_id::VARCHAR, '')), 1, 13))::BIGINT / 4503599627370496.0::DOUBLE AS coin
+    ceil((CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0 END
+      - floor(CASE WHEN t.source_size > 0 THEN t.target / t.source_size ELSE 0.0 END)) * 4503599627370496.0::DOUBLE)::BIGINT AS lim
   FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source
+), tried AS (
+  SELECT source, turn, abs(sum(size * (floor(rate)::BIGINT + CASE WHEN (coin + turn * 70368744177664) % 4503599627370496 < lim THEN 1 ELSE 0 END))::DOUBLE
+      - any_value(target)) AS off
+  FROM rated, range(64) AS r(turn) GROUP BY source, turn
+), seeds AS (
+  SELECT source, arg_min(turn, (off, turn)) AS turn FROM tried GROUP BY source
 )
-SELECT doc_id, size::BIGINT AS size, source_size, target,
-  (size * (floor(rate) + CASE WHEN coin < rate - floor(rate) THEN 1 ELSE 0 END))::BIGINT AS taken
-FROM rated
+SELECT r.doc_id, r.size::BIGINT AS size, r.source_size, r.target,
+  (r.size * (floor(r.rate) + CASE WHEN (r.coin + s.turn * 70368744177664) % 4503599627370496 < r.lim THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM rated r JOIN seeds s ON r.source IS NOT DISTINCT FROM s.source
 """
 
 # All pairs, and everything that links reach. Vectors of the table are never null, empty or zero
