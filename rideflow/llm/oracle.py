@@ -75,7 +75,7 @@ WITH calls AS (
 ), first_results AS (
   SELECT conv_id, call_id, min(turn) AS result_turn, arg_min(content, (turn, content)) AS content, count(*) AS n_results FROM results GROUP BY 1, 2
 )
-SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.call_id, r.call_id) AS call_id, call_turn,
+SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.call_id, r.call_id) AS call_id, false AS repeat, call_turn,
   CASE WHEN n_calls > 0 THEN 0::BIGINT END AS call_index, result_turn, CASE WHEN n_calls > 0 THEN 'reply' END AS name,
   call_turn AS lift_turn, CASE WHEN n_calls > 0 THEN 0::BIGINT END AS lift_index, CASE WHEN n_calls > 0 THEN 0 END AS step, false AS cyclic,
   coalesce(n_calls, 0) AS n_calls, coalesce(n_results, 0) AS n_results,
@@ -83,6 +83,18 @@ SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.call_id, r.call_id)
   '{"arguments":' || coalesce(arguments, 'null') || ',"id":"' || coalesce(c.call_id, r.call_id) || '","name":'
     || CASE WHEN n_calls > 0 THEN '"reply"' ELSE 'null' END || ',"result":' || coalesce(to_json(content)::VARCHAR, 'null') || '}' AS json
 FROM first_calls c FULL JOIN first_results r ON c.conv_id = r.conv_id AND c.call_id = r.call_id
+UNION ALL
+SELECT conv_id, call_id, true, turn, 0, NULL, 'reply', NULL, NULL, NULL, false, count(*) - any_value(own), 0, '', true,
+  '{"arguments":' || arguments || ',"id":"' || call_id || '","name":"reply","result":null}'
+FROM (SELECT *, (first_calls.call_turn = turn AND first_calls.arguments = calls.arguments)::BIGINT AS own
+  FROM calls JOIN first_calls USING (conv_id, call_id) WHERE n_calls > 1) AS t(conv_id, call_id, turn, text, arguments, ct, fa, n, own)
+GROUP BY conv_id, call_id, turn, arguments HAVING count(*) > any_value(own)
+UNION ALL
+SELECT conv_id, call_id, true, NULL, NULL, turn, NULL, NULL, NULL, NULL, false, 0, count(*) - any_value(own), 'no call', false,
+  '{"arguments":null,"id":"' || call_id || '","name":null,"result":' || to_json(content)::VARCHAR || '}'
+FROM (SELECT *, (first_results.result_turn = turn AND first_results.content = results.content)::BIGINT AS own
+  FROM results JOIN first_results USING (conv_id, call_id) WHERE n_results > 1) AS t(conv_id, call_id, turn, content, rt, fc, n, own)
+GROUP BY conv_id, call_id, turn, content HAVING count(*) > any_value(own)
 """
 
 # CRC-32 of a decimal number, bit by bit: an entry from 0 up is the next byte, -1 a step by one bit.

@@ -91,36 +91,21 @@ def results_of(messages: DataFrame) -> DataFrame:
     return tool.union(answers).where(F.col("call_id").isNotNull())
 
 
-def _first(rows: DataFrame, values: list[str]) -> DataFrame:
-    """The earliest row of each identifier and how many there were; equal places go by value."""
-    first = F.min(F.struct("at", *values)).alias("first")
-    return rows.groupBy(*_KEY).agg(first, F.count(F.lit(1)).alias("times")).select(*_KEY, "first.*", "times")
+def _distinct(rows: DataFrame, values: list[str], purpose: str) -> DataFrame:
+    """The rows with ``n``, how often each stands there; written."""
+    return written(rows.groupBy(*_KEY, "at", *values).agg(F.count(F.lit(1)).alias("n")), purpose)
 
 
-def repeats(messages: DataFrame, schemas: Schemas = SCHEMAS) -> DataFrame:
-    """What ``linked_calls`` only counts: one row per text that repeats an identifier, with how often it does.
-
-    ``conv_id, call_id, side, turn, index, name, text, times, errors``; ``side`` is call or result,
-    ``text`` the arguments or the content, ``errors`` null for results. The earliest of each
-    identifier, which ``linked_calls`` shows, is left out.
-    """
-    rows = messages.select("conv_id", "turn", "role", "text")
-    errors = F.array_join(argument_errors(F.col("name"), F.col("text"), schemas), ",")
-    calls = _later(calls_of(rows).withColumnRenamed("arguments", "text"), ["name", "text"]).select(
-        *_KEY, F.lit("call").alias("side"), "at.turn", "at.index", "name", "text", "times", errors.alias("errors")
-    )
-    results = _later(results_of(rows).withColumnRenamed("content", "text"), ["text"]).select(
-        *_KEY, F.lit("result").alias("side"), "at.turn", "at.index", F.lit(None).cast("string").alias("name"), "text", "times",
-        F.lit(None).cast("string").alias("errors"),
-    )
-    return calls.union(results)
+def _first(distinct: DataFrame, values: list[str]) -> DataFrame:
+    """The earliest row of each identifier and how many there were; equal places go by value."""
+    first = F.min(F.struct("at", *values)).alias("first")
+    return distinct.groupBy(*_KEY).agg(first, F.sum("n").alias("times")).select(*_KEY, "first.*", "times")
 
 
-def _later(rows: DataFrame, values: list[str]) -> DataFrame:
+def _later(distinct: DataFrame, values: list[str]) -> DataFrame:
     """The rows of each identifier but the earliest, equal ones once with their number."""
-    each = rows.groupBy(*_KEY, "at", *values).agg(F.count(F.lit(1)).alias("n"))
-    first = _first(rows, values).where("times > 1").select(*[F.col(c).alias(f"f_{c}") for c in _KEY], F.struct("at", *values).alias("first"))
-    both = each.join(first, each["conv_id"].eqNullSafe(F.col("f_conv_id")) & (F.col("call_id") == F.col("f_call_id")))
+    first = _first(distinct, values).where("times > 1").select(*[F.col(c).alias(f"f_{c}") for c in _KEY], F.struct("at", *values).alias("first"))
+    both = distinct.join(first, distinct["conv_id"].eqNullSafe(F.col("f_conv_id")) & (F.col("call_id") == F.col("f_call_id")))
     times = F.col("n") - F.struct("at", *values).eqNullSafe(F.col("first")).cast("long")
     return both.select(*_KEY, "at", *values, times.alias("times")).where("times > 0")
 
@@ -134,38 +119,62 @@ def ordered(calls: DataFrame) -> DataFrame:
 
     ``place`` starts as the call's position. A call that does not come after a reference moves just
     behind it (``lift``, then ``step``), again and again until nothing moves; references to earlier
-    calls move nothing. Calls that reach more steps than calls were moved are on or behind a cycle:
+    calls move nothing, and conversations without others are done at once. In each round a call also goes on
+    from the call that its longest way so far ends at, so a chain takes rounds in proportion to its length's
+    logarithm. Calls that reach more steps than calls were moved are on or behind a cycle:
     they keep their position and are marked.
     """
-    start = F.struct(F.col("at").alias("lift"), F.lit(0).alias("step")).alias("place")
     references = F.array_distinct(F.regexp_extract_all("arguments", F.lit(_REFERENCE), F.lit(1)))
     # A reference to a call of another conversation, or to none, orders nothing.
-    wanted = written(calls.select(*_KEY, F.explode(references).alias("before")), "references")
-    places, cyclic, round_ = written(calls.select(*_KEY, start), "places"), None, 0
+    wanted = written(calls.select(*_KEY, "at", F.explode(references).alias("before")), "references")
+    there = calls.select(F.col("conv_id").alias("c"), F.col("call_id").alias("b"), F.col("at").alias("there"))
+    known = wanted.join(there, wanted["conv_id"].eqNullSafe(F.col("c")) & (F.col("before") == F.col("b")))
+    moving = written(known.where("there >= at").select(F.col("conv_id").alias("m")).distinct(), "moving")
+    still = calls.select(*_KEY, F.struct(F.col("at").alias("lift"), F.lit(0).cast("long").alias("step")).alias("place"), F.lit(False).alias("cyclic"))
+    if not moving.take(1):
+        return still
+    inside = lambda rows, how: rows.join(moving, rows["conv_id"].eqNullSafe(F.col("m")), how)
+    moved = _moved(inside(calls.select(*_KEY, "at"), "left_semi"), inside(wanted.select(*_KEY, "before"), "left_semi"))
+    return inside(still, "left_anti").union(moved)
+
+
+def _moved(calls: DataFrame, wanted: DataFrame) -> DataFrame:
+    """The order of conversations in which something moves. ``end`` is where the way of a call ends, ``place.step`` references on."""
+    start = calls.select(*_KEY, F.struct(F.col("at").alias("lift"), F.lit(0).cast("long").alias("step"), F.col("call_id").alias("end")).alias("place"))
+    start, wanted, cyclic = written(start, "places"), written(wanted, "references"), None
+    places = start.withColumn("moves", F.lit(True)).withColumn("over", F.lit(False))
     while True:
-        now = places.toDF("c", "before", "there")
-        edges = wanted.join(now, wanted["conv_id"].eqNullSafe(now["c"]) & (wanted["before"] == now["before"])).select(*_KEY, "there")
-        least = F.struct(F.col("there.lift").alias("lift"), (F.col("there.step") + 1).alias("step"))
-        asked = edges.groupBy(*_KEY).agg(F.max(least).alias("least"))
-        joined = places.join(asked.toDF("c", "i", "least"), places["conv_id"].eqNullSafe(F.col("c")) & (places["call_id"] == F.col("i")), "left")
-        behind = F.coalesce(F.col("least") > F.col("place"), F.lit(False))
-        moved = joined.select(*_KEY, F.when(behind, F.col("least")).otherwise(F.col("place")).alias("place"), behind.alias("moves"))
-        moved = written(moved, "places")
-        places, round_ = moved.drop("moves"), round_ + 1
-        if not moved.where("moves").take(1):
+        now = places.select(F.col("conv_id").alias("c"), F.col("call_id").alias("i"), F.col("place").alias("there"))
+        direct = wanted.join(now, wanted["conv_id"].eqNullSafe(F.col("c")) & (F.col("before") == F.col("i"))).select(
+            *_KEY, F.struct("there.lift", (F.col("there.step") + 1).alias("step"), "there.end").alias("ways")
+        )
+        going = places.where("place.step > 0").select(*_KEY, "place")
+        onward = going.join(now, going["conv_id"].eqNullSafe(F.col("c")) & (F.col("place.end") == F.col("i"))).select(
+            *_KEY, F.struct("there.lift", (F.col("place.step") + F.col("there.step")).alias("step"), "there.end").alias("ways")
+        )
+        best = direct.union(onward).groupBy(*_KEY).agg(F.max("ways").alias("best")).toDF("c", "i", "best")
+        further = F.coalesce(F.struct("best.lift", "best.step") > F.struct("place.lift", "place.step"), F.lit(False))
+        joined = places.join(best, places["conv_id"].eqNullSafe(F.col("c")) & (F.col("call_id") == F.col("i")), "left").select(
+            *_KEY, F.when(further, F.col("best")).otherwise(F.col("place")).alias("place"), further.alias("moves"), F.col("over").alias("was_over")
+        )
+        # No way without a cycle has more steps than there are calls that moved.
+        most = joined.where("place.step > 0").groupBy("conv_id").agg(F.count(F.lit(1)).alias("most")).toDF("c", "most")
+        counted = joined.join(most, joined["conv_id"].eqNullSafe(F.col("c")), "left")
+        places = written(counted.select(*_KEY, "place", "moves", "was_over", (F.col("place.step") > F.coalesce("most", F.lit(0))).alias("over")), "places")
+        if places.where("moves AND NOT was_over").take(1):
+            continue
+        if not places.where("moves").take(1):
             break
-        lifted = places.where("place.step > 0").groupBy("conv_id").agg(F.count(F.lit(1)).alias("lifted")).withColumnRenamed("conv_id", "c")
-        most = lifted.agg(F.max("lifted")).first()[0] or 0
-        if round_ > 2 * most + 1:  # by now all calls on or behind a cycle have more steps than calls moved
-            over = places.join(lifted, places["conv_id"].eqNullSafe(lifted["c"])).where("place.step > lifted").select(*_KEY)
-            cyclic = written(over, "cyclic")
-            wanted = written(wanted.join(cyclic, _same_call(wanted, cyclic), "left_anti"), "references")
-            # Once more without them, so that nothing stays moved by a cycle.
-            places, round_ = written(calls.select(*_KEY, start), "places"), 0
+        # Only calls on or behind a cycle still move. Once more without them, so that nothing stays moved by a cycle.
+        found = places.where("over").select(*_KEY)
+        cyclic = written(found if cyclic is None else cyclic.union(found).distinct(), "cyclic")
+        wanted = written(wanted.join(cyclic, _same_call(wanted, cyclic), "left_anti"), "references")
+        places = start.withColumn("moves", F.lit(True)).withColumn("over", F.lit(False))
+    rows = places.select(*_KEY, F.struct("place.lift", "place.step").alias("place"))
     if cyclic is None:
-        return places.withColumn("cyclic", F.lit(False))
+        return rows.withColumn("cyclic", F.lit(False))
     marked = cyclic.toDF("c", "i").withColumn("marked", F.lit(True))
-    return places.join(marked, places["conv_id"].eqNullSafe(F.col("c")) & (places["call_id"] == F.col("i")), "left").select(
+    return rows.join(marked, rows["conv_id"].eqNullSafe(F.col("c")) & (rows["call_id"] == F.col("i")), "left").select(
         *_KEY, "place", F.coalesce("marked", F.lit(False)).alias("cyclic")
     )
 
@@ -218,38 +227,42 @@ def _string(value: Column) -> Column:
     return F.when(value.isNotNull(), F.substring(listed, F.lit(2), F.length(listed) - 2))
 
 
+def _canonical(identifier: Column, name: Column, arguments: Column, content: Column) -> Column:
+    """A call and its result as JSON with sorted keys and no spaces at any depth; arguments that are no JSON are a string in it."""
+    null = F.lit("null")
+    return F.concat(
+        F.lit('{"arguments":'), F.coalesce(F.to_json(F.try_parse_json(arguments)), _string(arguments), null), F.lit(',"id":'), _string(identifier),
+        F.lit(',"name":'), F.coalesce(_string(name), null), F.lit(',"result":'), F.coalesce(_string(content), null), F.lit("}"),
+    )
+
+
 def linked_calls(messages: DataFrame, schemas: Schemas = SCHEMAS) -> DataFrame:
-    """One row per identifier of a call or result in ``messages(conv_id, turn, role, text)``.
+    """One row per identifier of a call or result in ``messages(conv_id, turn, role, text)``; then one per text that repeats it.
 
-    ``call_turn`` and ``result_turn`` are null where that side is missing; ``n_calls`` and
-    ``n_results`` count repeats, of which the earliest holds; ``repeats`` has the others. Rows of a conversation sorted by
+    ``call_turn`` and ``result_turn`` are null where that side is missing. The earliest call and result of an
+    identifier are linked; ``n_calls`` and ``n_results`` count all of them. Every other one is a row with
+    ``repeat``, not linked, whose count says how often this call or result stands at its place. Rows of a conversation sorted by
     ``lift_turn, lift_index, step, call_turn, call_index`` have every call after those it refers to,
-    unless it is ``cyclic``. ``errors`` lists what is wrong with the arguments, ``valid`` says that
+    unless it is ``cyclic``; repeats are not ordered. ``errors`` lists what is wrong with the arguments, ``valid`` says that
     nothing is. ``json`` has sorted keys and no spaces at any depth; arguments that are no JSON are
     a string in it. Null texts are empty; plain turns of a null conversation or turn are rows of their own,
     linked to nothing. Without messages there is no row.
     """
     rows = messages.select("conv_id", "turn", "role", "text")
-    calls = written(_first(calls_of(rows), ["name", "arguments"]), "calls")
-    results = _first(results_of(rows), ["content"])
+    all_calls = _distinct(calls_of(rows), ["name", "arguments"], "calls")
+    all_results = _distinct(results_of(rows), ["content"], "results")
+    calls, results = _first(all_calls, ["name", "arguments"]), _first(all_results, ["content"])
     results = results.select(*[F.col(c).alias(f"r_{c}") for c in results.columns])
     order = ordered(calls)
     order = order.select(*[F.col(c).alias(f"o_{c}") for c in order.columns])
     both = calls.join(results, calls["conv_id"].eqNullSafe(F.col("r_conv_id")) & (F.col("call_id") == F.col("r_call_id")), "full")
     both = both.join(order, both["conv_id"].eqNullSafe(F.col("o_conv_id")) & (F.col("call_id") == F.col("o_call_id")), "left")
     call = F.col("call_id").isNotNull()
-    parsed = F.try_parse_json("arguments")
     wrong = F.when(call, argument_errors(F.col("name"), F.col("arguments"), schemas)).otherwise(F.array(F.lit("no call")))
     identifier = F.coalesce("call_id", "r_call_id")
-    canonical = F.concat(
-        F.lit('{"arguments":'), F.coalesce(F.to_json(parsed), _string(F.col("arguments")), F.lit("null")),
-        F.lit(',"id":'), _string(identifier),
-        F.lit(',"name":'), F.coalesce(_string(F.col("name")), F.lit("null")),
-        F.lit(',"result":'), F.coalesce(_string(F.col("r_content")), F.lit("null")), F.lit("}"),
-    )
-    return both.select(
+    linked = both.select(
         F.when(call, F.col("conv_id")).otherwise(F.col("r_conv_id")).alias("conv_id"),
-        identifier.alias("call_id"),
+        identifier.alias("call_id"), F.lit(False).alias("repeat"),
         F.col("at.turn").alias("call_turn"), F.col("at.index").alias("call_index"),
         F.col("r_at.turn").alias("result_turn"),
         F.col("name"),
@@ -257,5 +270,17 @@ def linked_calls(messages: DataFrame, schemas: Schemas = SCHEMAS) -> DataFrame:
         F.coalesce("o_cyclic", F.lit(False)).alias("cyclic"),
         F.coalesce("times", F.lit(0)).cast("long").alias("n_calls"), F.coalesce("r_times", F.lit(0)).cast("long").alias("n_results"),
         F.array_join(wrong, ",").alias("errors"), (F.size(wrong) == 0).alias("valid"),
-        canonical.alias("json"),
+        _canonical(identifier, F.col("name"), F.col("arguments"), F.col("r_content")).alias("json"),
+    )
+    text = F.lit(None).cast("string")
+    wrong = argument_errors(F.col("name"), F.col("arguments"), schemas)
+    more_calls = _later(all_calls, ["name", "arguments"]).select(
+        *_KEY, F.lit(True).alias("repeat"), F.col("at.turn").alias("call_turn"), F.col("at.index").alias("call_index"), F.col("name"), F.col("times").alias("n_calls"),
+        F.lit(0).cast("long").alias("n_results"), F.lit(False).alias("cyclic"), F.array_join(wrong, ",").alias("errors"), (F.size(wrong) == 0).alias("valid"),
+        _canonical(F.col("call_id"), F.col("name"), F.col("arguments"), text).alias("json"),
+    )
+    more_results = _later(all_results, ["content"]).select(
+        *_KEY, F.lit(True).alias("repeat"), F.col("at.turn").alias("result_turn"), F.lit(0).cast("long").alias("n_calls"), F.col("times").alias("n_results"),
+        F.lit(False).alias("cyclic"), F.lit("no call").alias("errors"), F.lit(False).alias("valid"), _canonical(F.col("call_id"), text, text, F.col("content")).alias("json"),
     )
+    return linked.unionByName(more_calls, allowMissingColumns=True).unionByName(more_results, allowMissingColumns=True)

@@ -33,7 +33,7 @@ def test_calls_and_results_are_linked(spark):
         (2, 0, "tool", json.dumps({"tool_call_id": "a", "content": "elsewhere"})),
         (2, 5, "assistant", calls(("late", "none", {}))),
     ]
-    got = {(r.conv_id, r.call_id): r for r in rows_of(spark, messages)}
+    got = {(r.conv_id, r.call_id): r for r in rows_of(spark, messages) if not r.repeat}
     assert set(got) == {(1, "a"), (1, "b"), (1, "zz"), (2, "a"), (2, "late")}
     assert (got[1, "a"].result_turn, got[1, "a"].n_results, got[1, "a"].valid) == (2, 2, True)
     assert got[1, "b"].json == '{"arguments":{"b":null,"z":{"k":[1,{"c":2,"d":1}]}},"id":"b","name":"open","result":"said \\"so\\""}'
@@ -90,7 +90,7 @@ def test_nulls_repeats_and_plain_turns(spark):
         (1, 3, "user", 'say "{}"'), (1, 3, "user", 'say "{}"'), (1, 4, None, "y"), (2, 0, "assistant", '{"tool_calls": 5}'), (2, 1, "assistant", '{"tool_calls": [{"name": "x"}]}'),
         (2, 2, "tool", "no json"), (2, 3, "tool", None), (1, 4, "assistant", "answer"),
     ]
-    got = {(r.conv_id, r.call_id): r for r in rows_of(spark, messages, tc.SCHEMAS)}
+    got = {(r.conv_id, r.call_id): r for r in rows_of(spark, messages, tc.SCHEMAS) if not r.repeat}
     assert got[1, "1:3"].n_calls == 2 and got[1, "1:3"].result_turn == 4 and got[1, "1:3"].valid
     assert json.loads(got[1, "1:3"].json)["arguments"] == {"after": {"$ref": "1:1"}, "prompt": 'say "{}"'}
     assert json.loads(got[1, "1:1"].json)["result"] == ""
@@ -142,7 +142,22 @@ def test_repeats_keep_their_texts(spark):
         (1, 2, "tool", json.dumps({"tool_call_id": "a", "content": "first"})), (1, 3, "tool", json.dumps({"tool_call_id": "a", "content": "second"})),
         (1, 4, "user", "same"), (1, 4, "user", "same"), (1, 4, "user", "to"), (1, 6, "user", "alone"),
     ]
-    rows = tc.repeats(spark.createDataFrame(messages, SCHEMA), {**tc.SCHEMAS, **TOOLS}).collect()
-    told = sorted((r.call_id, r.side, r.turn, r["index"], r.times, r.errors or "") for r in rows)
-    assert told == [("1:4", "call", 4, 0, 1, ""), ("1:4", "call", 4, 0, 1, ""), ("a", "call", 1, 0, 1, "type q"), ("a", "call", 1, 1, 1, "type q"), ("a", "result", 3, 0, 1, "")]
-    assert [r.text for r in rows if r.side == "result"] == ["second"]
+    rows = [r for r in tc.linked_calls(spark.createDataFrame(messages, SCHEMA), {**tc.SCHEMAS, **TOOLS}).collect() if r.repeat]
+    told = sorted((r.call_id, r.call_turn, r.call_index, r.result_turn, r.n_calls, r.n_results, r.errors) for r in rows if r.call_turn is not None)
+    assert told == [("1:4", 4, 0, None, 1, 0, ""), ("1:4", 4, 0, None, 1, 0, ""), ("a", 1, 0, None, 1, 0, "type q"), ("a", 1, 1, None, 1, 0, "type q")]
+    assert [(json.loads(r.json)["result"], r.result_turn, r.n_results) for r in rows if r.call_turn is None] == [("second", 3, 1)]
+    assert sorted(json.loads(r.json)["arguments"].get("prompt", "") for r in rows if r.call_id == "1:4") == ["same", "to"]
+
+
+def test_a_long_chain_takes_few_rounds(spark, monkeypatch):
+    """Every call refers to the next one, and a cycle of its own stands beside them."""
+    n, rounds, write = 3000, [], tc.written
+    monkeypatch.setattr(tc, "written", lambda df, purpose: (rounds.append(purpose), write(df, purpose))[1])
+    items = [(f"c{i}", "open", {"$ref": f"c{i + 1}"}) for i in range(n)] + [("x", "open", {"$ref": "y"}), ("y", "open", {"$ref": "x"})]
+    messages = [(1, i, "assistant", calls(item)) for i, item in enumerate(items)]
+    messages += [(2, 0, "assistant", calls(("a", "open", {}), ("b", "open", {"$ref": "a"})))]
+    rows = tc.ordered(tc.calls_of(spark.createDataFrame(messages, SCHEMA)).select("conv_id", "call_id", "at", "name", "arguments")).collect()
+    assert {r.call_id for r in rows if r.cyclic} == {"x", "y"} and len(rows) == n + 4
+    place = {r.call_id: (r.place.lift.turn, r.place.lift["index"], r.place.step) for r in rows if r.conv_id == 1}
+    assert all(place[f"c{i}"] > place[f"c{i + 1}"] for i in range(n - 1))
+    assert rounds.count("places") < 40
