@@ -35,6 +35,8 @@ SHARD = 64 * SEQUENCE
 _CHARS = 1 << 18
 #: Pieces of text whose ids a task keeps, and the length up to which it does.
 _KNOWN, _SHORT = 500_000, 64
+#: So many of them are encoded at once.
+_TOGETHER = 10_000
 #: White space and the word after it. Words part before white space, so pieces can be encoded one by one.
 _PIECE = re.compile(r"[ \t\n\r\f\v]*[^ \t\n\r\f\v]+|[ \t\n\r\f\v]+")
 _SPACES = (" ", "\t", "\n", "\r", "\f", "\v")
@@ -96,23 +98,19 @@ class Encoder:
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
 
-    def _encoded(self, pieces: list[str]) -> Iterator[tuple[str, bytes]]:
-        """The pieces with their ids; those that start with white space a bounded number of characters at a time, parted by the bytes that they cover."""
-        held, size = [], 0
-        for number, piece in enumerate(pieces):
-            if piece[:1] not in _SPACES:
-                yield piece, self._ids(piece).tobytes()
-            else:
-                held.append(piece)
-                size += len(piece)
-            if held and (size > _CHARS or number == len(pieces) - 1):
-                ids = self._ids("".join(held))
-                ends = np.searchsorted(np.cumsum(self.bytes_of[ids]), np.cumsum([len(p.encode()) for p in held])) + 1
-                data, width, at = ids.tobytes(), ids.itemsize, 0
-                for p, to in zip(held, (ends * width).tolist()):
-                    yield p, data[at:to]
-                    at = to
-                held, size = [], 0
+    def _encoded(self, pieces: list[str]) -> dict[str, bytes]:
+        """The pieces with their ids. Those that start with white space are encoded together and parted by the bytes that they cover."""
+        out = {p: self._ids(p).tobytes() for p in pieces if p[:1] not in _SPACES}
+        spaced = [p for p in pieces if p[:1] in _SPACES]
+        for start in range(0, len(spaced), _TOGETHER):
+            held = spaced[start : start + _TOGETHER]
+            joined = "".join(held)
+            ids = self._ids(joined)
+            covered = np.cumsum(list(map(len, held)) if joined.isascii() else [len(p.encode()) for p in held])
+            ends = ((np.searchsorted(np.cumsum(self.bytes_of[ids]), covered) + 1) * ids.itemsize).tolist()
+            data = ids.tobytes()
+            out.update(zip(held, [data[i:j] for i, j in zip([0, *ends], ends)]))
+        return out
 
     def _pieces(self, text: str) -> list[str]:
         """The text in pieces that can be encoded one by one; the long ones cut again."""
@@ -126,19 +124,27 @@ class Encoder:
             return pieces
         return [c for p in pieces for c in (chunks(p, self.added) if len(p) > _CHARS else (p,))]
 
-    def ids(self, text: str) -> bytes:
-        pieces = self._pieces(text)
-        found = list(map(self.known.get, pieces))
-        if None in found:
-            new = {p for p, ids in zip(pieces, found) if ids is None}
-            short = [p for p in new if len(p) <= _SHORT]
-            if len(self.known) + len(short) > _KNOWN:
-                self.known = {}
-            encoded = dict(self._encoded(short))
-            self.known.update(encoded)
-            encoded.update((p, self._ids(p).tobytes()) for p in new if len(p) > _SHORT)
-            found = [encoded[p] if ids is None else ids for p, ids in zip(pieces, found)]
-        return b"".join(found) + self.end
+    def ids(self, texts: list[str]) -> Iterator[bytes]:
+        """The ids of each text and the end token; a bounded number of characters, or one text, at a time."""
+        start = size = 0
+        for number, text in enumerate(texts):
+            size += len(text)
+            if size > _CHARS or number == len(texts) - 1:
+                yield from self._some(texts[start : number + 1])
+                start, size = number + 1, 0
+
+    def _some(self, texts: list[str]) -> Iterator[bytes]:
+        cut = list(map(self._pieces, texts))
+        new = {p for pieces in cut for p in pieces}.difference(self.known)
+        if len(self.known) + len(new) > _KNOWN:
+            self.known = {}
+            new = {p for pieces in cut for p in pieces}
+        long = {p: self._ids(p).tobytes() for p in new if len(p) > _SHORT}
+        self.known.update(self._encoded([p for p in new if len(p) <= _SHORT]))
+        find = self.known.__getitem__
+        for pieces in cut:
+            found = [long.get(p) or find(p) for p in pieces] if long else map(find, pieces)
+            yield b"".join(found) + self.end
 
 
 @lru_cache(1)
@@ -160,8 +166,8 @@ def token_table(docs: DataFrame, tokenizer: str, key: str = "doc_id") -> DataFra
         for batch in batches:
             keys, trees = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             out: list[list] = [[], [], [], [], [], []]
-            for doc, tree, text in zip(keys, trees, batch.column(2).to_pylist()):
-                ids, before = encoder.ids(text), queued.get(tree, 0)
+            for doc, tree, ids in zip(keys, trees, encoder.ids(batch.column(2).to_pylist())):
+                before = queued.get(tree, 0)
                 count = len(ids) // width
                 queued[tree] = before + count
                 for column, value in zip(out, (doc, tree, part, before, count, ids)):
