@@ -11,14 +11,14 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 TRIGGER = "10 seconds"
 
 
-def _triggered(writer: DataStreamWriter, drain: bool, every: str) -> DataStreamWriter:
+def triggered(writer: DataStreamWriter, drain: bool, every: str) -> DataStreamWriter:
     return writer.trigger(availableNow=True) if drain else writer.trigger(processingTime=every)
 
 
 def to_console(stream: DataFrame, every: str = TRIGGER) -> StreamingQuery:
     """Changed rows after each trigger, in full width."""
     writer = stream.writeStream.outputMode("update").format("console").option("truncate", False)
-    return _triggered(writer, False, every).start()
+    return triggered(writer, False, every).start()
 
 
 def to_parquet(
@@ -26,7 +26,7 @@ def to_parquet(
 ) -> StreamingQuery:
     """Finished rows as Parquet files, exactly once. ``drain`` stops when the input is used up."""
     writer = stream.writeStream.outputMode("append").format("parquet").option("path", path)
-    return _triggered(writer.option("checkpointLocation", checkpoint), drain, every).start()
+    return triggered(writer.option("checkpointLocation", checkpoint), drain, every).start()
 
 
 def to_versions(
@@ -38,7 +38,7 @@ def to_versions(
         rows.write.mode("overwrite").parquet(f"{path}/batch={batch}")
 
     writer = stream.writeStream.outputMode("update").foreachBatch(write_batch)
-    return _triggered(writer.option("checkpointLocation", checkpoint), drain, every).start()
+    return triggered(writer.option("checkpointLocation", checkpoint), drain, every).start()
 
 
 def latest_versions(spark: SparkSession, path: str, keys: Sequence[str]) -> DataFrame:

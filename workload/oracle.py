@@ -412,6 +412,11 @@ BODIES |= {
     "stream_late_events": "SELECT * FROM windows_10",
     "stream_scored_windows": """SELECT hour_ts AS window_start, hour_ts + INTERVAL 1 HOUR AS window_end, zone_id AS "PULocationID", count(*) AS trip_count,
         round(avg(fare), 6) AS avg_fare FROM (SELECT date_trunc('hour', pickup_time) AS hour_ts, zone_id, fare FROM event_trips) GROUP BY 1, 2, 3""",
+    "stream_forecast_windows": """, hours AS (SELECT date_trunc('hour', pickup_time) AS hour_ts, zone_id, count(*) AS trip_count, avg(fare) AS avg_fare
+          FROM event_trips GROUP BY 1, 2),
+        means AS (SELECT zone_id, hour(hour_ts) AS h, dayofweek(hour_ts) AS d, avg(trip_count) AS forecast FROM hours GROUP BY 1, 2, 3)
+        SELECT hour_ts AS window_start, hour_ts + INTERVAL 1 HOUR AS window_end, zone_id AS "PULocationID", trip_count, round(avg_fare, 6) AS avg_fare,
+        round(forecast, 6) AS forecast FROM hours JOIN means USING (zone_id) WHERE h = hour(hour_ts) AND d = dayofweek(hour_ts)""",
     "stream_surge_alerts": "SELECT * FROM alerts",
 }
 

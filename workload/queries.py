@@ -25,7 +25,7 @@ from rideflow.session import materialize, new_folder
 from rideflow.sinks import tables
 from rideflow.sources.manifest import ingest_manifest
 from rideflow.sources.trips import NO_MONTH, NOT_ASKED, read_feeds, read_processed
-from rideflow.streaming import alerts, sinks
+from rideflow.streaming import alerts, forecasts, sinks, versions
 from rideflow.streaming import demand as live
 from rideflow.streaming.events import encode_trips, file_events, parse_events, replay_schedule
 from workload import fixtures as fx
@@ -607,10 +607,12 @@ def _flush_times(spark: SparkSession, sf_dir: str, times: int) -> list[str]:
     return [f"{last + timedelta(days=2 + n)} 00:00:00" for n in range(times)]
 
 
-def _updates(spark: SparkSession, stream: DataFrame, keys: list[str]) -> DataFrame:
-    out = new_folder(spark, "stream")
-    sinks.to_versions(stream, f"{out}/rows", f"{out}/checkpoint", drain=True).awaitTermination()
-    return sinks.latest_versions(spark, f"{out}/rows", keys)
+def _updates(spark: SparkSession, stream: DataFrame, keys: list[str], delay: str, prepare=None) -> DataFrame:
+    """All rows of an updating stream, through a table that is merged after every second micro-batch."""
+    folder = new_folder(spark, "updates")
+    table = versions.window_table(spark, f"{folder}/rows", keys, delay, merge_every=2)
+    versions.to_table(stream, table, f"{folder}/checkpoint", drain=True, prepare=prepare).awaitTermination()
+    return table.rows()
 
 
 def _appends(spark: SparkSession, stream: DataFrame) -> DataFrame:
@@ -628,7 +630,7 @@ def _stream(spark: SparkSession, sf_dir: str, *flush_at: str) -> DataFrame:
 def stream_sliding_demand(spark, sf_dir):
     """Update mode; the last version of each window."""
     windows = live.flat_windows(live.sliding_demand(parse_events(_stream(spark, sf_dir))))
-    return rounded(_updates(spark, windows, ["window_start", "window_end", "PULocationID"]), "avg_fare")
+    return rounded(_updates(spark, windows, ["window_start", "window_end", "PULocationID"], "10 minutes"), "avg_fare")
 
 
 @query
@@ -636,7 +638,7 @@ def stream_demand_zones(spark, sf_dir):
     """The live demand job with zone names, in update mode."""
     named = live_demand(_stream(spark, sf_dir), fx.zones(spark, sf_dir))
     keys = ["window_start", "window_end", "PULocationID", "Borough", "Zone"]
-    return rounded(_updates(spark, named, keys), "avg_fare")
+    return rounded(_updates(spark, named, keys, "10 minutes"), "avg_fare")
 
 
 @query
@@ -1027,8 +1029,26 @@ def stream_scored_windows(spark, sf_dir):
     return rounded(_scored_stream(spark, sf_dir).drop("forecast"), "avg_fare")
 
 
+@query
+def stream_forecast_windows(spark, sf_dir):
+    """Hourly demand of the stream beside the baseline forecast, which micro-batches read by version for their own hours."""
+    hours = demand.hourly_counts(_event_pickups(spark, sf_dir)).withColumns({"hour": F.hour("hour_ts"), "dayofweek": F.dayofweek("hour_ts")})
+    guessed = baselines.apply_demand_baseline(hours, materialize(baselines.demand_baseline(hours))).withColumnRenamed("baseline_trips", "forecast")
+    path = new_folder(spark, "forecasts")
+    forecasts.write_forecasts(guessed, path, "baseline")
+    rows = _hourly_stream(spark, sf_dir, forecasts.forecast_lookup(path, "baseline"))
+    return rounded(rows, "avg_fare", "forecast")
+
+
 def _scored_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    windows = live.windowed_demand(parse_events(_stream(spark, sf_dir)), "1 hour", watermark="15 minutes")
+    """The model's forecasts of all hours, written once, beside the stream."""
     inputs = materialize(_demand_inputs(spark, sf_dir))
-    scored = live.score_windows(windows, inputs, _demand_model(spark, sf_dir))
-    return _updates(spark, scored, ["window_start", "window_end", "PULocationID"])
+    scored = _demand_model(spark, sf_dir).transform(inputs.drop("trip_count"))
+    path = new_folder(spark, "forecasts")
+    forecasts.write_forecasts(scored.withColumnRenamed("prediction", "forecast"), path, "model")
+    return _hourly_stream(spark, sf_dir, forecasts.forecast_lookup(path, "model"))
+
+
+def _hourly_stream(spark: SparkSession, sf_dir: str, prepare: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    windows = live.flat_windows(live.windowed_demand(parse_events(_stream(spark, sf_dir)), "1 hour", watermark="15 minutes"))
+    return _updates(spark, windows, ["window_start", "window_end", "PULocationID"], "15 minutes", prepare)
