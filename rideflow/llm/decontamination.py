@@ -1,35 +1,43 @@
-"""Benchmark decontamination: n-gram seeds, two upper bounds, then Smith-Waterman alignment.
+"""Benchmark decontamination: rare n-gram seeds joined with documents, then Smith-Waterman alignment.
 
-The benchmark is taken in blocks of bounded size; a block is broadcast and all documents are read
-against it once. Every n-gram of an item is a seed, so no edit elsewhere silences a stretch that
-survives; what common n-grams bring in besides is held off by bounds that no leak can fail.
-Documents are never shuffled.
+The n-grams of the benchmark that also stand in documents are counted there. Seeds are the rare ones, and
+where a stretch of an item has none the rarest that occurs, so that an edit silences no more than the n-grams it touches.
+Documents and items meet in a join on seeds; only these pairs are aligned, after two upper bounds that no leak
+can fail. Neither table goes through the driver: documents are told what n-grams to look for by a filter of fixed size.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from rideflow.llm.common import small_batches, whole_text
+from rideflow.llm.common import fresh, small_batches, whole_text, written
+from rideflow.operators.lookup import lookup_join
 
 WORD = re.compile(r"\w+")
-SEED_WORDS = 3
-#: In every stretch of so many n-grams of an item there is a seed: each of them is one.
-STRETCH = 1
+#: Two words: a leak whose every third word is replaced, or that has a word put in after every second, keeps some.
+SEED_WORDS = 2
+#: An n-gram is rare in up to so many documents, or one in so many of all.
+RARE, RARE_SHARE = 1000, 1000
+#: In every stretch of so many n-grams of an item there is a seed, if any of them occurs.
+STRETCH = 6
 #: An item is leaked from this share of its best possible alignment score, or from LONG_RUN whole
 #: words, but not below the score of SHORT words in a row; an item of fewer words needs all of them.
 LEAST_SCORE, LONG_RUN, SHORT = 0.5, 30, 8
 MATCH, MISMATCH, GAP = 2.0, -1.0, -1.0
-#: Text of one block of benchmark items, in bytes; with its index it stays under some 200 MB.
-BLOCK_BYTES = 8 << 20
+#: Bits of the filter that documents are read with; 16 MB at most, whatever the benchmark.
+FILTER_BITS = 1 << 27
 
 LEAKS = "array<struct<item_id: long, score: double, start_word: long, end_word: long>>"
+_HITS = T.StructType().add("grams", T.ArrayType(T.LongType())).add("places", T.ArrayType(T.IntegerType()))
 
 
 def words_of(text: str | None) -> list[str]:
@@ -86,103 +94,117 @@ def common_words(item: np.ndarray, text: np.ndarray) -> int:
     return len(item) - rest.bit_count()
 
 
-class Block:
-    """A block of benchmark items: word numbers and an index of their n-grams."""
-
-    def __init__(self, items: list[tuple[int, str]]):
-        self.ids = [i for i, _ in items]
-        texts = [words_of(t) for _, t in items]
-        vocabulary = sorted({w for words in texts for w in words})
-        self.number = {w: i + 1 for i, w in enumerate(vocabulary)}
-        self.base = len(vocabulary) + 1
-        self.items = [np.array([self.number[w] for w in words], np.int64) for words in texts]
-        keyed = [self._grams(x) for x in self.items]
-        self.grams = np.unique(np.concatenate(keyed)) if keyed else np.zeros(0, np.int64)
-        self.seed_grams = np.zeros(0, np.int64)
-        self.holders: tuple[np.ndarray, np.ndarray] = (np.zeros(1, np.int64), np.zeros(0, np.int64))
-        self.own: list[tuple[np.ndarray, np.ndarray]] = []
-
-    def _grams(self, words: np.ndarray) -> np.ndarray:
-        """The n-grams as numbers; -1 where a word is not of the benchmark."""
-        n = len(words) - SEED_WORDS + 1
-        if n <= 0:
-            return np.zeros(0, np.int64)
-        key, known = np.zeros(n, np.int64), np.ones(n, bool)
-        for i in range(SEED_WORDS):
-            part = words[i : i + n]
-            key, known = key * self.base + part, known & (part > 0)
-        return np.where(known, key, -1)
-
-    def read(self, text: str) -> tuple[np.ndarray, np.ndarray]:
-        """A text's word numbers and n-grams."""
-        get = self.number.get
-        words = np.array([get(w, 0) for w in words_of(text)], np.int64)
-        return words, self._grams(words)
-
-    def places(self, grams: np.ndarray, table: np.ndarray) -> np.ndarray:
-        """Positions of n-grams that are in the sorted table."""
-        if not len(table) or not len(grams):
-            return np.zeros(0, np.int64)
-        at = np.minimum(np.searchsorted(table, grams), len(table) - 1)
-        return np.flatnonzero(table[at] == grams)
-
-    def choose_seeds(self) -> None:
-        """An index of all n-grams of every item: which items hold each, and where."""
-        keyed = [self._grams(words)[::STRETCH] for words in self.items]
-        orders = [np.argsort(grams, kind="stable") for grams in keyed]
-        self.own = [(grams[order], order * STRETCH) for grams, order in zip(keyed, orders)]
-        pairs = [np.unique(grams) for grams in keyed]
-        grams = np.concatenate([np.zeros(0, np.int64), *pairs])
-        items = np.repeat(np.arange(len(pairs)), [len(x) for x in pairs])
-        order = np.argsort(grams, kind="stable")
-        self.seed_grams, first = np.unique(grams[order], return_index=True)
-        self.holders = np.append(first, len(grams)), items[order]
-
-    @property
-    def seeds(self) -> dict[int, list[tuple[int, int]]]:
-        """By n-gram the items that hold it and where; for small blocks."""
-        out: dict[int, list[tuple[int, int]]] = {}
-        for i, (grams, places) in enumerate(self.own):
-            for gram, place in zip(grams.tolist(), places.tolist()):
-                out.setdefault(gram, []).append((i, place))
-        return out
-
-    def _starts(self, item: int, grams: np.ndarray, at: np.ndarray) -> list[int]:
-        """Where the item starts in a text by each of its seeds there."""
-        own, places = self.own[item]
-        first = np.searchsorted(own, grams[at])
-        many = np.searchsorted(own, grams[at], "right") - first
-        each = np.repeat(first - np.cumsum(many) + many, many) + np.arange(many.sum())
-        return np.unique(np.repeat(at, many) - places[each]).tolist()
-
-    def leaks(self, text: str) -> list[dict]:
-        """The items that the text holds, each with its best alignment."""
-        words, grams = self.read(text)
-        at = self.places(grams, self.seed_grams)
-        if not len(at):
-            return []
-        bounds, holders = self.holders
-        hit = np.searchsorted(self.seed_grams, np.unique(grams[at]))
-        held = np.zeros(self.base, bool)
-        held[words] = True
-        out = []
-        for item in np.unique(np.concatenate([holders[bounds[h] : bounds[h + 1]] for h in hit])).tolist():
-            wanted = self.items[item]
-            least = least_score(len(wanted))
-            # A match scores MATCH and all else costs, so the words in common bound the score.
-            if MATCH * np.count_nonzero(held[wanted]) < least:
-                continue
-            best = (0.0, 0, 0)
-            for lo, hi in _windows(self._starts(item, grams, at), len(wanted), len(words)):
-                if MATCH * common_words(wanted, words[lo:hi]) < max(least, best[0]):
-                    continue
-                score, begin, end = align(wanted, words[lo:hi])
-                if score > best[0]:
-                    best = (score, lo + begin, lo + end)
-            if best[0] >= least:
-                share = best[0] / (MATCH * len(wanted))
-                out.append({"item_id": self.ids[item], "score": share, "start_word": best[1], "end_word": best[2]})
-        return out
+@lru_cache(1 << 18)
+def _word_hash(word: str) -> int:
+    return xxhash.xxh64_intdigest(word)
+
+
+def gram_hashes(words: list[str]) -> np.ndarray:
+    """The n-grams of a sequence of words as signed 64-bit numbers, in order; none if it is shorter."""
+    hashes = np.fromiter(map(_word_hash, words), np.uint64, len(words))
+    n = len(words) - SEED_WORDS + 1
+    if n <= 0:
+        return np.zeros(0, np.int64)
+    out = np.zeros(n, np.uint64)
+    for i in range(SEED_WORDS):
+        out = (out ^ (out >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + hashes[i : i + n]
+    return (out ^ (out >> np.uint64(32))).view(np.int64)
+
+
+@F.pandas_udf(T.ArrayType(T.LongType()))
+def _grams_of(texts: pd.Series) -> pd.Series:
+    return texts.map(lambda t: gram_hashes(words_of(t)))
+
+
+def _items(benchmark: DataFrame) -> DataFrame:
+    """``item_id, text``; null, empty and repeated items count once or not at all."""
+    items = benchmark.where(F.col("item_id").isNotNull()).select("item_id", whole_text().alias("text")).distinct()
+    return items.where("text != ''")
+
+
+def _filter(item_grams: DataFrame) -> np.ndarray:
+    """A bit for each n-gram of the benchmark, at its hash's place; the driver gets no more words than the filter has."""
+    bit = F.pmod(F.col("gram"), F.lit(FILTER_BITS))
+    found = item_grams.groupBy(F.floor(bit / 64).cast("int").alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, CAST(pmod(gram, {FILTER_BITS}) % 64 AS INT))")).alias("bits"))
+    rows = found.toPandas()
+    out = np.zeros(FILTER_BITS // 64, np.int64)
+    out[rows["word"].to_numpy()] = rows["bits"].to_numpy()
+    return out.view(np.uint8)
+
+
+def _hits(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
+    """``key, grams, places``: the n-grams of each different text that may be of the benchmark; written."""
+    bits = docs.sparkSession.sparkContext.broadcast(wanted)
+
+    @F.pandas_udf(_HITS)
+    def hits(texts: pd.Series) -> pd.DataFrame:
+        rows, held = [], bits.value
+        for text in texts:
+            grams = gram_hashes(words_of(text))
+            place = grams & (FILTER_BITS - 1)
+            at = np.flatnonzero(held[place >> 3] >> (place & 7).astype(np.uint8) & 1)
+            rows.append((grams[at], at.astype(np.int32)))
+        return pd.DataFrame(rows, columns=["grams", "places"])
+
+    rows = docs.select(_key().alias("key"), hits(whole_text()).alias("hit")).where(F.size("hit.grams") > 0)
+    return written(rows.groupBy("key").agg(F.first("hit").alias("hit")).select("key", "hit.*"), "hits")
+
+
+def _key() -> Column:
+    """Equal texts are one in all that follows."""
+    return F.md5(whole_text().cast("binary"))
+
+
+def choose_seeds(item_grams: DataFrame, hits: DataFrame, documents: int) -> DataFrame:
+    """``gram, item_id, item_place``: the rare n-grams that occur, and the rarest of each stretch that has no rare one."""
+    counts = hits.select(F.explode(F.array_distinct("grams")).alias("gram")).groupBy("gram").agg(F.count(F.lit(1)).alias("texts"))
+    occurring = item_grams.join(counts, "gram")
+    rare = F.col("texts") <= max(RARE, documents // RARE_SHARE)
+    stretch = ["item_id", F.floor(F.col("item_place") / STRETCH).alias("stretch")]
+    rarest = occurring.groupBy(*stretch).agg(F.bool_or(rare).alias("has_rare"), F.min(F.struct("texts", "item_place", "gram")).alias("rarest"))
+    instead = rarest.where("NOT has_rare").select("rarest.gram", "item_id", "rarest.item_place")
+    return written(occurring.where(rare).select("gram", "item_id", "item_place").union(instead), "seeds")
+
+
+def _candidates(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """``key, items``: each different text with the items that share a seed, and where they would start by each."""
+    items = written(_items(benchmark).withColumn("grams", _grams_of("text")), "items")
+    item_grams = items.select("item_id", F.posexplode("grams").alias("item_place", "gram"))
+    hits = _hits(docs, _filter(item_grams))
+    seeds = choose_seeds(item_grams, hits, hits.count())
+    pairs = hits.select("key", F.inline(F.arrays_zip("grams", "places"))).withColumnRenamed("grams", "gram")
+    met = lookup_join(pairs, seeds, {"gram": "gram"}, how="inner")
+    starts = met.groupBy("key", "item_id").agg(F.collect_set(F.col("places") - F.col("item_place")).alias("starts"))
+    named = lookup_join(starts, items.select("item_id", F.col("text").alias("item")), {"item_id": "item_id"}, how="inner")
+    return written(named.groupBy("key").agg(F.collect_list(F.struct("item_id", "item", "starts")).alias("items")), "candidates")
+
+
+def best_alignment(item: np.ndarray, text: np.ndarray, starts: list[int]) -> tuple[float, int, int] | None:
+    """The best score near the starts and where it lies in the text; null below the item's least score."""
+    least, best = least_score(len(item)), (0.0, 0, 0)
+    # A match scores MATCH and all else costs, so the words in common bound the score.
+    if MATCH * np.isin(item, text).sum() < least:
+        return None
+    for lo, hi in _windows(starts, len(item), len(text)):
+        if MATCH * common_words(item, text[lo:hi]) < max(least, best[0]):
+            continue
+        score, begin, end = align(item, text[lo:hi])
+        if score > best[0]:
+            best = score, lo + begin, lo + end
+    return best if best[0] >= least else None
+
+
+def leaks_of(text: str, items: list[dict]) -> list[dict]:
+    """The items, given with their text and starts, that the text holds."""
+    cut = [words_of(item["item"]) for item in items]
+    number: dict[str, int] = {}
+    numbered = [np.array([number.setdefault(w, len(number) + 1) for w in words], np.int64) for words in cut]
+    words = np.array([number.get(w, 0) for w in words_of(text)], np.int64)
+    out = []
+    for item, own in zip(items, numbered):
+        if found := best_alignment(own, words, list(item["starts"])):
+            out.append({"item_id": item["item_id"], "score": found[0] / (MATCH * len(own)), "start_word": found[1], "end_word": found[2]})
+    return sorted(out, key=lambda leak: leak["item_id"])
 
 
 def _windows(starts: list[int], length: int, total: int) -> list[tuple[int, int]]:
@@ -198,64 +220,32 @@ def _windows(starts: list[int], length: int, total: int) -> list[tuple[int, int]
     return [(lo, hi) for lo, hi in out]
 
 
-def blocks(benchmark: DataFrame, size: int = BLOCK_BYTES) -> Iterator[list[tuple[int, str]]]:
-    """The items in blocks of bounded text, one at a time; one larger item is a block by itself.
-
-    Null and repeated items and items of no text count once or not at all.
-    """
-    items = benchmark.where(F.col("item_id").isNotNull()).select("item_id", whole_text().alias("text")).distinct()
-    block, held = [], 0
-    for row in items.orderBy("item_id", "text").toLocalIterator():
-        if block and held + len(row["text"]) > size:
-            yield block
-            block, held = [], 0
-        block.append((row["item_id"], row["text"]))
-        held += len(row["text"])
-    if block:
-        yield block
-
-
-def prepared(docs: DataFrame, items: list[tuple[int, str]]) -> Block:
-    """A block with its seeds, ready to be sent to the documents."""
-    small_batches(docs.sparkSession)
-    block = Block(items)
-    block.choose_seeds()
-    return block
-
-
-def _leaks_udf(spark: SparkSession, block: Block):
-    shared = spark.sparkContext.broadcast(block)
+def _leak_columns(docs: DataFrame, benchmark: DataFrame, columns: list[Column]) -> DataFrame:
+    """The rows of the given columns that share a seed with an item, with their ``leaks``."""
 
     @F.pandas_udf(LEAKS)
-    def leaks(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in parts:
-            yield texts.map(shared.value.leaks)
+    def leaks(parts: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        for texts, items in parts:
+            yield pd.Series([leaks_of(text, list(held)) for text, held in zip(texts, items)])
 
-    return leaks
+    small_batches(docs.sparkSession)
+    rows = docs.select(*columns, _key().alias("_key"), whole_text().alias("_text"))
+    met = lookup_join(rows, _candidates(docs, benchmark), {"_key": "key"}, how="inner")
+    return met.withColumn("leaks", leaks("_text", "items")).drop("_text", "items")
 
 
 def leaked(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id, item_id, score, start_word, end_word``: one row per document and benchmark item in it.
 
-    ``score`` is the alignment score over the item's best possible one. Items of fewer than three
-    words, null items and null or empty texts match nothing. Repeated documents give repeated rows;
-    an empty benchmark gives none.
+    ``score`` is the alignment score over the item's best possible one. Items of one word, null items and null
+    or empty texts match nothing. Repeated documents give repeated rows; an empty benchmark gives none.
     """
-    rows = docs.select("doc_id", whole_text().alias("text"))
-    out = None
-    for items in blocks(benchmark):
-        found = _leaks_udf(docs.sparkSession, prepared(docs, items))
-        part = rows.select("doc_id", F.inline(found("text")))
-        out = part if out is None else out.union(part)
-    if out is None:
-        nothing = F.from_json(F.lit("[]"), LEAKS)
-        return rows.limit(0).select("doc_id", F.inline(nothing))
-    return out
+    return _leak_columns(docs, benchmark, [F.col("doc_id")]).select("doc_id", F.inline("leaks"))
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows that hold no benchmark item, with all their columns."""
-    for items in blocks(benchmark):
-        found = _leaks_udf(docs.sparkSession, prepared(docs, items))
-        docs = docs.where(F.size(found(whole_text())) == 0)
-    return docs
+    found = _leak_columns(docs, benchmark, []).where(F.size("leaks") > 0).select("_key").distinct()
+    mark, key = fresh(docs, "_leaks"), fresh(docs, "_text_key")
+    marked = lookup_join(docs.withColumn(key, _key()), written(found.withColumn(mark, F.lit(True)), "leaks"), {key: "_key"})
+    return marked.where(F.col(mark).isNull()).drop(mark, key)

@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from rideflow.llm import decontamination as dc
 
@@ -79,11 +80,12 @@ def test_planted_leaks(spark, planted):
             assert r.score == 1.0 and words[r.start_word : r.end_word] == dc.words_of(dict(items)[r.item_id])
 
 
-def test_small_blocks_change_nothing(spark, planted, monkeypatch):
+def test_large_lookups_change_nothing(spark, planted, monkeypatch):
+    from rideflow.operators import lookup
+
     items, docs, leaks = planted
-    monkeypatch.setattr(dc.blocks, "__defaults__", (500,))
+    monkeypatch.setattr(lookup, "fits_broadcast", lambda *a, **k: False)
     df, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
-    assert len(list(dc.blocks(bench))) > 2
     assert {(r.doc_id, r.item_id) for r in dc.leaked(df, bench).collect()} == leaks
 
 
@@ -104,13 +106,50 @@ def test_empty_tables(spark, planted):
     assert dc.leaked(df, bench.where("item_id in (52, 53)")).count() == 0
 
 
-def test_rare_seeds_cover_every_stretch():
+def test_seeds_are_rare_or_the_rarest_of_a_stretch_that_occur(spark, monkeypatch):
+    monkeypatch.setattr(dc, "RARE", 3)
     rng = random.Random(2)
-    block = dc.Block([(0, text_of(rng, 40))])
-    block.counts = np.array([rng.randint(0, 50) for _ in block.grams])
-    block.choose_seeds()
-    places = sorted(p for hits in block.seeds.values() for _, p in hits)
-    assert all(b - a <= dc.STRETCH for a, b in zip([-1, *places], [*places, 38]))
+    times = {g: rng.choice([0, 0, 1, 2, 3, 9, 20]) for g in range(120)}
+    items = [(i, p, rng.randrange(120)) for i in range(6) for p in range(40)]
+    grams = spark.createDataFrame(items, "item_id long, item_place int, gram long")
+    hits = spark.createDataFrame([(str(k), [g, g]) for g, n in times.items() for k in range(n)], "key string, grams array<long>")
+    hits = hits.groupBy("key").agg(F.flatten(F.collect_list("grams")).alias("grams"))
+    got = {(r.item_id, r.item_place) for r in dc.choose_seeds(grams, hits, 20).collect()}
+    wanted = set()
+    for i in range(6):
+        for first in range(0, 40, dc.STRETCH):
+            held = [(times[g], p) for k, p, g in items if k == i and first <= p < first + dc.STRETCH and times[g]]
+            rare = {(i, p) for n, p in held if n <= 3}
+            wanted |= rare or {(i, min(held)[1])} if held else set()
+    assert got == wanted and 0 < len(got) < len(items)
+
+
+def test_common_words_elsewhere_do_not_hide_a_leak(spark, monkeypatch):
+    """No n-gram of the item is rare: near copies of it, and documents of its words, are everywhere."""
+    monkeypatch.setattr(dc, "RARE", 2)
+    rng = random.Random(8)
+    item = text_of(rng, 40)
+    words = item.split()
+    docs = [(i, " ".join(rng.sample(words, 40))) for i in range(200)] + [(500 + i, f"x{i} {item}") for i in range(30)]
+    for i, every in enumerate((5, 6, 7, 8)):
+        docs.append((900 + i, " ".join("zzz" if k % every == every - 1 else w for k, w in enumerate(words))))
+    rows = dc.leaked(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, item)], "item_id long, text string")).collect()
+    assert {r.doc_id for r in rows} >= {*range(500, 530), *range(900, 904)}
+
+
+def test_every_second_word_put_in_and_every_third_replaced_and_items_of_two_words(spark):
+    rng = random.Random(4)
+    items = [(0, text_of(rng, 24)), (1, text_of(rng, 24)), (2, "Zürich Basel"), (3, "alone")]
+    put_in = " ".join(x for k, w in enumerate(items[0][1].split()) for x in ([w, "zzz"] if k % 2 else [w]))
+    replaced = " ".join("zzz" if k % 3 == 1 else w for k, w in enumerate((items[1][1] + " " + items[1][1].split()[0]).split()))
+    docs = [(0, put_in), (1, replaced), (2, "from Zürich, Basel is near"), (3, "all alone")]
+    rows = dc.leaked(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in rows} >= {(0, 0), (2, 2)} and all(r.item_id != 3 for r in rows)
+
+
+def numbered(*texts):
+    known: dict = {}
+    return [np.array([known.setdefault(w, len(known) + 1) for w in dc.words_of(t)]) for t in texts]
 
 
 def test_whole_table(spark, sf_dir):
@@ -138,30 +177,27 @@ def test_regular_edits_hide_nothing(spark, every, copies):
             passage = [x for k, w in enumerate(words) for x in (new(w) if k in cuts else [w])]
             docs.append((len(docs), f"{text_of(rng, 50)} {' '.join(passage)} {text_of(rng, 50)}"))
         docs += [(len(docs) + k, f"{text_of(rng, 20)} {text} {text_of(rng, 20)}") for k in range(copies)]
-    block = dc.Block(items)
-    aligned = {(d, i): dc.align(block.items[i], block.read(t)[0])[0] for d, t in docs for i, _ in items}
-    wanted = {k: s for k, s in aligned.items() if s >= dc.least_score(len(block.items[k[1]]))}
+    sizes = [len(dc.words_of(t)) for _, t in items]
+    aligned = {(d, i): dc.align(*numbered(item, t))[0] for d, t in docs for i, item in items}
+    wanted = {k: s for k, s in aligned.items() if s >= dc.least_score(sizes[k[1]])}
     assert len(wanted) >= len(docs)
     rows = dc.leaked(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
-    assert {(r.doc_id, r.item_id): r.score * dc.MATCH * len(block.items[r.item_id]) for r in rows} == pytest.approx(wanted)
+    assert {(r.doc_id, r.item_id): r.score * dc.MATCH * sizes[r.item_id] for r in rows} == pytest.approx(wanted)
 
 
-def test_random_edits_hide_nothing():
-    """Whatever aligns well enough and has three words in a row is found."""
+def test_random_edits_hide_nothing(spark):
+    """Whatever aligns well enough and has two words in a row is found."""
     rng = random.Random(5)
     items = [(i, text_of(rng, rng.randint(8, 70))) for i in range(30)]
-    block = dc.Block(items)
-    block.choose_seeds()
-    found = 0
+    docs = []
     for share in (0.1, 0.15, 0.2, 0.25, 0.3, 0.35):
-        for i, text in items:
+        for _, text in items:
             kept = [rng.choice([[], ["zzz"], [w, rng.choice(WORDS)]]) if rng.random() < share else [w] for w in text.split()]
-            document = f"{text_of(rng, 40)} {' '.join(x for p in kept for x in p)} {text_of(rng, 40)}"
-            words, grams = block.read(document)
-            wanted = {k for k, item in enumerate(block.items) if dc.align(item, words)[0] >= dc.least_score(len(item)) and np.isin(block.own[k][0], grams).any()}
-            assert {r["item_id"] for r in block.leaks(document)} == wanted
-            found += len(wanted)
-    assert found > 100
+            docs.append((len(docs), f"{text_of(rng, 40)} {' '.join(x for p in kept for x in p)} {text_of(rng, 40)}"))
+    grams = lambda t: set(dc.gram_hashes(dc.words_of(t)).tolist())
+    wanted = {(d, i) for d, t in docs for i, item in items if grams(t) & grams(item) and dc.align(*numbered(item, t))[0] >= dc.least_score(len(item.split()))}
+    rows = dc.leaked(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in rows} == wanted and len(wanted) > 100
 
 
 @pytest.mark.parametrize("seed", range(20))
@@ -177,9 +213,8 @@ def test_words_in_common_bound_the_score(seed):
 
 def test_short_items_need_more_of_their_words():
     items = ["What is the capital city of the Netherlands", "The longest river that flows through three of the capitals", text_of(random.Random(1), 16)]
-    block = dc.Block(list(enumerate(items)))
-    block.choose_seeds()
-    found = lambda text: {r["item_id"] for r in block.leaks(text)}
+    given = [{"item_id": i, "item": t, "starts": list(range(-20, 20))} for i, t in enumerate(items)]
+    found = lambda text: {r["item_id"] for r in dc.leaks_of(text, given)}
     assert found("The capital city of the Netherlands is Amsterdam") == set()
     assert found("So: what is the capital city of the Netherlands?") == {0}
     assert found("it flows through three of the old towns") == set()
