@@ -68,6 +68,18 @@ def test_whole_table(spark, sf_dir):
         assert r.text == article_of(raw[r.page_id]) and r.n_chars == len(r.text)
 
 
+@pytest.mark.parametrize("mark", ["article", "div"])
+def test_the_scan_leaves_the_menu_out(spark, sf_dir, monkeypatch, mark):
+    """With and without the mark, what furnishes the page is outside of the best run, and only that keeps it out."""
+    raw = [r.html for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()]
+    costs = html_text.tag_costs(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    pages = [p.replace("<article>", f"<{mark}>").replace("</article>", f"</{mark}>") for p in raw]
+    right = sum(html_text.main_text(p, costs) == article_of(r) for p, r in zip(pages, raw))
+    assert right == len(raw) if mark == "article" else right > 0.9 * len(raw)
+    monkeypatch.setattr(html_text, "best_run", lambda items, costs: (0, len(items)))
+    assert not any(html_text.main_text(p, costs) == article_of(r) for p, r in zip(pages, raw))
+
+
 def test_learned_costs(spark, sf_dir):
     costs = html_text.tag_costs(spark.read.parquet(f"{sf_dir}/pages.parquet"))
     assert costs["p"] == html_text.LEAST_COST < costs.get("a", html_text.MOST_COST)
@@ -121,7 +133,15 @@ PARTS = [
     ("<article><p>one two</p><aside><article><p>see this other text as well</p></article></aside><p>three</p></article>", "one two\nthree"),
     (f"{BODY}<section id='comments'><article><p>A long comment of one reader on it.</p></article><article><p>And a second one of some words.</p></article></section>", TEXT),
     ("<body><article><p>one two</p></article><div class='ad'>never closed <article><p>three four five</p></article></body>", "three four five"),
-    (f"<section><article><p>short</p></article></section><section>{BODY}</section>", TEXT),
+    (f"<section><article><p>short</p></article></section><section>{BODY}</section>", f"short\n{TEXT}"),
+    (f"<section><article><p>short</p></article></section><p>between</p><section>{BODY}</section>", TEXT),
+    ("<nav>a b</nav><div><h1>Title</h1><p>lead of it</p><article><p>body</p></article></div><p>imprint</p>", "Title\nlead of it\nbody"),
+    (f"<body><form id='aspnetForm'><nav>home</nav>{BODY}<input><label>Mail</label></form></body>", TEXT),
+    ("<article><h1>Title</h1><p>lead</p><table>" + "<tr><td></td><td></td></tr>" * 20 + "</table><p>a</p></article>", "Title\nlead\na"),
+    ("<h1>Title</h1><p>lead of the text</p><table>" + "<tr><td></td><td></td></tr>" * 20 + "</table><p>last one</p>", "Title\nlead of the text\nlast one"),
+    ("<article><div class='masthead'><h1>Head</h1></div><blockquote class='comment'>quoted</blockquote><p>text</p></article>", "Head\nquoted\ntext"),
+    ("<article><p>Press <button>OK</button> or <label>this one</label> now.</p><form><label>Mail</label><button>Send</button></form></article>",
+     "Press OK or this one now."),
 ]
 
 
