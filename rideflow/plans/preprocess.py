@@ -7,12 +7,13 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rideflow.operators.clean import ALL_YEARS, Period, clean_trips, final_totals, row_rule_counts
+from rideflow.operators.clean import ALL_YEARS, FILE_MONTH, Period, clean_trips, final_totals, row_rule_counts
 from rideflow.operators.enrich import hourly_weather, join_weather, join_zones
 from rideflow.operators.features import add_trip_features
 from rideflow.operators.quality import quality_report, report_lines
 from rideflow.session import materialize, pin_time_zone
-from rideflow.sinks.tables import TRIP_PARTITIONS, balance, write_partitioned, write_report, write_report_table
+from rideflow.sinks.tables import TRIP_PARTITIONS, balance, drop_month, write_partitioned, write_report, write_report_table
+from rideflow.sources.ingest import Refreshed, read_listed, refresh
 from rideflow.sources.reference import read_weather, read_zones
 from rideflow.sources.trips import read_feeds, read_processed
 
@@ -66,3 +67,28 @@ def build_trips(
         write_report_table(quality_report(totals), f"{report_path}/table")
         write_report_table(feeds.skipped, f"{report_path}/skipped")
     return Preprocessed(written, totals, feeds.skipped)
+
+
+def update_trips(spark: SparkSession, feeds_path: str, zones_path: str, weather_path: str, out_path: str, ingest_path: str) -> Refreshed:
+    """Bring the processed trips up to date with the lake: only months whose files changed are read and replaced.
+
+    Trips count for the month of their file, so a month depends on its own files alone. A month that has no
+    trips any more loses its folder. The ingest table is written first, so a run that fails after that is
+    repeated with ``build_trips``.
+    """
+    pin_time_zone(spark)
+    done = refresh(spark, feeds_path, ingest_path)
+    touched = done.months.filter("change != 'same'").select("year", "month").distinct().collect()
+    if not touched:
+        return done
+    # All services of a month share its folder of trips.
+    wanted = (F.col("year") * 100 + F.col("month")).isin([r.year * 100 + r.month for r in touched])
+    feeds = read_listed(spark, done.files.filter(wanted))
+    zones, hourly = read_zones(spark, zones_path), hourly_weather(read_weather(spark, weather_path))
+    trips = materialize(processed_trips(feeds, zones, hourly, FILE_MONTH))
+    write_partitioned(trips, out_path, dynamic=True)
+    filled = {(r.pickup_year, r.pickup_month) for r in trips.select(*TRIP_PARTITIONS).distinct().collect()}
+    for r in touched:
+        if (r.year, r.month) not in filled:
+            drop_month(spark, out_path, r.year, r.month)
+    return done

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 TRIP_PARTITIONS = ("pickup_year", "pickup_month")
 
@@ -25,6 +25,12 @@ def write_partitioned(
     df.write.mode(mode).option("partitionOverwriteMode", overwrite).partitionBy(*keys).parquet(path)
 
 
+def drop_month(spark: SparkSession, path: str, year: int, month: int, keys: Sequence[str] = TRIP_PARTITIONS) -> None:
+    """Remove the folder of a month, if there is one."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{keys[0]}={year}/{keys[1]}={month}")
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
 def write_report(lines: DataFrame, path: str) -> None:
     """Report lines as one text file, in order; a report has a fixed few lines."""
     lines.coalesce(1).sortWithinPartitions("line_no").select("value").write.mode("overwrite").text(path)

@@ -5,6 +5,8 @@ Integer arithmetic only, so that Spark and SQL twins see the same rows.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -306,3 +308,31 @@ def broken_folder(spark: SparkSession, sf_dir: str) -> str:
     out.writeBytes("no Parquet file")
     out.close()
     return folder
+
+
+class ChangingLake(NamedTuple):
+    """A lake of staged months without green trips of May 2023; ``change`` adds these, removes yellow ones of March 2022 and repeats fhvhv ones of February 2024."""
+
+    spark: SparkSession
+    folder: str
+    staged: str
+
+    def _delete(self, month: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{month}")
+        path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+    def _append(self, month: str) -> None:
+        self.spark.read.parquet(f"{self.staged}/{month}").write.mode("append").parquet(f"{self.folder}/{month}")
+
+    def change(self) -> None:
+        self._append("green/year=2023/month=05")
+        self._append("fhvhv/year=2024/month=02")
+        self._delete("yellow/year=2022/month=03")
+
+
+def changing_lake(spark: SparkSession, sf_dir: str) -> ChangingLake:
+    folder = new_folder(spark, "lake")
+    stage_by_month(spark, download_folder(spark, sf_dir), folder)
+    lake = ChangingLake(spark, folder, staged_folder(spark, sf_dir))
+    lake._delete("green/year=2023/month=05")
+    return lake

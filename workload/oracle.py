@@ -424,6 +424,12 @@ _FILED_WIDE = _counters(f"(SELECT *, {_SECONDS} AS seconds FROM based WHERE base
 BODIES |= {
     "ingest_files": """SELECT service_type AS service, CAST(year(base_ts) AS INTEGER) AS year, CAST(month(base_ts) AS INTEGER) AS month,
         service_type || '_tripdata_' || strftime(base_ts, '%Y-%m') || '.parquet' AS file, count(*) AS rows FROM based GROUP BY 1, 2, 3, 4""",
+    "ingest_changes": """, filed_months AS (SELECT service_type AS service, CAST(year(base_ts) AS INTEGER) AS year, CAST(month(base_ts) AS INTEGER) AS month,
+          count(*) AS n FROM based WHERE base_ts IS NOT NULL GROUP BY 1, 2, 3)
+        SELECT service, year, month, CASE WHEN lost THEN 'gone' WHEN new THEN 'added' WHEN more THEN 'changed' ELSE 'same' END AS change,
+          CASE WHEN NOT new THEN n END AS rows_before, CASE WHEN NOT lost THEN CASE WHEN more THEN 2 * n ELSE n END END AS rows
+        FROM (SELECT *, (service, year, month) = ('yellow', 2022, 3) AS lost, (service, year, month) = ('green', 2023, 5) AS new,
+          (service, year, month) = ('fhvhv', 2024, 2) AS more FROM filed_months)""",
     "stage_layout": f"SELECT {_TRIP} FROM based WHERE base_ts IS NOT NULL",
     "drift_read": f"""SELECT service_type, CAST(year(base_ts) AS INTEGER) AS file_year, CAST(month(base_ts) AS INTEGER) AS file_month,
         count(*) AS trips, CAST(sum(pu_location_id) AS BIGINT) AS pu_sum, CAST(sum(do_location_id) AS BIGINT) AS do_sum

@@ -23,6 +23,7 @@ from rideflow.plans.features import FeatureTables, build_features
 from rideflow.plans.training import SPLIT_KEYS, TASKS, Trained, TrainingData, train_models, training_data
 from rideflow.session import materialize, new_folder
 from rideflow.sinks import tables
+from rideflow.sources import ingest
 from rideflow.sources.manifest import ingest_manifest
 from rideflow.sources.trips import NO_MONTH, NOT_ASKED, read_feeds, read_processed
 from rideflow.streaming import alerts, forecasts, sinks, versions
@@ -681,6 +682,15 @@ def ingest_file_sizes(spark, sf_dir):
     return ingest_manifest(spark, fx.download_folder(spark, sf_dir))
 
 
+@query
+def ingest_changes(spark, sf_dir):
+    """What the ingest table says of a lake that lost a month, got one, and got a file more in another."""
+    lake, table = fx.changing_lake(spark, sf_dir), f"{new_folder(spark, 'ingest')}/files"
+    ingest.refresh(spark, lake.folder, table)
+    lake.change()
+    return ingest.refresh(spark, lake.folder, table).months
+
+
 @query
 def stage_layout(spark, sf_dir):
     """Monthly files staged by folder, then read across drifting types and unified."""
