@@ -135,10 +135,10 @@ class Encoder:
 
     def _some(self, texts: list[str]) -> Iterator[bytes]:
         cut = list(map(self._pieces, texts))
-        new = {p for pieces in cut for p in pieces}.difference(self.known)
+        new = set().union(*cut)
         if len(self.known) + len(new) > _KNOWN:
             self.known = {}
-            new = {p for pieces in cut for p in pieces}
+        new.difference_update(self.known)
         long = {p: self._ids(p).tobytes() for p in new if len(p) > _SHORT}
         self.known.update(self._encoded([p for p in new if len(p) <= _SHORT]))
         find = self.known.__getitem__
@@ -256,7 +256,7 @@ class _Queue:
     def take(self, count: int) -> tuple:
         """So many tokens of the head: document, its tokens, start in it, length, ids."""
         doc, doc_tokens, start, length, ids = self.rows[self.number]
-        piece = doc, doc_tokens, start + self.used, count, ids[self.used : self.used + count]
+        piece = doc, doc_tokens, start + self.used, count, ids[4 * self.used : 4 * (self.used + count)]
         self.used, self.left = self.used + count, self.left - count
         if self.used == length:
             self.number, self.used = self.number + 1, 0
@@ -303,7 +303,7 @@ def round_robin(queues: list[_Queue], begin: int, total: int) -> Iterator[tuple]
                 room -= pieces[-1][3]
         for new in pieces:
             if piece and piece[0] == new[0] and piece[2] + piece[3] == new[2]:
-                piece = (*piece[:3], piece[3] + new[3], np.concatenate([piece[4], new[4]]))
+                piece = (*piece[:3], piece[3] + new[3], piece[4] + new[4])
                 continue
             if piece:
                 yield *piece, number, at - first
@@ -333,10 +333,10 @@ def packed(docs: DataFrame, tokenizer: str, weights: Mapping[str | None, float]
         held: dict[str, list[tuple]] = {}
         for tree, place, doc, doc_tokens, start, length, ids in sorted(zip(*columns), key=lambda r: r[:2]):
             # A document is told by its place in the queue, since ids may repeat.
-            held.setdefault(tree, []).append(((doc, tree, place - start), doc_tokens, start, length, np.frombuffer(ids, f"<u{width}").astype("<u4")))
+            held.setdefault(tree, []).append(((doc, tree, place - start), doc_tokens, start, length, np.frombuffer(ids, f"<u{width}").astype("<u4").tobytes()))
         out: list[list] = [[] for _ in _PIECES]
         for doc, doc_tokens, start, length, ids, number, at in round_robin([_Queue(q) for q in held.values()], rows.column("begin")[0].as_py(), total):
-            for column, value in zip(out, (doc[0], doc_tokens, start, length, ids.tobytes(), number, at)):
+            for column, value in zip(out, (doc[0], doc_tokens, start, length, ids, number, at)):
                 column.append(value)
         return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(out, _PIECES.types)], schema=_PIECES)
 
