@@ -25,8 +25,8 @@ from rideflow.operators.lookup import lookup_join
 WORD = re.compile(r"\w+")
 #: Two words: a leak whose every third word is replaced, or that has a word put in after every second, keeps some.
 SEED_WORDS = 2
-#: An n-gram is rare in up to so many documents, or one in so many of all.
-RARE, RARE_SHARE = 1000, 1000
+#: An n-gram is rare in up to so many different texts, or one in so many of all.
+RARE, RARE_SHARE = 20, 5000
 #: In every stretch of so many n-grams of an item there is a seed, if any of them occurs.
 STRETCH = 6
 #: An item is leaked from this share of its best possible alignment score, or from LONG_RUN whole
@@ -152,7 +152,7 @@ def _hits(docs: DataFrame, wanted: np.ndarray) -> DataFrame:
 
 def _key() -> Column:
     """Equal texts are one in all that follows."""
-    return F.md5(whole_text().cast("binary"))
+    return F.unhex(F.md5(whole_text().cast("binary")))
 
 
 def choose_seeds(item_grams: DataFrame, hits: DataFrame, documents: int) -> DataFrame:
@@ -173,9 +173,9 @@ def _candidates(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     hits = _hits(docs, _filter(item_grams))
     seeds = choose_seeds(item_grams, hits, hits.count())
     pairs = hits.select("key", F.inline(F.arrays_zip("grams", "places"))).withColumnRenamed("grams", "gram")
-    met = lookup_join(pairs, seeds, {"gram": "gram"}, how="inner")
+    met = lookup_join(pairs, seeds, {"gram": "gram"}, how="inner", salts=1)
     starts = met.groupBy("key", "item_id").agg(F.collect_set(F.col("places") - F.col("item_place")).alias("starts"))
-    named = lookup_join(starts, items.select("item_id", F.col("text").alias("item")), {"item_id": "item_id"}, how="inner")
+    named = lookup_join(starts, items.select("item_id", F.col("text").alias("item")), {"item_id": "item_id"}, how="inner", salts=1)
     return written(named.groupBy("key").agg(F.collect_list(F.struct("item_id", "item", "starts")).alias("items")), "candidates")
 
 
@@ -230,7 +230,7 @@ def _leak_columns(docs: DataFrame, benchmark: DataFrame, columns: list[Column])
 
     small_batches(docs.sparkSession)
     rows = docs.select(*columns, _key().alias("_key"), whole_text().alias("_text"))
-    met = lookup_join(rows, _candidates(docs, benchmark), {"_key": "key"}, how="inner")
+    met = lookup_join(rows, _candidates(docs, benchmark), {"_key": "key"}, how="inner", salts=1)
     return met.withColumn("leaks", leaks("_text", "items")).drop("_text", "items")
 
 
@@ -247,5 +247,5 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows that hold no benchmark item, with all their columns."""
     found = _leak_columns(docs, benchmark, []).where(F.size("leaks") > 0).select("_key").distinct()
     mark, key = fresh(docs, "_leaks"), fresh(docs, "_text_key")
-    marked = lookup_join(docs.withColumn(key, _key()), written(found.withColumn(mark, F.lit(True)), "leaks"), {key: "_key"})
+    marked = lookup_join(docs.withColumn(key, _key()), written(found.withColumn(mark, F.lit(True)), "leaks"), {key: "_key"}, salts=1)
     return marked.where(F.col(mark).isNull()).drop(mark, key)

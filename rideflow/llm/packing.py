@@ -138,7 +138,7 @@ class Encoder:
         new = set().union(*cut)
         if len(self.known) + len(new) > _KNOWN:
             self.known = {}
-        new.difference_update(self.known)
+        new = new.difference(self.known)  # reads the smaller of the two
         long = {p: self._ids(p).tobytes() for p in new if len(p) > _SHORT}
         self.known.update(self._encoded([p for p in new if len(p) <= _SHORT]))
         find = self.known.__getitem__
