@@ -412,6 +412,10 @@ BODIES |= {
     "stream_late_events": "SELECT * FROM windows_10",
     "stream_scored_windows": """SELECT hour_ts AS window_start, hour_ts + INTERVAL 1 HOUR AS window_end, zone_id AS "PULocationID", count(*) AS trip_count,
         round(avg(fare), 6) AS avg_fare FROM (SELECT date_trunc('hour', pickup_time) AS hour_ts, zone_id, fare FROM event_trips) GROUP BY 1, 2, 3""",
+    "stream_model_health": """SELECT date_trunc('hour', ts) AS window_start, date_trunc('hour', ts) + INTERVAL 1 HOUR AS window_end, count(*) AS predictions,
+        count(*) FILTER (event_id % 40 > 0) AS finished,
+        round(sqrt(avg(power(value - 2.5 - 3 * (event_id % 40 / 4.0), 2)) FILTER (event_id % 40 > 0)), 6) AS rmse,
+        round(avg(abs(value - 2.5 - 3 * (event_id % 40 / 4.0))) FILTER (event_id % 40 > 0), 6) AS mae FROM events GROUP BY 1, 2""",
     "stream_forecast_windows": """, hours AS (SELECT date_trunc('hour', pickup_time) AS hour_ts, zone_id, count(*) AS trip_count, avg(fare) AS avg_fare
           FROM event_trips GROUP BY 1, 2),
         means AS (SELECT zone_id, hour(hour_ts) AS h, dayofweek(hour_ts) AS d, avg(trip_count) AS forecast FROM hours GROUP BY 1, 2, 3)

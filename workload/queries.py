@@ -26,7 +26,7 @@ from rideflow.sinks import tables
 from rideflow.sources import ingest
 from rideflow.sources.manifest import ingest_manifest
 from rideflow.sources.trips import NO_MONTH, NOT_ASKED, read_feeds, read_processed
-from rideflow.streaming import alerts, forecasts, sinks, versions
+from rideflow.streaming import alerts, forecasts, health, sinks, versions
 from rideflow.streaming import demand as live
 from rideflow.streaming.events import encode_trips, file_events, parse_events, replay_schedule
 from workload import fixtures as fx
@@ -667,6 +667,22 @@ def stream_surge_alerts(spark, sf_dir):
     return rounded(_appends(spark, found).filter("PULocationID <> 0"), "peak_ratio")
 
 
+@query
+def stream_model_health(spark, sf_dir):
+    """Hourly errors of a fare by distance, its trips joined as they finish; trips of no distance never report a fare."""
+    flush = _flush_times(spark, sf_dir, 4)
+    keys = ["VendorID", "PULocationID", "DOLocationID", "pickup_time"]
+    priced = (F.lit(2.5) + F.lit(3.0) * F.col("trip_distance")).alias("predicted_fare")
+    # The flushing events have no vendor and drop-off; a null key would keep them from the join and its watermark.
+    trips = lambda: parse_events(_stream(spark, sf_dir, *flush)).na.fill(0, ["VendorID", "DOLocationID"])
+    asked = trips().select(*keys, F.col("pickup_time").alias("predicted_at"), priced)
+    ended = trips().filter("trip_distance > 0 OR trip_distance IS NULL")
+    ended = ended.select(*keys, F.coalesce("dropoff_time", "pickup_time").alias("finished_at"), "fare_amount")
+    windows = health.health_by_window(health.with_outcomes(asked, ended, keys, "1 hour"), "fare_amount", "predicted_fare")
+    found = _appends(spark, windows).filter(F.col("window_start") < F.lit(flush[0]).cast("timestamp"))
+    return rounded(found, "rmse", "mae")
+
+
 # Ingest of monthly files
 
 @query
