@@ -10,11 +10,9 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,7 +24,7 @@ WORD = re.compile(r"\w+")
 #: Two words: a leak whose every third word is replaced, or that has a word put in after every second, keeps some.
 SEED_WORDS = 2
 #: An n-gram is rare in up to so many different texts, or one in so many of all.
-RARE, RARE_SHARE = 20, 5000
+RARE, RARE_SHARE = 20, 20_000
 #: In every stretch of so many n-grams of an item there is a seed, if any of them occurs.
 STRETCH = 6
 #: An item is leaked from this share of its best possible alignment score, or from LONG_RUN whole
@@ -94,17 +92,12 @@ def common_words(item: np.ndarray, text: np.ndarray) -> int:
     return len(item) - rest.bit_count()
 
 
-@lru_cache(1 << 18)
-def _word_hash(word: str) -> int:
-    return xxhash.xxh64_intdigest(word)
-
-
 def gram_hashes(words: list[str]) -> np.ndarray:
     """The n-grams of a sequence of words as signed 64-bit numbers, in order; none if it is shorter."""
-    hashes = np.fromiter(map(_word_hash, words), np.uint64, len(words))
     n = len(words) - SEED_WORDS + 1
     if n <= 0:
         return np.zeros(0, np.int64)
+    hashes = pd.util.hash_array(np.array(words, object), categorize=False)  # with a fixed key, alike in every task
     out = np.zeros(n, np.uint64)
     for i in range(SEED_WORDS):
         out = (out ^ (out >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + hashes[i : i + n]
