@@ -103,3 +103,59 @@ def test_long_texts_take_linear_time():
         started = time.process_time()
         secrets.secret_spans(text)
         assert time.process_time() - started < 10
+
+
+@pytest.mark.parametrize("text, found", [
+    (f'pwd = f"{STRONG}"', [STRONG]), (f'SECRET_PWD="""{STRONG}"""', [STRONG]), (f'pwd = (\n  "{STRONG}"\n)', [STRONG]),
+    (f'pwd, user = "{STRONG}", "me"', [STRONG]), (f"run --pwd {STRONG} -x", [STRONG]), (f"run --pwd={STRONG}", [STRONG]),
+    (f'k = "{STRONG}"\ncfg.set("pwd", k)', [STRONG]), (f'os.environ.get("DB_PWD", "{STRONG}")', [STRONG]),
+    (f"pwd: |\n  {STRONG}\n  9f8Gd72KQwe1\nuser: x", [STRONG, "9f8Gd72KQwe1"]), (f"<pwd>{STRONG}</pwd>", [STRONG]), (f"<pwd><![CDATA[{STRONG}]]></pwd>", [STRONG]),
+    (f'<add key="pwd" value="{STRONG}"/>', [STRONG]), (f'pwd = k\nk = "{STRONG}"', [STRONG]), (f'pwd = os.getenv("X") or "{STRONG}"', [STRONG]),
+    (f'pwds = 1\npwd = ["{STRONG}", "{STRONG}2"]', [STRONG, STRONG + "2"]), (f"pwd = (\"Zk93hdbA\"\n   '72hsQx01')", ["Zk93hdbA", "72hsQx01"]),
+    (f'$pwd = "x" . "{STRONG}";', ["x", STRONG]), ('pwd = os.getenv("X")', []), (f'connect(host, user="{STRONG}")', []), (f'connect(host, pwd="{STRONG}")', [STRONG]),
+    ("pwd = user.password", []), ("a=b\nb=a\npwd=a", []), (f"pwd, user = '{STRONG}'", []),
+])
+def test_forms_of_assignment(text, found):
+    assert [text[s.start : s.end] for s in secrets.secret_spans(text) if s.kind == "named"] == found
+
+
+@pytest.mark.parametrize("seed", range(30))
+def test_constants_reach_sensitive_names(seed):
+    """Random programs against an interpreter: the literals that a password is made of, in whatever order names are bound."""
+    import random
+
+    rng = random.Random(seed)
+    names = [f"v{i}" for i in range(12)] + ["pwd", "db_pwd", "api_key", "label"]
+    rng.shuffle(names)
+    values, lines = {}, []
+    for i, name in enumerate(names):  # later names may be used before they are bound, but never in a circle
+        parts = [rng.choice(names[i + 1 :]) if names[i + 1 :] and rng.random() < 0.6 else f"L{i}x{k}Zq{rng.randrange(10**6)}" for k in range(rng.randint(1, 3))]
+        values[name] = parts
+        lines.append(f"{name} = " + " + ".join(p if p in names else f"'{p}'" for p in parts))
+    rng.shuffle(lines)
+    whole = lambda name: [x for p in values[name] for x in (whole(p) if p in values else [p])]
+    wanted = {x for name in ("pwd", "db_pwd", "api_key") if secrets.name_score(name) * secrets.literal_score("".join(whole(name))[:256], True) >= secrets.NAMED_FROM for x in whole(name)}
+    text = "\n".join(lines)
+    assert {text[s.start : s.end] for s in secrets.named_spans(text)} == wanted and wanted
+
+
+@pytest.mark.parametrize("text", [
+    "a = 'Zk93hdbA72hsQx01'\n" + "a = a + a\n" * 10_000 + "pwd = a\n",
+    "a0 = 'Zk93hdbA'\na1 = 'x72hsQx01'\n" + "".join(f"a{i} = a{i - 1} + a{i - 2}\n" for i in range(2, 10_000)) + "pwd = a9999\n",
+    "".join(f"a{i} = a{i + 1} + a{i + 2}\n" for i in range(10_000)) + "a10000 = 'Zk93hdbA72hsQx01'\npwd = a0\n",
+])
+def test_constants_of_long_chains(text):
+    import time
+
+    started = time.process_time()
+    assert secrets.named_spans(text)
+    assert time.process_time() - started < 2
+
+
+@pytest.mark.parametrize("unit", ["key=", "pwd, key, ", "key=(a,", "key=[a,", "key=a+", "key=f(", "(key", "--key ", 'key="""', "key\n\\\n", "key: |\n", "<key a="])
+def test_odd_syntax_takes_linear_time(unit):
+    import time
+
+    started = time.process_time()
+    secrets.secret_spans(unit * 100_000)
+    assert time.process_time() - started < 8
