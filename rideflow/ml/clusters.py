@@ -26,7 +26,7 @@ def fit_clusters(vectors: DataFrame, k: int, seed: int = 42) -> KMeansModel:
 
 
 def choose_k(vectors: DataFrame, ks: Iterable[int], seed: int = 42) -> tuple[DataFrame, KMeansModel]:
-    """Cost and silhouette of each k, and the model of highest silhouette."""
+    """Cost and silhouette of each k, where the costs bend, and the model of highest silhouette."""
     spark = vectors.sparkSession
     vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
     measure = ClusteringEvaluator(featuresCol="profile", predictionCol="cluster")
@@ -39,7 +39,24 @@ def choose_k(vectors: DataFrame, ks: Iterable[int], seed: int = 42) -> tuple[Dat
             best, best_model = silhouette, model
     vectors.unpersist()
     table = spark.createDataFrame(rows, "k int, cost double, silhouette double")
-    return table.withColumn("chosen", F.col("silhouette") == best), best_model
+    return with_elbow(table.withColumn("chosen", F.col("silhouette") == best)), best_model
+
+
+def with_elbow(costs: DataFrame) -> DataFrame:
+    """A table of ``k`` and ``cost``, a few rows, with ``bend`` and ``elbow``.
+
+    ``bend`` is how far a cost lies below the line from the first to the last, both axes from 0 to 1; the elbow is
+    the k of the largest bend, the smaller of equal ones. Where all costs are equal there is none.
+    """
+    first, last = F.min(F.struct("k", "cost")), F.max(F.struct("k", "cost"))
+    ends = costs.agg(first.alias("first"), last.alias("last")).first()
+    if ends["first"] is None or ends["first"]["cost"] == ends["last"]["cost"]:
+        return costs.withColumns({"bend": F.lit(0.0), "elbow": F.lit(False)})
+    (k0, c0), (k1, c1) = ends["first"], ends["last"]
+    along, down = (F.col("k") - k0) / F.lit(float(k1 - k0)), (F.lit(float(c0)) - F.col("cost")) / F.lit(float(c0 - c1))
+    bent = costs.withColumn("bend", down - along)
+    best = bent.agg(F.max_by("k", F.struct("bend", -F.col("k")))).first()[0]
+    return bent.withColumn("elbow", (F.col("k") == F.lit(best)) & (F.col("bend") > 0))
 
 
 def assign_clusters(vectors: DataFrame, model: KMeansModel) -> DataFrame:

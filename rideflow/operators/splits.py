@@ -60,12 +60,22 @@ def random_split(rows: DataFrame, train: float = 0.8, seed: int = 42) -> list[Da
     return rows.randomSplit([train, 1.0 - train], seed)
 
 
+def _point(keys: Sequence[str], seed: int) -> Column:
+    """A number below a million by the md5 of the keys as text, so that any engine finds the same."""
+    text = F.concat_ws("|", F.lit(str(seed)), *(F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys))
+    return F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % 1_000_000
+
+
 def keyed_split(rows: DataFrame, keys: Sequence[str], train: float = 0.8, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """A split by hash of the key columns: the same rows in each part however the input is partitioned.
+    """A split by hash of the key columns: the same rows in each part however the input is partitioned."""
+    in_train = _point(keys, seed) < int(train * 1_000_000)
+    return rows.filter(in_train), rows.filter(~in_train)
 
-    The hash is the md5 of the keys as text, so that any engine finds the same parts.
+
+def keyed_sample(rows: DataFrame, keys: Sequence[str], rate: float, seed: int = 42) -> DataFrame:
+    """About this share of the rows, by hash of the key columns.
+
+    The same rows however the input is partitioned; those of a smaller rate are part of those of a larger
+    one, and rows of equal keys stay or go together.
     """
-    text = F.concat_ws("|", F.lit(str(seed)), *(F.coalesce(F.col(k).cast("string"), F.lit("")) for k in keys))
-    point = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") % 1_000_000
-    in_train = point < int(train * 1_000_000)
-    return rows.filter(in_train), rows.filter(~in_train)
+    return rows.filter(_point(keys, seed) < round(rate * 1_000_000))

@@ -16,9 +16,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rideflow import schemas
+from rideflow.operators.splits import keyed_sample
 from rideflow.operators.unify import FEEDS, unify, union_trips
 
 SAMPLE_RATE = 0.05
+#: A sample of trips is drawn by these.
+SAMPLE_KEYS = ("pickup_ts", "dropoff_ts", "pu_location_id", "do_location_id")
 MONTH_FOLDER = r"^(.*/year=(\d{4})/month=(\d{1,2}))/"
 NOT_ASKED, NO_MONTH = "not asked for", "not in a folder of a year and a month"
 
@@ -126,7 +129,7 @@ def read_service(
     schema, so the plan holds a scan per schema and not per month. Whatever is not read is a row of
     ``skipped``: months not asked for, files outside the layout, and unreadable months if
     ``skip_unreadable``; otherwise an unreadable month raises. ``with_file_month`` keeps
-    ``file_year`` and ``file_month``.
+    ``file_year`` and ``file_month``. A sample is drawn by hash of a trip's times and zones.
     """
     if service.lower() not in FEEDS:
         raise ValueError(f"unknown service type: {service}")
@@ -165,10 +168,11 @@ def read_service(
                 "file_year": F.regexp_extract(path, MONTH_FOLDER, 2).cast("int"),
                 "file_month": F.regexp_extract(path, MONTH_FOLDER, 3).cast("int"),
             })
+        trips = unify(feed, service, absent_as_zero, keep)
         if sample_rate is not None:
             warnings.warn(f"reading a {sample_rate:.0%} sample of {service}", stacklevel=2)
-            feed = feed.sample(sample_rate, seed)
-        parts.append(unify(feed, service, absent_as_zero, keep))
+            trips = keyed_sample(trips, SAMPLE_KEYS, sample_rate, seed)
+        parts.append(trips)
     skipped_months = spark.createDataFrame(skipped, schemas.SKIPPED_MONTH)
     return ServiceRead(union_trips(parts, spark), skipped_months)
 

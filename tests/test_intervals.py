@@ -102,3 +102,23 @@ def test_determined_constant_and_absent_rows(spark, sample):
     model = normal.fit(twice, ["a", "a2", "one"], "y")
     assert model.coefficients[2] == 0.0 and model.coefficients[0] + 2 * model.coefficients[1] == pytest.approx(normal.fit(sample, ["a"], "y").coefficients[0])
     assert normal.fit(sample.limit(0), ["a"], "y") == normal.Linear(("a",), 0.0, (0.0,))
+
+
+def test_keyed_samples_do_not_depend_on_partitions_and_are_nested(spark):
+    from rideflow.operators.splits import keyed_sample
+
+    rows = spark.range(20_000).withColumn("other", F.col("id") % 7)
+    drawn = lambda df, rate: {r.id for r in keyed_sample(df, ["id"], rate).collect()}
+    small, large = drawn(rows.repartition(3), 0.05), drawn(rows.repartition(11), 0.2)
+    assert small == drawn(rows, 0.05) and small < large and 800 < len(small) < 1200
+    assert not drawn(rows, 0.0) and len(drawn(rows, 1.0)) == 20_000
+
+
+def test_the_elbow_is_where_the_costs_bend(spark):
+    from rideflow.ml.clusters import with_elbow
+
+    costs = spark.createDataFrame([(2, 100.0), (3, 40.0), (4, 20.0), (5, 15.0), (6, 12.0)], "k int, cost double")
+    got = {r.k: (r.bend, r.elbow) for r in with_elbow(costs).collect()}
+    assert [k for k, (_, e) in got.items() if e] == [4] and got[2][0] == got[6][0] == 0.0
+    assert not any(r.elbow for r in with_elbow(spark.createDataFrame([(2, 5.0), (3, 5.0)], "k int, cost double")).collect())
+    assert with_elbow(costs.limit(0)).count() == 0

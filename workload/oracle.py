@@ -331,6 +331,12 @@ BODIES: dict[str, str] = {
     "feature_tables": """SELECT 'demand' AS "table", (SELECT count(*) FROM trip_hours) AS "rows", CAST(0 AS BIGINT) AS nulls
         UNION ALL SELECT 'trips', (SELECT count(*) FROM clean), 0""",
     "zone_profile": f"SELECT pu_location_id AS zone_id, count(*) AS trips, {_SHARES} FROM clean GROUP BY 1",
+    "keyed_samples": f"""SELECT count(*) FILTER ({_KEYED} < 50000) AS small, count(*) FILTER ({_KEYED} < 200000) AS large,
+        count(*) FILTER ({_KEYED} < 50000) AS in_both FROM clean""",
+    "fare_band_elbow": """, bands AS (SELECT k, floor((l_quantity::BIGINT - 1) * k / 50) AS band, l_quantity::BIGINT AS q FROM lineitem, range(1, 9) AS r(k)),
+        costs AS (SELECT k::INTEGER AS k, round(sum(cost), 3) AS cost FROM (SELECT k, sum(q * q) - sum(q) * sum(q)::DOUBLE / count(*) AS cost FROM bands GROUP BY k, band) GROUP BY k),
+        bent AS (SELECT k, cost, ((SELECT cost FROM costs WHERE k = 1) - cost) / ((SELECT cost FROM costs WHERE k = 1) - (SELECT cost FROM costs WHERE k = 8)) - (k - 1) / 7.0::DOUBLE AS bend FROM costs)
+        SELECT k, cost, round(bend, 6) + 0.0 AS bend, k = (SELECT k FROM bent ORDER BY bend DESC, k LIMIT 1) AS elbow FROM bent""",
     "random_split_counts": f"SELECT CASE WHEN {_KEYED} < 800000 THEN 'train' ELSE 'test' END AS part, count(*) AS trips FROM clean GROUP BY 1",
     "time_split_counts": """SELECT CASE WHEN pickup_ts < TIMESTAMP '2024-01-01' THEN 'train'
         WHEN pickup_ts < TIMESTAMP '2024-07-01' THEN 'validation' ELSE 'test' END AS part, count(*) AS trips FROM clean GROUP BY 1""",

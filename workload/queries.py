@@ -818,6 +818,26 @@ def random_split_counts(spark, sf_dir):
     return both.groupBy("part").agg(F.count(F.lit(1)).alias("trips"))
 
 
+@query
+def keyed_samples(spark, sf_dir):
+    """Trips in samples of 5 and 20 % by key, and how many of the smaller are in the larger."""
+    trips = cleaned(spark, sf_dir)
+    small, large = (splits.keyed_sample(trips.repartition(n), SPLIT_KEYS, rate) for n, rate in ((3, 0.05), (7, 0.2)))
+    both = small.withColumns({"small": F.lit(1), "large": F.lit(0)}).unionByName(large.withColumns({"small": F.lit(0), "large": F.lit(1)}))
+    sides = both.groupBy(*SPLIT_KEYS).agg(F.sum("small").alias("small"), F.sum("large").alias("large"))
+    return sides.agg(F.sum("small").alias("small"), F.sum("large").alias("large"), F.sum(F.least("small", "large")).alias("in_both"))
+
+
+@query
+def fare_band_elbow(spark, sf_dir):
+    """Squared deviation of order quantities within 1 to 8 bands of equal width, and where it bends."""
+    items = fx.table(spark, sf_dir, "lineitem").groupBy(F.col("l_quantity").cast("long").alias("q")).agg(F.count(F.lit(1)).alias("n"))
+    banded = items.withColumn("k", F.explode(F.sequence(F.lit(1), F.lit(8)))).withColumn("band", F.floor((F.col("q") - 1) * F.col("k") / 50))
+    inside = banded.groupBy("k", "band").agg((F.sum(F.col("n") * F.col("q") * F.col("q")) - F.sum(F.col("n") * F.col("q")) * F.sum(F.col("n") * F.col("q")) / F.sum("n")).alias("cost"))
+    costs = materialize(inside.groupBy("k").agg(F.round(F.sum("cost"), 3).alias("cost")))
+    return rounded(clusters.with_elbow(costs), "bend")
+
+
 @query
 def assembled_inputs(spark, sf_dir):
     """The input vector of the trip models for the test period, slot by slot; the zone means are of the training period."""
