@@ -119,6 +119,6 @@ def test_the_elbow_is_where_the_costs_bend(spark):
 
     costs = spark.createDataFrame([(2, 100.0), (3, 40.0), (4, 20.0), (5, 15.0), (6, 12.0)], "k int, cost double")
     got = {r.k: (r.bend, r.elbow) for r in with_elbow(costs).collect()}
-    assert [k for k, (_, e) in got.items() if e] == [4] and got[2][0] == got[6][0] == 0.0
+    assert [k for k, (_, e) in got.items() if e] == [3] and got[2][0] == got[6][0] == 0.0
     assert not any(r.elbow for r in with_elbow(spark.createDataFrame([(2, 5.0), (3, 5.0)], "k int, cost double")).collect())
     assert with_elbow(costs.limit(0)).count() == 0
