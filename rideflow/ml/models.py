@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 from typing import Any
 
 from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rideflow.operators.baselines import BASELINE, regression_metrics
@@ -110,6 +110,38 @@ def tune(
     return table.withColumn("chosen", F.col("rmse") == best), best_model
 
 
+def walk_forward(
+    estimator: Estimator, grid: Sequence[Mapping[str, Any]], folds: Sequence[Callable[[], tuple[DataFrame, DataFrame]]], label: str
+) -> DataFrame:
+    """Fit each setting on each fold and rank the settings by their mean error over the folds.
+
+    A fold is a function that gives its training and validation rows with ``features``. A row per setting and fold: ``setting,
+    params, fold, rows, rmse, mae, r2``, and for the setting ``mean_rmse``, ``rank`` (equal means: the earlier one first) and ``chosen``.
+    A setting without a measure in some fold comes last.
+    """
+    results = []
+    for number, fold in enumerate(folds):
+        train, validation = (rows.select("features", label).persist(StorageLevel.MEMORY_AND_DISK) for rows in fold())
+        for place, setting in enumerate(grid):
+            candidate = estimator.copy({estimator.getParam(name): value for name, value in setting.items()})
+            measures = regression_metrics(fit(candidate, train).transform(validation), label, "prediction").first()
+            text = ", ".join(f"{name}={value}" for name, value in setting.items())
+            results.append((place, text, number, measures.rows, measures.rmse, measures.mae, measures.r2))
+        train.unpersist()
+        validation.unpersist()
+    schema = "setting int, params string, fold int, rows bigint, rmse double, mae double, r2 double"
+    return ranked_settings(SparkSession.active().createDataFrame(results, schema))
+
+
+def ranked_settings(results: DataFrame) -> DataFrame:
+    """Measures by ``setting`` and ``fold`` with the setting's ``mean_rmse``, ``rank`` and whether it is ``chosen``."""
+    means = results.groupBy("setting").agg(F.when(F.count("rmse") == F.count(F.lit(1)), F.avg("rmse")).alias("mean_rmse"))
+    # A row per setting of the grid.
+    order = Window.orderBy(F.col("mean_rmse").asc_nulls_last(), "setting")
+    ranked = means.withColumn("rank", F.row_number().over(order))
+    return results.join(ranked, "setting").withColumn("chosen", F.col("rank") == 1)
+
+
 def feature_importance(spark: SparkSession, model: Model, names: Sequence[str]) -> DataFrame:
     """Importance of each input of a tree model, highest first."""
     trees = model.stages[-1] if isinstance(model, PipelineModel) else model

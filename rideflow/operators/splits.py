@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -79,3 +80,23 @@ def keyed_sample(rows: DataFrame, keys: Sequence[str], rate: float, seed: int =
     one, and rows of equal keys stay or go together.
     """
     return rows.filter(_point(keys, seed) < round(rate * 1_000_000))
+
+
+def forward_bounds(first: str, last: str, folds: int) -> list[tuple[str, str]]:
+    """``folds`` stretches of equal length that end at ``last``, as (from, to) days; the time from ``first`` to the first of them trains it.
+
+    A fold trains on all that lies before its stretch, so the stretch of one is in the training range of the next.
+    """
+    start, end = date.fromisoformat(first), date.fromisoformat(last)
+    if folds < 1 or (end - start).days < folds + 1:
+        raise ValueError(f"{folds} folds do not fit between {first} and {last}")
+    days = (end - start).days
+    cuts = [start + timedelta(days=days * n // (folds + 1)) for n in range(1, folds + 2)]
+    return [(a.isoformat(), b.isoformat()) for a, b in zip(cuts, cuts[1:])]
+
+
+def forward_split(
+    rows: DataFrame, bound: tuple[str, str], first: str | None = None, ts: str = "pickup_ts", month_columns: tuple[str, str] | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """The rows before a fold's stretch, and those in it; both are ranges that reach the scan."""
+    return tuple(rows.filter(time_range(*part, ts, month_columns)) for part in ((first, bound[0]), bound))

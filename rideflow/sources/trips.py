@@ -7,17 +7,19 @@ from collections import defaultdict
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import reduce
 from typing import NamedTuple
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
-from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rideflow import schemas
 from rideflow.operators.splits import keyed_sample
 from rideflow.operators.unify import FEEDS, unify, union_trips
+from rideflow.session import materialize
 
 SAMPLE_RATE = 0.05
 #: A sample of trips is drawn by these.
@@ -104,6 +106,44 @@ def _files_below(spark: SparkSession, path: str) -> DataFrame:
     return listing.load(path)
 
 
+def probe_files(spark: SparkSession, files: DataFrame, groups: Iterable[tuple[T.StructType, list[str]]], deep: bool = False) -> DataFrame:
+    """``path`` of each of the ``files``, the ``rows`` its footer states, and ``reason`` if it cannot be read, else null.
+
+    ``groups`` are schemas with the folders or files they hold for. One scan of the footers counts rows per file; files
+    without any are opened on their own, several at a time, which tells empty files from broken ones. ``deep`` also decodes
+    every column of every row and names the files that lose rows on the way. The driver receives the paths of files without rows.
+    """
+    lenient = spark.read.options(ignoreCorruptFiles="true", recursiveFileLookup="true")
+    counted = spark.createDataFrame([], "at string, stated bigint, decoded bigint, checksum bigint")
+    for schema, paths in groups:
+        feed = lenient.schema(schema).parquet(*paths)
+        at = _plain_path(F.col("_metadata.file_path")).alias("at")
+        stated = feed.groupBy(at).agg(F.count(F.lit(1)).alias("stated"))
+        if deep:
+            # The checksum makes the scan read all columns.
+            read = feed.groupBy(at).agg(F.count(F.lit(1)).alias("decoded"), F.bit_xor(F.xxhash64(*schema.fieldNames())).alias("checksum"))
+            stated = stated.join(read, "at", "left")
+        else:
+            stated = stated.withColumns({"decoded": F.col("stated"), "checksum": F.lit(0).cast("long")})
+        counted = counted.unionByName(stated)
+    found = materialize(files.select("path").join(counted, _plain_path(F.col("path")) == F.col("at"), "left"))
+    rowless = [r.path for r in found.filter("stated IS NULL").select("path").orderBy("path").collect()]
+    opened = [(path, None if isinstance(schema, T.StructType) else schema) for path, schema in zip(rowless, footer_schemas(spark, rowless))]
+    reasons = spark.createDataFrame(opened, "path string, broken string")
+    decoded = F.coalesce("decoded", F.lit(0))
+    # The checksum is looked at, or the scan would drop it with the columns behind it.
+    lost = (decoded < F.col("stated")) | (F.col("checksum").isNull() & (decoded > 0))
+    partly = F.concat(decoded.cast("string"), F.lit(" of "), F.col("stated").cast("string"), F.lit(" rows can be read"))
+    return found.join(reasons, "path", "left").select(
+        "path", F.coalesce("stated", F.lit(0)).alias("rows"), F.coalesce("broken", F.when(lost, partly)).alias("reason")
+    )
+
+
+def _plain_path(path: Column) -> Column:
+    """One spelling for a local path; listings and scans differ in the slashes after the scheme."""
+    return F.regexp_replace(path, r"^file:/+", "file:/")
+
+
 def schema_key(schema: T.StructType) -> tuple[tuple[str, str], ...]:
     return tuple((field.name, field.dataType.simpleString()) for field in schema.fields)
 
@@ -128,7 +168,8 @@ def read_service(
     where types do not merge, each file has its own. Files of equal schema form one scan with that
     schema, so the plan holds a scan per schema and not per month. Whatever is not read is a row of
     ``skipped``: months not asked for, files outside the layout, and unreadable months if
-    ``skip_unreadable``; otherwise an unreadable month raises. ``with_file_month`` keeps
+    ``skip_unreadable``; otherwise an unreadable month raises. ``ignore_corrupt`` leaves out files whose footer is
+    broken, each a row of ``skipped`` too, at the price of a scan of all footers. ``with_file_month`` keeps
     ``file_year`` and ``file_month``. A sample is drawn by hash of a trip's times and zones.
     """
     if service.lower() not in FEEDS:
@@ -173,10 +214,21 @@ def read_service(
             warnings.warn(f"reading a {sample_rate:.0%} sample of {service}", stacklevel=2)
             trips = keyed_sample(trips, SAMPLE_KEYS, sample_rate, seed)
         parts.append(trips)
+    if ignore_corrupt and present:
+        skipped += _lost_files(spark, service, list(present.values()), [(group_schemas[key], paths) for key, paths in groups.items()])
     skipped_months = spark.createDataFrame(skipped, schemas.SKIPPED_MONTH)
     return ServiceRead(union_trips(parts, spark), skipped_months)
 
 
+def _lost_files(spark: SparkSession, service: str, folders: list[MonthFolder], groups: list[tuple[T.StructType, list[str]]]) -> list[tuple]:
+    """A row of ``skipped`` for each file without a readable footer, in months that are read."""
+    files = reduce(DataFrame.unionByName, [_files_below(spark, f.path).select("path") for f in folders])
+    broken = probe_files(spark, files, groups).filter("reason IS NOT NULL")
+    parts = [F.regexp_extract("path", MONTH_FOLDER, n).cast("int").alias(name) for n, name in ((2, "year"), (3, "month"))]
+    named = broken.select(*parts, F.concat(F.regexp_extract("path", "[^/]*$", 0), F.lit(": "), "reason").alias("reason"))
+    return [(service, r.year, r.month, r.reason) for r in named.collect()]
+
+
 def read_feeds(spark: SparkSession, base: str, services: Iterable[str] = tuple(FEEDS), **options) -> ServiceRead:
     """All services below ``base``, one folder each."""
     reads = [read_service(spark, f"{base}/{service}", service, **options) for service in services]

@@ -310,6 +310,27 @@ def broken_folder(spark: SparkSession, sf_dir: str) -> str:
     return folder
 
 
+#: Months of ``damaged_lake`` with an unreadable file more: one without a footer, one with overwritten pages.
+FOOTERLESS, OVERWRITTEN = ("green", 2022, 4), ("yellow", 2023, 9)
+
+
+def damaged_lake(spark: SparkSession, sf_dir: str) -> str:
+    """Staged months of their own; a file of text in one, and in another a copy of a file whose footer is sound and whose pages are overwritten."""
+    folder = new_folder(spark, "damaged")
+    stage_by_month(spark, download_folder(spark, sf_dir), folder)
+    service, year, month = OVERWRITTEN
+    whole = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(f"{folder}/{service}/year={year}/month={month:02d}")
+    content = bytearray(whole.orderBy("path").select("content").first()[0])
+    data_end = len(content) - 8 - int.from_bytes(content[-8:-4], "little")
+    content[4:data_end] = b"\xff" * (data_end - 4)
+    for (service, year, month), data in ((FOOTERLESS, bytearray(b"no Parquet file")), (OVERWRITTEN, content)):
+        path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{service}/year={year}/month={month:02d}/part-damaged.parquet")
+        out = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).create(path)
+        out.write(data)
+        out.close()
+    return folder
+
+
 class ChangingLake(NamedTuple):
     """A lake of staged months without green trips of May 2023; ``change`` adds these, removes yellow ones of March 2022 and repeats fhvhv ones of February 2024."""
 

@@ -496,6 +496,26 @@ BODIES |= {
           round(avg(coalesce(g.high, w.high) - coalesce(g.low, w.low)), 4) AS mean_width
         FROM fared f LEFT JOIN grouped g ON f.pickup_hour = g.pickup_hour AND f.is_rainy = g.is_rainy CROSS JOIN whole w
         WHERE pickup_ts >= TIMESTAMP '2024-07-01' GROUP BY 1""",
+    "baseline_residuals": f""", bands AS (SELECT floor((fare_amount - trip_distance_mi * {_FARE_RATE}) / 5) AS band, count(*) AS n FROM test GROUP BY 1)
+        SELECT 'baseline' AS model, band * 5.0 AS low, band * 5.0 + 5.0 AS high, n AS "rows", round(n / (SELECT sum(n) FROM bands)::DOUBLE, 6) AS share FROM bands""",
+    "baseline_error_by_zone": " UNION ALL ".join(
+        f"""SELECT '{task}' AS task, pu_location_id, count(*) AS "rows", round(sqrt(avg(({y} - {p}) * ({y} - {p}))), 5) AS rmse,
+        round(avg(abs({y} - {p})), 5) AS mae, round(avg({y} - {p}), 5) + 0.0 AS bias FROM test GROUP BY 2"""
+        for task, y, p in (("fare", "fare_amount", f"trip_distance_mi * {_FARE_RATE}"), ("eta", "trip_duration_min", f"trip_distance_mi / {_SPEED} * 60"))
+    ),
+    "forward_fold_rows": """, folds AS (SELECT i::INTEGER AS fold, (DATE '2022-01-01' + (912 * (i + 1) // 5)::INTEGER) AS since,
+          (DATE '2022-01-01' + (912 * (i + 2) // 5)::INTEGER) AS before FROM range(4) AS r(i))
+        SELECT fold, part, count(*) AS trips, min(pickup_ts) AS "first", max(pickup_ts) AS "last" FROM (
+          SELECT fold, 'train' AS part, pickup_ts FROM folds, clean WHERE pickup_ts >= TIMESTAMP '2022-01-01' AND pickup_ts < since
+          UNION ALL SELECT fold, 'validation', pickup_ts FROM folds, clean WHERE pickup_ts >= since AND pickup_ts < before) GROUP BY 1, 2""",
+    "tree_scoring_check": f"""SELECT date_trunc('month', pickup_ts) AS period, count(*) AS trips, 0 AS differing
+        FROM bounded WHERE {_KEYED} >= 800000 GROUP BY 1""",
+    "compacted_months": """SELECT CAST(year(pickup_ts) AS INTEGER) AS pickup_year, CAST(month(pickup_ts) AS INTEGER) AS pickup_month,
+        count(*) AS "rows", true AS fewer, true AS in_band FROM clean GROUP BY 1, 2""",
+    "quarantined_files": f"""SELECT service_type AS service, CAST(year(base_ts) AS INTEGER) AS year, CAST(month(base_ts) AS INTEGER) AS month,
+        count(*) AS "rows", CASE WHEN (service_type, year(base_ts), month(base_ts)) IN ({fx.FOOTERLESS}, {fx.OVERWRITTEN}) THEN 1 ELSE 0 END AS quarantined
+        FROM based WHERE base_ts IS NOT NULL GROUP BY 1, 2, 3, 5""",
+    "quarantine_read": BODIES["drift_read"],
     "gram_sums": _gram("fare", "fare_amount") + " UNION ALL " + _gram("eta", "trip_duration_min"),
     "linear_comparison": f""", lines AS ({_LINES} SELECT m.*, b.rmse AS base FROM measured m JOIN measured b ON m.task = b.task AND b.model = 'baseline')
         SELECT task, model, "rows", round(rmse, 5) AS rmse, round(mae, 5) AS mae, round(r2, 5) AS r2, round(mape, 5) AS mape,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime, timedelta
-from functools import reduce
+from functools import partial, reduce
 from typing import Any
 
 from pyspark.ml import Estimator, Pipeline
@@ -12,18 +12,18 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rideflow.ml import clusters, intervals, models, normal, scoring
+from rideflow.ml import clusters, intervals, models, normal, scoring, trees
 from rideflow.ml import demand as demand_ml
 from rideflow.ml.features import assembler, preparation, vector_names
-from rideflow.operators import analysis, baselines, clean, demand, encoding, enrich, features, quality, splits
+from rideflow.operators import analysis, baselines, clean, demand, encoding, enrich, errors, features, quality, splits
 from rideflow.operators.unify import FEEDS, unify, union_trips
 from rideflow.plans.live import live_alerts, live_demand
 from rideflow.plans.preprocess import Preprocessed, build_trips
 from rideflow.plans.features import FeatureTables, build_features
 from rideflow.plans.training import SPLIT_KEYS, TASKS, Trained, TrainingData, train_models, training_data
 from rideflow.session import materialize, new_folder
-from rideflow.sinks import tables
-from rideflow.sources import ingest
+from rideflow.sinks import compact, tables
+from rideflow.sources import ingest, quarantine
 from rideflow.sources.manifest import ingest_manifest
 from rideflow.sources.trips import NO_MONTH, NOT_ASKED, read_feeds, read_processed
 from rideflow.streaming import alerts, forecasts, health, sinks, versions
@@ -436,6 +436,40 @@ def regression_metrics(spark, sf_dir):
     return rounded(measured, "rmse", "mae", "r2", "mape")
 
 
+def _tested_baselines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    train, _, test = splits.time_split(bounded(spark, sf_dir))
+    return baselines.trip_baselines(test, train)
+
+
+BASELINE_TASKS = {"fare": ("fare_amount", "baseline_fare"), "eta": ("trip_duration_min", "baseline_minutes")}
+
+
+@query
+def baseline_residuals(spark, sf_dir):
+    """Test trips per band of five dollars between fare and baseline."""
+    return rounded(errors.residual_distribution(_tested_baselines(spark, sf_dir), "fare_amount", {"baseline": "baseline_fare"}), "share")
+
+
+@query
+def baseline_error_by_zone(spark, sf_dir):
+    """Error and bias of both baselines per pickup zone, on the test trips; MAPE and R2 of single trips say little and are left out."""
+    return rounded(errors.error_by_zone(_tested_baselines(spark, sf_dir), BASELINE_TASKS).drop("r2", "mape"), "rmse", "mae", "bias", digits=5)
+
+
+FOLDS = splits.forward_bounds("2022-01-01", "2024-07-01", 4)
+
+
+@query
+def forward_fold_rows(spark, sf_dir):
+    """Trips of the training and the validation part of each fold by growing time range; the test period is not read."""
+    parts = []
+    for number, bound in enumerate(FOLDS):
+        for part, rows in zip((splits.TRAIN, splits.VALIDATION), splits.forward_split(_trip_table(spark, sf_dir), bound, "2022-01-01", month_columns=tables.TRIP_PARTITIONS)):
+            counted = rows.agg(F.count(F.lit(1)).alias("trips"), F.min("pickup_ts").alias("first"), F.max("pickup_ts").alias("last"))
+            parts.append(counted.select(F.lit(number).alias("fold"), F.lit(part).alias("part"), "trips", "first", "last"))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def _weathered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips within the training bounds, with the weather of their hour."""
     return features.within_training_bounds(features.add_trip_features(enrich.join_weather(cleaned(spark, sf_dir), hourly(spark, sf_dir))))
@@ -731,6 +765,48 @@ def skipped_months(spark, sf_dir):
     return found.withColumn("reason", F.when(known, F.col("reason")).otherwise("unreadable"))
 
 
+@query
+def quarantined_files(spark, sf_dir):
+    """Sound and quarantined files' rows per month, of a lake with a file without footer and one of overwritten pages."""
+    probed = quarantine.probe_lake(spark, fx.damaged_lake(spark, sf_dir))
+    months = ["service", "year", "month"]
+    sound = probed.sound.groupBy(*months).agg(F.sum("rows").alias("rows"))
+    broken = probed.quarantined.groupBy(*months).agg(F.count(F.lit(1)).alias("quarantined"))
+    return sound.join(broken, months, "full").withColumn("quarantined", F.coalesce("quarantined", F.lit(0)))
+
+
+@query
+def quarantine_read(spark, sf_dir):
+    """Trips and zone-id sums per service and file month, read from the sound files of the same lake."""
+    trips = quarantine.probe_lake(spark, fx.damaged_lake(spark, sf_dir)).trips()
+    return trips.groupBy("service_type", "file_year", "file_month").agg(
+        F.count(F.lit(1)).alias("trips"), F.sum("pu_location_id").alias("pu_sum"), F.sum("do_location_id").alias("do_sum")
+    )
+
+
+COMPACT_BYTES = 128 * 1024
+
+
+@query
+def compacted_months(spark, sf_dir):
+    """Trips per month of a table filled by five appends and then compacted, and whether its files are fewer and in the band."""
+    path = f"{new_folder(spark, 'appended')}/trips"
+    months = {"pickup_year": F.year("pickup_ts"), "pickup_month": F.month("pickup_ts")}
+    trips = materialize(cleaned(spark, sf_dir).withColumns(months))
+    for part in range(5):
+        share = trips.filter(F.pmod(F.xxhash64("pickup_ts", "pu_location_id", "do_location_id"), F.lit(5)) == part)
+        tables.write_partitioned(tables.balance(share, tables.TRIP_PARTITIONS), path, mode="append")
+    before = compact.compact_months(spark, path, COMPACT_BYTES)
+    keys = list(tables.TRIP_PARTITIONS)
+    low, high = (F.lit(COMPACT_BYTES * share) for share in compact.BAND)
+    files = materialize(compact.table_files(spark, path)).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("after"), F.count_if(F.col("bytes").between(low, high)).alias("within"), F.sum("rows").alias("rows"), F.max("bytes").alias("largest")
+    )
+    one_small = (F.col("after") == 1) & (F.col("largest") <= high)
+    both = files.join(before.select(*keys, "files"), keys)
+    return both.select(*keys, "rows", (F.col("after") < F.col("files")).alias("fewer"), (one_small | (F.col("within") >= F.col("after") - 1)).alias("in_band"))
+
+
 @query
 def batch_job_incremental(spark, sf_dir):
     """Trips per month after the whole job and a second run for one month into the same table."""
@@ -941,6 +1017,51 @@ def tuned_model(spark, sf_dir):
     return models.tune(models.forest("fare_amount"), _tuning_grid(spark), data.train, data.test, "fare_amount")[0]
 
 
+@query
+def walk_forward_model(spark, sf_dir):
+    """Forest settings ranked by their mean error over folds of growing time; zone means are learned anew in each fold."""
+
+    def fold(bound: tuple[str, str]) -> tuple[DataFrame, DataFrame]:
+        parts = lambda rows: splits.forward_split(rows, bound, "2022-01-01", month_columns=tables.TRIP_PARTITIONS)
+        data = training_data(_trip_table(spark, sf_dir), booking_time_only=True, split=parts)
+        return data.train, data.test
+
+    return models.walk_forward(models.forest("fare_amount"), _tuning_grid(spark), [partial(fold, bound) for bound in FOLDS], "fare_amount")
+
+
+def _by_nodes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test trips scored by the fare model and by descent over its table of nodes."""
+    trained = _trip_models(spark, sf_dir)
+    nodes = materialize(trees.node_table(spark, trained.models["fare"]))
+    scored = trained.models["fare"].transform(trained.data.test).withColumnRenamed("prediction", "by_model")
+    return trees.score_by_nodes(scored, nodes, trained.models["fare"].getMaxDepth(), output="by_nodes")
+
+
+@query
+def tree_scoring_check(spark, sf_dir):
+    """Test trips per month, and those where the descent over the node table differs from the model by over a billionth."""
+    apart = F.abs(F.col("by_model") - F.col("by_nodes")) <= F.lit(1e-9) * F.greatest(F.abs("by_model"), F.lit(1.0))
+    month = F.date_trunc("month", "pickup_ts").alias("period")
+    return _by_nodes(spark, sf_dir).groupBy(month).agg(F.count(F.lit(1)).alias("trips"), F.count_if(~F.coalesce(apart, F.lit(False))).alias("differing"))
+
+
+@query
+def model_residuals(spark, sf_dir):
+    """Test trips per band of five dollars between fare and prediction, of the fare model and of the baseline."""
+    trained = _trip_models(spark, sf_dir)
+    scored = baselines.fare_baseline(trained.models["fare"].transform(trained.data.test), trained.data.train)
+    return errors.residual_distribution(scored, "fare_amount", {"gbt": "prediction", "baseline": "baseline_fare"})
+
+
+@query
+def model_error_by_zone(spark, sf_dir):
+    """Error and bias of the fare and duration models per pickup zone, on the test trips."""
+    trained = _trip_models(spark, sf_dir)
+    scored = trained.models["fare"].transform(trained.data.test).withColumnRenamed("prediction", "fare_guess")
+    scored = trained.models["eta"].transform(scored).withColumnRenamed("prediction", "eta_guess")
+    return errors.error_by_zone(scored, {"fare": ("fare_amount", "fare_guess"), "eta": ("trip_duration_min", "eta_guess")})
+
+
 @query
 def score_requests(spark, sf_dir):
     """Fare and minutes, each with a 90 % range, for a ride request made from each order.
