@@ -99,9 +99,14 @@ class Encoder:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
 
     def _encoded(self, pieces: list[str]) -> dict[str, bytes]:
-        """The pieces with their ids. Those that start with white space are encoded together and parted by the bytes that they cover."""
-        out = {p: self._ids(p).tobytes() for p in pieces if p[:1] not in _SPACES}
-        spaced = [p for p in pieces if p[:1] in _SPACES]
+        """The pieces with their ids. Those that start, and do not end, with white space are encoded together and parted by the bytes they cover.
+
+        White space at the end of one and at the start of the next would make one token of both.
+        """
+        spaced = [p for p in pieces if p[:1] in _SPACES and not p[-1:].isspace()]
+        plain = list(set(pieces).difference(spaced))
+        found = self.tokenizer.encode_batch_fast(plain, add_special_tokens=False)
+        out = {p: np.array(f.ids, self.kind).tobytes() for p, f in zip(plain, found)}
         for start in range(0, len(spaced), _TOGETHER):
             held = spaced[start : start + _TOGETHER]
             joined = "".join(held)

@@ -124,3 +124,15 @@ def test_the_rest_is_cut_into_powers_of_two():
 def test_other_columns_and_keys(spark):
     df = spark.createDataFrame([("k", "a", "x y", 3, "z")], "name string, source string, text string, tokens int, shard string")
     assert {r.name for r in packing.packed(df, PATH, key="name").collect()} == {"k"}
+
+
+def test_white_space_of_one_text_does_not_meet_that_of_another():
+    """Pieces of all texts are encoded together, in any order; none may share a token with its neighbour."""
+    edges = ["", " ", "\n", " \n", "\n\n", "\t", "\x0b", "\xa0", "\x1c", "\u3000", " \t \n"]
+    texts = [a + word + b for a in edges for word in ("", "river", "中文", "x1 <|endoftext|>") for b in edges]
+    encoder = packing.Encoder(PATH)
+    for order in (texts, texts[::-1], texts[::2] + texts[1::2]):
+        encoder.known = {}
+        got = dict(zip(order, encoder.ids(order)))
+        wrong = [t for t in texts if np.frombuffer(got[t], encoder.kind).astype("<u4").tobytes() != ids_of(t)]
+        assert wrong == []
