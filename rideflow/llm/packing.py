@@ -34,7 +34,7 @@ SHARD = 64 * SEQUENCE
 #: Characters handed to the tokenizer at once, and from which a text is cut.
 _CHARS = 1 << 18
 #: Pieces of text whose ids a task keeps, and the length up to which it does.
-_KNOWN, _SHORT = 500_000, 64
+_KNOWN, _SHORT = 1_000_000, 64
 #: So many of them are encoded at once.
 _TOGETHER = 10_000
 #: White space and the word after it. Words part before white space, so pieces can be encoded one by one.
@@ -42,8 +42,8 @@ _PIECE = re.compile(r"[ \t\n\r\f\v]*[^ \t\n\r\f\v]+|[ \t\n\r\f\v]+")
 _SPACES = (" ", "\t", "\n", "\r", "\f", "\v")
 #: Other white space, which tokens may span together with the above.
 _ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-#: More than one blank or line break in a row.
-_WIDE_SPACE = re.compile("[ \t\n\r\f\v][ \n]|\0")
+#: More than one blank or line break in a row, other white space, and the mark that parts pieces.
+_WIDE_SPACE = ("  ", "\n\n", " \n", "\n ", "\t", "\r", "\f", "\v", "\0")
 #: Where no token crosses: before white space, and after the last letter of a word.
 _CUT = regex.compile(r"(?<=\S)(?=\s)|(?<=\p{L})(?=\P{L})")
 _TOKENS = pa.schema([("doc_id", pa.string()), ("tree", pa.string()), ("part", pa.int64()), ("before", pa.int64()), ("tokens", pa.int64()), ("ids", pa.binary())])
@@ -121,7 +121,7 @@ class Encoder:
         """The text in pieces that can be encoded one by one; the long ones cut again."""
         if _ODD_SPACE.search(text):
             pieces = [text]
-        elif _WIDE_SPACE.search(text):
+        elif any(wide in text for wide in _WIDE_SPACE):
             pieces = _PIECE.findall(text)
         else:  # the same cuts before single blanks and line breaks, at less cost
             pieces = text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
