@@ -40,3 +40,19 @@ def test_the_trip_table_is_balanced_before_the_joins(spark, sf_dir, monkeypatch)
     rows = queries.booking_rows(spark, sf_dir)
     assert sorted(table.columns) == sorted(rows.columns)
     assert table.select(*rows.columns).exceptAll(rows).isEmpty() and table.count() == rows.count()
+
+
+def test_downloads_shuffle_lines_and_not_trips(spark, sf_dir, monkeypatch):
+    frame, seen = type(spark.range(0)), []
+    hint = frame.hint
+
+    def noted(self, name, *keys):
+        seen.append((name, sorted(self.columns)))
+        return hint(self, name, *keys)
+
+    monkeypatch.setattr(frame, "hint", noted)
+    monkeypatch.setattr(fixtures, "_written", {})
+    folder = fixtures.download_folder(spark, sf_dir)
+    assert seen == [("rebalance", sorted([*fixtures.LINE_COLUMNS, "month"]))] * 6
+    made = sum(spark.read.parquet(f"{folder}/{service}").count() for service in fixtures.SERVICES)
+    assert made == fixtures.trips(spark, sf_dir).count()
