@@ -33,8 +33,8 @@ QUANTUM = 512
 SHARD = 64 * SEQUENCE
 #: Characters handed to the tokenizer at once, and from which a text is cut.
 _CHARS = 1 << 18
-#: Pieces of text whose ids a task keeps, and the length up to which it does.
-_KNOWN, _SHORT = 1_000_000, 64
+#: Pieces of text whose ids a task keeps at most twice, in a new and an old set, and the length up to which it does.
+_KNOWN, _SHORT = 400_000, 64
 #: So many of them are encoded at once.
 _TOGETHER = 10_000
 #: White space and the word after it. Words part before white space, so pieces can be encoded one by one.
@@ -93,7 +93,9 @@ class Encoder:
         # A letter of a byte-level token stands for one byte.
         self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
         self.bytes_of[list(vocabulary.values())] = [len(t) for t in vocabulary]
+        # The pieces of late, and those of before: what is met again moves over, the rest goes when the new set is full.
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
@@ -142,8 +144,12 @@ class Encoder:
         cut = list(map(self._pieces, texts))
         new = set().union(*cut)
         if len(self.known) + len(new) > _KNOWN:
-            self.known = {}
+            self.known, self.older = {}, self.known
         new = new.difference(self.known)  # reads the smaller of the two
+        if self.older:
+            kept = {p: ids for p in new if (ids := self.older.get(p))}
+            self.known.update(kept)
+            new = new.difference(kept)
         long = {p: self._ids(p).tobytes() for p in new if len(p) > _SHORT}
         self.known.update(self._encoded([p for p in new if len(p) <= _SHORT]))
         find = self.known.__getitem__
@@ -334,6 +340,7 @@ def packed(docs: DataFrame, tokenizer: str, weights: Mapping[str | None, float]
     begins = _begins(_dealt(tokens.drop("ids").withColumn("ids", F.lit(None).cast("binary")), queues, width))
 
     def fill(rows: pa.Table) -> pa.Table:
+        _encoder.cache_clear()  # a worker that has made tokens needs its pieces no more
         columns = [rows.column(c).to_pylist() for c in ("tree", "place", "doc_id", "doc_tokens", "start", "length", "ids")]
         held: dict[str, list[tuple]] = {}
         for tree, place, doc, doc_tokens, start, length, ids in sorted(zip(*columns), key=lambda r: r[:2]):

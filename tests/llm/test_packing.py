@@ -136,3 +136,16 @@ def test_white_space_of_one_text_does_not_meet_that_of_another():
         got = dict(zip(order, encoder.ids(order)))
         wrong = [t for t in texts if np.frombuffer(got[t], encoder.kind).astype("<u4").tobytes() != ids_of(t)]
         assert wrong == []
+
+
+def test_kept_pieces_are_bounded_and_common_ones_stay(monkeypatch):
+    monkeypatch.setattr(packing, "_KNOWN", 50)
+    monkeypatch.setattr(packing, "_CHARS", 100)
+    path = str(public_tokenizers.path("byte_bpe_50k.json"))
+    encoder, texts, encoded = packing.Encoder(path), [" the common" + "".join(f" w{n}x{i}" for i in range(8)) for n in range(60)], []
+    plain, encode = packing.Encoder(path), encoder._encoded
+    monkeypatch.setattr(encoder, "_encoded", lambda pieces: encoded.extend(pieces) or encode(pieces))
+    for text, ids in zip(texts, encoder.ids(texts)):
+        assert ids == plain._ids(text).tobytes() + plain.end
+    assert len(encoder.known) <= 50 and len(encoder.older) <= 50
+    assert encoded.count(" common") == 1
