@@ -31,3 +31,17 @@ def test_live_health_writes_the_events_once(spark, sf_dir, monkeypatch):
     monkeypatch.setattr(queries, "_appends", lambda session, stream: session.createDataFrame([], stream.schema))
     assert queries.QUERIES["stream_model_health"](spark, sf_dir).isEmpty()
     assert len(folders) == 1
+
+
+def test_the_changing_lake_is_staged_once(spark, sf_dir, monkeypatch):
+    staged, stage = [], fixtures.stage_by_month
+    monkeypatch.setattr(fixtures, "stage_by_month", lambda *args: staged.append(args) or stage(*args))
+    monkeypatch.setattr(fixtures, "_written", {k: v for k, v in fixtures._written.items() if not k[1].endswith("#staged")})
+    lake = fixtures.changing_lake(spark, sf_dir)
+    months = lambda: {str(p.relative_to(root)) for p in root.glob("*/year=*/month=*")}
+    root = Path(lake.folder.removeprefix("file:"))
+    assert len(staged) == 1 and "green/year=2023/month=05" not in months()
+    rows = spark.read.parquet(f"{lake.folder}/fhvhv/year=2024/month=02").count()
+    lake.change()
+    assert "green/year=2023/month=05" in months() and "yellow/year=2022/month=03" not in months()
+    assert spark.read.parquet(f"{lake.folder}/fhvhv/year=2024/month=02").count() == 2 * rows
