@@ -11,18 +11,19 @@ before it end, so sequences have no padding between shards either.
 from __future__ import annotations
 
 import os
-import re
-from collections.abc import Iterator, Mapping, Sequence
+from collections import deque
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rideflow.llm.common import small_batches, whole_text, written
+from rideflow.llm.common import BATCH_ROWS, small_batches, whole_text, written
 from rideflow.operators.lookup import lookup_join
 
 #: Tokens of a sequence, and the token that ends a document.
@@ -31,19 +32,21 @@ SEQUENCE, END = 2048, 1
 QUANTUM = 512
 #: Tokens that fall due in one shard.
 SHARD = 64 * SEQUENCE
-#: Characters handed to the tokenizer at once, and from which a text is cut.
-_CHARS = 1 << 18
+#: Characters of texts parted into pieces together, and those handed to the tokenizer at once, from which a piece is cut.
+_CHARS, _LONG = 1 << 20, 1 << 18
 #: Pieces of text whose ids a task keeps at most twice, in a new and an old set, and the length up to which it does.
 _KNOWN, _SHORT = 400_000, 64
 #: So many of them are encoded at once.
 _TOGETHER = 10_000
 #: White space and the word after it. Words part before white space, so pieces can be encoded one by one.
-_PIECE = re.compile(r"[ \t\n\r\f\v]*[^ \t\n\r\f\v]+|[ \t\n\r\f\v]+")
+_PIECE = r"([ \t\n\r\f\v]*[^ \t\n\r\f\v]+|[ \t\n\r\f\v]+)"
 _SPACES = (" ", "\t", "\n", "\r", "\f", "\v")
-#: Other white space, which tokens may span together with the above.
-_ODD_SPACE = re.compile("[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
-#: More than one blank or line break in a row, other white space, and the mark that parts pieces.
-_WIDE_SPACE = ("  ", "\n\n", " \n", "\n ", "\t", "\r", "\f", "\v", "\0")
+#: More than one blank or line break in a row, and other white space of these.
+_WIDE_SPACE = r"[ \n][ \n]|[\t\r\f\v]"
+#: Other white space, which tokens may span together with the above, and the mark that parts pieces.
+_ODD_SPACE = r"[\x00\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+#: A Latin, Greek or Cyrillic letter and the stop or comma after it, which no token spans: words with and without it share their ids.
+_STOP = r"([A-Za-z\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{24f}\x{3b1}-\x{3c9}\x{400}-\x{481}])([.,])"
 #: Where no token crosses: before white space, and after the last letter of a word.
 _CUT = regex.compile(r"(?<=\S)(?=\s)|(?<=\p{L})(?=\P{L})")
 _TOKENS = pa.schema([("doc_id", pa.string()), ("tree", pa.string()), ("part", pa.int64()), ("before", pa.int64()), ("tokens", pa.int64()), ("ids", pa.binary())])
@@ -66,7 +69,7 @@ def id_width(path: str) -> int:
     return 2 if max(_tokenizer(path).get_vocab().values()) < 1 << 16 else 4
 
 
-def chunks(text: str, added: Sequence[str] = (), size: int = _CHARS) -> list[str]:
+def chunks(text: str, added: Sequence[str] = (), size: int = _LONG) -> list[str]:
     """The text in pieces of about the size, cut only where the byte-level pre-tokenizer always parts words.
 
     White space never belongs to the token before it, and what follows a letter and is none never to
@@ -83,12 +86,17 @@ def chunks(text: str, added: Sequence[str] = (), size: int = _CHARS) -> list[str
 
 
 class Encoder:
-    """The library's ids of whole texts and the end token, as bytes. Short pieces between white space are encoded once and kept."""
+    """The library's ids of whole texts and the end token, as bytes.
+
+    Texts are parted by Arrow into pieces between white space; each different one of a group is looked up, and short ones
+    are encoded once and kept.
+    """
 
     def __init__(self, path: str, end: int = END):
         self.tokenizer, self.kind = _tokenizer(path), f"<u{id_width(path)}"
         self.end = np.array([end], self.kind).tobytes()
         self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.stops_part = not any("." in t or "," in t for t in self.added)
         vocabulary = self.tokenizer.get_vocab()
         # A letter of a byte-level token stands for one byte.
         self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
@@ -100,62 +108,93 @@ class Encoder:
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, self.kind)
 
-    def _encoded(self, pieces: list[str]) -> dict[str, bytes]:
-        """The pieces with their ids. Those that start, and do not end, with white space are encoded together and parted by the bytes they cover.
+    def _encoded(self, pieces: list[str]) -> list[bytes]:
+        """The ids of the pieces. Those that start, and do not end, with white space are encoded together and parted by the bytes they cover.
 
         White space at the end of one and at the start of the next would make one token of both.
         """
-        spaced = [p for p in pieces if p[:1] in _SPACES and not p[-1:].isspace()]
-        plain = list(set(pieces).difference(spaced))
-        found = self.tokenizer.encode_batch_fast(plain, add_special_tokens=False)
-        out = {p: np.array(f.ids, self.kind).tobytes() for p, f in zip(plain, found)}
+        out: list[bytes] = [b""] * len(pieces)
+        spaced, plain = [], []
+        for place, p in enumerate(pieces):
+            (spaced if p[:1] in _SPACES and not p[-1:].isspace() else plain).append(place)
+        for place, found in zip(plain, self.tokenizer.encode_batch_fast([pieces[i] for i in plain], add_special_tokens=False)):
+            out[place] = np.array(found.ids, self.kind).tobytes()
         for start in range(0, len(spaced), _TOGETHER):
-            held = spaced[start : start + _TOGETHER]
-            joined = "".join(held)
-            ids = self._ids(joined)
-            covered = np.cumsum(list(map(len, held)) if joined.isascii() else [len(p.encode()) for p in held])
+            places = spaced[start : start + _TOGETHER]
+            held = [pieces[i] for i in places]
+            ids = self._ids("".join(held))
+            covered = np.cumsum(pc.binary_length(pa.array(held, pa.string())).to_numpy())
             ends = ((np.searchsorted(np.cumsum(self.bytes_of[ids]), covered) + 1) * ids.itemsize).tolist()
             data = ids.tobytes()
-            out.update(zip(held, [data[i:j] for i, j in zip([0, *ends], ends)]))
+            for place, i, j in zip(places, [0, *ends], ends):
+                out[place] = data[i:j]
         return out
 
-    def _pieces(self, text: str) -> list[str]:
-        """The text in pieces that can be encoded one by one; the long ones cut again."""
-        if _ODD_SPACE.search(text):
-            pieces = [text]
-        elif any(wide in text for wide in _WIDE_SPACE):
-            pieces = _PIECE.findall(text)
-        else:  # the same cuts before single blanks and line breaks, at less cost
-            pieces = text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
-        if len(text) <= _CHARS:
-            return pieces
-        return [c for p in pieces for c in (chunks(p, self.added) if len(p) > _CHARS else (p,))]
-
-    def ids(self, texts: list[str]) -> Iterator[bytes]:
+    def _long(self, text: str) -> bytes:
+        """The ids of a text that is not kept, a bounded number of characters at a time."""
+        return b"".join(self._ids(c).tobytes() for c in (chunks(text, self.added) if len(text) > _LONG else (text,)))
+
+    def _parted(self, texts: pa.Array) -> pa.Array:
+        """The texts as lists of pieces that can be encoded one by one; none holds odd white space."""
+        if self.stops_part:
+            texts = pc.replace_substring_regex(texts, _STOP, "\\1\0\\2")
+        wide = pc.match_substring_regex(texts, _WIDE_SPACE).to_numpy(zero_copy_only=False)
+        order = np.argsort(wide, kind="stable")
+        narrow, rest = (texts.take(pa.array(places)) for places in np.split(order, [np.count_nonzero(~wide)]))
+        # The same cuts before single blanks and line breaks, at less cost.
+        narrow = pc.replace_substring(pc.replace_substring(narrow, " ", "\0 "), "\n", "\0\n")
+        rest = pc.replace_substring_regex(rest, _PIECE, "\0\\1")
+        return pc.split_pattern(pa.concat_arrays([narrow, rest]).take(pa.array(np.argsort(order))), "\0")
+
+    def ids(self, texts: Iterable[str]) -> Iterator[bytes]:
         """The ids of each text and the end token; a bounded number of characters, or one text, at a time."""
-        start = size = 0
-        for number, text in enumerate(texts):
+        held, size = [], 0
+        for text in texts:
+            held.append(text)
             size += len(text)
-            if size > _CHARS or number == len(texts) - 1:
-                yield from self._some(texts[start : number + 1])
-                start, size = number + 1, 0
+            if size > _CHARS:
+                yield from self._some(held)
+                held, size = [], 0
+        if held:
+            yield from self._some(held)
 
     def _some(self, texts: list[str]) -> Iterator[bytes]:
-        cut = list(map(self._pieces, texts))
-        new = set().union(*cut)
-        if len(self.known) + len(new) > _KNOWN:
+        column = pa.array(texts, pa.large_string())
+        odd = pc.match_substring_regex(column, _ODD_SPACE)
+        parted = self._parted(column.filter(pc.invert(odd)))
+        pieces = parted.flatten().dictionary_encode()
+        ids = pa.array(self._found(pieces.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.large_binary()).take(pieces.indices)
+        # The pieces' ids lie behind each other, so those of a text are one stretch.
+        _, starts, data = ids.buffers()
+        ends = np.frombuffer(starts, np.int64)[parted.offsets.to_numpy()].tolist() if len(ids) else []
+        data, stretches = data.to_pybytes() if data else b"", zip(ends, ends[1:])
+        for text, whole in zip(texts, odd.to_pylist()):
+            if whole:
+                yield self._long(text) + self.end
+                continue
+            start, end = next(stretches)
+            yield data[start:end] + self.end
+
+    def _found(self, pieces: list[str]) -> list[bytes]:
+        """The ids of different pieces, the kept ones or new."""
+        if len(self.known) + len(pieces) > _KNOWN:
             self.known, self.older = {}, self.known
-        new = new.difference(self.known)  # reads the smaller of the two
-        if self.older:
-            kept = {p: ids for p in new if (ids := self.older.get(p))}
-            self.known.update(kept)
-            new = new.difference(kept)
-        long = {p: self._ids(p).tobytes() for p in new if len(p) > _SHORT}
-        self.known.update(self._encoded([p for p in new if len(p) <= _SHORT]))
-        find = self.known.__getitem__
-        for pieces in cut:
-            found = [long.get(p) or find(p) for p in pieces] if long else map(find, pieces)
-            yield b"".join(found) + self.end
+        found, older = list(map(self.known.get, pieces)), self.older.get
+        new: list[int] = []
+        for i in [i for i, ids in enumerate(found) if ids is None]:
+            found[i] = ids = older(pieces[i])
+            if ids is not None:
+                self.known[pieces[i]] = ids
+            elif len(pieces[i]) <= _SHORT:
+                new.append(i)
+            else:
+                found[i] = self._long(pieces[i])
+        names = [pieces[i] for i in new]
+        made = self._encoded(names)
+        self.known.update(zip(names, made))
+        for i, ids in zip(new, made):
+            found[i] = ids
+        return found
 
 
 @lru_cache(1)
@@ -174,16 +213,28 @@ def token_table(docs: DataFrame, tokenizer: str, key: str = "doc_id") -> DataFra
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, queued, encoder = TaskContext.get().partitionId(), {}, _encoder(tokenizer)
-        for batch in batches:
-            keys, trees = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            out: list[list] = [[], [], [], [], [], []]
-            for doc, tree, ids in zip(keys, trees, encoder.ids(batch.column(2).to_pylist())):
-                before = queued.get(tree, 0)
-                count = len(ids) // width
-                queued[tree] = before + count
-                for column, value in zip(out, (doc, tree, part, before, count, ids)):
-                    column.append(value)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, _TOKENS.types)], schema=_TOKENS)
+        waiting: deque[tuple] = deque()
+
+        def texts() -> Iterator[str]:
+            for batch in batches:
+                for doc, tree, text in zip(*(column.to_pylist() for column in batch.columns)):
+                    waiting.append((doc, tree))
+                    yield text
+
+        def made(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _TOKENS.types)], schema=_TOKENS)
+
+        rows: list[tuple] = []
+        for ids in encoder.ids(texts()):
+            doc, tree = waiting.popleft()
+            before, count = queued.get(tree, 0), len(ids) // width
+            queued[tree] = before + count
+            rows.append((doc, tree, part, before, count, ids))
+            if len(rows) == BATCH_ROWS:
+                yield made(rows)
+                rows = []
+        if rows:
+            yield made(rows)
 
     small_batches(docs.sparkSession)
     source = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit(""))

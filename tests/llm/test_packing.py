@@ -149,3 +149,22 @@ def test_kept_pieces_are_bounded_and_common_ones_stay(monkeypatch):
         assert ids == plain._ids(text).tobytes() + plain.end
     assert len(encoder.known) <= 50 and len(encoder.older) <= 50
     assert encoded.count(" common") == 1
+
+
+def test_words_with_and_without_a_stop_are_encoded_once(monkeypatch):
+    """Stops and commas part from the letter before them, whatever surrounds them, and texts keep their order and ids."""
+    encoder, encoded = packing.Encoder(PATH), []
+    encode = encoder._encoded
+    monkeypatch.setattr(encoder, "_encoded", lambda pieces: encoded.extend(pieces) or encode(pieces))
+    texts = [" river, river. river\nriver., (river.) river.river", "", "ж, é. x 1,5 3. a.,b \"q.\" .", "a  b, c.\td\x0bd. ", "\0river. \0, x", "a\xa0b, c.", "don't. I'm, 's."]
+    for order in (texts, texts[::-1]):
+        assert list(encoder.ids(iter(order))) == [np.frombuffer(ids_of(t), "<u4").astype(encoder.kind).tobytes() for t in order]
+    assert encoded.count(" river") == 1 and " river," not in encoded and " river." not in encoded
+
+
+def test_long_pieces_and_groups_of_texts(monkeypatch):
+    monkeypatch.setattr(packing, "_CHARS", 40)
+    rng, encoder = random.Random(5), packing.Encoder(PATH)
+    texts = ["".join(rng.choices("ab. ,\n\xa0é中x'1", k=rng.randrange(90))) for _ in range(500)] + ["ab1é" * 100_000, "x, " * 50_000]
+    got = [np.frombuffer(ids, encoder.kind).astype("<u4").tobytes() for ids in encoder.ids(texts)]
+    assert got == [ids_of(t) for t in texts]
