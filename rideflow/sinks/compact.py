@@ -15,6 +15,8 @@ from rideflow.sinks.tables import TRIP_PARTITIONS, write_partitioned
 TARGET_BYTES = 256 * 1024 * 1024
 #: Files of a merged month are between these shares of the target, as far as its rows compress alike; a smaller month is one file.
 BAND = (0.45, 1.3)
+#: Bytes of files that a task writes, as long as they are of different months; a larger file has a task of its own.
+TASK_BYTES = 64 * 1024 * 1024
 
 
 def table_files(spark: SparkSession, path: str, keys: Sequence[str] = TRIP_PARTITIONS) -> DataFrame:
@@ -45,8 +47,9 @@ def month_files(files: DataFrame, target: int = TARGET_BYTES, keys: Sequence[str
 def compact_months(spark: SparkSession, path: str, target: int = TARGET_BYTES, keys: Sequence[str] = TRIP_PARTITIONS) -> DataFrame:
     """Rewrite the fragmented months of a table as files of about ``target`` bytes; returns the months as they were before.
 
-    The rows of a month keep their order and are cut into pieces of equal rows, one task and file each, so a large month is
-    spread over many tasks. New files are written beside the table first; then each month's folder is renamed into place. A run
+    The rows of a month keep their order and are cut into pieces of equal rows, one file each, so a large month is
+    spread over many tasks. A task writes one file of each of several months, up to ``TASK_BYTES``, so many small files do not
+    need as many tasks. New files are written beside the table first; then each month's folder is renamed into place. A run
     that dies before the renames leaves the table as it was, one that dies between the two of a month leaves its old rows
     in a hidden folder, which the next run puts back. No other job may write to these months meanwhile.
     """
@@ -61,10 +64,15 @@ def compact_months(spark: SparkSession, path: str, target: int = TARGET_BYTES, k
     ranked = files.join(months.filter("fragmented").select(*keys, "pieces", F.col("rows").alias("_all")), list(keys))
     before = F.sum("rows").over(in_month.orderBy("path").rowsBetween(Window.unboundedPreceding, -1))
     ranked = ranked.withColumn("_before", F.coalesce(before, F.lit(0)))
-    # The first task of each month: months are few, so one running sum over them is small.
-    first = months.filter("fragmented").select(*keys, F.coalesce(F.sum("pieces").over(Window.orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_first"))
+    # Months of like size share their tasks. Months are few, so one order of them all is small.
+    by_size = Window.orderBy(F.desc("pieces"), *keys)
+    shared = F.floor((F.row_number().over(by_size) - 1) / max(1, TASK_BYTES // target))
+    grouped = materialize(months.filter("fragmented").select(*keys, "pieces", shared.alias("_group")))
+    groups = grouped.groupBy(F.col("_group").alias("_of")).agg(F.max("pieces").alias("_tasks"))
+    groups = materialize(groups.withColumn("_first", F.sum("_tasks").over(Window.orderBy("_of")) - F.col("_tasks")))
+    first = grouped.join(groups, F.col("_group") == F.col("_of")).select(*keys, "_first")
     places = materialize(ranked.join(first, list(keys)).select(F.col("path").alias("_path"), "_before", "_all", "pieces", "_first"))
-    tasks = months.filter("fragmented").agg(F.sum("pieces")).first()[0]
+    tasks = groups.agg(F.sum("_tasks")).first()[0]
 
     wanted = F.struct(*keys).isin([F.struct(*[F.lit(v) for v in month]) for month in chosen])
     meta = F.col("_metadata")

@@ -3,6 +3,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rideflow.session import materialize
+from rideflow.sinks import compact
 from rideflow.sinks.compact import BAND, compact_months, month_files, table_files
 from rideflow.sinks.tables import TRIP_PARTITIONS, write_partitioned
 
@@ -44,6 +45,22 @@ def test_one_large_file_is_split_in_order(spark, tmp_path):
     assert len(spans) > 3 and all(a[1] + 1 == b[0] for a, b in zip(spans, spans[1:]))
 
 
+def test_months_share_tasks_up_to_their_bytes(spark, tmp_path, monkeypatch):
+    for bytes_, months_together in ((compact.TASK_BYTES, 3), (128 * 1024, 2), (1, 1)):
+        monkeypatch.setattr(compact, "TASK_BYTES", bytes_)
+        path = str(tmp_path / f"trips-{months_together}")
+        for month, n in ((1, 6_000), (2, 9_000), (3, 4_000)):
+            write_partitioned(rows(spark, n, month, start=month * 10_000).repartition(30), path, mode="append")
+        before = digest(spark, path)
+        pieces = sorted((r.pieces for r in compact_months(spark, path, 64 * 1024).collect()), reverse=True)
+        assert digest(spark, path) == before
+        written = spark.read.parquet(path).select("place", "pickup_month", F.element_at(F.split("_metadata.file_path", "/"), -1).alias("file"))
+        files = written.groupBy("pickup_month", "file").agg(F.count("*").alias("rows")).collect()
+        by_month = [sorted(f.rows for f in files if f.pickup_month == m) for m in (1, 2, 3)]
+        assert sorted(map(len, by_month), reverse=True) == pieces and all(m[-1] - m[0] <= 1 for m in by_month)
+        assert len({f.file.split("-")[1] for f in files}) == sum(pieces[::months_together])
+
+
 def test_a_month_left_between_its_renames_is_put_back(spark, tmp_path):
     path = str(tmp_path / "trips")
     write_partitioned(rows(spark, 100).coalesce(1), path)
